@@ -34,9 +34,9 @@ def safe_int(c: Column) -> Column:
 
 
 def safe_double(c: Column) -> Column:
-    """Malformed text becomes NULL. The cast also takes type suffixes (``1d``, ``1f``),
-    hex floats, NaN and infinities; each contains one of the letters d f x n, which no
-    decimal or exponent literal does."""
+    """Malformed text becomes NULL. The cast alone also takes type suffixes (``1d``,
+    ``1f``), hex floats, NaN and infinities; each contains one of the letters d f x n,
+    which no decimal or exponent literal does."""
     return F.when(~c.rlike("[dDfFxXnN]"), trimmed(c).try_cast("double"))
 
 
@@ -62,10 +62,10 @@ def classify_prefix(
 ) -> Column:
     """Bucket by the first ``length`` characters; NULL and unlisted go to ``otherwise``."""
     prefix = F.substring(c, 1, length)
-    label = F
-    for name, prefixes in classes.items():
-        label = label.when(prefix.isin(*prefixes), F.lit(name))
-    return label.otherwise(F.lit(otherwise))
+    label = F.lit(otherwise)
+    for name, prefixes in reversed(classes.items()):
+        label = F.when(prefix.isin(*prefixes), F.lit(name)).otherwise(label)
+    return label
 
 
 def any_present(*columns: Column) -> Column:

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from payscope.functions.clean import trimmed
 from payscope.functions.statistics import weighted_mean
 
 
@@ -147,10 +148,11 @@ def category_counts(df: DataFrame, category: str, name: str = "n") -> DataFrame:
 
 def value_profile(df: DataFrame, text: str, listed: Sequence[str]) -> DataFrame:
     """Rows and share of each listed placeholder, of NULL, and of everything else."""
+    found = trimmed(F.col(text))
     label = (
-        F.when(F.col(text).isNull(), "(null)")
-        .when(F.trim(F.col(text)) == "", "(blank)")
-        .when(F.col(text).isin(*listed), F.col(text))
+        F.when(found.isNull(), "(null)")
+        .when(found == "", "(blank)")
+        .when(found.isin(*listed), found)
         .otherwise("(value)")
     )
     counted = df.groupBy(label.alias("placeholder")).agg(F.count(F.lit(1)).alias("n_rows"))

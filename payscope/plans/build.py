@@ -55,7 +55,7 @@ def build(
     if include_price:
         unified = prices.unify_prices(raw)
         path = f"{folder}/prices"
-        counts["prices"] = write_spread(unified, path, prices.SPREAD, ["source_hospital"])
+        counts["prices"] = write_spread(unified, path, "source_hospital")
         unified = spark.read.schema(unified.schema).parquet(path)
     return Build(mart, failures, unified, counts)
 

@@ -13,7 +13,6 @@ from payscope.functions.clean import (
     blank_to_null,
     classify_prefix,
     is_suppressed,
-    missing_to_null,
     reliable,
     safe_date,
     safe_double,
@@ -150,18 +149,16 @@ EXPORT = {
 
 
 def stage(raw: DataFrame, layout: Mapping, date_formats: Sequence[str] = ()) -> DataFrame:
-    """Rename, cast and flag, one staged row per raw row. Text spelled ``nan`` or
-    ``None`` by an earlier load counts as missing when cast, and is a value as text."""
-    text = lambda c: missing_to_null(F.col(c))
+    """Rename, cast and flag, one staged row per raw row."""
     columns: list[Column] = [F.col(c).alias(n) for c, n in layout["text"].items()]
-    columns += [safe_int(text(c)).alias(n) for c, n in layout["int"].items()]
-    columns += [safe_double(text(c)).alias(n) for c, n in layout["double"].items()]
+    columns += [safe_int(F.col(c)).alias(n) for c, n in layout["int"].items()]
+    columns += [safe_double(F.col(c)).alias(n) for c, n in layout["double"].items()]
     if "suppressed_by" in layout:
         flag = is_suppressed(F.col(layout["suppressed_by"]), layout["placeholders"])
         columns.append(flag.alias("is_suppressed"))
     columns += [blank_to_null(F.col(c)).alias(n) for c, n in layout.get("footnote", {}).items()]
     columns += [
-        safe_date(text(c), date_formats).alias(n) for c, n in layout.get("date", {}).items()
+        safe_date(F.col(c), date_formats).alias(n) for c, n in layout.get("date", {}).items()
     ]
     return raw.select(columns)
 

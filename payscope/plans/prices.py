@@ -97,16 +97,18 @@ CONTRACT = T.StructType(
 )
 
 # Numbers are read as text, so a stray word in one becomes NULL in its own cell.
-DOCUMENT = """
-    standard_charge_information array<struct<
-        description string,
-        code_information array<struct<code string, type string>>,
-        standard_charges array<struct<
-            setting string, billing_class string, gross_charge string, discounted_cash string,
-            payers_information array<struct<
-                payer_name string, plan_name string, standard_charge_dollar string,
-                standard_charge_algorithm string, methodology string>>>>>>
+CHARGE = """
+    struct<
+        description: string,
+        code_information: array<struct<code: string, type: string>>,
+        standard_charges: array<struct<
+            setting: string, billing_class: string, gross_charge: string,
+            discounted_cash: string,
+            payers_information: array<struct<
+                payer_name: string, plan_name: string, standard_charge_dollar: string,
+                standard_charge_algorithm: string, methodology: string>>>>>
 """
+DOCUMENT = f"standard_charge_information array<{CHARGE}>"
 
 
 def hospital_dimension(spark: SparkSession) -> DataFrame:
@@ -130,7 +132,7 @@ def raw_sources(folder: str) -> dict[str, Source]:
 
 
 def _double(c: str):
-    return safe_double(missing_to_null(F.col(c)))
+    return safe_double(F.col(c))
 
 
 def _text(c: str):
@@ -256,9 +258,5 @@ def stage_prices(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 def unify_prices(raw: Mapping[str, DataFrame]) -> DataFrame:
-    """All hospitals under the contract. Write it spread over (source_hospital, code):
-    two sources hold two thirds of the rows."""
+    """All hospitals under the contract."""
     return contract_union(stage_prices(raw), CONTRACT, "source_hospital")
-
-
-SPREAD = ("source_hospital", "code")

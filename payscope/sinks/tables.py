@@ -22,15 +22,13 @@ def truncate_and_load(df: DataFrame, path: str) -> dict[str, int]:
     return {"rows": seen.get["rows"], "columns": len(df.columns)}
 
 
-def write_spread(
-    df: DataFrame, path: str, spread: Sequence[str], partition_by: Sequence[str] = ()
-) -> dict[str, int]:
-    """Replace a table whose sources differ widely in size: rows are spread over
-    (source, code) rather than source alone, so a source with a third of the rows is
-    written by many tasks."""
+def write_spread(df: DataFrame, path: str, by: str) -> dict[str, int]:
+    """Replace a table partitioned by a column of very uneven groups. Rows are brought
+    together by group, and the rebalance splits a group that is too large for one task
+    into even parts and joins small ones, by the sizes it measures."""
     seen = Observation("load")
-    writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).repartition(*spread).write
-    writer.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    watched = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    watched.hint("rebalance", F.col(by)).write.mode("overwrite").partitionBy(by).parquet(path)
     return {"rows": seen.get["rows"], "columns": len(df.columns)}
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import csv
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,9 @@ MISSING_CELLS = (
     "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
+# One column more than the header names; anything in it is a cell too many.
+_OVERFLOW = "_overflow"
+
 # A header is looked for in this many lines of a file.
 _HEADER_LINES = 200
 
@@ -69,28 +73,45 @@ def read_csv(
     multiline: bool = True,
     missing: Sequence[str] = MISSING_CELLS,
 ) -> Scan:
-    """One CSV file as text columns under clean names; records up to the header are
-    dropped. Short rows are filled with NULL, a row longer than the header is an error.
+    """A CSV file, or a folder of files with one header, as text columns under clean
+    names. Short rows are filled with NULL, a row longer than the header is an error.
 
-    A quoted line break is only safe when one task reads the whole file. A file known
-    to have none can be split among tasks with ``multiline=False``.
+    ``header_row`` counts the records above the header, which are dropped with it from
+    every file. A quoted line break is only safe when one task reads a whole file; files
+    known to have none are split among tasks with ``multiline=False``.
     """
+    files = sorted(spark.read.text(path).inputFiles())
+    if not files:
+        raise ValueError(f"{path}: no file")
     encoding = encoding or detect_encoding(spark, path)
-    header = read_header(spark, path, header_row, encoding)
+    header = read_header(spark, files[0], header_row, encoding)
     names = clean_names(header)
-    overflow = "_overflow"
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, overflow]])
-    rows = spark.read.schema(schema).csv(
-        path, header=False, multiLine=multiline, quote='"', escape='"', encoding=encoding
-    )
-    # The header and what precedes it are the first records of the first block.
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _OVERFLOW]])
+    options = {"multiLine": multiline, "quote": '"', "escape": '"', "encoding": encoding}
+    if header_row == 0:
+        rows = spark.read.schema(schema).csv(path, header=True, **options)
+    else:
+        # The position of a record is known per file, so each file is its own scan.
+        for other in files[1:]:
+            if read_header(spark, other, header_row, encoding) != header:
+                raise ValueError(f"{other}: header differs from {files[0]}")
+        scans = [
+            _below(spark.read.schema(schema).csv(f, header=False, **options), header_row)
+            for f in files
+        ]
+        rows = reduce(DataFrame.union, scans)
+    too_long = F.raise_error(F.lit(f"{path}: a row has more cells than the header"))
+    fits = F.when(F.col(_OVERFLOW).isNotNull(), too_long.cast("boolean")).otherwise(True)
+    cells = [F.when(~F.col(n).isin(*missing), F.col(n)).alias(n) for n in names]
+    return Scan(rows.filter(fits).select(cells), rename_map(spark, header, names), encoding)
+
+
+def _below(file: DataFrame, header_row: int) -> DataFrame:
+    """Rows of one file after its header, which is among the first records of the task
+    that reads the first block."""
     at = F.monotonically_increasing_id().bitwiseAND(F.lit(_WITHIN_TASK))
-    body = (
-        rows.withColumn("_top", F.col("_metadata.file_block_start") == 0)
-        .withColumn("_at", at)
+    return (
+        file.select("*", (F.col("_metadata.file_block_start") == 0).alias("_top"), at.alias("_at"))
         .filter(~F.col("_top") | (F.col("_at") > header_row))
+        .select(*file.columns)
     )
-    too_long = F.raise_error(F.lit(f"{path}: a row has more cells than the header"))
-    fits = F.when(F.col(overflow).isNotNull(), too_long.cast("boolean")).otherwise(True)
-    cells = [F.when(~F.col(n).isin(*missing), F.col(n)).alias(n) for n in names]
-    return Scan(body.filter(fits).select(cells), rename_map(spark, header, names), encoding)

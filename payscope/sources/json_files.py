@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,11 +18,16 @@ _CATALOG = (
 
 
 def read_documents(
-    spark: SparkSession, path: str | list[str], schema: str | T.StructType
+    spark: SparkSession,
+    path: str | list[str],
+    schema: str | T.StructType,
+    *,
+    lines: bool = False,
 ) -> DataFrame:
-    """Whole-file JSON documents under an explicit nested schema, so only the fields in
-    it are built. A leading byte-order mark is skipped; invalid JSON is an error."""
-    return spark.read.schema(schema).json(path, multiLine=True, mode="FAILFAST")
+    """JSON documents under an explicit nested schema, so only the fields in it are
+    built: one per file, or one per line of files that can then be split among tasks. A
+    leading byte-order mark is skipped; invalid JSON is an error."""
+    return spark.read.schema(schema).json(path, multiLine=not lines, mode="FAILFAST")
 
 
 def read_pages(
@@ -31,28 +36,32 @@ def read_pages(
     columns: Sequence[str] | None = None,
     *,
     page_size: int = PAGE_SIZE,
-    page_number: Column | None = None,
+    number: str | None = None,
     lines: bool = False,
 ) -> DataFrame:
     """Rows of saved pages ``{"results": [...]}``, every field as text.
 
     Reading stops at the first page with fewer than ``page_size`` rows, as a client that
-    asks for page after page would. The page number is the last number in the file name
-    unless given as an expression. ``lines`` reads one page per line, which lets a large
-    file be split among tasks. Without ``columns`` the fields are found in a first pass.
+    asks for page after page would. Pages are ordered by the top-level field ``number``,
+    or by the last number in the file name. ``lines`` reads one page per line, which
+    lets a large file be split among tasks. Without ``columns`` the fields are found in
+    a first pass.
     """
-    options = {"multiLine": not lines, "mode": "FAILFAST", "primitivesAsString": True}
     reader = spark.read
     if columns is not None:
         fields = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-        rows_type = T.StructType([T.StructField("results", T.ArrayType(fields))])
-        reader = reader.schema(rows_type)
-    if page_number is None:
-        digits = F.regexp_extract(F.col("_metadata.file_name"), r"(\d+)\D*$", 1)
-        page_number = digits.try_cast("bigint")
-    pages = reader.json(path, **options).select(page_number.alias("page"), "results")
-    if "array" not in pages.schema["results"].dataType.typeName():
-        raise ValueError(f"{path}: pages without rows")
+        page_type = T.StructType([T.StructField("results", T.ArrayType(fields))])
+        if number is not None:
+            page_type = page_type.add(number, T.StringType())
+        reader = reader.schema(page_type)
+    if number is None:
+        order = F.regexp_extract(F.col("_metadata.file_name"), r"(\d+)\D*$", 1)
+    else:
+        order = F.col(number)
+    documents = reader.json(
+        path, multiLine=not lines, mode="FAILFAST", primitivesAsString=True
+    )
+    pages = documents.select(order.try_cast("bigint").alias("page"), "results")
     held = F.coalesce(F.size("results"), F.lit(0))
     last = pages.filter(held < page_size).agg(F.min("page")).scalar()
     return (
