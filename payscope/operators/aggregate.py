@@ -16,17 +16,30 @@ def dependent_attributes(df: DataFrame, key: str, attributes: Sequence[str]) ->
     """One value per key of columns that depend on it: the least non-null one, so the
     answer does not change with the order of rows.
 
-    ``min`` over strings aggregates by sorting its whole input. Collapsing to distinct
-    combinations first is a hash aggregate, and leaves the sort one row or a few per key.
+    ``min`` over strings aggregates by sorting its whole input. Grouping by the
+    combinations first is a hash aggregate, and leaves that sort one row or a few per
+    key. The count keeps the optimiser from folding the two steps into one.
     """
+    combinations = df.groupBy(key, *attributes).agg(F.count(F.lit(1)).alias("_rows"))
     return (
-        df.select(key, *attributes)
-        .distinct()
-        .groupBy(key)
-        .agg(*(F.min(a).alias(a) for a in attributes))
+        combinations.groupBy(key)
+        .agg(*(F.min(a).alias(a) for a in attributes), F.sum("_rows").alias("_rows"))
+        .filter("_rows > 0")
+        .drop("_rows")
     )
 
 
+def with_attributes(
+    df: DataFrame, source: DataFrame, key: str, attributes: Sequence[str]
+) -> DataFrame:
+    """Put the dependent attributes of ``source`` beside a result with one row per key.
+    A NULL key is a group like any other."""
+    found = dependent_attributes(source, key, attributes)
+    others = [c for c in df.columns if c != key]
+    joined = found.join(df, found[key].eqNullSafe(df[key]))
+    return joined.select(found[key], *attributes, *others)
+
+
 def cost_by_entity(
     df: DataFrame,
     key: str,
@@ -61,7 +74,7 @@ def cost_by_entity(
     )
     if not attributes:
         return measures
-    return dependent_attributes(usable, key, attributes).join(measures, key)
+    return with_attributes(measures, usable, key, attributes)
 
 
 def pivot_mean(

@@ -56,7 +56,8 @@ def build(
         unified = prices.unify_prices(raw)
         path = f"{folder}/prices"
         counts["prices"] = write_spread(unified, path, "source_hospital")
-        unified = spark.read.schema(unified.schema).parquet(path)
+        # A partition column reads back last; the contract has it first.
+        unified = spark.read.schema(prices.CONTRACT).parquet(path).select(prices.CONTRACT.names)
     return Build(mart, failures, unified, counts)
 
 

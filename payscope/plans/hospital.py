@@ -21,10 +21,10 @@ from payscope.functions.clean import (
 from payscope.operators import checks
 from payscope.operators.aggregate import (
     cost_by_entity,
-    dependent_attributes,
     measures_by_entity,
     pivot_mean,
     summary_row_max,
+    with_attributes,
 )
 from payscope.operators.joins import full_join, spine_join
 
@@ -200,7 +200,7 @@ def readmissions_by_hospital(
     )
     if not named:
         return measures
-    return dependent_attributes(usable, "ccn", ["hospital_name"]).join(measures, "ccn")
+    return with_attributes(measures, usable, "ccn", ["hospital_name"])
 
 
 def quality_by_hospital(
@@ -214,7 +214,7 @@ def quality_by_hospital(
         rated = in_state.filter(
             (F.col("measure_id") == STAR_MEASURE) & F.col("star_rating").isNotNull()
         )
-        stars = dependent_attributes(rated, "ccn", ["hospital_name"]).join(stars, "ccn")
+        stars = with_attributes(stars, rated, "ccn", ["hospital_name"])
     outcomes = pivot_mean(
         complications.filter(
             (F.col("state") == state) & ~F.col("is_suppressed") & F.col("score").isNotNull()

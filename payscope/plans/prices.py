@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -131,11 +131,11 @@ def raw_sources(folder: str) -> dict[str, Source]:
     return out
 
 
-def _double(c: str):
+def _double(c: str) -> Column:
     return safe_double(F.col(c))
 
 
-def _text(c: str):
+def _text(c: str) -> Column:
     return missing_to_null(F.col(c))
 
 
@@ -166,14 +166,8 @@ def wide_groups(raw: DataFrame) -> ColumnGroups:
 def stage_wide(raw: DataFrame) -> DataFrame:
     """Payer-plan columns to rows; the label stays whole as the plan name. Rows with
     neither amount, percentage nor algorithm are dropped."""
-    groups = wide_groups(raw)
     have = set(raw.columns)
-    # Text spellings of a missing cell go before the melt, which drops all-NULL groups.
-    used = [c for members in groups.groups.values() for c in members]
-    cleaned = raw.select(
-        *(c for c in WIDE_IDS if c in have), *(_text(c).alias(c) for c in used)
-    )
-    melted = melt_groups(cleaned, WIDE_IDS, groups, "payer_plan")
+    melted = melt_groups(raw, WIDE_IDS, wide_groups(raw), "payer_plan")
     pick = lambda c: F.col(c) if c in have else F.lit(None).cast("string")
     staged = melted.select(
         pick("code_1").alias("code"),
@@ -185,9 +179,9 @@ def stage_wide(raw: DataFrame) -> DataFrame:
         F.col("payer_plan").alias("plan_name"),
         safe_double(pick("standard_charge_gross")).alias("gross_charge"),
         safe_double(pick("standard_charge_discounted_cash")).alias("discounted_cash_charge"),
-        safe_double(F.col("negotiated_dollar")).alias("negotiated_dollar"),
-        safe_double(F.col("negotiated_percentage")).alias("negotiated_percentage"),
-        "negotiated_algorithm",
+        _double("negotiated_dollar").alias("negotiated_dollar"),
+        _double("negotiated_percentage").alias("negotiated_percentage"),
+        _text("negotiated_algorithm").alias("negotiated_algorithm"),
         "methodology",
     )
     return keep_any_present(

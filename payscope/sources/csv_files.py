@@ -96,22 +96,33 @@ def read_csv(
             if read_header(spark, other, header_row, encoding) != header:
                 raise ValueError(f"{other}: header differs from {files[0]}")
         scans = [
-            _below(spark.read.schema(schema).csv(f, header=False, **options), header_row)
+            _below(spark.read.schema(schema).csv(f, header=False, **options), header, header_row)
             for f in files
         ]
         rows = reduce(DataFrame.union, scans)
     too_long = F.raise_error(F.lit(f"{path}: a row has more cells than the header"))
     fits = F.when(F.col(_OVERFLOW).isNotNull(), too_long.cast("boolean")).otherwise(True)
-    cells = [F.when(~F.col(n).isin(*missing), F.col(n)).alias(n) for n in names]
-    return Scan(rows.filter(fits).select(cells), rename_map(spark, header, names), encoding)
+    # As text, since a header may have thousands of names.
+    listed = ", ".join("'" + m.replace("'", "\\'") + "'" for m in missing)
+    cells = [f"CASE WHEN `{n}` NOT IN ({listed}) THEN `{n}` END AS `{n}`" for n in names]
+    df = rows.filter(fits).selectExpr(*cells) if missing else rows.filter(fits).select(*names)
+    return Scan(df, rename_map(spark, header, names), encoding)
 
 
-def _below(file: DataFrame, header_row: int) -> DataFrame:
+def _below(file: DataFrame, header: list[str], header_row: int) -> DataFrame:
     """Rows of one file after its header, which is among the first records of the task
-    that reads the first block."""
+    that reads the first block. Where the record at that place is not the header, lines
+    end in more than one way and records were joined; that is an error."""
+    names = file.columns
     at = F.monotonically_increasing_id().bitwiseAND(F.lit(_WITHIN_TASK))
-    return (
-        file.select("*", (F.col("_metadata.file_block_start") == 0).alias("_top"), at.alias("_at"))
-        .filter(~F.col("_top") | (F.col("_at") > header_row))
-        .select(*file.columns)
+    top = (F.col("_metadata.file_block_start") == 0).alias("_top")
+    rows = file.select("*", top, at.alias("_at"))
+    last = F.col(names[len(header) - 1])
+    is_header = last.eqNullSafe(F.lit(header[-1] or None)) & F.col(names[-1]).isNull()
+    lost = F.raise_error(F.lit("mixed line ends: the header is not a record of its own"))
+    below = (
+        F.when(~F.col("_top"), F.lit(True))
+        .when((F.col("_at") == header_row) & ~is_header, lost.cast("boolean"))
+        .otherwise(F.col("_at") > header_row)
     )
+    return rows.filter(below).select(*names)
