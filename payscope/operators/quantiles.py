@@ -2,9 +2,9 @@
 
 Spark's ``percentile`` keeps every distinct value of a group in one task. That is the
 right plan while the input is known to be small, and is used behind a row count. Past
-that count the quantiles are bracketed with mergeable sketches first, and only the
-values between the brackets are ranked, so no task ever holds a large group and the
-answer is the same to the last digit.
+that count each wanted rank is bracketed by sketches, the bracket is narrowed until few
+rows are left in it, and only those are ranked. No task ever holds a large group, and
+the answer is the same to the last digit.
 """
 
 from __future__ import annotations
@@ -19,11 +19,15 @@ from payscope.session import materialize
 
 DIRECT_ROWS = 1_000_000
 
-# A sketch answers on a grid of this many cells with an error of a tenth of a cell. A
-# bracket keeps one spare cell on each side of the wanted rank, and is only drawn where a
-# cell holds ten rows or more, so the rank cannot fall outside; a miss is raised anyway.
+# A sketch answers on a grid of this many cells. Two spare cells on each side of the
+# wanted rank cover its error of little more than one; a miss is raised anyway.
 GRID = 1000
 RANKED_ROWS = 1_000_000
+_SPARE = 2
+_KEPT_CELLS = 8
+
+# The tasks of a scan share this many sketches per group, so that merging them is spread.
+_SPREAD = 256
 
 
 def exact_quantiles(
@@ -37,12 +41,11 @@ def exact_quantiles(
 ) -> DataFrame:
     """Quantiles with linear interpolation, NULLs skipped, one row per group.
 
-    ``wanted`` maps an output name to (column, probability). The input is scanned more
-    than once when it is large, so pass a table or a materialised result.
+    ``wanted`` maps an output name to (column, probability). A large input is scanned
+    about five times, so pass a table or a materialised result.
     """
     # One job over the grouping columns only; a footer read on a plain table.
-    total = df.count()
-    if total <= direct_rows:
+    if df.count() <= direct_rows:
         quantiles = [
             F.percentile(F.col(c).cast("double"), F.lit(p)).alias(name)
             for name, (c, p) in wanted.items()
@@ -54,14 +57,11 @@ def exact_quantiles(
     cells = [F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("v")) for c in columns]
     long = df.select(group.alias("g"), F.inline(F.array(*cells)))
 
+    # A cell of a sketch has to hold several rows for its spare cells to mean anything.
     ranked_rows = max(ranked_rows, 10 * grid)
-    brackets = materialize(_first_brackets(long, wanted, ranked_rows, grid), "brackets")
-    remaining = 4 * total / grid
-    while remaining > ranked_rows:
-        brackets = materialize(
-            _narrower_brackets(long, brackets, ranked_rows, grid), "brackets"
-        )
-        remaining = 4 * remaining / grid
+    brackets = materialize(_whole_groups(long, wanted), "brackets")
+    while (brackets.agg(F.max("n")).first()[0] or 0) > ranked_rows:
+        brackets = materialize(_narrowed(long, brackets, ranked_rows, grid), "brackets")
     picked = _rank_within(long, brackets).groupBy("g").agg(
         *(F.max(F.when(F.col("name") == n, F.col("quantile"))).alias(n) for n in wanted)
     )
@@ -70,95 +70,100 @@ def exact_quantiles(
     return out.select(*(f"g.{c}" for c in by), *wanted)
 
 
-def _sketch(value: Column, grid: int) -> Column:
-    shares = F.array(*(F.lit(i / grid) for i in range(grid + 1)))
-    return F.percentile_approx(value, shares, 10 * grid)
-
-
-def _edges(sketch: Column, share: Column, grid: int) -> tuple[Column, Column]:
-    """Sketched values one spare cell below and above the wanted share; NULL off the end."""
-    low = F.floor(share * grid).cast("int") - 1
-    high = F.ceil(share * grid).cast("int") + 1
-    return F.get(sketch, low), F.get(sketch, high)
-
-
-def _first_brackets(
-    long: DataFrame, wanted: Mapping[str, tuple[str, float]], ranked_rows: int, grid: int
-) -> DataFrame:
-    sketched = long.groupBy("g", "c").agg(
-        F.count("v").alias("n"), _sketch(F.col("v"), grid).alias("sketch")
-    )
+def _whole_groups(long: DataFrame, wanted: Mapping[str, tuple[str, float]]) -> DataFrame:
+    """One row per group and quantile: the wanted position, open bounds, and the number
+    of rows between them."""
     targets = F.array(
         *(
             F.struct(F.lit(n).alias("name"), F.lit(c).alias("of"), F.lit(p).alias("p"))
             for n, (c, p) in wanted.items()
         )
     )
-    low, high = _edges(F.col("sketch"), F.col("p"), grid)
-    large = F.col("n") > ranked_rows
+    open_end = F.lit(None).cast("double")
     return (
-        sketched.select("*", F.inline(targets))
+        long.groupBy("g", "c")
+        .agg(F.count("v").alias("n"))
+        .select("*", F.inline(targets))
         .filter(F.col("of") == F.col("c"))
         .select(
             "g",
             "c",
             "name",
             (F.col("p") * (F.col("n") - 1)).alias("position"),
-            F.when(large, low).alias("low"),
-            F.when(large, high).alias("high"),
+            open_end.alias("low"),
+            open_end.alias("high"),
+            "n",
         )
     )
 
 
-def _within(long: DataFrame, brackets: DataFrame) -> DataFrame:
-    """Rows up to the upper edge; ``inside`` is NULL-valued below the lower edge."""
+def _narrowed(
+    long: DataFrame, brackets: DataFrame, ranked_rows: int, grid: int
+) -> DataFrame:
+    """Tighter bounds for every bracket with more than ``ranked_rows`` rows between its
+    bounds. The bounds themselves do not count: however often a value repeats, it is
+    ranked as one row."""
     c = F.col
-    return (
+    key = ["g", "c", "low", "high"]
+    large = brackets.filter(c("n") > ranked_rows)
+    shares = F.array(*(F.lit(i / grid) for i in range(grid + 1)))
+
+    # Brackets with the same bounds share their sketch.
+    rows = (
         long.filter(c("v").isNotNull())
-        .join(brackets, ["g", "c"])
-        .filter(c("high").isNull() | (c("v") <= c("high")))
-        .withColumn("inside", F.when(c("low").isNull() | (c("v") >= c("low")), c("v")))
+        .join(large.select(*key).distinct(), ["g", "c"])
+        .filter(c("high").isNull() | (c("v") < c("high")))
+        .withColumn("between", F.when(c("low").isNull() | (c("v") > c("low")), c("v")))
     )
-
-
-def _narrower_brackets(
-    long: DataFrame, brackets: DataFrame, ranked_rows: int, grid: int
-) -> DataFrame:
-    stats = (
-        _within(long, brackets)
-        .groupBy("g", "c", "name", "position", "low", "high")
+    parts = rows.groupBy(*key, (F.spark_partition_id() % _SPREAD).alias("part")).agg(
+        F.count_if(c("between").isNull()).alias("upto"),
+        F.count("between").alias("rows"),
+        F.percentile_approx("between", shares, 10 * grid).alias("points"),
+    )
+    once = F.coalesce(c("at"), F.lit(0)) == 0
+    merged = (
+        parts.select(*key, "upto", "rows", F.posexplode_outer("points").alias("at", "point"))
+        .groupBy(F.struct(*key).alias("bracket"))
         .agg(
-            F.count_if(F.col("inside").isNull()).alias("below"),
-            F.count("inside").alias("n"),
-            _sketch(F.col("inside"), grid).alias("sketch"),
+            F.sum(F.when(once, c("upto"))).alias("upto"),
+            F.sum(F.when(once, c("rows"))).alias("rows"),
+            F.percentile("point", shares, c("rows")).alias("points"),
         )
     )
-    share = (F.col("position") - F.col("below")) / (F.col("n") - 1)
-    low, high = _edges(F.col("sketch"), share, grid)
-    large = F.col("n") > ranked_rows
-    narrowed = stats.select(
-        "g",
-        "c",
-        "name",
-        "position",
-        F.when(large, F.coalesce(low, F.col("low"))).otherwise(F.col("low")).alias("low"),
-        F.when(large, F.coalesce(high, F.col("high"))).otherwise(F.col("high")).alias("high"),
+    share = (c("position") - c("upto")) / (c("rows") - 1)
+    below = F.least(F.floor(share * grid) - _SPARE, F.lit(grid)).cast("int")
+    above = F.greatest(F.ceil(share * grid) + _SPARE, F.lit(0)).cast("int")
+    # A bracket of one value has no row between its bounds and is done.
+    tightened = (
+        large.withColumn("bracket", F.struct(*key))
+        .join(merged, "bracket", "left")
+        .select(
+            "g",
+            "c",
+            "name",
+            "position",
+            F.coalesce(F.get("points", below), c("low")).alias("low"),
+            F.coalesce(F.get("points", above), c("high")).alias("high"),
+            F.ceil(F.coalesce(c("rows"), F.lit(0)) * _KEPT_CELLS / grid).alias("n"),
+        )
     )
-    untouched = brackets.join(stats.select("g", "c", "name"), ["g", "c", "name"], "left_anti")
-    return narrowed.unionByName(untouched)
+    return tightened.unionByName(brackets.filter(c("n") <= ranked_rows))
 
 
 def _rank_within(long: DataFrame, brackets: DataFrame) -> DataFrame:
-    """Equal values are merged before ranking, so a value that fills a third of the
-    table is one row here."""
+    """The values at each wanted position, from the rows within its bounds. Equal values
+    are merged first, so one that fills a third of the table is one row here."""
+    c = F.col
     counted = (
-        _within(long, brackets)
+        long.filter(c("v").isNotNull())
+        .join(brackets, ["g", "c"])
+        .filter(c("high").isNull() | (c("v") <= c("high")))
+        .withColumn("inside", F.when(c("low").isNull() | (c("v") >= c("low")), c("v")))
         .groupBy("g", "c", "name", "position", "inside")
         .agg(F.count(F.lit(1)).alias("rows"))
     )
     order = Window.partitionBy("g", "c", "name").orderBy(F.asc_nulls_first("inside"))
     upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    c = F.col
     lower, upper = F.floor("position"), F.ceil("position")
     ends = (
         counted.withColumn("upto", F.sum("rows").over(upto))

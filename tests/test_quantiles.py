@@ -56,6 +56,16 @@ def test_any_values(spark, values):
     assert got.b == pytest.approx(brute(values, 0.5), rel=1e-9, abs=1e-9)
 
 
+def test_two_values_that_fill_the_table(spark):
+    """Repeats do not count as rows of a bracket, or narrowing would never end."""
+    data = [1.0] * 4000 + [2.0] * 4000 + [1.5] * 3
+    df = spark.createDataFrame([(v,) for v in data], "x double").repartition(5)
+    shares = (0.1, 0.4999, 0.5, 0.50005, 0.6)
+    wanted = {f"p{i}": ("x", p) for i, p in enumerate(shares)}
+    got = exact_quantiles(df, wanted, **LARGE).first()
+    assert list(got) == [pytest.approx(brute(data, p)) for p in shares]
+
+
 def test_describe(spark):
     df = spark.createDataFrame([(float(v),) for v in (4, 1, 3, 2)] + [(None,)], "x double")
     got = describe(df, "x").first()
