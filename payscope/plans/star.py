@@ -24,13 +24,15 @@ from payscope.operators import aggregate, checks
 from payscope.operators.contract import contract_union
 from payscope.operators.correlation import correlations, headline
 from payscope.operators.joins import dimension_lookup, full_join, spine_join, with_identity
-from payscope.operators.quantiles import describe, group_medians, median_gap
+from payscope.operators.quantiles import describe, exact_quantiles, group_medians, median_gap
+from payscope.operators.reshape import recover_parts
 from payscope.operators.segments import analytic_counts, analytic_set, listing
 from payscope.plans import analysis, prices
 from payscope.session import materialize, scratch_path
 from payscope.sinks.tables import read_failures, store_failures
 from payscope.sources.csv_files import read_csv
 from payscope.sources.json_files import read_documents, read_pages
+from payscope.sources.names import sanitize_columns
 
 MEASURE_COLUMNS = {
     "outcome_click": "click",
@@ -229,14 +231,17 @@ def entity_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def written_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """For whatever reads the mart more than once."""
-    return materialize(entity_mart(spark, sf_dir), "mart")
+def written_mart(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """For whatever reads the mart more than once: the columns it needs, computed once."""
+    return materialize(entity_mart(spark, sf_dir).select(*columns), "mart")
 
 
-def reliable_mart(spark: SparkSession, sf_dir: str, written: bool = False) -> DataFrame:
-    kept = analysis.reliable_set(entity_mart(spark, sf_dir), COLUMNS)
-    return materialize(kept, "reliable") if written else kept
+def reliable_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return analysis.reliable_set(entity_mart(spark, sf_dir), COLUMNS)
+
+
+def written_reliable(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    return materialize(reliable_mart(spark, sf_dir).select(*columns), "reliable")
 
 
 def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
@@ -378,13 +383,29 @@ def lookup_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- statistics ----------------------------------------------------------------------
 
 
+def quantiles_by_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Price quantiles per return flag by bracketing and ranking, which a table of any
+    size takes; the size checks are lowered so that this one does too."""
+    wanted = {
+        "p05": ("l_extendedprice", 0.05),
+        "median": ("l_extendedprice", 0.5),
+        "p99": ("l_extendedprice", 0.99),
+        "quantity": ("l_quantity", 0.75),
+    }
+    items = table(spark, sf_dir, "lineitem").select(
+        "l_returnflag", "l_extendedprice", "l_quantity"
+    )
+    found = exact_quantiles(items, wanted, ["l_returnflag"], direct_rows=0, ranked_rows=2000, grid=200)
+    return rounded(found, 6, *wanted)
+
+
 def describe_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = describe(table(spark, sf_dir, "orders").select("o_totalprice"), "o_totalprice")
     return rounded(found, 4, "mean", "std", "q1", "median", "q3")
 
 
 def describe_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = describe(written_mart(spark, sf_dir), "total_volume")
+    found = describe(written_mart(spark, sf_dir, "total_volume"), "total_volume")
     return rounded(found, 4, "mean", "std", "q1", "median", "q3")
 
 
@@ -408,14 +429,14 @@ def medians_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
         "median_outcome": "avg_outcome",
         "median_star": "star",
     }
-    found = group_medians(reliable_mart(spark, sf_dir, True), "region", medians)
+    kept = written_reliable(spark, sf_dir, "region", *medians.values())
+    found = group_medians(kept, "region", medians)
     return rounded(found, 6, *medians)
 
 
 def regional_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = median_gap(
-        written_mart(spark, sf_dir), "region", "weighted_payment", "ASIA", "EUROPE"
-    )
+    mart = written_mart(spark, sf_dir, "region", "weighted_payment")
+    found = median_gap(mart, "region", "weighted_payment", "ASIA", "EUROPE")
     return rounded(found, 6, "median_upper", "median_base", "gap")
 
 
@@ -439,14 +460,13 @@ def pearson_pvalue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _tested(correlations(events, {"k_vs_value": ("k", "value")}, "user_id"))
 
 
-def quadrants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analysis.quadrants(reliable_mart(spark, sf_dir, True), COLUMNS)
+def quadrants(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    kept = written_reliable(spark, sf_dir, "weighted_payment", "avg_outcome", *columns)
+    return analysis.quadrants(kept, COLUMNS)
 
 
 def quadrant_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quadrants(spark, sf_dir).select(
-        "entity_id", "weighted_payment", "avg_outcome", "quadrant"
-    )
+    return quadrants(spark, sf_dir, "entity_id")
 
 
 def quadrant_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -458,7 +478,7 @@ def quadrant_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def quadrant_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return listing(
-        quadrants(spark, sf_dir),
+        quadrants(spark, sf_dir, "entity_id", "entity_name", "star"),
         "quadrant",
         analysis.BEST,
         ["weighted_payment", "entity_id"],
@@ -476,8 +496,8 @@ def headline_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def wide_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as a wide price file: one group of four text columns per return flag, an
-    incomplete group, and gaps wherever an order has nothing to report."""
+    """Orders as a wide price file under its own headers: one group of four text columns
+    per return flag, an incomplete group, and gaps where an order has nothing to report."""
     cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
     columns = []
     for flag in ("A", "N", "R"):
@@ -496,22 +516,35 @@ def wide_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
             "negotiated_algorithm": F.when(lines >= 2, F.concat(lines.cast("string"), F.lit(" lines"))),
             "methodology": F.when(lines > 0, "fee"),
         }
-        columns += [c.alias(f"standard_charge_{flag}_{n}") for n, c in texts.items()]
+        plan = f"plan {flag.lower()}/1"
+        columns += [c.alias(f"standard_charge|{flag}|{plan}|{n}") for n, c in texts.items()]
     return (
         table(spark, sf_dir, "lineitem")
         .groupBy("l_orderkey")
         .agg(
-            F.sum(cents).cast("string").alias("standard_charge_gross"),
-            F.lit("x").alias("standard_charge_B_methodology"),
+            F.sum(cents).cast("string").alias("standard_charge|gross"),
+            F.lit("x").alias("standard_charge|B|none|methodology"),
             *columns,
         )
-        .withColumns({"code_1": F.col("l_orderkey").cast("string"), "code_1_type": F.lit("LOCAL")})
+        .withColumns({"code|1": F.col("l_orderkey").cast("string"), "code|1|type": F.lit("LOCAL")})
         .drop("l_orderkey")
     )
 
 
+def recovered_plans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payer and plan taken back from the headers the names were cleaned from."""
+    raw, renames = sanitize_columns(wide_raw(spark, sf_dir))
+    suffix = prices.GROUP_SUFFIXES[0]
+    parts = ["payer_name", "plan_name"]
+    found = recover_parts(
+        prices.stage_wide(raw), "payer_plan", renames, prices.GROUP_PREFIX, suffix, parts
+    )
+    return found.select("code", "payer_plan", *parts, "negotiated_dollar")
+
+
 def wide_melt(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prices.stage_wide(wide_raw(spark, sf_dir)).select(
+    raw, _ = sanitize_columns(wide_raw(spark, sf_dir))
+    return prices.stage_wide(raw).select(
         "code", "code_type", "setting", "payer_plan", "gross_charge",
         "negotiated_dollar", "negotiated_percentage", "negotiated_algorithm", "methodology",
     )
@@ -556,36 +589,36 @@ def charge_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         algorithm.cast("string").alias("standard_charge_algorithm"),
         F.lit("fee").alias("methodology"),
     )
-    none = F.lit(None)
-    payers = F.when(F.col("l_returnflag") == "N", F.array()).otherwise(
-        F.array(
-            payer("list", cents, none),
-            payer("deal", F.when(F.col("l_discount") > 0.05, cents), none),
-            payer("rule", F.lit("varies"), F.when(F.col("l_tax") > 0.05, "share")),
+    payers = F.array(
+        payer("list", cents, F.lit(None)),
+        payer("deal", F.when(F.col("l_discount") > 0.05, cents), F.lit(None)),
+        payer("rule", F.lit("varies"), F.when(F.col("l_tax") > 0.05, "share")),
+    )
+    codes = F.array(
+        F.struct(F.col("l_partkey").cast("string").alias("code"), F.lit("CPT").alias("type")),
+        F.struct(F.lit("0").alias("code"), F.lit("RC").alias("type")),
+    )
+    prices_of = F.array(
+        F.struct(
+            F.col("l_linestatus").alias("setting"),
+            F.lit("facility").alias("billing_class"),
+            cents.alias("gross_charge"),
+            F.when(F.col("l_tax") > 0.05, cents).alias("discounted_cash"),
+            F.slice(payers, 1, F.when(F.col("l_returnflag") == "N", 0).otherwise(3)).alias(
+                "payers_information"
+            ),
         )
     )
-    first = F.struct(
-        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("description"),
-        F.array(
-            F.struct(F.col("l_partkey").cast("string").alias("code"), F.lit("CPT").alias("type")),
-            F.struct(F.lit("0").alias("code"), F.lit("RC").alias("type")),
-        ).alias("code_information"),
-        F.array(
-            F.struct(
-                F.col("l_linestatus").alias("setting"),
-                F.lit("facility").alias("billing_class"),
-                cents.alias("gross_charge"),
-                F.when(F.col("l_tax") > 0.05, cents).alias("discounted_cash"),
-                payers.alias("payers_information"),
-            )
-        ).alias("standard_charges"),
-    )
-    bare = F.struct(F.lit("bare"), none, none)
-    return table(spark, sf_dir, "lineitem").select(
-        F.array(first.cast(prices.CHARGE), bare.cast(prices.CHARGE)).alias(
-            "standard_charge_information"
-        )
+    charge = lambda known, description: F.struct(
+        description.alias("description"),
+        F.when(F.lit(known), codes).alias("code_information"),
+        F.when(F.lit(known), prices_of).alias("standard_charges"),
+    )
+    charges = F.array(
+        charge(True, F.concat_ws("-", "l_orderkey", "l_linenumber")),
+        charge(False, F.lit("bare")),
     )
+    return table(spark, sf_dir, "lineitem").select(charges.alias("standard_charge_information"))
 
 
 def nested_first(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -772,6 +805,7 @@ QUERIES = {
     "stage_suppressed_measures": staged_events,
     "safe_cast_matrix": safe_cast_matrix,
     "suppression_profile": suppression_profile,
+    "footnote_counts": lambda s, d: aggregate.category_counts(staged_events(s, d), "footnote_code"),
     "key_coverage": key_coverage,
     "prefix_region": prefix_region,
     "string_helpers": string_helpers,
@@ -786,6 +820,7 @@ QUERIES = {
     "analytic_set": lambda s, d: analytic_set(entity_mart(s, d), *COLUMNS.reliability),
     "analytic_counts": lambda s, d: analytic_counts(entity_mart(s, d), *COLUMNS.reliability),
     "export_projection": export_projection,
+    "exact_quantiles": quantiles_by_flag,
     "describe_volume": describe_volume,
     "describe_mart": describe_mart,
     "threshold_counts": lambda s, d: aggregate.threshold_counts(
@@ -802,6 +837,7 @@ QUERIES = {
     "quadrant_listing": quadrant_listing,
     "headline_report": headline_report,
     "wide_melt": wide_melt,
+    "recovered_plans": recovered_plans,
     "tall_stage": tall_stage,
     "nested_first": nested_first,
     "nested_explode": nested_explode,

@@ -172,13 +172,17 @@ _WIDE = ", ".join(
 )
 _MELT = " UNION ALL ".join(
     f"""SELECT CAST(l_orderkey AS VARCHAR) AS code, 'LOCAL' AS code_type,
-    CAST(NULL AS VARCHAR) AS setting, '{f}' AS payer_plan, gross_charge,
+    CAST(NULL AS VARCHAR) AS setting, '{f}_plan_{f.lower()}_1' AS payer_plan, gross_charge,
     CAST(dollar_{f} AS DOUBLE) AS negotiated_dollar, percentage_{f} AS negotiated_percentage,
     algorithm_{f} AS negotiated_algorithm, methodology_{f} AS methodology FROM wide
     WHERE dollar_{f} IS NOT NULL OR percentage_{f} IS NOT NULL OR algorithm_{f} IS NOT NULL"""
     for f in "ANR"
 )
 
+_WIDE_TABLE = f"""wide AS (
+  SELECT l_orderkey, sum(round(l_extendedprice * 100)) AS gross_charge, {_WIDE}
+  FROM lineitem GROUP BY l_orderkey)"""
+
 _ITEM_CENTS = "CAST(round(l_extendedprice * 100) AS BIGINT)"
 _PAYERS = f"""
   SELECT CAST(l_partkey AS VARCHAR) AS code, 'CPT' AS code_type,
@@ -274,6 +278,9 @@ SQL = {
           THEN {_trim("score")} ELSE '(value)' END AS placeholder, count(*) AS n_rows,
           round(count(*) / (SELECT count(*) FROM raw), 6) AS share FROM raw GROUP BY 1"""
     ),
+    "footnote_counts": _on_raw(
+        "SELECT footnote_code, count(*) AS n FROM staged GROUP BY footnote_code"
+    ),
     "key_coverage": """
         SELECT 'events' AS source, count(*) AS n_rows, count(DISTINCT user_id) AS n_keys FROM events
         UNION ALL SELECT 'lineitem', count(*), count(DISTINCT l_suppkey) FROM lineitem
@@ -323,6 +330,12 @@ SQL = {
           avg_outcome AS outcome, has_core, total_volume >= 5000 AND has_core AS is_analytic
         FROM mart ORDER BY avg_payment DESC NULLS LAST, entity_id"""
     ),
+    "exact_quantiles": """
+        SELECT l_returnflag, round(quantile_cont(l_extendedprice, 0.05), 6) AS p05,
+          round(quantile_cont(l_extendedprice, 0.5), 6) AS median,
+          round(quantile_cont(l_extendedprice, 0.99), 6) AS p99,
+          round(quantile_cont(l_quantity, 0.75), 6) AS quantity
+        FROM lineitem GROUP BY l_returnflag""",
     "describe_volume": _summary("orders", "o_totalprice"),
     "describe_mart": _on_mart(_summary("mart", "total_volume")),
     "threshold_counts": _on_mart(
@@ -380,11 +393,12 @@ SQL = {
           printf('r=%.2f', r) || ' (' || p_text || ') n=' || n || ' ' || direction AS statement
         FROM worded"""
     ),
-    "wide_melt": f"""
-        WITH wide AS (
-          SELECT l_orderkey, sum(round(l_extendedprice * 100)) AS gross_charge, {_WIDE}
-          FROM lineitem GROUP BY l_orderkey)
-        {_MELT}""",
+    "wide_melt": f"WITH {_WIDE_TABLE} {_MELT}",
+    "recovered_plans": f"""
+        WITH {_WIDE_TABLE}
+        SELECT code, payer_plan, substr(payer_plan, 1, 1) AS payer_name,
+          'plan ' || lower(substr(payer_plan, 1, 1)) || '/1' AS plan_name, negotiated_dollar
+        FROM ({_MELT})""",
     "tall_stage": f"""
         SELECT CAST(l_partkey AS VARCHAR) AS code, 'LOCAL' AS code_type,
           l_orderkey || '-' || l_linenumber AS description, CAST(NULL AS VARCHAR) AS billing_class,

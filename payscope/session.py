@@ -42,7 +42,13 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/payscope/{name}-{uuid.uuid4().hex}"
+    """A path of its own in the shared folder, removed when the application ends."""
+    own = f"{shared_folder(spark)}/payscope-{uuid.uuid4().hex}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(own)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(folder)
+    files.deleteOnExit(folder)
+    return f"{own}/{name}"
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
