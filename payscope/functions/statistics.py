@@ -26,12 +26,8 @@ def pearson(x: Column, y: Column) -> Column:
     px = F.when(both, x.cast("double"))
     py = F.when(both, y.cast("double"))
     r = F.try_divide(F.covar_pop(px, py), F.stddev_pop(px) * F.stddev_pop(py))
-    return _clamped(r, -1.0, 1.0)
-
-
-def _clamped(x: Column, low: float, high: float) -> Column:
-    """Rounding noise past a bound is cut; NULL stays (``least`` would drop it)."""
-    return F.when(x < low, F.lit(low)).when(x > high, F.lit(high)).otherwise(x)
+    # Rounding noise past the bounds is cut; the test keeps NULL, which ``least`` drops.
+    return F.when(r.isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)))
 
 
 def pair_count(x: Column, y: Column) -> Column:
@@ -115,9 +111,12 @@ def pearson_p_value(r: Column, n: Column) -> Column:
         F.exp(a * F.log1p(-r2)) * F.abs(r) * _half_step_gamma_ratio(a)
         * F.lit(1 / math.sqrt(math.pi)) * fraction
     )
-    p = F.when(tail, mass / a).otherwise(F.lit(1.0) - mass / half)
+    # I(x; a, b) in the tail and 1 - I(1 - x; b, a) elsewhere, with the mass written once.
+    p = F.when(tail, F.lit(0.0)).otherwise(F.lit(1.0)) + mass * F.when(
+        tail, F.lit(1.0) / a
+    ).otherwise(F.lit(-1.0) / half)
     return (
-        F.when(n < 3, F.lit(None).cast("double"))
+        F.when((n < 3) | r.isNull(), F.lit(None).cast("double"))
         .when(F.abs(r) >= 1, F.lit(0.0))
-        .otherwise(_clamped(p, 0.0, 1.0))
+        .otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), p)))
     )

@@ -44,16 +44,12 @@ def exact_quantiles(
     ``wanted`` maps an output name to (column, probability). A large input is scanned
     about five times, so pass a table or a materialised result.
     """
+    columns = sorted({c for c, _ in wanted.values()})
     # One job over the grouping columns only; a footer read on a plain table.
     if df.count() <= direct_rows:
-        quantiles = [
-            F.percentile(F.col(c).cast("double"), F.lit(p)).alias(name)
-            for name, (c, p) in wanted.items()
-        ]
-        return df.groupBy(*by).agg(*quantiles) if by else df.agg(*quantiles)
+        return _direct(df, wanted, by, columns)
 
     group = F.struct(*by) if by else F.lit(0)
-    columns = sorted({c for c, _ in wanted.values()})
     cells = [F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("v")) for c in columns]
     long = df.select(group.alias("g"), F.inline(F.array(*cells)))
 
@@ -70,6 +66,26 @@ def exact_quantiles(
     return out.select(*(f"g.{c}" for c in by), *wanted)
 
 
+def _direct(
+    df: DataFrame,
+    wanted: Mapping[str, tuple[str, float]],
+    by: Sequence[str],
+    columns: Sequence[str],
+) -> DataFrame:
+    """The quantiles of a column share one pass over its values."""
+    shares = {c: sorted({p for of, p in wanted.values() if of == c}) for c in columns}
+    found = [
+        F.percentile(F.col(c).cast("double"), F.array(*map(F.lit, shares[c]))).alias(f"_{i}")
+        for i, c in enumerate(columns)
+    ]
+    picked = [
+        F.col(f"_{columns.index(c)}")[shares[c].index(p)].alias(name)
+        for name, (c, p) in wanted.items()
+    ]
+    grouped = df.groupBy(*by).agg(*found) if by else df.agg(*found)
+    return grouped.select(*by, *picked)
+
+
 def _whole_groups(long: DataFrame, wanted: Mapping[str, tuple[str, float]]) -> DataFrame:
     """One row per group and quantile: the wanted position, open bounds, and the number
     of rows between them."""

@@ -6,6 +6,7 @@ import csv
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,23 +30,28 @@ _HEADER_LINES = 200
 _WITHIN_TASK = (1 << 33) - 1
 
 
+UTF8, LATIN1 = "UTF-8", "ISO-8859-1"
+
+
 @dataclass(frozen=True)
 class Scan:
+    """Text rows, the map of changed names, and the files that were not valid UTF-8."""
+
     df: DataFrame
     renames: DataFrame
-    encoding: str
+    fallback: tuple[str, ...]
 
 
-def detect_encoding(spark: SparkSession, path: str) -> str:
-    """UTF-8 if every line of the file is valid UTF-8, else Latin-1 for the whole file.
+def fallback_files(spark: SparkSession, path: str) -> list[str]:
+    """Files with a line that is not valid UTF-8; each is read as Latin-1 as a whole.
     Bytes are never repaired."""
-    lines = spark.read.text(path)
-    valid = lines.agg(F.bool_and(F.is_valid_utf8("value")).alias("ok")).first()
-    return "ISO-8859-1" if valid.ok is False else "UTF-8"
+    lines = spark.read.text(path).select(F.input_file_name().alias("file"), "value")
+    broken = lines.filter(~F.is_valid_utf8("value")).select("file").distinct()
+    return sorted(r.file for r in broken.collect())
 
 
 def read_header(
-    spark: SparkSession, path: str, header_row: int = 0, encoding: str = "UTF-8"
+    spark: SparkSession, path: str, header_row: int = 0, encoding: str = UTF8
 ) -> list[str]:
     """The record at ``header_row`` (blank lines not counted), from the top of the file."""
     top = (
@@ -78,35 +84,45 @@ def read_csv(
 
     ``header_row`` counts the records above the header, which are dropped with it from
     every file. A quoted line break is only safe when one task reads a whole file; files
-    known to have none are split among tasks with ``multiline=False``.
+    known to have none are split among tasks with ``multiline=False``. A given
+    ``encoding`` saves the pass that finds the files to read as Latin-1.
     """
     files = sorted(spark.read.text(path).inputFiles())
     if not files:
         raise ValueError(f"{path}: no file")
-    encoding = encoding or detect_encoding(spark, path)
-    header = read_header(spark, files[0], header_row, encoding)
+    latin = set() if encoding else set(fallback_files(spark, path))
+    encoding_of = {f: LATIN1 if f in latin else encoding or UTF8 for f in files}
+    # Listed names are escaped like addresses; paths to read are not.
+    where = {f: unquote(f) for f in files}
+
+    header = read_header(spark, where[files[0]], header_row, encoding_of[files[0]])
     names = clean_names(header)
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _OVERFLOW]])
-    options = {"multiLine": multiline, "quote": '"', "escape": '"', "encoding": encoding}
+
+    def scan(paths: list[str], encoding: str) -> DataFrame:
+        return spark.read.schema(schema).csv(
+            paths, header=header_row == 0, multiLine=multiline,
+            quote='"', escape='"', encoding=encoding,
+        )
+
     if header_row == 0:
-        rows = spark.read.schema(schema).csv(path, header=True, **options)
+        alike = {e: [where[f] for f in files if encoding_of[f] == e] for e in encoding_of.values()}
+        scans = [scan(paths, e) for e, paths in alike.items()]
     else:
         # The position of a record is known per file, so each file is its own scan.
-        for other in files[1:]:
-            if read_header(spark, other, header_row, encoding) != header:
-                raise ValueError(f"{other}: header differs from {files[0]}")
-        scans = [
-            _below(spark.read.schema(schema).csv(f, header=False, **options), header, header_row)
-            for f in files
-        ]
-        rows = reduce(DataFrame.union, scans)
+        for f in files[1:]:
+            if read_header(spark, where[f], header_row, encoding_of[f]) != header:
+                raise ValueError(f"{f}: header differs from {files[0]}")
+        scans = [_below(scan([where[f]], encoding_of[f]), header, header_row) for f in files]
+    rows = reduce(DataFrame.union, scans)
+
     too_long = F.raise_error(F.lit(f"{path}: a row has more cells than the header"))
     fits = F.when(F.col(_OVERFLOW).isNotNull(), too_long.cast("boolean")).otherwise(True)
     # As text, since a header may have thousands of names.
     listed = ", ".join("'" + m.replace("'", "\\'") + "'" for m in missing)
     cells = [f"CASE WHEN `{n}` NOT IN ({listed}) THEN `{n}` END AS `{n}`" for n in names]
     df = rows.filter(fits).selectExpr(*cells) if missing else rows.filter(fits).select(*names)
-    return Scan(df, rename_map(spark, header, names), encoding)
+    return Scan(df, rename_map(spark, header, names), tuple(sorted(latin)))
 
 
 def _below(file: DataFrame, header: list[str], header_row: int) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from payscope.sinks.tables import truncate_and_load
-from payscope.sources.archives import unpack_first_member
+from payscope.sources.archives import list_members, unpack_first_member
 from payscope.sources.csv_files import read_csv
 from payscope.sources.json_files import read_documents, read_pages
 
@@ -21,7 +21,8 @@ MANIFEST = "source string, status string, rows bigint, columns int, message stri
 @dataclass(frozen=True)
 class Source:
     """Where a raw table comes from. ``kind`` is one of csv, csv_zip, json, json_zip,
-    pages; ``header_row`` counts from 0; ``schema`` is the document schema of JSON."""
+    pages; ``header_row`` counts from 0; ``schema`` is the document schema of JSON.
+    ``lines`` says that no record spans lines, so that files can be split among tasks."""
 
     path: str
     kind: str
@@ -29,34 +30,40 @@ class Source:
     schema: str | T.StructType | None = None
     columns: Sequence[str] | None = None
     page_size: int = 500
+    lines: bool = False
 
 
-def open_source(spark: SparkSession, source: Source) -> tuple[DataFrame, DataFrame | None]:
-    """The raw rows, and the header map where names were cleaned."""
-    path = source.path
-    if source.kind.endswith("_zip"):
-        path = unpack_first_member(spark, path)
-    kind = source.kind.removesuffix("_zip")
+def open_source(
+    spark: SparkSession, source: Source
+) -> tuple[DataFrame, DataFrame | None, str]:
+    """The raw rows, the header map where names were cleaned, and a remark."""
+    path, kind, remark = source.path, source.kind, ""
+    if kind.endswith("_zip"):
+        remark = list_members(spark, path).first().warning or ""
+        path, kind = unpack_first_member(spark, path), kind.removesuffix("_zip")
     if kind == "csv":
-        scan = read_csv(spark, path, source.header_row)
-        return scan.df, scan.renames
+        scan = read_csv(spark, path, source.header_row, multiline=not source.lines)
+        if scan.fallback:
+            remark = f"read as Latin-1: {', '.join(scan.fallback)}"
+        return scan.df, scan.renames, remark
     if kind == "json":
-        return read_documents(spark, path, source.schema), None
+        return read_documents(spark, path, source.schema, lines=source.lines), None, remark
     if kind == "pages":
-        return read_pages(spark, path, source.columns, page_size=source.page_size), None
+        rows = read_pages(
+            spark, path, source.columns, page_size=source.page_size, lines=source.lines
+        )
+        return rows, None, remark
     raise ValueError(f"unknown kind {source.kind}")
 
 
 def _load(spark: SparkSession, source: Source, target: str) -> tuple[str, int, int, str]:
     try:
-        raw, renames = open_source(spark, source)
+        raw, renames, message = open_source(spark, source)
         if not raw.columns or raw.isEmpty():
             return "empty", 0, len(raw.columns), "no rows, not loaded"
         counts = truncate_and_load(raw, target)
-        message = ""
         if renames is not None:
             renames.write.mode("overwrite").parquet(target + "__renames")
-            message = "header map in " + target + "__renames"
         return "loaded", counts["rows"], counts["columns"], message
     except AnalysisException as e:
         missing = e.getCondition() == "PATH_NOT_FOUND"

@@ -14,7 +14,7 @@ from payscope.sinks.tables import (
     write_spread,
 )
 from payscope.sources.archives import list_members, unpack_first_member
-from payscope.sources.csv_files import detect_encoding, read_csv
+from payscope.sources.csv_files import fallback_files, read_csv
 from payscope.sources.ingest import Source, ingest, read_raw
 from payscope.sources.json_files import (
     read_documents,
@@ -52,11 +52,11 @@ def got(scan):
     return sorted((tuple(r) for r in scan.df.collect()), key=lambda r: r[1])
 
 
-@pytest.mark.parametrize(("encoding", "named"), [("utf-8", "UTF-8"), ("latin-1", "ISO-8859-1")])
-def test_preamble_csv(spark, tmp_path, encoding, named):
-    path = put(tmp_path / "f.csv", PREAMBLE + HEADER + BODY, encoding)
+@pytest.mark.parametrize("encoding", ["utf-8", "latin-1"])
+def test_preamble_csv(spark, tmp_path, encoding):
+    path = put(tmp_path / "odd name%41.csv", PREAMBLE + HEADER + BODY, encoding)
     scan = read_csv(spark, path, 2)
-    assert scan.encoding == named and got(scan) == ROWS
+    assert len(scan.fallback) == (encoding == "latin-1") and got(scan) == ROWS
     assert scan.df.columns == ["description", "code_1", "code_1_type", "standard_charge_gross"]
     assert {r.original: r.clean for r in scan.renames.collect()}["code|1"] == "code_1"
     assert {t for _, t in scan.df.dtypes} == {"string"}
@@ -111,11 +111,13 @@ def test_folder_of_preamble_files(spark, tmp_path):
         read_csv(spark, str(tmp_path), 2)
 
 
-def test_encoding_is_decided_for_the_whole_file(spark, tmp_path):
-    late = put(tmp_path / "f.txt", b"plain\n" * 5000 + b"caf\xe9\n")
-    assert detect_encoding(spark, late) == "ISO-8859-1"
+def test_encoding_is_decided_per_whole_file(spark, tmp_path):
+    put(tmp_path / "f.csv", b"t\n" + "é\n".encode() * 5000 + b"\xe9\n")
     # Text that was mangled before is valid, and is left alone.
-    assert detect_encoding(spark, put(tmp_path / "g.txt", "Montefiore â€“ x\n")) == "UTF-8"
+    put(tmp_path / "g.csv", "t\né\nâ€“\n")
+    assert [f.rsplit("/", 1)[1] for f in fallback_files(spark, str(tmp_path))] == ["f.csv"]
+    texts = {r.t: r["count"] for r in read_csv(spark, str(tmp_path)).df.groupBy("t").count().collect()}
+    assert texts == {"Ã©": 5000, "é": 2, "â€“": 1}
 
 
 def pages(folder, *sizes, size_name="p"):
@@ -222,7 +224,7 @@ def test_zip(spark, tmp_path):
     assert listed == {"one.zip": None, "two.zip": "expected 1 member, found 2"}
     for archive in (one, str(tmp_path / "two.zip")):
         scan = read_csv(spark, unpack_first_member(spark, archive), 2)
-        assert scan.encoding == "UTF-8" and got(scan) == ROWS
+        assert scan.fallback == () and got(scan) == ROWS
 
 
 def test_long_zip_keeps_its_order(spark, tmp_path):
@@ -235,8 +237,8 @@ def test_long_zip_keeps_its_order(spark, tmp_path):
 def test_ingest(spark, tmp_path):
     land = str(tmp_path / "raw")
     sources = {
-        "csv": Source(put(tmp_path / "a.csv", PREAMBLE + HEADER + BODY), "csv", 2),
-        "zip": Source(make_zip(tmp_path / "b.zip", **{"d.json": json.dumps(CHARGES)}), "json_zip", schema=prices.DOCUMENT),
+        "csv": Source(put(tmp_path / "a.csv", PREAMBLE + HEADER + BODY, "latin-1"), "csv", 2),
+        "zip": Source(make_zip(tmp_path / "b.zip", **{"d.json": json.dumps(CHARGES), "e": ""}), "json_zip", schema=prices.DOCUMENT),
         "pages": Source(pages(tmp_path / "p", 3, 1), "pages", page_size=3),
         "empty": Source(pages(tmp_path / "q", 0), "pages", columns=["id"], page_size=3),
         "gone": Source(str(tmp_path / "nowhere.csv"), "csv"),
@@ -251,6 +253,8 @@ def test_ingest(spark, tmp_path):
         "gone": ("missing", 0), "odd": ("failed", 0), "broken": ("failed", 0),
     }
     assert "unknown kind" in manifest["odd"].message and manifest["csv"].columns == 4
+    assert manifest["csv"].message.startswith("read as Latin-1") and not manifest["pages"].message
+    assert manifest["zip"].message == "expected 1 member, found 2"
     raw = read_raw(spark, land, ["csv", "zip"])
     assert raw["csv"].count() == 5 and spark.table("zip").count() == 1
     assert spark.read.parquet(land + "/csv__renames").count() == 3
