@@ -57,8 +57,8 @@ def cost_by_entity(
 
     Output: key, attributes, then ``n_items``, ``total_weight``, ``weighted_value``,
     ``simple_value`` (renamed through ``names``) and one mean per ``also_mean`` entry
-    (output name -> column). The attributes are aggregated apart and joined on the key
-    both sides are already partitioned by.
+    (output name -> column). The attributes are aggregated apart and joined to the
+    finished rows, one per entity.
     """
     usable = df.filter(
         F.col(value).isNotNull() & F.col(weight).isNotNull() & (F.col(weight) > 0)

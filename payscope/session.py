@@ -42,12 +42,15 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path of its own in the shared folder, removed when the application ends."""
+    """A path of its own in the shared folder, removed when the application ends (a
+    remote client, which has no file system at hand, leaves that to the cluster)."""
     own = f"{shared_folder(spark)}/payscope-{uuid.uuid4().hex}"
-    folder = spark._jvm.org.apache.hadoop.fs.Path(own)
-    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    files.mkdirs(folder)
-    files.deleteOnExit(folder)
+    jvm = getattr(spark, "_jvm", None)
+    if jvm is not None:
+        folder = jvm.org.apache.hadoop.fs.Path(own)
+        files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(folder)
+        files.deleteOnExit(folder)
     return f"{own}/{name}"
 
 
