@@ -8,7 +8,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+# Sample rows kept per failed check, and the kinds of failure.
 SAMPLE_ROWS = 15
+UNCLEAR, SOURCE, DATA, CONFIG = (
+    "unclear",
+    "upstream-source-change",
+    "genuine-data-issue",
+    "test-config-too-strict",
+)
 
 
 def _scoped(df: DataFrame, where: Column | str | None) -> DataFrame:
@@ -179,10 +186,10 @@ def triage_packet(
     share = F.try_divide(F.col("n_failing"), F.col("n_rows"))
     return out.withColumn(
         "failure_type",
-        F.when(share.isNull(), "unclear")
-        .when(share >= broken_share, "upstream-source-change")
-        .when(share <= stray_share, "genuine-data-issue")
-        .otherwise("test-config-too-strict"),
+        F.when(share.isNull(), UNCLEAR)
+        .when(share >= broken_share, SOURCE)
+        .when(share <= stray_share, DATA)
+        .otherwise(CONFIG),
     ).withColumn(
         "packet",
         F.format_string(

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,95 +45,96 @@ REGIONS = {
 OTHER_REGION = "Upstate"
 MIN_DISCHARGES = 500
 
-# Raw column -> staged column, by table and type.
-READMISSIONS = {
-    "text": {
-        "facility_id": "ccn",
-        "facility_name": "hospital_name",
-        "state": "state",
-        "measure_name": "measure_name",
-    },
-    "int": {
-        "number_of_discharges": "number_of_discharges",
-        "number_of_readmissions": "number_of_readmissions",
-    },
-    "double": {
-        "excess_readmission_ratio": "excess_readmission_ratio",
-        "predicted_readmission_rate": "predicted_readmission_rate",
-        "expected_readmission_rate": "expected_readmission_rate",
-    },
-    "date": {"start_date": "measure_start_date", "end_date": "measure_end_date"},
-    "footnote": {"footnote": "footnote_code"},
-    "suppressed_by": "excess_readmission_ratio",
-    "placeholders": PLACEHOLDERS,
-}
-COMPLICATIONS = {
-    "text": {
-        "facility_id": "ccn",
-        "facility_name": "hospital_name",
-        "state": "state",
-        "citytown": "city",
-        "zip_code": "zip_code",
-        "measure_id": "measure_id",
-        "measure_name": "measure_name",
-        "compared_to_national": "compared_to_national",
-    },
-    "int": {"denominator": "denominator"},
-    "double": {
-        "score": "score",
-        "lower_estimate": "lower_estimate",
-        "higher_estimate": "higher_estimate",
-    },
-    "date": {"start_date": "measure_start_date", "end_date": "measure_end_date"},
-    "footnote": {"footnote": "footnote_code"},
-    "suppressed_by": "score",
-    "placeholders": PLACEHOLDERS,
-}
-SURVEY = {
-    "text": {
-        "facility_id": "ccn",
-        "facility_name": "hospital_name",
-        "state": "state",
-        "citytown": "city",
-        "zip_code": "zip_code",
-        "hcahps_measure_id": "measure_id",
-        "hcahps_question": "question",
-        "hcahps_answer_description": "answer_description",
-    },
-    "int": {
-        "patient_survey_star_rating": "star_rating",
-        "number_of_completed_surveys": "completed_surveys",
-    },
-    "double": {
-        "hcahps_answer_percent": "answer_percent",
-        "hcahps_linear_mean_value": "linear_mean_value",
-        "survey_response_rate_percent": "response_rate_percent",
-    },
-    "date": {"start_date": "measure_start_date", "end_date": "measure_end_date"},
-    "footnote": {"patient_survey_star_rating_footnote": "star_rating_footnote"},
-    "suppressed_by": "patient_survey_star_rating",
-    "placeholders": SURVEY_PLACEHOLDERS,
-}
-INPATIENT = {
-    "text": {
-        "Rndrng_Prvdr_CCN": "ccn",
-        "Rndrng_Prvdr_Org_Name": "hospital_name",
-        "Rndrng_Prvdr_City": "city",
-        "Rndrng_Prvdr_State_Abrvtn": "state",
-        "Rndrng_Prvdr_Zip5": "zip_code",
-        "Rndrng_Prvdr_RUCA_Desc": "rural_urban_desc",
-        "DRG_Cd": "drg_code",
-        "DRG_Desc": "drg_description",
-    },
-    "int": {"Tot_Dschrgs": "total_discharges"},
-    "double": {
-        "Avg_Submtd_Cvrd_Chrg": "avg_submitted_charge",
-        "Avg_Tot_Pymt_Amt": "avg_total_payment",
-        "Avg_Mdcr_Pymt_Amt": "avg_medicare_payment",
-    },
-}
 
-# Output column -> mart column of the flat export.
+@dataclass(frozen=True)
+class Layout:
+    """Staged columns in order: (raw name, staged name, kind), with kind one of text,
+    int, double, date, note, and flag for the suppression flag of a raw column."""
+
+    columns: tuple[tuple[str, str, str], ...]
+    placeholders: tuple[str, ...] = ()
+
+
+# The columns of the four raw tables and their staged names and types.
+READMISSIONS = Layout(
+    (
+        ("facility_id", "ccn", "text"),
+        ("facility_name", "hospital_name", "text"),
+        ("state", "state", "text"),
+        ("measure_name", "measure_name", "text"),
+        ("number_of_discharges", "number_of_discharges", "int"),
+        ("excess_readmission_ratio", "excess_readmission_ratio", "double"),
+        ("predicted_readmission_rate", "predicted_readmission_rate", "double"),
+        ("expected_readmission_rate", "expected_readmission_rate", "double"),
+        ("number_of_readmissions", "number_of_readmissions", "int"),
+        ("excess_readmission_ratio", "is_suppressed", "flag"),
+        ("footnote", "footnote_code", "note"),
+        ("start_date", "measure_start_date", "date"),
+        ("end_date", "measure_end_date", "date"),
+    ),
+    PLACEHOLDERS,
+)
+COMPLICATIONS = Layout(
+    (
+        ("facility_id", "ccn", "text"),
+        ("facility_name", "hospital_name", "text"),
+        ("state", "state", "text"),
+        ("citytown", "city", "text"),
+        ("zip_code", "zip_code", "text"),
+        ("measure_id", "measure_id", "text"),
+        ("measure_name", "measure_name", "text"),
+        ("compared_to_national", "compared_to_national", "text"),
+        ("denominator", "denominator", "int"),
+        ("score", "score", "double"),
+        ("lower_estimate", "lower_estimate", "double"),
+        ("higher_estimate", "higher_estimate", "double"),
+        ("score", "is_suppressed", "flag"),
+        ("footnote", "footnote_code", "note"),
+        ("start_date", "measure_start_date", "date"),
+        ("end_date", "measure_end_date", "date"),
+    ),
+    PLACEHOLDERS,
+)
+SURVEY = Layout(
+    (
+        ("facility_id", "ccn", "text"),
+        ("facility_name", "hospital_name", "text"),
+        ("state", "state", "text"),
+        ("citytown", "city", "text"),
+        ("zip_code", "zip_code", "text"),
+        ("hcahps_measure_id", "measure_id", "text"),
+        ("hcahps_question", "question", "text"),
+        ("hcahps_answer_description", "answer_description", "text"),
+        ("patient_survey_star_rating", "star_rating", "int"),
+        ("hcahps_answer_percent", "answer_percent", "double"),
+        ("hcahps_linear_mean_value", "linear_mean_value", "double"),
+        ("number_of_completed_surveys", "completed_surveys", "int"),
+        ("survey_response_rate_percent", "response_rate_percent", "double"),
+        ("patient_survey_star_rating", "is_suppressed", "flag"),
+        ("patient_survey_star_rating_footnote", "star_rating_footnote", "note"),
+        ("start_date", "measure_start_date", "date"),
+        ("end_date", "measure_end_date", "date"),
+    ),
+    SURVEY_PLACEHOLDERS,
+)
+INPATIENT = Layout(
+    (
+        ("Rndrng_Prvdr_CCN", "ccn", "text"),
+        ("Rndrng_Prvdr_Org_Name", "hospital_name", "text"),
+        ("Rndrng_Prvdr_City", "city", "text"),
+        ("Rndrng_Prvdr_State_Abrvtn", "state", "text"),
+        ("Rndrng_Prvdr_Zip5", "zip_code", "text"),
+        ("Rndrng_Prvdr_RUCA_Desc", "rural_urban_desc", "text"),
+        ("DRG_Cd", "drg_code", "text"),
+        ("DRG_Desc", "drg_description", "text"),
+        ("Tot_Dschrgs", "total_discharges", "int"),
+        ("Avg_Submtd_Cvrd_Chrg", "avg_submitted_charge", "double"),
+        ("Avg_Tot_Pymt_Amt", "avg_total_payment", "double"),
+        ("Avg_Mdcr_Pymt_Amt", "avg_medicare_payment", "double"),
+    )
+)
+
+# Column of the flat export -> mart column.
 EXPORT = {
     "ccn": "ccn",
     "hospital_name": "hospital_name",
@@ -148,19 +150,17 @@ EXPORT = {
 }
 
 
-def stage(raw: DataFrame, layout: Mapping, date_formats: Sequence[str] = ()) -> DataFrame:
+def stage(raw: DataFrame, layout: Layout, date_formats: Sequence[str] = ()) -> DataFrame:
     """Rename, cast and flag, one staged row per raw row."""
-    columns: list[Column] = [F.col(c).alias(n) for c, n in layout["text"].items()]
-    columns += [safe_int(F.col(c)).alias(n) for c, n in layout["int"].items()]
-    columns += [safe_double(F.col(c)).alias(n) for c, n in layout["double"].items()]
-    if "suppressed_by" in layout:
-        flag = is_suppressed(F.col(layout["suppressed_by"]), layout["placeholders"])
-        columns.append(flag.alias("is_suppressed"))
-    columns += [blank_to_null(F.col(c)).alias(n) for c, n in layout.get("footnote", {}).items()]
-    columns += [
-        safe_date(F.col(c), date_formats).alias(n) for c, n in layout.get("date", {}).items()
-    ]
-    return raw.select(columns)
+    kinds: dict[str, Callable[[Column], Column]] = {
+        "text": lambda c: c,
+        "int": safe_int,
+        "double": safe_double,
+        "date": lambda c: safe_date(c, date_formats),
+        "note": blank_to_null,
+        "flag": lambda c: is_suppressed(c, layout.placeholders),
+    }
+    return raw.select(*(kinds[kind](F.col(c)).alias(n) for c, n, kind in layout.columns))
 
 
 def cost_by_hospital(inpatient: DataFrame, state: str = STATE) -> DataFrame:

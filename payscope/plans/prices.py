@@ -96,7 +96,7 @@ CONTRACT = T.StructType(
     ]
 )
 
-# Numbers are read as text, so a stray word in one becomes NULL in its own cell.
+# Fixed value: the nested document. Numbers are read as text, so a stray word in one becomes NULL in its own cell.
 CHARGE = """
     struct<
         description: string,

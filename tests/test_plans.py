@@ -16,8 +16,7 @@ def strings(spark, columns, data):
 
 
 def layout_columns(layout):
-    parts = ("text", "int", "double", "footnote", "date")
-    return [c for p in parts for c in layout.get(p, {})]
+    return list(dict.fromkeys(c for c, _, _ in layout.columns))
 
 
 def raw_rows(layout, records):
