@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from functools import reduce
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -105,40 +105,39 @@ def read_csv(
             quote='"', escape='"', encoding=encoding,
         )
 
+    too_long = F.raise_error(F.lit(f"{path}: a row has more cells than the header"))
+    fits = F.when(F.col(_OVERFLOW).isNotNull(), too_long.cast("boolean")).otherwise(True)
     if header_row == 0:
         alike = {e: [where[f] for f in files if encoding_of[f] == e] for e in encoding_of.values()}
-        scans = [scan(paths, e) for e, paths in alike.items()]
+        scans = [scan(paths, e).filter(fits) for e, paths in alike.items()]
     else:
         # The position of a record is known per file, so each file is its own scan.
-        for f in files[1:]:
-            if read_header(spark, where[f], header_row, encoding_of[f]) != header:
+        scans = []
+        for f in files:
+            rows = scan([where[f]], encoding_of[f])
+            own = read_header(spark, where[f], header_row, encoding_of[f])
+            if own != header:
                 raise ValueError(f"{f}: header differs from {files[0]}")
-        scans = [_below(scan([where[f]], encoding_of[f]), header, header_row) for f in files]
-    rows = reduce(DataFrame.union, scans)
+            _check_header(rows, f, header, header_row)
+            scans.append(rows.filter(F.when(_below(header_row), fits).otherwise(False)))
 
-    too_long = F.raise_error(F.lit(f"{path}: a row has more cells than the header"))
-    fits = F.when(F.col(_OVERFLOW).isNotNull(), too_long.cast("boolean")).otherwise(True)
     # As text, since a header may have thousands of names.
     listed = ", ".join("'" + m.replace("'", "\\'") + "'" for m in missing)
     cells = [f"CASE WHEN `{n}` NOT IN ({listed}) THEN `{n}` END AS `{n}`" for n in names]
-    df = rows.filter(fits).selectExpr(*cells) if missing else rows.filter(fits).select(*names)
+    df = reduce(DataFrame.union, [r.selectExpr(*cells) if missing else r.select(*names) for r in scans])
     return Scan(df, rename_map(spark, header, names), tuple(sorted(latin)))
 
 
-def _below(file: DataFrame, header: list[str], header_row: int) -> DataFrame:
-    """Rows of one file after its header, which is among the first records of the task
-    that reads the first block. Where the record at that place is not the header, lines
-    end in more than one way and records were joined; that is an error."""
-    names = file.columns
+def _below(header_row: int) -> Column:
+    """Whether a row of one file lies below its header, which is among the first records
+    of the task that reads the first block."""
     at = F.monotonically_increasing_id().bitwiseAND(F.lit(_WITHIN_TASK))
-    top = (F.col("_metadata.file_block_start") == 0).alias("_top")
-    rows = file.select("*", top, at.alias("_at"))
-    last = F.col(names[len(header) - 1])
-    is_header = last.eqNullSafe(F.lit(header[-1] or None)) & F.col(names[-1]).isNull()
-    lost = F.raise_error(F.lit("mixed line ends: the header is not a record of its own"))
-    below = (
-        F.when(~F.col("_top"), F.lit(True))
-        .when((F.col("_at") == header_row) & ~is_header, lost.cast("boolean"))
-        .otherwise(F.col("_at") > header_row)
-    )
-    return rows.filter(below).select(*names)
+    return (F.col("_metadata.file_block_start") != 0) | (at > header_row)
+
+
+def _check_header(rows: DataFrame, file: str, header: list[str], header_row: int) -> None:
+    """The scan has to find the header where the text has it. It does not where lines end
+    in more than one way and records are joined."""
+    ends = rows.select(rows.columns[len(header) - 1], _OVERFLOW).limit(header_row + 1).collect()
+    if len(ends) <= header_row or tuple(ends[header_row]) != (header[-1] or None, None):
+        raise ValueError(f"{file}: mixed line ends, the header is not a record of its own")

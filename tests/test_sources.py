@@ -76,7 +76,9 @@ def test_missing_cells_can_be_kept(spark, tmp_path):
 
 
 def test_row_longer_than_the_header_is_an_error(spark, tmp_path):
-    path = put(tmp_path / "f.csv", UNIX + "a,b\n1,2\n1,2,3\n")
+    path = put(tmp_path / "f.csv", UNIX + "a,b\n1,2\n")
+    assert read_csv(spark, path, 2).df.count() == 1  # The preamble may be longer.
+    path = put(tmp_path / "g.csv", UNIX + "a,b\n1,2\n1,2,3\n")
     with pytest.raises(Exception, match="more cells than the header"):
         read_csv(spark, path, 2).df.collect()
 
