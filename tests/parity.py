@@ -70,7 +70,7 @@ def main() -> int:
     sql = entry.oracle_sql()
     bad = 0
     for name, query in entry.queries().items():
-        if wanted and name not in wanted:
+        if wanted and name not in wanted or name not in sql:
             continue
         try:
             ok, note = compare(spark, con, sf_dir, name, query, sql[name])
