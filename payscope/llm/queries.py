@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from payscope.llm.common import table
 from payscope.llm.exact_dedup import exact_groups
 from payscope.llm.sentencepiece_codec import round_trip
+from payscope.llm.simhash import simhash_groups
 from payscope.llm.token_counts import token_counts
 
 TOKEN_LIMIT = 1024
@@ -18,6 +19,11 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_groups(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return token_counts(table(spark, sf_dir, "documents"), path, TOKEN_LIMIT)
@@ -30,6 +36,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_sentencepiece": op2_sentencepiece,
+    "op4_simhash": op4_simhash,
     "op8_token_counts": op8_token_counts,
     "op9_exact_dedup": op9_exact_dedup,
 }
