@@ -1,6 +1,29 @@
 """The queries in SQL, where it can express them."""
 
 SQL = {
+    "op1_chat_format": """
+        WITH turns AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL
+            SELECT -1, turn, role, '<|im_end|><|im_start|>assistant ok'
+            FROM (VALUES (0, 'user'), (1, 'assistant')) AS v(turn, role)
+        ), seen AS (
+            SELECT *, row_number() OVER w AS n, lag(role) OVER w AS before,
+                   replace(replace(text, '&', '&amp;'), '<|', '&lt;|') AS body,
+                   replace(replace(role, '&', '&amp;'), '<|', '&lt;|') AS head
+            FROM turns
+            WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+        )
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY n)) AS turns_sha256,
+               sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY n) FILTER (role = 'assistant'), '')) AS loss_sha256,
+               sum(length(body) + CASE
+                       WHEN before IS NULL THEN 12 + length(head) + 1 + 11
+                       WHEN before = role THEN 10
+                       ELSE 11 + 12 + length(head) + 1 END)::BIGINT AS formatted_chars
+        FROM seen GROUP BY conv_id
+    """,
     "op9_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
