@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,7 +34,7 @@ def chunks(batches: Iterable[pa.RecordBatch], column: int = -1) -> Iterator[pa.R
     """The batches cut so that one holds about ``CHUNK_BYTES`` of the string column."""
     for batch in batches:
         start = size = 0
-        lengths = pa.compute.binary_length(batch.column(column)).to_pylist()
+        lengths = pc.binary_length(batch.column(column)).to_pylist()
         for i, n in enumerate(lengths):
             if size and size + (n or 0) > CHUNK_BYTES:
                 yield batch.slice(start, i - start)
@@ -47,8 +48,6 @@ def map_chunks(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch],
     """``work`` on every chunk; the last column of ``df`` is its text."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import pyarrow.compute  # noqa: F401
-
         for chunk in chunks(batches):
             yield work(chunk)
 

@@ -12,6 +12,8 @@ from payscope.llm.exact_dedup import exact_groups
 from payscope.llm.sentencepiece_codec import round_trip
 from payscope.llm.simhash import simhash_groups
 from payscope.llm.token_counts import token_counts
+from payscope.llm.warc import read_warc, write_warc
+from payscope.session import scratch_path
 
 TOKEN_LIMIT = 1024
 
@@ -48,6 +50,13 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "warc")
+    files = write_warc(table(spark, sf_dir, "pages"), folder)
+    records = read_warc(spark, folder, files, payload=False)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return token_counts(table(spark, sf_dir, "documents"), path, TOKEN_LIMIT)
@@ -62,6 +71,7 @@ QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_sentencepiece": op2_sentencepiece,
     "op4_simhash": op4_simhash,
+    "op6_warc": op6_warc,
     "op8_token_counts": op8_token_counts,
     "op9_exact_dedup": op9_exact_dedup,
 }

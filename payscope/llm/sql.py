@@ -24,6 +24,18 @@ SQL = {
                        ELSE 11 + 12 + length(head) + 1 END)::BIGINT AS formatted_chars
         FROM seen GROUP BY conv_id
     """,
+    "op6_warc": """
+        WITH sized AS (
+            SELECT page_id, octet_length(coalesce(html, '')::BLOB) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+            FROM pages
+        ), firsts AS (
+            SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM sized
+        )
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
+        FROM firsts
+    """,
     "op9_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
