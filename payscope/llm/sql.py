@@ -26,7 +26,7 @@ SQL = {
     """,
     "op6_warc": """
         WITH sized AS (
-            SELECT page_id, octet_length(coalesce(html, '')::BLOB) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+            SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
             FROM pages
         ), firsts AS (
             SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM sized
