@@ -1,5 +1,57 @@
-"""The pipeline over documents. Each stage calls one operator on all its predecessor kept."""
-STAGES = []
+"""The pipeline over documents: each stage calls one operator on all its predecessor kept.
+
+Rejected by the quality classifier, exact copies, near copies by SimHash and documents
+with benchmark passages go, in this order; the last stage encodes what is left. Every
+stage but the last returns the columns of documents.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+
+from payscope.llm import decontaminate, exact_dedup, quality, sentencepiece_codec, simhash
+from payscope.llm.common import table
+from payscope.session import scratch_path
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality.accepted(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_dedup(docs)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return simhash.simhash_dedup(docs)
+
+
+def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.decontaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return sentencepiece_codec.encode(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
+STAGES = [
+    ("quality classifier", quality_classifier),
+    ("exact dedup", exact_copies),
+    ("SimHash near-dedup", near_copies),
+    ("benchmark decontamination", benchmark_passages),
+    ("SentencePiece encoding", encoding),
+]
+
+#: A learned classifier and a tokenizer are beyond SQL.
 ORACLE_SQL = None
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages on ``documents``, each written and read again as the next one's input."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        path = scratch_path(spark, name.replace(" ", "-"))
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from payscope.llm.chat import chat_format, formatted, loss_text, read_back
 from payscope.llm.common import table
+from payscope.llm.decontaminate import leaks
 from payscope.llm.exact_dedup import exact_groups
+from payscope.llm import quality
 from payscope.llm.sentencepiece_codec import round_trip
 from payscope.llm.simhash import simhash_groups
 from payscope.llm.token_counts import token_counts
@@ -50,6 +52,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "warc")
     files = write_warc(table(spark, sf_dir, "pages"), folder)
@@ -57,6 +63,13 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scores = quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+    accepted = (F.col("score") >= 0.5).cast("int").alias("predicted")
+    return scores.select("doc_id", quality.held_out().alias("held_out"), "score", accepted)
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return token_counts(table(spark, sf_dir, "documents"), path, TOKEN_LIMIT)
@@ -71,7 +84,9 @@ QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_sentencepiece": op2_sentencepiece,
     "op4_simhash": op4_simhash,
+    "op5_decontamination": op5_decontamination,
     "op6_warc": op6_warc,
+    "op7_quality": op7_quality,
     "op8_token_counts": op8_token_counts,
     "op9_exact_dedup": op9_exact_dedup,
 }
