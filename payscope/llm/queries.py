@@ -10,7 +10,7 @@ from payscope.llm.chat import chat_format, formatted, loss_text, read_back
 from payscope.llm.common import table
 from payscope.llm.decontaminate import leaks
 from payscope.llm.exact_dedup import exact_groups
-from payscope.llm import quality
+from payscope.llm import pii, quality
 from payscope.llm.sentencepiece_codec import round_trip
 from payscope.llm.simhash import simhash_groups
 from payscope.llm.token_counts import token_counts
@@ -18,6 +18,8 @@ from payscope.llm.warc import read_warc, write_warc
 from payscope.session import scratch_path
 
 TOKEN_LIMIT = 1024
+#: The permutation's secret. Whoever runs this on real data passes their own.
+PII_KEY = "not a secret"
 
 
 def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,6 +49,13 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    made = pii.pseudonymize(docs, key=PII_KEY)
+    kinds = F.array_join(F.array_sort(F.array_distinct(F.transform("found", lambda f: f.kind))), ",")
+    return made.select("doc_id", F.size("found").cast("long").alias("n_found"), kinds.alias("kinds"), "text")
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_groups(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -83,6 +92,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_sentencepiece": op2_sentencepiece,
+    "op3_pii": op3_pii,
     "op4_simhash": op4_simhash,
     "op5_decontamination": op5_decontamination,
     "op6_warc": op6_warc,
