@@ -13,6 +13,7 @@ from payscope.llm.exact_dedup import exact_groups
 from payscope.llm import pii, quality
 from payscope.llm.sentencepiece_codec import round_trip
 from payscope.llm.simhash import simhash_groups
+from payscope.llm.suffix_dedup import suffix_dedup
 from payscope.llm.token_counts import token_counts
 from payscope.llm.warc import read_warc, write_warc
 from payscope.session import scratch_path
@@ -89,6 +90,10 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_sentencepiece": op2_sentencepiece,
@@ -99,4 +104,5 @@ QUERIES = {
     "op7_quality": op7_quality,
     "op8_token_counts": op8_token_counts,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
