@@ -1,0 +1,122 @@
+"""The classifier by held-out accuracy, leaks by aligning every pair."""
+
+import random
+import zlib
+
+import numpy as np
+
+from payscope.llm import decontaminate as d
+from payscope.llm import quality as q
+
+DATA = "/root/testdata/sf0.01"
+
+
+def test_held_out_accuracy(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    labels = spark.read.parquet(f"{DATA}/labels.parquet")
+    scores = {r.doc_id: r.score for r in q.score(docs, q.fit(docs, labels)).collect()}
+    assert len(scores) == docs.count() and all(0 <= s <= 1 for s in scores.values())
+    held = {r.doc_id: r.quality for r in labels.collect() if zlib.crc32(str(r.doc_id).encode()) % 3 == 1}
+    right = np.mean([(scores[i] >= 0.5) == y for i, y in held.items()])
+    assert right > max(np.mean(list(held.values())), 0.95)
+
+
+def test_gradient():
+    rng = np.random.default_rng(1)
+    x, head = q.passages([b"one two three " * 40, b"", b"ABC!!", b" \n", b"x | y | z " * 90])
+    y = np.array([1, 0, 0, 1, 0], np.float32)
+    model = q.Model()
+    model.p = {k: v.astype(np.float64) for k, v in model.p.items()}
+    model.p["shift"] += rng.uniform(0.05, 0.2, len(model.p["shift"]))  # off the bend at zero
+    x = x.astype(np.float64)
+
+    def loss():
+        s = model.forward(x, head)["y"]
+        return -np.mean(y * np.log(s) + (1 - y) * np.log(1 - s))
+
+    grad = model.gradient(x, head, y)
+    for k, v in model.p.items():
+        for _ in range(4):
+            at = tuple(rng.integers(0, n) for n in v.shape)
+            old = v[at]
+            v[at] = old + 1e-5
+            up = loss()
+            v[at] = old - 1e-5
+            down = loss()
+            v[at] = old
+            assert abs((up - down) / 2e-5 - grad[k][at]) < 1e-5, k
+
+
+def test_passages_cover_whole_texts():
+    texts = [b"a b c " * 100, b"", b"   ", b"", b"w " * 64, b"w " * 65, b" lead", b""]
+    x, head = q.passages(texts)
+    n = np.diff(np.r_[head, len(x)])
+    assert n.tolist() == [5, 1, 1, 1, 1, 2, 1, 1]
+    for t, h, m in zip(texts, head, n):  # a text has the same passages alone
+        assert np.array_equal(q.passages([t])[0], x[h : h + m])
+
+
+def test_classifier_without_labels(spark):
+    docs = spark.createDataFrame([(1, "a b", 0.1), (None, None, 0.2), (2, "", 0.3), (2, "", 0.3)], "doc_id long, text string, score double")
+    labels = spark.createDataFrame([], "doc_id long, quality int")
+    model = q.fit(docs, labels)
+    assert [r.score for r in q.score(docs, model).collect()] == [0.5] * 4
+    kept = q.accepted(docs, model)
+    assert kept.schema == docs.schema and kept.count() == 4 and q.accepted(docs.limit(0), model).count() == 0
+    one = spark.createDataFrame([(2, 0), (2, None), (None, 1), (9, 1)], "doc_id long, quality int")
+    assert all(r.score < 0.5 for r in q.score(docs, q.fit(docs, one)).filter("doc_id = 2").collect())
+
+
+def leaked(rng, words, share):
+    return [w if rng.random() > share else rng.choice(["foo", "bar", "qux"]) for w in words]
+
+
+def test_leaks_by_brute_force(spark, tmp_path):
+    rng = random.Random(6)
+    vocabulary = ["".join(rng.choices("abcdefgh", k=4)) for _ in range(300)] + ["the", "of", "and", "in"] * 60
+    text = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    items = [text(rng.randint(8, 50)) for _ in range(15)] + [["the", "of", "and"] * 5, ["short", "one"]]
+    rows = []
+    for i in range(200):
+        ws = text(rng.randint(0, 120))
+        if i % 3 == 0:
+            ws[10:10] = leaked(rng, rng.choice(items), rng.choice([0, 0, 0.1, 0.15]))
+        rows.append((i, rng.choice([" ", ", ", "\n"]).join(ws).title(), "x"))
+    rows += [(500, None, "x"), (501, "", "x"), (0, rows[0][1], "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, item_id string")
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)] + [(0, " ".join(items[0])), (None, None)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r for r in d.leaks(docs, bench).collect()}
+    number = {}
+    code = lambda ws: np.array([number.setdefault(w, len(number)) for w in ws])
+    for i, t, _ in rows:
+        for k, item in enumerate(items):
+            if len(item) < d.LEAST_WORDS:
+                assert (i, k) not in got
+                continue
+            best = d.align(code(item), code(d.words(t or "")))[0] if t else 0
+            if best >= 0.6 or (i, k) in got:
+                assert best >= d.THRESHOLD and abs(got[i, k].score - best) < 1e-9, (i, k, best)
+    assert d.leaks(docs, bench.limit(0)).count() == d.leaks(docs.limit(0), bench).count() == 0
+    clean = d.decontaminated(docs, bench)
+    assert clean.schema == docs.schema and {r.doc_id for r in clean.collect()} == {r[0] for r in rows} - {i for i, _ in got}
+
+
+def test_alignment_is_smith_waterman():
+    rng = random.Random(2)
+    for _ in range(200):
+        a, b = ([rng.randint(0, 3) for _ in range(rng.randint(1, 12))] for _ in range(2))
+        h = np.zeros((len(a) + 1, len(b) + 1), int)
+        for i in range(1, len(a) + 1):
+            for j in range(1, len(b) + 1):
+                s = d.MATCH if a[i - 1] == b[j - 1] else d.MISMATCH
+                h[i, j] = max(0, h[i - 1, j - 1] + s, h[i - 1, j] + d.GAP, h[i, j - 1] + d.GAP)
+        assert d.align(np.array(a), np.array(b))[0] == h.max() / (d.MATCH * len(a))
+
+
+def test_items_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(d, "BLOCK_WORDS", 10)
+    items = [(i, " ".join(f"w{i}x{j}" for j in range(9))) for i in range(4)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = spark.createDataFrame([(i, "before " + t + " after") for i, t in items], "doc_id long, text string")
+    assert {(r.doc_id, r.item_id, r.score) for r in d.leaks(docs, bench).collect()} == {(i, i, 1.0) for i in range(4)}
+    assert d.decontaminated(docs, bench).count() == 0
