@@ -52,9 +52,12 @@ def _half_step_gamma_ratio(a: Column) -> Column:
     return ratio
 
 
-# Terms of the continued fraction. With one argument 1/2 and the side of the
-# distribution chosen as below, it settles to full precision in fewer for any n.
+# Terms of the continued fractions and series. With one argument 1/2 and the side of the
+# distribution chosen as below, they settle in fewer up to _MANY degrees of freedom; past
+# that the fraction's terms nearly cancel, and the normal limit with its corrections,
+# whose error falls with the square of the degrees, is the more exact one.
 _TERMS = 64
+_MANY = 1e5
 
 
 def _beta_fraction(a: Column, b: Column, x: Column) -> Column:
@@ -90,13 +93,47 @@ def _beta_fraction(a: Column, b: Column, x: Column) -> Column:
     return F.aggregate(terms, start, step, lambda state: state["h"])
 
 
+def _two_sided_normal(u: Column) -> Column:
+    """Probability that a normal deviate exceeds ``u`` >= 0 in size, to full relative
+    precision: a series of positive terms near zero, a continued fraction in the tail."""
+    # Everything travels in the state, so each is computed once and not per term.
+    start = F.struct(u.alias("u"), u.alias("term"), u.alias("sum"))
+    series = F.aggregate(
+        F.sequence(F.lit(1), F.lit(_TERMS)),
+        start,
+        lambda s, k: F.struct(
+            s["u"].alias("u"),
+            (s["term"] * s["u"] * s["u"] / (k * 2 + 1)).alias("term"),
+            (s["sum"] + s["term"] * s["u"] * s["u"] / (k * 2 + 1)).alias("sum"),
+        ),
+        lambda s: F.lit(1.0) - s["sum"] * F.exp(s["u"] * s["u"] / -2) * math.sqrt(2 / math.pi),
+    )
+    fraction = F.aggregate(
+        F.sequence(F.lit(4 * _TERMS), F.lit(1), F.lit(-1)),
+        F.struct(u.alias("u"), u.alias("f")),
+        lambda s, k: F.struct(s["u"].alias("u"), (s["u"] + k / s["f"]).alias("f")),
+        lambda s: F.exp(s["u"] * s["u"] / -2) * math.sqrt(2 / math.pi) / s["f"],
+    )
+    return F.when(u < 2, series).otherwise(fraction)
+
+
+def _many_pairs(r: Column, degrees: Column) -> Column:
+    """The p-value by Hill's transform of t to a normal deviate."""
+    a = degrees - 0.5
+    b = a * a * 48
+    z2 = -a * F.log1p(-r * r)
+    z = F.sqrt(z2)
+    second = (((z2 * 4 + 33) * z2 + 240) * z2 + 855) * z / ((z2 * z2 * 0.8 + b + 100) * b * 10)
+    return _two_sided_normal(z + (z2 + 3) * z / b - second)
+
+
 def pearson_p_value(r: Column, n: Column) -> Column:
     """Two-sided p-value of a correlation ``r`` over ``n`` pairs: the probability that
     Student's t with n - 2 degrees of freedom exceeds ``|r| sqrt((n-2) / (1-r^2))``,
     that is the regularised incomplete beta I(1 - r^2; (n-2)/2, 1/2).
 
     Small values come from the tail itself, so they keep their digits. The work is a
-    constant per result row, whatever n. NULL for n < 3; zero for a perfect correlation.
+    constant per result row, whatever n; so is the precision. NULL for n < 3; zero for a perfect correlation.
     """
     half = F.lit(0.5)
     a = (n.cast("double") - 2) / 2
@@ -118,5 +155,6 @@ def pearson_p_value(r: Column, n: Column) -> Column:
     return (
         F.when((n < 3) | r.isNull(), F.lit(None).cast("double"))
         .when(F.abs(r) >= 1, F.lit(0.0))
+        .when(n > _MANY, _many_pairs(r, n.cast("double") - 2))
         .otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), p)))
     )

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from payscope.functions.clean import trimmed
-from payscope.functions.statistics import weighted_mean
 
 
 def dependent_attributes(df: DataFrame, key: str, attributes: Sequence[str]) -> DataFrame:
@@ -57,24 +56,36 @@ def cost_by_entity(
 
     Output: key, attributes, then ``n_items``, ``total_weight``, ``weighted_value``,
     ``simple_value`` (renamed through ``names``) and one mean per ``also_mean`` entry
-    (output name -> column). The attributes are aggregated apart and joined to the
-    finished rows, one per entity.
+    (output name -> column). Attributes depend on the key; the least non-null one is
+    taken, so the answer does not change with the order of rows. The table is read once:
+    sums per key, attributes and item are rolled up to the key, so ``min`` over strings,
+    which sorts its input, sees these few rows.
     """
     usable = df.filter(
         F.col(value).isNotNull() & F.col(weight).isNotNull() & (F.col(weight) > 0)
     )
     names = names or {}
     label = lambda n: names.get(n, n)
-    measures = usable.groupBy(key).agg(
+    means = {label("simple_value"): value, **(also_mean or {})}
+    sums = {"_weight": F.col(weight), "_weighted": F.col(value) * F.col(weight)}
+    parts = usable
+    if attributes:
+        sums |= {f"_s{i}": F.col(c) for i, c in enumerate(means.values())}
+        parts = usable.groupBy(key, *attributes, item).agg(
+            *(F.sum(c).alias(n) for n, c in sums.items()),
+            *(F.count(c).alias(f"_n{i}") for i, c in enumerate(means.values())),
+        )
+        mean = [F.try_divide(F.sum(f"_s{i}"), F.sum(f"_n{i}")) for i in range(len(means))]
+    else:
+        parts = usable.withColumns(sums)
+        mean = [F.avg(c) for c in means.values()]
+    return parts.groupBy(key).agg(
+        *(F.min(a).alias(a) for a in attributes),
         F.count_distinct(item).alias(label("n_items")),
-        F.sum(weight).cast("bigint").alias(label("total_weight")),
-        F.round(weighted_mean(F.col(value), F.col(weight)), digits).alias(label("weighted_value")),
-        F.round(F.avg(value), digits).alias(label("simple_value")),
-        *(F.round(F.avg(c), digits).alias(n) for n, c in (also_mean or {}).items()),
+        F.sum("_weight").cast("bigint").alias(label("total_weight")),
+        F.round(F.try_divide(F.sum("_weighted"), F.sum("_weight")), digits).alias(label("weighted_value")),
+        *(F.round(m, digits).alias(n) for n, m in zip(means, mean)),
     )
-    if not attributes:
-        return measures
-    return with_attributes(measures, usable, key, attributes)
 
 
 def pivot_mean(
@@ -107,9 +118,12 @@ def measures_by_entity(
     *,
     value_name: str = "avg_value",
     digits: int = 4,
+    extra: Sequence[Column] = (),
 ) -> DataFrame:
-    """Usable measure rows to one row per entity: distinct measures, mean value, number
-    of rows among the core measures, and one mean per core measure."""
+    """Measure rows to one row per entity: distinct measures, mean value, number of rows
+    among the core measures, and one mean per core measure. A row without a value counts
+    for none of them; an entity with such rows only has no mean."""
+    held = F.col(value).isNotNull()
     return pivot_mean(
         df,
         key,
@@ -117,9 +131,10 @@ def measures_by_entity(
         value,
         core,
         extra=[
-            F.count_distinct(measure).alias("n_measures"),
+            F.count_distinct(F.when(held, F.col(measure))).alias("n_measures"),
             F.round(F.avg(value), digits).alias(value_name),
-            F.count_if(F.col(measure).isin(*core.values())).alias("n_core_measures"),
+            F.count_if(held & F.col(measure).isin(*core.values())).alias("n_core_measures"),
+            *extra,
         ],
         digits=digits,
     )

@@ -7,15 +7,12 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest dimension that is broadcast without asking the optimiser.
-DIMENSION_ROWS = 10_000
-
 
 def spine_join(spine: DataFrame, key: str, *others: DataFrame) -> DataFrame:
     """Every spine row once, with the columns of the others where the key matches.
 
-    All sides come out of aggregations on ``key``, so they share its hash partitioning
-    and the joins add no shuffle; small sides are broadcast by their measured size.
+    Sides that come out of aggregations on ``key`` share its hash partitioning and need
+    no second shuffle; small sides are broadcast by their measured size.
     """
     out = spine
     for other in others:
@@ -31,11 +28,10 @@ def full_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 def dimension_lookup(df: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
     """Attach the columns of a dimension unique on ``key``; unmatched rows keep NULLs.
 
-    The dimension is broadcast when a look at ``DIMENSION_ROWS + 1`` of its rows proves
-    it small. Otherwise the optimiser chooses, and splits skewed keys of ``df``.
+    The optimiser broadcasts a dimension that it measures as small, and splits skewed
+    keys of ``df`` otherwise.
     """
-    small = dimension.limit(DIMENSION_ROWS + 1).count() <= DIMENSION_ROWS
-    return df.join(F.broadcast(dimension) if small else dimension, key, "left")
+    return df.join(dimension, key, "left")
 
 
 def with_identity(df: DataFrame, identity: Mapping[str, str | None]) -> DataFrame:

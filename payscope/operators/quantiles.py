@@ -1,205 +1,102 @@
-"""Exact interpolated quantiles that hold for any group size.
+"""Exact interpolated quantiles, one way for every size of table and group.
 
-Spark's ``percentile`` keeps every distinct value of a group in one task. That is the
-right plan while the input is known to be small, and is used behind a row count. Past
-that count each wanted rank is bracketed by sketches, the bracket is narrowed until few
-rows are left in it, and only those are ranked. No task ever holds a large group, and
-the answer is the same to the last digit.
+Equal values are counted together first, with partial counts in the tasks, so a value that
+fills a third of the table is one row. The counts per bucket of values give the bucket
+that holds each wanted rank; only the different values of these buckets are put in order.
+Buckets are cut by the logarithm of the value, so their number is bounded for any data,
+and they spread a hot group over tasks. Nothing is sampled and nothing is written.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from payscope.functions.statistics import relative_gap
-from payscope.session import materialize
 
-DIRECT_ROWS = 1_000_000
+# Buckets per power of two, and a number above all of a double's powers, in buckets.
+_FINE = 2048
+_FAR = 1100 * _FINE
 
-# A sketch answers on a grid of this many cells. Two spare cells on each side of the
-# wanted rank cover its error of little more than one; a miss is raised anyway.
-GRID = 1000
-RANKED_ROWS = 1_000_000
-_SPARE = 2
-_KEPT_CELLS = 8
 
-# The tasks of a scan share this many sketches per group, so that merging them is spread.
-_SPREAD = 256
+def _bucket(value: Column) -> Column:
+    """Number of the bucket, which never falls as the value rises. NaN is the largest."""
+    size = F.floor(F.log2(F.least(F.abs(value), F.lit(1.7976931348623157e308))) * _FINE) + _FAR
+    return (
+        F.when(value.isNull(), F.lit(None))
+        .when(F.isnan(value), F.lit(3 * _FAR))
+        .when(value == 0, F.lit(0))
+        .when(value > 0, size)
+        .otherwise(-size)
+        .cast("bigint")
+    )
 
 
 def exact_quantiles(
-    df: DataFrame,
-    wanted: Mapping[str, tuple[str, float]],
-    by: Sequence[str] = (),
-    *,
-    direct_rows: int = DIRECT_ROWS,
-    ranked_rows: int = RANKED_ROWS,
-    grid: int = GRID,
+    df: DataFrame, wanted: Mapping[str, tuple[str, float]], by: Sequence[str] = ()
 ) -> DataFrame:
     """Quantiles with linear interpolation, NULLs skipped, one row per group.
 
-    ``wanted`` maps an output name to (column, probability). A large input is scanned
-    about five times, so pass a table or a materialised result.
+    ``wanted`` maps an output name to (column, probability). A group of nothing but NULLs
+    has NULL quantiles; without ``by`` an empty table gives one row of NULLs.
     """
-    columns = sorted({c for c, _ in wanted.values()})
-    # One job over the grouping columns only; a footer read on a plain table.
-    if df.count() <= direct_rows:
-        return _direct(df, wanted, by, columns)
-
+    c = F.col
     group = F.struct(*by) if by else F.lit(0)
-    cells = [F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("v")) for c in columns]
-    long = df.select(group.alias("g"), F.inline(F.array(*cells)))
-
-    # A cell of a sketch has to hold several rows for its spare cells to mean anything.
-    ranked_rows = max(ranked_rows, 10 * grid)
-    brackets = materialize(_whole_groups(long, wanted), "brackets")
-    while (brackets.agg(F.max("n")).first()[0] or 0) > ranked_rows:
-        brackets = materialize(_narrowed(long, brackets, ranked_rows, grid), "brackets")
-    picked = _rank_within(long, brackets).groupBy("g").agg(
-        *(F.max(F.when(F.col("name") == n, F.col("quantile"))).alias(n) for n in wanted)
+    cells = [F.struct(F.lit(n).alias("c"), c(n).cast("double").alias("v")) for n in sorted({x for x, _ in wanted.values()})]
+    counted = (
+        df.select(group.alias("g"), F.inline(F.array(*cells)))
+        .groupBy("g", "c", "v")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("bucket", _bucket(c("v")))
     )
-    # From the brackets, so that a group with nothing but NULLs keeps its row.
-    out = brackets.select("g").distinct().join(picked, "g", "left")
-    return out.select(*(f"g.{c}" for c in by), *wanted)
-
+    # A few thousand rows per group and column, whatever their size.
+    sized = counted.groupBy("g", "c", "bucket").agg(F.sum("n").alias("n"))
+    own = Window.partitionBy("g", "c")
+    held = F.when(c("bucket").isNotNull(), c("n")).otherwise(0)
+    upto = F.sum(held).over(own.orderBy(F.asc_nulls_first("bucket")))
+    placed = sized.select("*", upto.alias("upto"), F.sum(held).over(own).alias("total"))
 
-def _direct(
-    df: DataFrame,
-    wanted: Mapping[str, tuple[str, float]],
-    by: Sequence[str],
-    columns: Sequence[str],
-) -> DataFrame:
-    """The quantiles of a column share one pass over its values."""
-    shares = {c: sorted({p for of, p in wanted.values() if of == c}) for c in columns}
-    found = [
-        F.percentile(F.col(c).cast("double"), F.array(*map(F.lit, shares[c]))).alias(f"_{i}")
-        for i, c in enumerate(columns)
-    ]
-    picked = [
-        F.col(f"_{columns.index(c)}")[shares[c].index(p)].alias(name)
-        for name, (c, p) in wanted.items()
-    ]
-    grouped = df.groupBy(*by).agg(*found) if by else df.agg(*found)
-    return grouped.select(*by, *picked)
-
-
-def _whole_groups(long: DataFrame, wanted: Mapping[str, tuple[str, float]]) -> DataFrame:
-    """One row per group and quantile: the wanted position, open bounds, and the number
-    of rows between them."""
     targets = F.array(
-        *(
-            F.struct(F.lit(n).alias("name"), F.lit(c).alias("of"), F.lit(p).alias("p"))
-            for n, (c, p) in wanted.items()
-        )
-    )
-    open_end = F.lit(None).cast("double")
-    return (
-        long.groupBy("g", "c")
-        .agg(F.count("v").alias("n"))
-        .select("*", F.inline(targets))
-        .filter(F.col("of") == F.col("c"))
-        .select(
-            "g",
-            "c",
-            "name",
-            (F.col("p") * (F.col("n") - 1)).alias("position"),
-            open_end.alias("low"),
-            open_end.alias("high"),
-            "n",
-        )
-    )
-
-
-def _narrowed(
-    long: DataFrame, brackets: DataFrame, ranked_rows: int, grid: int
-) -> DataFrame:
-    """Tighter bounds for every bracket with more than ``ranked_rows`` rows between its
-    bounds. The bounds themselves do not count: however often a value repeats, it is
-    ranked as one row."""
-    c = F.col
-    key = ["g", "c", "low", "high"]
-    large = brackets.filter(c("n") > ranked_rows)
-    shares = F.array(*(F.lit(i / grid) for i in range(grid + 1)))
-
-    # Brackets with the same bounds share their sketch.
-    rows = (
-        long.filter(c("v").isNotNull())
-        .join(large.select(*key).distinct(), ["g", "c"])
-        .filter(c("high").isNull() | (c("v") < c("high")))
-        .withColumn("between", F.when(c("low").isNull() | (c("v") > c("low")), c("v")))
+        *(F.struct(F.lit(n).alias("name"), F.lit(of).alias("of"), F.lit(p).alias("p")) for n, (of, p) in wanted.items())
     )
-    parts = rows.groupBy(*key, (F.spark_partition_id() % _SPREAD).alias("part")).agg(
-        F.count_if(c("between").isNull()).alias("upto"),
-        F.count("between").alias("rows"),
-        F.percentile_approx("between", shares, 10 * grid).alias("points"),
+    position = c("p") * (c("total") - 1)
+    ends = F.array(
+        F.struct(F.floor("position").alias("rank"), F.lit(False).alias("upper")),
+        F.struct(F.ceil("position").alias("rank"), F.lit(True).alias("upper")),
     )
-    once = F.coalesce(c("at"), F.lit(0)) == 0
-    merged = (
-        parts.select(*key, "upto", "rows", F.posexplode_outer("points").alias("at", "point"))
-        .groupBy(F.struct(*key).alias("bracket"))
-        .agg(
-            F.sum(F.when(once, c("upto"))).alias("upto"),
-            F.sum(F.when(once, c("rows"))).alias("rows"),
-            F.percentile("point", shares, c("rows")).alias("points"),
-        )
+    picked = (
+        placed.filter(c("bucket").isNotNull())
+        .select("*", F.inline(targets))
+        .filter(c("of") == c("c"))
+        .withColumn("position", position)
+        .select("g", "c", "bucket", "name", "position", (c("upto") - c("n")).alias("before"), "upto", F.inline(ends))
+        .filter((c("before") <= c("rank")) & (c("rank") < c("upto")))
+        .drop("upto")
     )
-    share = (c("position") - c("upto")) / (c("rows") - 1)
-    below = F.least(F.floor(share * grid) - _SPARE, F.lit(grid)).cast("int")
-    above = F.greatest(F.ceil(share * grid) + _SPARE, F.lit(0)).cast("int")
-    # A bracket of one value has no row between its bounds and is done.
-    tightened = (
-        large.withColumn("bracket", F.struct(*key))
-        .join(merged, "bracket", "left")
-        .select(
-            "g",
-            "c",
-            "name",
-            "position",
-            F.coalesce(F.get("points", below), c("low")).alias("low"),
-            F.coalesce(F.get("points", above), c("high")).alias("high"),
-            F.ceil(F.coalesce(c("rows"), F.lit(0)) * _KEPT_CELLS / grid).alias("n"),
-        )
+    inside = Window.partitionBy("g", "name", "upper").orderBy("v")
+    values = (
+        picked.join(counted.select("g", "c", "bucket", "v", "n"), ["g", "c", "bucket"])
+        .withColumn("upto", c("before") + F.sum("n").over(inside))
+        .filter(c("upto") > c("rank"))
+        .groupBy("g", "name", "position")
+        .agg(F.min(F.when(~c("upper"), c("v"))).alias("v0"), F.min(F.when(c("upper"), c("v"))).alias("v1"))
     )
-    return tightened.unionByName(brackets.filter(c("n") <= ranked_rows))
-
-
-def _rank_within(long: DataFrame, brackets: DataFrame) -> DataFrame:
-    """The values at each wanted position, from the rows within its bounds. Equal values
-    are merged first, so one that fills a third of the table is one row here."""
-    c = F.col
-    counted = (
-        long.filter(c("v").isNotNull())
-        .join(brackets, ["g", "c"])
-        .filter(c("high").isNull() | (c("v") <= c("high")))
-        .withColumn("inside", F.when(c("low").isNull() | (c("v") >= c("low")), c("v")))
-        .groupBy("g", "c", "name", "position", "inside")
-        .agg(F.count(F.lit(1)).alias("rows"))
-    )
-    order = Window.partitionBy("g", "c", "name").orderBy(F.asc_nulls_first("inside"))
-    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     lower, upper = F.floor("position"), F.ceil("position")
-    ends = (
-        counted.withColumn("upto", F.sum("rows").over(upto))
-        .groupBy("g", "c", "name", "position")
-        .agg(
-            F.coalesce(F.max(F.when(c("inside").isNull(), c("rows"))), F.lit(0)).alias("below"),
-            F.min(F.when(c("upto") > lower, c("inside"))).alias("v0"),
-            F.min(F.when(c("upto") > upper, c("inside"))).alias("v1"),
-        )
-    )
-    missed = (c("below") > lower) | c("v0").isNull() | c("v1").isNull()
-    value = (
-        F.when(missed, F.raise_error(F.lit("quantile bracket missed its rank")).cast("double"))
-        .when(lower == upper, c("v0"))
-        .otherwise((upper - c("position")) * c("v0") + (c("position") - lower) * c("v1"))
+    value = F.when(lower == upper, c("v0")).otherwise(
+        (upper - c("position")) * c("v0") + (c("position") - lower) * c("v1")
     )
-    return ends.select("g", "name", value.alias("quantile"))
+    # Every group, also one that has no value.
+    every = sized.select("g", F.lit(None).cast("string").alias("name"), F.lit(None).cast("double").alias("quantile")).distinct()
+    found = every.unionByName(values.select("g", "name", value.alias("quantile")))
+    columns = [F.max(F.when(c("name") == n, c("quantile"))).alias(n) for n in wanted]
+    if not by:
+        return found.agg(*columns)
+    return found.groupBy("g").agg(*columns).select(*(f"g.{x}" for x in by), *wanted)
 
 
-def describe(df: DataFrame, column: str, **limits: int) -> DataFrame:
+def describe(df: DataFrame, column: str) -> DataFrame:
     """count, mean, sample standard deviation, min, exact quartiles, max as one row."""
     moments = df.agg(
         F.count(column).alias("count"),
@@ -209,7 +106,7 @@ def describe(df: DataFrame, column: str, **limits: int) -> DataFrame:
         F.max(column).alias("max"),
     )
     quartiles = exact_quantiles(
-        df, {"q1": (column, 0.25), "median": (column, 0.5), "q3": (column, 0.75)}, **limits
+        df, {"q1": (column, 0.25), "median": (column, 0.5), "q3": (column, 0.75)}
     )
     q = quartiles.select(F.struct("q1", "median", "q3")).scalar()
     return moments.withColumn("q", q).select(
@@ -218,22 +115,22 @@ def describe(df: DataFrame, column: str, **limits: int) -> DataFrame:
 
 
 def group_medians(
-    df: DataFrame, by: str, medians: Mapping[str, str], **limits: int
+    df: DataFrame, by: str, medians: Mapping[str, str]
 ) -> DataFrame:
     """Rows and exact medians per group (output name -> column)."""
     counts = df.groupBy(by).agg(F.count(F.lit(1)).alias("n"))
-    found = exact_quantiles(df, {n: (c, 0.5) for n, c in medians.items()}, [by], **limits)
+    found = exact_quantiles(df, {n: (c, 0.5) for n, c in medians.items()}, [by])
     return counts.join(found, counts[by].eqNullSafe(found[by])).select(
         counts[by], "n", *medians
     )
 
 
 def median_gap(
-    df: DataFrame, by: str, value: str, upper: str, base: str, **limits: int
+    df: DataFrame, by: str, value: str, upper: str, base: str
 ) -> DataFrame:
     """Medians of two groups and how far the first lies above the second."""
     both = df.filter(F.col(by).isin(upper, base))
-    medians = exact_quantiles(both, {"median": (value, 0.5)}, [by], **limits)
+    medians = exact_quantiles(both, {"median": (value, 0.5)}, [by])
     pick = lambda name: F.max(F.when(F.col(by) == name, F.col("median")))
     return medians.agg(
         pick(upper).alias("median_upper"), pick(base).alias("median_base")

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from payscope.functions.clean import any_present, first_of
@@ -16,36 +17,62 @@ class ColumnGroups:
     """What ``discover_groups`` found in a header.
 
     ``groups``      label -> one column per suffix, in suffix order
-    ``incomplete``  labels that lack a suffix; their columns are not melted
+    ``incomplete``  labels that lack a suffix and the columns they have; not melted
     ``ignored``     columns with the prefix that end in none of the suffixes
     """
 
     suffixes: tuple[str, ...]
     groups: Mapping[str, tuple[str, ...]]
-    incomplete: tuple[str, ...] = ()
+    incomplete: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
     ignored: tuple[str, ...] = field(default=())
 
 
 def discover_groups(
-    columns: Sequence[str], prefix: str, suffixes: Sequence[str]
+    columns: Sequence[str],
+    prefix: str,
+    suffixes: Sequence[str],
+    originals: Mapping[str, str] | None = None,
+    separator: str = "|",
 ) -> ColumnGroups:
     """Columns named ``<prefix><label>_<suffix>`` grouped by label; only labels with
-    every suffix can be melted. Reads names only, so it costs no job."""
-    found: dict[str, dict[str, str]] = {}
+    every suffix can be melted. Reads names only, so it costs no job.
+
+    Two headers that are alike once cleaned differ by a number at the end of the second
+    name (``.._suffix_1``), which goes into the label. ``originals`` (clean name ->
+    header) groups by the header up to its last ``separator`` instead, which is right
+    also where one of the two lacks a suffix.
+    """
+    form = re.compile("(.+)_(" + "|".join(map(re.escape, suffixes)) + r")(_\d+)?", re.DOTALL)
+    found: dict[tuple[str, str], dict[str, str]] = {}
     ignored = []
     for column in columns:
         if not column.startswith(prefix):
             continue
-        rest = column[len(prefix) :]
-        suffix = next((s for s in suffixes if rest.endswith("_" + s)), None)
-        label = rest[: -len(suffix) - 1] if suffix else ""
-        if label:
-            found.setdefault(label, {})[suffix] = column
+        match = form.fullmatch(column, len(prefix))
+        if not match:
+            ignored.append(column)
+            continue
+        label, suffix, number = match.groups()
+        if originals is None:
+            key = (label + (number or ""), "")
         else:
+            key = (label, originals.get(column, column).rpartition(separator)[0])
+        if suffix in found.setdefault(key, {}):
             ignored.append(column)
+        else:
+            found[key][suffix] = column
+    taken: set[str] = set()
+    labels: dict[str, dict[str, str]] = {}
+    for (label, _), members in found.items():
+        name, n = label, 0
+        while name in taken:
+            n += 1
+            name = f"{label}_{n}"
+        taken.add(name)
+        labels[name] = members
     complete = {
         label: tuple(members[s] for s in suffixes)
-        for label, members in sorted(found.items())
+        for label, members in sorted(labels.items())
         if len(members) == len(suffixes)
     }
     if not complete:
@@ -53,11 +80,19 @@ def discover_groups(
     return ColumnGroups(
         tuple(suffixes),
         complete,
-        tuple(sorted(set(found) - set(complete))),
+        {k: tuple(m.values()) for k, m in sorted(labels.items()) if k not in complete},
         tuple(ignored),
     )
 
 
+def dropped_groups(spark: SparkSession, groups: ColumnGroups) -> DataFrame:
+    """What is not melted, one row per column: label, column, reason. As many rows as the
+    header has names at most."""
+    rows = [(label, c, "incomplete group") for label, cs in groups.incomplete.items() for c in cs]
+    rows += [(None, c, "no known suffix") for c in groups.ignored]
+    return spark.createDataFrame(rows, "label string, column string, reason string")
+
+
 def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
@@ -137,11 +172,9 @@ def recover_parts(
     ``prefix|part|part|suffix``. One row per group, so it is broadcast.
     """
     pieces = F.split("original", "\\" + separator)
-    lookup = renames.filter(
-        F.col("clean").startswith(prefix) & F.col("clean").endswith("_" + suffix)
-    ).select(
-        F.expr(f"substring(clean, {len(prefix) + 1}, length(clean) - {len(prefix) + len(suffix) + 1})")
-        .alias(label),
+    form = f"^{prefix}(.+)_{suffix}(_[0-9]+)?$"
+    lookup = renames.filter(F.col("clean").rlike(form)).select(
+        F.regexp_replace("clean", form, "$1$2").alias(label),
         *(F.trim(F.get(pieces, F.lit(i + 1))).alias(p) for i, p in enumerate(parts)),
     )
     return df.drop(*parts).join(F.broadcast(lookup), label, "left")

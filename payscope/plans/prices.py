@@ -24,6 +24,7 @@ from payscope.operators.reshape import (
     melt_groups,
 )
 from payscope.sources.ingest import Source
+from payscope.sources.json_files import parse_documents
 
 # Source, layout, CCN, hospital name, raw file.
 HOSPITALS = {
@@ -126,7 +127,6 @@ def raw_sources(folder: str) -> dict[str, Source]:
             f"{folder}/{file}",
             f"{kind}_zip" if file.endswith(".zip") else kind,
             header_row=HEADER_ROW if kind == "csv" else 0,
-            schema=DOCUMENT if kind == "json" else None,
         )
     return out
 
@@ -159,15 +159,16 @@ def stage_tall(raw: DataFrame) -> DataFrame:
     )
 
 
-def wide_groups(raw: DataFrame) -> ColumnGroups:
-    return discover_groups(raw.columns, GROUP_PREFIX, GROUP_SUFFIXES)
+def wide_groups(raw: DataFrame, originals: Mapping[str, str] | None = None) -> ColumnGroups:
+    return discover_groups(raw.columns, GROUP_PREFIX, GROUP_SUFFIXES, originals)
 
 
-def stage_wide(raw: DataFrame) -> DataFrame:
+def stage_wide(raw: DataFrame, originals: Mapping[str, str] | None = None) -> DataFrame:
     """Payer-plan columns to rows; the label stays whole as the plan name. Rows with
-    neither amount, percentage nor algorithm are dropped."""
+    neither amount, percentage nor algorithm are dropped. ``originals`` (clean name ->
+    header) tells plans apart whose names are alike once cleaned."""
     have = set(raw.columns)
-    melted = melt_groups(raw, WIDE_IDS, wide_groups(raw), "payer_plan")
+    melted = melt_groups(raw, WIDE_IDS, wide_groups(raw, originals), "payer_plan")
     pick = lambda c: F.col(c) if c in have else F.lit(None).cast("string")
     staged = melted.select(
         pick("code_1").alias("code"),
@@ -199,8 +200,14 @@ def _charge_fields() -> dict:
     }
 
 
+def _documents(raw: DataFrame) -> DataFrame:
+    """Documents that were landed whole, under the fields needed here."""
+    return parse_documents(raw, DOCUMENT) if raw.columns == ["document"] else raw
+
+
 def stage_json_first(raw: DataFrame) -> DataFrame:
     """One row per charge, with its first code and its first price entry."""
+    raw = _documents(raw)
     charges = F.col("record.standard_charges")
     return explode_records(
         raw,
@@ -217,6 +224,7 @@ def stage_json_first(raw: DataFrame) -> DataFrame:
 def stage_json_payers(raw: DataFrame) -> DataFrame:
     """One row per charge and payer of its first price entry; rows with neither amount
     nor algorithm are dropped."""
+    raw = _documents(raw)
     exploded = explode_nested(
         raw,
         F.col("standard_charge_information"),

@@ -39,8 +39,6 @@ MEASURE_COLUMNS = {
     "outcome_view": "view",
     "outcome_purchase": "purchase",
 }
-MIN_CASES, MIN_EVENTS = 6, 36
-
 COLUMNS = analysis.Columns(
     key="entity_id",
     name="entity_name",
@@ -119,21 +117,12 @@ def usable_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def measure_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Entity and measure grain. A mean over few cases is suppressed, and an entity with
-    few events reports nothing. The window runs over one row per measure."""
-    grain = usable_events(spark, sf_dir).groupBy("entity_id", "measure").agg(
-        F.count(F.lit(1)).alias("n_cases"), F.round(F.avg("score")).alias("mean")
-    )
-    events = F.sum("n_cases").over(Window.partitionBy("entity_id"))
-    reporting = grain.withColumn("n_events", events).filter(F.col("n_events") >= MIN_EVENTS)
-    text = F.when(F.col("n_cases") < MIN_CASES, "N/A").otherwise(
-        F.col("mean").cast("bigint").cast("string")
-    )
-    return reporting.select(
-        "entity_id",
-        "measure",
-        safe_double(text).alias("outcome"),
-        is_suppressed(text).alias("is_suppressed"),
+    """Entity and measure grain: what the last event says, which may be a placeholder,
+    and the best rating. All states have a fixed width, so this is a hash aggregate."""
+    return staged_events(spark, sf_dir).groupBy("entity_id", "measure").agg(
+        F.max_by("score", "event_id").alias("outcome"),
+        F.max_by("is_suppressed", "event_id").alias("is_suppressed"),
+        F.max("rating").alias("rating"),
     )
 
 
@@ -151,11 +140,12 @@ def returned_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def outcomes_by_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    usable = measure_rows(spark, sf_dir).filter(
-        ~F.col("is_suppressed") & F.col("outcome").isNotNull()
-    )
+    """Outcomes and the summary row's rating from one pass over the events."""
+    usable = F.when(~F.col("is_suppressed"), F.col("outcome"))
+    rows = measure_rows(spark, sf_dir).withColumn("outcome", usable)
+    star = F.max(F.when(F.col("measure") == "signup", F.col("rating"))).alias("star")
     return aggregate.measures_by_entity(
-        usable, "entity_id", "measure", "outcome", MEASURE_COLUMNS, value_name="avg_outcome"
+        rows, "entity_id", "measure", "outcome", MEASURE_COLUMNS, value_name="avg_outcome", extra=[star]
     )
 
 
@@ -164,19 +154,21 @@ def ratings_by_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregate.summary_row_max(staged, "entity_id", "measure", "signup", "rating", "star")
 
 
-def quality_full_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ratings from the events and spending from the orders, either of which may lack an
-    entity the other has."""
-    pending = table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "P")
-    spend = aggregate.pivot_mean(
-        pending.withColumnRenamed("o_custkey", "entity_id"),
+def spend_by_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aggregate.pivot_mean(
+        table(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "entity_id"),
         "entity_id",
         "o_orderpriority",
         "o_totalprice",
         {"urgent_mean": "1-URGENT", "low_mean": "5-LOW"},
         digits=6,
     )
-    return full_join(ratings_by_entity(spark, sf_dir), spend, "entity_id")
+
+
+def quality_full_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ratings from the events and spending from the orders, either of which may lack an
+    entity the other has."""
+    return full_join(ratings_by_entity(spark, sf_dir), spend_by_entity(spark, sf_dir), "entity_id")
 
 
 def suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -211,8 +203,7 @@ def entity_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
         cost,
         "entity_id",
         suppliers(spark, sf_dir),
-        outcomes_by_entity(spark, sf_dir),
-        quality_full_outer(spark, sf_dir),
+        full_join(outcomes_by_entity(spark, sf_dir), spend_by_entity(spark, sf_dir), "entity_id"),
     )
     return joined.select(
         "entity_id",
@@ -384,18 +375,13 @@ def lookup_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quantiles_by_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Price quantiles per return flag by bracketing and ranking, which a table of any
-    size takes; the size checks are lowered so that this one does too."""
     wanted = {
         "p05": ("l_extendedprice", 0.05),
         "median": ("l_extendedprice", 0.5),
         "p99": ("l_extendedprice", 0.99),
         "quantity": ("l_quantity", 0.75),
     }
-    items = table(spark, sf_dir, "lineitem").select(
-        "l_returnflag", "l_extendedprice", "l_quantity"
-    )
-    found = exact_quantiles(items, wanted, ["l_returnflag"], direct_rows=0, ranked_rows=2000, grid=200)
+    found = exact_quantiles(table(spark, sf_dir, "lineitem"), wanted, ["l_returnflag"])
     return rounded(found, 6, *wanted)
 
 

@@ -64,23 +64,19 @@ _MART = (
     _RAW
     + f""",
 grain AS (
-  SELECT entity_id, measure, count(*) AS n_cases, round(avg(score)) AS mean
-  FROM usable GROUP BY ALL),
-texts AS (
-  SELECT entity_id, measure,
-    CASE WHEN n_cases < 6 THEN 'N/A' ELSE CAST(CAST(mean AS BIGINT) AS VARCHAR) END AS t
-  FROM grain
-  WHERE entity_id IN (SELECT entity_id FROM grain GROUP BY entity_id HAVING sum(n_cases) >= 36)),
-measured AS (
-  SELECT entity_id, measure, {_double("t")} AS outcome FROM texts
-  WHERE NOT {_suppressed("t")} AND {_double("t")} IS NOT NULL),
+  SELECT entity_id, measure, max(rating) OVER same AS rating,
+    CASE WHEN NOT is_suppressed THEN score END AS outcome
+  FROM staged
+  WINDOW same AS (PARTITION BY entity_id, measure)
+  QUALIFY row_number() OVER (PARTITION BY entity_id, measure ORDER BY event_id DESC) = 1),
 outcomes AS (
-  SELECT entity_id, count(DISTINCT measure) AS n_measures, round(avg(outcome), 4) AS avg_outcome,
-    count(*) FILTER (measure IN ('click', 'view', 'purchase')) AS n_core_measures,
+  SELECT entity_id, count(outcome) AS n_measures, round(avg(outcome), 4) AS avg_outcome,
+    count(outcome) FILTER (measure IN ('click', 'view', 'purchase')) AS n_core_measures,
+    max(rating) FILTER (measure = 'signup') AS star,
     round(avg(outcome) FILTER (measure = 'click'), 4) AS outcome_click,
     round(avg(outcome) FILTER (measure = 'view'), 4) AS outcome_view,
     round(avg(outcome) FILTER (measure = 'purchase'), 4) AS outcome_purchase
-  FROM measured GROUP BY entity_id),
+  FROM grain GROUP BY entity_id),
 stars AS (
   SELECT entity_id, max(rating) AS star FROM staged
   WHERE measure = 'signup' AND rating IS NOT NULL GROUP BY entity_id),
@@ -88,7 +84,7 @@ spend AS (
   SELECT o_custkey AS entity_id,
     round(avg(o_totalprice) FILTER (o_orderpriority = '1-URGENT'), 6) AS urgent_mean,
     round(avg(o_totalprice) FILTER (o_orderpriority = '5-LOW'), 6) AS low_mean
-  FROM orders WHERE o_orderstatus = 'P' GROUP BY o_custkey),
+  FROM orders GROUP BY o_custkey),
 quality AS (SELECT entity_id, star, urgent_mean, low_mean FROM stars FULL JOIN spend USING (entity_id)),
 cost AS (
   SELECT l_suppkey AS entity_id, count(DISTINCT l_partkey) AS n_items,
@@ -103,8 +99,8 @@ mart AS (
   SELECT entity_id, entity_name, region, weighted_payment, simple_payment, total_volume, n_items,
     avg_outcome, outcome_click, outcome_view, outcome_purchase, n_core_measures = 3 AS has_core,
     star, urgent_mean, low_mean
-  FROM cost LEFT JOIN where_from USING (entity_id) LEFT JOIN outcomes USING (entity_id)
-  LEFT JOIN quality USING (entity_id)),
+  FROM cost LEFT JOIN where_from USING (entity_id)
+  LEFT JOIN (SELECT * FROM outcomes FULL JOIN spend USING (entity_id)) USING (entity_id)),
 reliable AS (
   SELECT * FROM mart WHERE total_volume >= 5000 AND has_core AND avg_outcome IS NOT NULL
     AND weighted_payment IS NOT NULL),

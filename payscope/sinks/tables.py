@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -9,34 +10,65 @@ from pyspark.sql import functions as F
 
 from payscope.operators.checks import failing_rows
 
-EXPORT_ROWS = 1_000_000
-
 AUDIT_SCHEMA = "failing_row string, run_id string, check_name string"
 
 
-def truncate_and_load(df: DataFrame, path: str) -> dict[str, int]:
-    """Replace the table at ``path``. The row count is observed during the write, so
-    nothing is read twice."""
+def _replace(spark: SparkSession, new: str, path: str) -> None:
+    """Put a finished folder in the place of another. The old one goes last, and comes
+    back if the new one can't be moved."""
+    here, fresh = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, new))
+    files = here.getFileSystem(spark._jsc.hadoopConfiguration())
+    old = spark._jvm.org.apache.hadoop.fs.Path(f"{new}__old")
+    had = files.exists(here)
+    if had and not files.rename(here, old):
+        raise OSError(f"{path}: can't be moved")
+    if not files.rename(fresh, here):
+        if had:
+            files.rename(old, here)
+        raise OSError(f"{new}: can't be moved to {path}")
+    if had:
+        files.delete(old, True)
+
+
+def _discard(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def truncate_and_load(
+    df: DataFrame, path: str, *, partition_by: str | None = None, empty: bool = True
+) -> dict[str, int]:
+    """Replace the table at ``path``, once all rows are written beside it: a load that
+    fails on its last row leaves the old table as it was. So does one without rows if
+    ``empty`` is not allowed. The row count is observed during the write, so nothing is
+    read twice. ``df`` may read the table that it replaces."""
+    spark, new = df.sparkSession, f"{path.rstrip('/')}__{uuid.uuid4().hex}"
     seen = Observation("load")
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
-    return {"rows": seen.get["rows"], "columns": len(df.columns)}
+    writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write
+    try:
+        (writer.partitionBy(partition_by) if partition_by else writer).parquet(new)
+        rows = seen.get["rows"]
+        if rows or empty:
+            _replace(spark, new, path)
+    finally:
+        _discard(spark, new)
+    return {"rows": rows, "columns": len(df.columns)}
 
 
 def write_spread(df: DataFrame, path: str, by: str) -> dict[str, int]:
     """Replace a table partitioned by a column of very uneven groups. Rows are brought
     together by group, and the rebalance splits a group that is too large for one task
     into even parts and joins small ones, by the sizes it measures."""
-    seen = Observation("load")
-    watched = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    watched.hint("rebalance", F.col(by)).write.mode("overwrite").partitionBy(by).parquet(path)
-    return {"rows": seen.get["rows"], "columns": len(df.columns)}
+    return truncate_and_load(df.hint("rebalance", F.col(by)), path, partition_by=by)
 
 
 def store_failures(checks: Mapping[str, DataFrame], folder: str, run_id: str) -> None:
     """Keep every failing row of a run under ``folder/run_id=../check_name=..``. All
-    checks are written by one job; a repeated run replaces its own rows only."""
+    checks are written by one job, a file or a few for each; a repeated run replaces its
+    own rows only."""
     (
         failing_rows(checks)
+        .hint("rebalance", F.col("check_name"))
         .write.mode("overwrite")
         .partitionBy("check_name")
         .parquet(f"{folder}/run_id={run_id}")
@@ -63,16 +95,15 @@ def export_csv(
     path: str,
     columns: Mapping[str, Column],
     order: Sequence[Column],
-    single_file_rows: int = EXPORT_ROWS,
+    *,
+    single_file: bool = True,
 ) -> DataFrame:
     """Projection with new names, sorted, as CSV with a header.
 
-    One file while the row count is proven small; otherwise the sorted partitions are
-    written side by side, in name order.
+    One file, sorted by the task that writes it, or with ``single_file=False`` the sorted
+    partitions side by side, in name order, for a result too large for one task.
     """
     out = df.select(*(c.alias(n) for n, c in columns.items()))
-    small = out.limit(single_file_rows + 1).count() <= single_file_rows
-    # A proven small result is sorted by the one task that writes it.
-    ordered = out.repartition(1).sortWithinPartitions(*order) if small else out.orderBy(*order)
+    ordered = out.repartition(1).sortWithinPartitions(*order) if single_file else out.orderBy(*order)
     ordered.write.mode("overwrite").csv(path, header=True)
     return out

@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import csv
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
-from functools import reduce
-from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from payscope.session import materialize
 from payscope.sources.names import clean_names, rename_map
 
 # Cell texts that mean a missing value.
@@ -21,53 +22,81 @@ MISSING_CELLS = (
 )
 
 # One column more than the header names; anything in it is a cell too many.
-_OVERFLOW = "_overflow"
-
-# A header is looked for in this many lines of a file.
-_HEADER_LINES = 200
-
-# Row ids count up from a multiple of 2^33 within each task.
-_WITHIN_TASK = (1 << 33) - 1
-
+_OVERFLOW, _FILE = "_overflow", "_file"
 
 UTF8, LATIN1 = "UTF-8", "ISO-8859-1"
 
 
 @dataclass(frozen=True)
 class Scan:
-    """Text rows, the map of changed names, and the files that were not valid UTF-8."""
+    """Text rows, the map of changed names, and the files (column ``file``) that were not
+    valid UTF-8 and are read as Latin-1 as a whole. Bytes are never repaired."""
 
     df: DataFrame
     renames: DataFrame
-    fallback: tuple[str, ...]
-
-
-def fallback_files(spark: SparkSession, path: str) -> list[str]:
-    """Files with a line that is not valid UTF-8; each is read as Latin-1 as a whole.
-    Bytes are never repaired."""
-    lines = spark.read.text(path).select(F.input_file_name().alias("file"), "value")
-    broken = lines.filter(~F.is_valid_utf8("value")).select("file").distinct()
-    return sorted(r.file for r in broken.collect())
-
-
-def read_header(
-    spark: SparkSession, path: str, header_row: int = 0, encoding: str = UTF8
-) -> list[str]:
-    """The record at ``header_row`` (blank lines not counted), from the top of the file."""
-    top = (
-        spark.read.text(path)
-        .filter(F.col("_metadata.file_block_start") == 0)
-        .select(F.col("value").cast("binary").alias("raw"))
-        .limit(_HEADER_LINES)
-        .collect()
+    fallback: DataFrame
+
+    def remark(self) -> str:
+        n, first = self.fallback.agg(F.count(F.lit(1)), F.min("file")).first()
+        return f"read as Latin-1: {first}" + (f" and {n - 1} more" if n > 1 else "") if n else ""
+
+
+def file_headers(spark: SparkSession, path: str, header_row: int = 0, encoding: str | None = None) -> DataFrame:
+    """Per file, in one pass over all of them: the record at ``header_row`` (blank lines
+    not counted) as an array, and whether every line is valid UTF-8."""
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        (F.col("_metadata.file_block_start") == 0).alias("top"),
+        F.is_valid_utf8("value").alias("utf8") if encoding is None else F.lit(True).alias("utf8"),
+        F.col("value").cast("binary").alias("raw"),
     )
-    lines = [bytes(r.raw).decode(encoding) for r in top]
-    if lines:
-        lines[0] = lines[0].removeprefix("\ufeff")
-    records = [r for r in csv.reader(line + "\n" for line in lines) if r]
-    if len(records) <= header_row:
-        raise ValueError(f"{path}: no record {header_row} to take as header")
-    return records[header_row]
+
+    def look(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[bytes] = []  # of the file that is being read, until its header is found
+        now, valid, header = None, True, None
+
+        def found() -> pa.RecordBatch:
+            columns = [[now], [header], [valid]]
+            kinds = [pa.string(), pa.list_(pa.string()), pa.bool_()]
+            return pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], ["file", "header", "utf8"])
+
+        def parsed(raw: list[bytes]) -> list[str] | None:
+            for charset in (encoding or "utf-8", "latin-1"):
+                try:
+                    text = [r.decode(charset) for r in raw]
+                    break
+                except UnicodeDecodeError:
+                    continue
+            text[0] = text[0].removeprefix("\ufeff")
+            records = [r for r in csv.reader(t + "\n" for t in text) if r]
+            # A record that ends with the last line may go on in the next one.
+            if len(records) <= header_row or sum(t.count('"') for t in text) % 2:
+                return None
+            return records[header_row]
+
+        for batch in batches:
+            names = batch.column(0).to_pylist()
+            cuts = [0, *(i for i in range(1, len(names)) if names[i] != names[i - 1]), len(names)]
+            for a, z in zip(cuts, cuts[1:]):
+                if a == z:
+                    continue
+                if names[a] != now:
+                    if now is not None:
+                        yield found()
+                    now, valid, header, held = names[a], True, None, []
+                part = batch.slice(a, z - a)
+                valid = valid and pc.all(part.column(2)).as_py()
+                if part.column(1)[0].as_py() and header is None:
+                    for raw in part.column(3).to_pylist():
+                        held.append(raw)
+                        if len(held) > header_row and (header := parsed(held)) is not None:
+                            break
+        if now is not None:
+            yield found()
+
+    seen = lines.mapInArrow(look, "file string, header array<string>, utf8 boolean")
+    # A header has no order to take the larger of; at most one block of a file has one.
+    return seen.groupBy("file").agg(F.first("header", ignorenulls=True).alias("header"), F.every("utf8").alias("utf8"))
 
 
 def read_csv(
@@ -80,64 +109,77 @@ def read_csv(
     missing: Sequence[str] = MISSING_CELLS,
 ) -> Scan:
     """A CSV file, or a folder of files with one header, as text columns under clean
-    names. Short rows are filled with NULL, a row longer than the header is an error.
+    names. Short rows are filled with NULL, a row longer than the header is an error, and
+    so is a file whose header differs.
 
     ``header_row`` counts the records above the header, which are dropped with it from
     every file. A quoted line break is only safe when one task reads a whole file; files
     known to have none are split among tasks with ``multiline=False``. A given
-    ``encoding`` saves the pass that finds the files to read as Latin-1.
+    ``encoding`` takes the place of the test for UTF-8. The files are read twice: for
+    headers and encodings, and for the rows.
     """
-    files = sorted(spark.read.text(path).inputFiles())
-    if not files:
-        raise ValueError(f"{path}: no file")
-    latin = set() if encoding else set(fallback_files(spark, path))
-    encoding_of = {f: LATIN1 if f in latin else encoding or UTF8 for f in files}
-    # Listed names are escaped like addresses; paths to read are not.
-    where = {f: unquote(f) for f in files}
-
-    header = read_header(spark, where[files[0]], header_row, encoding_of[files[0]])
+    files = materialize(file_headers(spark, path, header_row, encoding), "headers")
+    # Two headers say enough, whatever the number of files.
+    headers = files.groupBy("header").agg(F.min("file").alias("file"), F.count_if(~F.col("utf8")).alias("latin"), F.count(F.lit(1)).alias("n")).limit(2).collect()
+    if not headers:
+        raise ValueError(f"{path}: no file with a line")
+    if any(h.header is None for h in headers):
+        raise ValueError(f"{next(h.file for h in headers if h.header is None)}: no record {header_row} to take as header")
+    if len(headers) > 1:
+        raise ValueError(f"header differs: {headers[0].file} and {headers[1].file}")
+    header, latin, n = list(headers[0].header), headers[0].latin, headers[0].n
     names = clean_names(header)
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _OVERFLOW]])
-
-    def scan(paths: list[str], encoding: str) -> DataFrame:
-        return spark.read.schema(schema).csv(
-            paths, header=header_row == 0, multiLine=multiline,
-            quote='"', escape='"', encoding=encoding,
-        )
-
+    charset = encoding or (UTF8 if not latin else LATIN1)
+    rows = spark.read.schema(schema).csv(
+        path, header=header_row == 0, multiLine=multiline, quote='"', escape='"', encoding=charset,
+    )
+    if header_row:
+        rows = _below_header(rows, header, header_row, mixed=bool(latin))
+    elif 0 < latin < n:
+        rows = rows.withColumn(_FILE, F.col("_metadata.file_path"))
     too_long = F.raise_error(F.lit(f"{path}: a row has more cells than the header"))
-    fits = F.when(F.col(_OVERFLOW).isNotNull(), too_long.cast("boolean")).otherwise(True)
-    if header_row == 0:
-        alike = {e: [where[f] for f in files if encoding_of[f] == e] for e in encoding_of.values()}
-        scans = [scan(paths, e).filter(fits) for e, paths in alike.items()]
-    else:
-        # The position of a record is known per file, so each file is its own scan.
-        scans = []
-        for f in files:
-            rows = scan([where[f]], encoding_of[f])
-            own = read_header(spark, where[f], header_row, encoding_of[f])
-            if own != header:
-                raise ValueError(f"{f}: header differs from {files[0]}")
-            _check_header(rows, f, header, header_row)
-            scans.append(rows.filter(F.when(_below(header_row), fits).otherwise(False)))
+    rows = rows.filter(F.when(F.col(_OVERFLOW).isNotNull(), too_long.cast("boolean")).otherwise(True))
+    if 0 < latin < n:
+        # Latin-1 keeps every byte, so cells of the files in UTF-8 can still be decoded.
+        rows = rows.join(files.select(F.col("file").alias(_FILE), "utf8"), _FILE, "left")
+        decode = lambda c: F.decode(F.encode(F.col(c), LATIN1), UTF8)
+        rows = rows.select(*(F.when(F.col("utf8"), decode(f"`{c}`")).otherwise(F.col(f"`{c}`")).alias(c) for c in names))
 
     # As text, since a header may have thousands of names.
     listed = ", ".join("'" + m.replace("'", "\\'") + "'" for m in missing)
     cells = [f"CASE WHEN `{n}` NOT IN ({listed}) THEN `{n}` END AS `{n}`" for n in names]
-    df = reduce(DataFrame.union, [r.selectExpr(*cells) if missing else r.select(*names) for r in scans])
-    return Scan(df, rename_map(spark, header, names), tuple(sorted(latin)))
-
-
-def _below(header_row: int) -> Column:
-    """Whether a row of one file lies below its header, which is among the first records
-    of the task that reads the first block."""
-    at = F.monotonically_increasing_id().bitwiseAND(F.lit(_WITHIN_TASK))
-    return (F.col("_metadata.file_block_start") != 0) | (at > header_row)
-
-
-def _check_header(rows: DataFrame, file: str, header: list[str], header_row: int) -> None:
-    """The scan has to find the header where the text has it. It does not where lines end
-    in more than one way and records are joined."""
-    ends = rows.select(rows.columns[len(header) - 1], _OVERFLOW).limit(header_row + 1).collect()
-    if len(ends) <= header_row or tuple(ends[header_row]) != (header[-1] or None, None):
-        raise ValueError(f"{file}: mixed line ends, the header is not a record of its own")
+    df = rows.selectExpr(*cells) if missing else rows.select(*(F.col(f"`{n}`") for n in names))
+    return Scan(df, rename_map(spark, header, names), files.filter(~F.col("utf8")).select("file"))
+
+
+def _below_header(rows: DataFrame, header: list[str], header_row: int, mixed: bool) -> DataFrame:
+    """The rows below the header of each file, in one scan of all. Rows of a file come in
+    order, and its first block has the preamble. The scan has to find the header where
+    the text has it; it does not where lines end in more than one way and records are
+    joined."""
+    cells = len(header) + 1
+    last = {header[-1] or None}
+    if mixed:  # bytes of UTF-8 that were read as Latin-1
+        last.add((header[-1] or "").encode().decode("latin-1") or None)
+    placed = rows.select("*", F.col("_metadata.file_path").alias(_FILE), (F.col("_metadata.file_block_start") == 0).alias("_top"))
+
+    def drop(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, at = None, 0
+        for batch in batches:
+            names = pc.run_end_encode(batch.column(cells)) if batch.num_rows else None
+            start = 0
+            for end, name in zip(names.run_ends.to_pylist(), names.values.to_pylist()) if names else ():
+                part, start = batch.slice(start, end - start), end
+                if name != now:
+                    now, at = name, 0
+                if part.column(cells + 1)[0].as_py() and at <= header_row:
+                    here = header_row - at
+                    at += part.num_rows
+                    if here < part.num_rows and (part.column(cells - 2)[here].as_py() not in last or part.column(cells - 1)[here].as_py() is not None):
+                        raise ValueError(f"{name}: mixed line ends, the header is not a record of its own")
+                    part = part.slice(min(here + 1, part.num_rows))
+                if part.num_rows:
+                    yield part.select(range(cells + 1))
+
+    return placed.mapInArrow(drop, T.StructType([*rows.schema.fields, T.StructField(_FILE, T.StringType())]))

@@ -7,13 +7,18 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import types as T
 
 from payscope.sinks.tables import truncate_and_load
 from payscope.sources.archives import list_members, unpack_first_member
 from payscope.sources.csv_files import read_csv
-from payscope.sources.json_files import read_documents, read_pages
+from payscope.sources.json_files import (
+    missing_pages,
+    read_documents,
+    read_pages,
+    read_raw_documents,
+)
 
 MANIFEST = "source string, status string, rows bigint, columns int, message string"
 
@@ -21,8 +26,8 @@ MANIFEST = "source string, status string, rows bigint, columns int, message stri
 @dataclass(frozen=True)
 class Source:
     """Where a raw table comes from. ``kind`` is one of csv, csv_zip, json, json_zip,
-    pages; ``header_row`` counts from 0; ``schema`` is the document schema of JSON.
-    ``lines`` says that no record spans lines, so that files can be split among tasks."""
+    pages; ``header_row`` counts from 0. JSON documents land whole as text, or under
+    ``schema`` if one is given. ``lines`` says that no record spans lines, so that files can be split among tasks."""
 
     path: str
     kind: str
@@ -35,41 +40,45 @@ class Source:
 
 def open_source(
     spark: SparkSession, source: Source
-) -> tuple[DataFrame, DataFrame | None, str]:
-    """The raw rows, the header map where names were cleaned, and a remark."""
+) -> tuple[DataFrame, DataFrame | None, Callable[[], str]]:
+    """The raw rows, the header map where names were cleaned, and what to remark once
+    they have been read."""
     path, kind, remark = source.path, source.kind, ""
     if kind.endswith("_zip"):
         remark = list_members(spark, path).first().warning or ""
         path, kind = unpack_first_member(spark, path), kind.removesuffix("_zip")
     if kind == "csv":
         scan = read_csv(spark, path, source.header_row, multiline=not source.lines)
-        if scan.fallback:
-            remark = f"read as Latin-1: {', '.join(scan.fallback)}"
-        return scan.df, scan.renames, remark
+        return scan.df, scan.renames, lambda: remark or scan.remark()
+    if kind == "json" and source.schema is None:
+        return read_raw_documents(spark, path, lines=source.lines), None, lambda: remark
     if kind == "json":
-        return read_documents(spark, path, source.schema, lines=source.lines), None, remark
+        return read_documents(spark, path, source.schema, lines=source.lines), None, lambda: remark
     if kind == "pages":
+        seen = Observation("pages")
         rows = read_pages(
-            spark, path, source.columns, page_size=source.page_size, lines=source.lines
+            spark, path, source.columns, page_size=source.page_size, lines=source.lines, seen=seen
         )
-        return rows, None, remark
+        return rows, None, lambda: missing_pages(seen, source.page_size)
     raise ValueError(f"unknown kind {source.kind}")
 
 
 def _load(spark: SparkSession, source: Source, target: str) -> tuple[str, int, int, str]:
     try:
-        raw, renames, message = open_source(spark, source)
-        if not raw.columns or raw.isEmpty():
-            return "empty", 0, len(raw.columns), "no rows, not loaded"
-        counts = truncate_and_load(raw, target)
+        raw, renames, remark = open_source(spark, source)
+        if not raw.columns:
+            return "empty", 0, 0, "no rows, not loaded"
+        counts = truncate_and_load(raw, target, empty=False)
+        if not counts["rows"]:
+            return "empty", 0, counts["columns"], "no rows, not loaded"
         if renames is not None:
-            renames.write.mode("overwrite").parquet(target + "__renames")
-        return "loaded", counts["rows"], counts["columns"], message
+            truncate_and_load(renames, target + "__renames")
+        return "loaded", counts["rows"], counts["columns"], remark()
     except AnalysisException as e:
         missing = e.getCondition() == "PATH_NOT_FOUND"
-        return "missing" if missing else "failed", 0, 0, str(e)[:500]
+        return "missing" if missing else "failed", 0, 0, str(e)
     except Exception as e:  # noqa: BLE001 - any broken source is recorded, the rest go on
-        return "failed", 0, 0, str(e)[:500]
+        return "failed", 0, 0, str(e)
 
 
 def ingest(
@@ -81,7 +90,8 @@ def ingest(
     report: Callable[[str, str], None] | None = None,
 ) -> DataFrame:
     """Land every source under ``folder/<name>``, replacing what was there. A source
-    that is missing, empty or broken is recorded and the others go on. Several are read
+    that is missing, empty or broken is recorded, its table stays as it was, and the
+    others go on. Several are read
     at once, since a file that cannot be split keeps a single task busy."""
 
     def one(item: tuple[str, Source]) -> tuple:

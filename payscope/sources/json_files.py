@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,6 +30,28 @@ def read_documents(
     return spark.read.schema(schema).json(path, multiLine=not lines, mode="FAILFAST")
 
 
+def read_raw_documents(
+    spark: SparkSession, path: str | list[str], *, lines: bool = False
+) -> DataFrame:
+    """JSON documents whole, as text in the column ``document``, so that no field is
+    lost: one per file, or one per line. Invalid JSON is an error."""
+    text = spark.read.text(path, wholetext=not lines)
+    document = F.regexp_replace("value", "^\ufeff", "")
+    broken = F.raise_error(F.lit("malformed JSON document")).cast("string")
+    valid = F.when(F.try_parse_json("document").isNull(), broken).otherwise(F.col("document"))
+    return (
+        text.select(document.alias("document"))
+        .filter(F.trim("document") != "")
+        .select(valid.alias("document"))
+    )
+
+
+def parse_documents(raw: DataFrame, schema: str | T.StructType) -> DataFrame:
+    """The fields of a schema out of landed documents."""
+    parsed = F.from_json("document", schema, {"mode": "FAILFAST"})
+    return raw.select(parsed.alias("d")).select("d.*")
+
+
 def read_pages(
     spark: SparkSession,
     path: str | list[str],
@@ -38,14 +60,17 @@ def read_pages(
     page_size: int = PAGE_SIZE,
     number: str | None = None,
     lines: bool = False,
+    seen: Observation | None = None,
 ) -> DataFrame:
     """Rows of saved pages ``{"results": [...]}``, every field as text.
 
-    Reading stops at the first page with fewer than ``page_size`` rows, as a client that
-    asks for page after page would. Pages are ordered by the top-level field ``number``,
-    or by the last number in the file name. ``lines`` reads one page per line, which
-    lets a large file be split among tasks. Without ``columns`` the fields are found in
-    a first pass.
+    Every page is read; ``lines`` reads one page per line, which lets a large file be
+    split among tasks. Without ``columns`` the fields are found in a first pass.
+
+    A page with fewer than ``page_size`` rows should be the last one. ``seen`` observes,
+    while the rows are read, the number of ``pages``, of ``short`` ones, and the rows of
+    the last one (``last``), by the top-level field ``number`` or the last number in the
+    file name; ``missing_pages`` makes a remark of it.
     """
     reader = spark.read
     if columns is not None:
@@ -61,14 +86,25 @@ def read_pages(
     documents = reader.json(
         path, multiLine=not lines, mode="FAILFAST", primitivesAsString=True
     )
-    pages = documents.select(order.try_cast("bigint").alias("page"), "results")
+    if seen is None:
+        return documents.select(F.explode("results").alias("row")).select("row.*")
     held = F.coalesce(F.size("results"), F.lit(0))
-    last = pages.filter(held < page_size).agg(F.min("page")).scalar()
-    return (
-        pages.filter(F.coalesce(F.col("page") <= last, F.lit(True)))
-        .select(F.explode("results").alias("row"))
-        .select("row.*")
+    pages = documents.select(order.try_cast("bigint").alias("page"), held.alias("held"), "results")
+    watched = pages.observe(
+        seen,
+        F.count(F.lit(1)).alias("pages"),
+        F.count_if(F.col("held") < page_size).alias("short"),
+        F.max_by("held", "page").alias("last"),
     )
+    return watched.select(F.explode("results").alias("row")).select("row.*")
+
+
+def missing_pages(seen: Observation, page_size: int = PAGE_SIZE) -> str:
+    """What the pages read say about pages that may be missing."""
+    found = seen.get
+    last = found["last"]
+    short = found["short"] - (1 if last is not None and last < page_size else 0)
+    return f"{short} of {found['pages']} pages are short before the last" if short > 0 else ""
 
 
 def resolve_download(

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from payscope.operators.reshape import (
     discover_groups,
+    dropped_groups,
     explode_nested,
     explode_records,
     first_element,
@@ -25,16 +26,32 @@ def test_group_discovery():
     columns = ["code_1", "standard_charge_gross", *wide_columns("P", "Q"), *wide_columns("R")[:3]]
     columns += ["standard_charge_P_negotiated_dollar_1", "standard_charge__methodology"]
     found = discover_groups(columns, "standard_charge_", SUFFIXES)
-    assert list(found.groups) == ["P", "Q"] and found.incomplete == ("R",)
+    assert list(found.groups) == ["P", "Q"]
+    assert found.incomplete == {"P_1": (columns[-2],), "R": tuple(wide_columns("R")[:3])}
     assert found.groups["P"] == tuple(wide_columns("P"))
-    # Names that match no suffix, such as repeated headers, are reported.
-    assert found.ignored == (
-        "standard_charge_gross", "standard_charge_P_negotiated_dollar_1", "standard_charge__methodology",
-    )
+    # Names that match no suffix are reported.
+    assert found.ignored == ("standard_charge_gross", "standard_charge__methodology")
     with pytest.raises(ValueError, match="no complete group"):
         discover_groups(["standard_charge_gross"], "standard_charge_", SUFFIXES)
 
 
+def test_plans_alike_once_cleaned(spark, rows):
+    header = ["code|1"] + [f"standard_charge|P|{p}|{s}" for p in ("a b", "a/b") for s in SUFFIXES]
+    del header[2]  # the first plan lacks a suffix, so numbers alone would mix the two up
+    names = clean_names(header)
+    groups = discover_groups(names, "standard_charge_", SUFFIXES, dict(zip(names, header)))
+    assert list(groups.groups) == ["P_a_b_1"] and list(groups.incomplete) == ["P_a_b"]
+    assert [header[names.index(c)].split("|")[2] for c in groups.groups["P_a_b_1"]] == ["a/b"] * 4
+    lost = dropped_groups(spark, groups)
+    assert {(r.label, r.reason) for r in lost.collect()} == {("P_a_b", "incomplete group")} and lost.count() == 3
+    header = ["code|1"] + [f"standard_charge|P|{p}|{s}" for p in ("a b", "a/b") for s in SUFFIXES]
+    names = clean_names(header)
+    raw = spark.createDataFrame([("1", *"12345678")], names)
+    for originals in (None, dict(zip(names, header))):
+        staged = prices.stage_wide(raw, originals).select("payer_plan", "negotiated_dollar", "methodology")
+        assert rows(staged) == [("P_a_b", 1.0, "4"), ("P_a_b_1", 5.0, "8")]
+
+
 def test_wide_stage(spark, rows):
     columns = ["code_1", *wide_columns("P", "Q"), *wide_columns("R")[:3]]
     none = [None] * 4

@@ -2,6 +2,7 @@ import json
 import zipfile
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from payscope.plans import prices
@@ -14,11 +15,13 @@ from payscope.sinks.tables import (
     write_spread,
 )
 from payscope.sources.archives import list_members, unpack_first_member
-from payscope.sources.csv_files import fallback_files, read_csv
+from payscope.sources.csv_files import read_csv
 from payscope.sources.ingest import Source, ingest, read_raw
 from payscope.sources.json_files import (
+    missing_pages,
     read_documents,
     read_pages,
+    read_raw_documents,
     resolve_download,
     resolve_downloads,
 )
@@ -56,7 +59,7 @@ def got(scan):
 def test_preamble_csv(spark, tmp_path, encoding):
     path = put(tmp_path / "odd name%41.csv", PREAMBLE + HEADER + BODY, encoding)
     scan = read_csv(spark, path, 2)
-    assert len(scan.fallback) == (encoding == "latin-1") and got(scan) == ROWS
+    assert scan.fallback.count() == (encoding == "latin-1") and got(scan) == ROWS
     assert scan.df.columns == ["description", "code_1", "code_1_type", "standard_charge_gross"]
     assert {r.original: r.clean for r in scan.renames.collect()}["code|1"] == "code_1"
     assert {t for _, t in scan.df.dtypes} == {"string"}
@@ -117,9 +120,31 @@ def test_encoding_is_decided_per_whole_file(spark, tmp_path):
     put(tmp_path / "f.csv", b"t\n" + "é\n".encode() * 5000 + b"\xe9\n")
     # Text that was mangled before is valid, and is left alone.
     put(tmp_path / "g.csv", "t\né\nâ€“\n")
-    assert [f.rsplit("/", 1)[1] for f in fallback_files(spark, str(tmp_path))] == ["f.csv"]
-    texts = {r.t: r["count"] for r in read_csv(spark, str(tmp_path)).df.groupBy("t").count().collect()}
+    scan = read_csv(spark, str(tmp_path))
+    assert [r.file.rsplit("/", 1)[1] for r in scan.fallback.collect()] == ["f.csv"]
+    texts = {r.t: r["count"] for r in scan.df.groupBy("t").count().collect()}
     assert texts == {"Ã©": 5000, "é": 2, "â€“": 1}
+    for f, t in (("f.csv", b"\xe9"), ("g.csv", "é".encode())):
+        put(tmp_path / f, UNIX.encode() + b"id," + t + b"\n1," + t + b"\n")
+    scan = read_csv(spark, str(tmp_path / "f.csv"), 2)
+    assert scan.df.columns == ["id", "unnamed_column"] and scan.df.collect() == [("1", "é")]
+    # The same header in both encodings, in one scan.
+    assert read_csv(spark, str(tmp_path), 2).df.collect() == [("1", "é")] * 2
+
+
+def test_headers_of_a_folder_have_to_agree(spark, tmp_path):
+    put(tmp_path / "a.csv", "x,y\n10,20\n")
+    put(tmp_path / "b.csv", "y,x\n20,10\n")
+    with pytest.raises(ValueError, match="header differs"):
+        read_csv(spark, str(tmp_path))
+
+
+def test_header_far_down(spark, tmp_path):
+    path = put(tmp_path / "f.csv", "".join(f"line {i}\n" for i in range(205)) + '"a\n\nb",c\n1,2\n')
+    scan = read_csv(spark, path, 205)
+    assert scan.df.columns == ["a_b", "c"] and scan.df.collect() == [("1", "2")]
+    with pytest.raises(ValueError, match="no record"):
+        read_csv(spark, path, 900)
 
 
 def pages(folder, *sizes, size_name="p"):
@@ -133,12 +158,38 @@ def pages(folder, *sizes, size_name="p"):
 
 
 @pytest.mark.parametrize(
-    ("sizes", "want"), [((3, 3, 1), 7), ((3, 3, 0), 6), ((3, 2, 3), 5), ((3, 3), 6), ((0, 3), 0)]
+    ("sizes", "short"), [((3, 3, 1), 0), ((3, 3, 0), 0), ((3, 2, 3), 1), ((3, 3), 0), ((0, 3, 2, 1), 2)]
 )
-def test_pages_stop_at_the_first_short_one(spark, tmp_path, sizes, want):
-    df = read_pages(spark, pages(tmp_path / "p", *sizes), ["id", "v"], page_size=3)
+def test_all_pages_are_read_and_short_ones_reported(spark, tmp_path, sizes, short):
+    seen = Observation()
+    df = read_pages(spark, pages(tmp_path / "p", *sizes), ["id", "v"], page_size=3, seen=seen)
     assert df.columns == ["id", "v"] and {t for _, t in df.dtypes} == {"string"}
-    assert sorted(int(r.id) for r in df.collect()) == list(range(want))
+    assert sorted(int(r.id) for r in df.collect()) == list(range(sum(sizes)))
+    said = missing_pages(seen, 3)
+    assert said == (f"{short} of {len(sizes)} pages are short before the last" if short else "")
+
+
+def test_raw_documents_keep_every_field(spark, tmp_path):
+    whole = {**CHARGES, "extra": {"deep": [1, {"x": None}]}}
+    path = put(tmp_path / "d.json", b"\xef\xbb\xbf" + json.dumps(whole, indent=1).encode())
+    land = str(tmp_path / "raw")
+    ingest(spark, {"doc": Source(path, "json")}, land)
+    raw = read_raw(spark, land, ["doc"])["doc"]
+    assert json.loads(raw.first().document) == whole
+    assert prices.stage_json_payers(raw).count() == 1 and prices.stage_json_first(raw).count() == 3
+    lined = put(tmp_path / "l.json", json.dumps(whole) + "\n\n" + json.dumps({"a": 1}) + "\n")
+    assert read_raw_documents(spark, lined, lines=True).count() == 2
+
+
+def test_failed_reload_keeps_the_table(spark, tmp_path):
+    land = str(tmp_path / "raw")
+    path = put(tmp_path / "f.csv", "a,b\n" + "1,2\n" * 50)
+    assert ingest(spark, {"t": Source(path, "csv")}, land).first().status == "loaded"
+    for text, status in (("a,b\n1,2\n1,2,3\n", "failed"), ("a,b\n", "empty")):
+        put(tmp_path / "f.csv", text)
+        assert ingest(spark, {"t": Source(path, "csv")}, land).first().status == status
+        assert read_raw(spark, land, ["t"])["t"].count() == 50
+    assert sorted(p.name for p in (tmp_path / "raw").iterdir()) == ["t", "t__renames"]
 
 
 def test_pages_without_given_columns(spark, tmp_path):
@@ -226,7 +277,7 @@ def test_zip(spark, tmp_path):
     assert listed == {"one.zip": None, "two.zip": "expected 1 member, found 2"}
     for archive in (one, str(tmp_path / "two.zip")):
         scan = read_csv(spark, unpack_first_member(spark, archive), 2)
-        assert scan.fallback == () and got(scan) == ROWS
+        assert scan.fallback.count() == 0 and got(scan) == ROWS
 
 
 def test_long_zip_keeps_its_order(spark, tmp_path):
@@ -277,18 +328,18 @@ def test_spread_write(spark, tmp_path):
     assert {r.s: r["count"] for r in back.groupBy("s").count().collect()} == {"hot": 900, "cold": 100}
 
 
-@pytest.mark.parametrize("limit", [100, 2])
-def test_export(spark, tmp_path, limit):
+@pytest.mark.parametrize("single", [True, False])
+def test_export(spark, tmp_path, single):
     df = spark.createDataFrame([("b", 1.5), ("a", None), ("c", 9.0), ("d", 9.0)], "k string, v double")
     path = tmp_path / "out"
     export_csv(
         df, str(path), {"key": F.col("k"), "price": F.col("v")},
-        [F.desc_nulls_last("price"), F.asc("key")], single_file_rows=limit,
+        [F.desc_nulls_last("price"), F.asc("key")], single_file=single,
     )
     files = sorted(path.glob("*.csv"))
     lines = [line for f in files for line in f.read_text().splitlines() if line != "key,price"]
     assert lines == ["c,9.0", "d,9.0", "b,1.5", "a,"]
-    assert files[0].read_text().startswith("key,price\n") and (limit == 2 or len(files) == 1)
+    assert files[0].read_text().startswith("key,price\n") and (not single or len(files) == 1)
 
 
 def test_stored_failures(spark, tmp_path):
