@@ -161,9 +161,44 @@ def collect_failures(failing: DataFrame, samples: int = SAMPLE_ROWS) -> DataFram
     return counts.join(first, "check_name")
 
 
+# Fixed value: as much of a name as has to be found in the other one.
+NAME_START = 30
+
+
+def _stretches(name: str) -> Column:
+    """All parts of a name that a start of at most ``NAME_START`` signs can equal."""
+    starts = F.sequence(F.lit(1), F.length(name))
+    parts = F.transform(
+        starts,
+        lambda a: F.transform(
+            F.sequence(F.lit(1), F.least(F.lit(NAME_START), F.length(name) - a + 1)),
+            lambda n: F.substring(F.col(name), a, n),
+        ),
+    )
+    return F.array_distinct(F.flatten(parts))
+
+
+def match_messages(names: DataFrame, messages: DataFrame) -> DataFrame:
+    """(check_name, message) for every name that has one: the start of either name occurs
+    in the other. The same name comes first, then the least. Starts are joined on
+    equality with the parts of the other names; names are few, one per check."""
+    own = names.select("check_name").filter("check_name <> ''").distinct()
+    said = messages.select(F.col("check_name").alias("said"), "message").filter("said <> ''")
+    start = lambda c: F.left(c, F.lit(NAME_START))
+    in_said = own.withColumn("part", start(F.col("check_name"))).join(
+        said.withColumn("part", F.explode(_stretches("said"))), "part"
+    )
+    in_own = own.withColumn("part", F.explode(_stretches("check_name"))).join(
+        said.withColumn("part", start(F.col("said"))), "part"
+    )
+    order = F.struct(F.col("check_name") != F.col("said"), "said", "message")
+    best = in_said.unionByName(in_own).groupBy("check_name").agg(F.min(order).alias("best"))
+    return best.select("check_name", "best.message")
+
+
 def triage_packet(
     failures: DataFrame,
-    messages: DataFrame | None = None,
+    messages: DataFrame | Column | None = None,
     checked_rows: DataFrame | None = None,
     *,
     broken_share: float = 0.5,
@@ -172,17 +207,22 @@ def triage_packet(
     """What a reviewer needs per failed check: name, run message, count, sample rows as
     JSON, and the text that puts them together.
 
-    ``messages`` (check_name, message) and ``checked_rows`` (check_name, n_rows) are
-    matched on the full name. ``failure_type`` follows the share of checked rows that
-    fail: most of them points at the source, stray ones at the data, anything between
-    at the bounds of the check; unknown without a row count.
+    ``messages`` (check_name, message) are matched by ``match_messages``, or are an
+    expression over the failures; ``checked_rows`` (check_name, n_rows) by the full name.
+    ``failure_type`` follows the share of checked rows that fail: most of them points at
+    the source, stray ones at the data, anything between at the bounds of the check;
+    unknown without a row count.
     """
-    out = failures
-    for extra, column, kind in ((messages, "message", "string"), (checked_rows, "n_rows", "bigint")):
-        if extra is None:
-            out = out.withColumn(column, F.lit(None).cast(kind))
-        else:
-            out = out.join(extra.select("check_name", column), "check_name", "left")
+    if messages is None:
+        out = failures.withColumn("message", F.lit(None).cast("string"))
+    elif isinstance(messages, Column):
+        out = failures.withColumn("message", messages)
+    else:
+        out = failures.join(match_messages(failures, messages), "check_name", "left")
+    if checked_rows is None:
+        out = out.withColumn("n_rows", F.lit(None).cast("bigint"))
+    else:
+        out = out.join(checked_rows.select("check_name", "n_rows"), "check_name", "left")
     share = F.try_divide(F.col("n_failing"), F.col("n_rows"))
     return out.withColumn(
         "failure_type",

@@ -6,7 +6,7 @@ import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from payscope.functions.clean import any_present, first_of
@@ -85,12 +85,19 @@ def discover_groups(
     )
 
 
-def dropped_groups(spark: SparkSession, groups: ColumnGroups) -> DataFrame:
-    """What is not melted, one row per column: label, column, reason. As many rows as the
-    header has names at most."""
-    rows = [(label, c, "incomplete group") for label, cs in groups.incomplete.items() for c in cs]
-    rows += [(None, c, "no known suffix") for c in groups.ignored]
-    return spark.createDataFrame(rows, "label string, column string, reason string")
+def dropped_groups(df: DataFrame, groups: ColumnGroups) -> DataFrame:
+    """What is not melted, one row per column: label, column, reason, and the number of
+    cells with a value, all counted in one pass."""
+    lost = [(label, c, "incomplete group") for label, cs in groups.incomplete.items() for c in cs]
+    lost += [(None, c, "no known suffix") for c in groups.ignored]
+    if not lost:
+        return df.sparkSession.createDataFrame([], "label string, column string, reason string, n_cells bigint")
+    counted = df.agg(*(F.count(_quoted(c)).alias(f"n{i}") for i, (_, c, _) in enumerate(lost)))
+    rows = [
+        F.struct(F.lit(label).cast("string").alias("label"), F.lit(c).alias("column"), F.lit(why).alias("reason"), F.col(f"n{i}").alias("n_cells"))
+        for i, (label, c, why) in enumerate(lost)
+    ]
+    return counted.select(F.inline(F.array(*rows)))
 
 
 def _quoted(name: str) -> str:

@@ -7,7 +7,11 @@ measure rows. Raw text with placeholders is derived from the events, every row o
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from payscope.functions.clean import (
@@ -25,13 +29,24 @@ from payscope.operators.contract import contract_union
 from payscope.operators.correlation import correlations, headline
 from payscope.operators.joins import dimension_lookup, full_join, spine_join, with_identity
 from payscope.operators.quantiles import describe, exact_quantiles, group_medians, median_gap
-from payscope.operators.reshape import recover_parts
+from payscope.operators.reshape import dropped_groups, recover_parts
 from payscope.operators.segments import analytic_counts, analytic_set, listing
 from payscope.plans import analysis, prices
 from payscope.session import materialize, scratch_path
-from payscope.sinks.tables import read_failures, store_failures
+from payscope.sinks.tables import (
+    read_failures,
+    recent_failures,
+    store_failures,
+    truncate_and_load,
+)
 from payscope.sources.csv_files import read_csv
-from payscope.sources.json_files import read_documents, read_pages
+from payscope.sources.json_files import (
+    CATALOG,
+    first_downloads,
+    read_documents,
+    read_pages,
+    read_raw_documents,
+)
 from payscope.sources.names import sanitize_columns
 
 MEASURE_COLUMNS = {
@@ -483,7 +498,8 @@ def headline_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def wide_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as a wide price file under its own headers: one group of four text columns
-    per return flag, an incomplete group, and gaps where an order has nothing to report."""
+    per return flag, one more plan under nearly the same name, an incomplete group, and
+    gaps where an order has nothing to report."""
     cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
     columns = []
     for flag in ("A", "N", "R"):
@@ -504,6 +520,13 @@ def wide_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         }
         plan = f"plan {flag.lower()}/1"
         columns += [c.alias(f"standard_charge|{flag}|{plan}|{n}") for n, c in texts.items()]
+    # Another plan of the first payer, whose headers come out alike once cleaned.
+    columns += [
+        F.max(cents).cast("string").alias("standard_charge|A|plan a 1|negotiated_dollar"),
+        F.lit(None).cast("string").alias("standard_charge|A|plan a 1|negotiated_percentage"),
+        F.lit(None).cast("string").alias("standard_charge|A|plan a 1|negotiated_algorithm"),
+        F.lit("top").alias("standard_charge|A|plan a 1|methodology"),
+    ]
     return (
         table(spark, sf_dir, "lineitem")
         .groupBy("l_orderkey")
@@ -517,25 +540,36 @@ def wide_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _clean_wide(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, str], DataFrame]:
+    raw = wide_raw(spark, sf_dir)
+    clean, renames = sanitize_columns(raw)
+    return clean, dict(zip(clean.columns, raw.columns)), renames
+
+
 def recovered_plans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payer and plan taken back from the headers the names were cleaned from."""
-    raw, renames = sanitize_columns(wide_raw(spark, sf_dir))
+    raw, originals, renames = _clean_wide(spark, sf_dir)
     suffix = prices.GROUP_SUFFIXES[0]
     parts = ["payer_name", "plan_name"]
-    found = recover_parts(
-        prices.stage_wide(raw), "payer_plan", renames, prices.GROUP_PREFIX, suffix, parts
-    )
+    staged = prices.stage_wide(raw, originals)
+    found = recover_parts(staged, "payer_plan", renames, prices.GROUP_PREFIX, suffix, parts)
     return found.select("code", "payer_plan", *parts, "negotiated_dollar")
 
 
 def wide_melt(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw, _ = sanitize_columns(wide_raw(spark, sf_dir))
-    return prices.stage_wide(raw).select(
+    raw, originals, _ = _clean_wide(spark, sf_dir)
+    return prices.stage_wide(raw, originals).select(
         "code", "code_type", "setting", "payer_plan", "gross_charge",
         "negotiated_dollar", "negotiated_percentage", "negotiated_algorithm", "methodology",
     )
 
 
+def lost_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the melt leaves out, with the cells it would have held."""
+    raw, originals, _ = _clean_wide(spark, sf_dir)
+    return dropped_groups(raw, prices.wide_groups(raw, originals))
+
+
 def tall_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     cents = F.round(F.col("l_extendedprice") * 100).cast("bigint").cast("string")
     return table(spark, sf_dir, "lineitem").select(
@@ -688,13 +722,18 @@ def scan_paged_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("c_custkey", safe_int(F.col("c_custkey")))
 
 
-def scan_nested_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Charge documents through JSON text and the double explode."""
+def _landed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Charge documents with a field that no schema lists, landed whole."""
     path = scratch_path(spark, "documents")
-    charge_documents(spark, sf_dir).write.json(path)
-    back = read_documents(spark, path, prices.DOCUMENT, lines=True)
+    extra = F.col("standard_charge_information")[0]["description"].alias("extra")
+    charge_documents(spark, sf_dir).select("*", F.struct(extra).alias("unlisted")).write.json(path)
+    return read_raw_documents(spark, path, lines=True)
+
+
+def scan_nested_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed documents under their schema, through the double explode."""
     return (
-        prices.stage_json_payers(back)
+        prices.stage_json_payers(_landed_documents(spark, sf_dir))
         .groupBy("code", "payer_name")
         .agg(
             F.count(F.lit(1)).alias("n"),
@@ -703,6 +742,83 @@ def scan_nested_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def scan_raw_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The unlisted field of every landed document."""
+    return _landed_documents(spark, sf_dir).select(F.get_json_object("document", "$.unlisted.extra").alias("extra"))
+
+
+def _preamble_files(df: DataFrame, path: str, preamble: list[str], encoding: str = "utf-8") -> None:
+    """Lines of text (column ``value``) as files that each begin with the preamble."""
+
+    def put(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield pa.record_batch([pa.array([p.encode(encoding) for p in preamble], pa.binary())], ["value"])
+        for batch in batches:
+            lines = [v.encode(encoding) for v in batch.column(0).to_pylist()]
+            yield pa.record_batch([pa.array(lines, pa.binary())], ["value"])
+
+    df.select("value").mapInArrow(put, "value binary").select(F.col("value").cast("string")).write.mode("append").text(path)
+
+
+def scan_preamble_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items through a folder of CSV files with two records above the header."""
+    path = scratch_path(spark, "preamble")
+    items = table(spark, sf_dir, "lineitem")
+    quoted = F.concat(F.lit('"'), "l_linestatus", F.lit(', ""x"""'))
+    lines = items.select(F.concat_ws(",", "l_suppkey", "l_quantity", quoted).alias("value"))
+    _preamble_files(lines, path, ["name,date", '"a, b",2024-01-01,more', "supp|key,l quantity,note"])
+    rows = read_csv(spark, path, 2).df
+    return rows.groupBy(safe_int(F.col("supp_key")).alias("supplier"), "note").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(safe_double(F.col("l_quantity"))).alias("quantity")
+    )
+
+
+def scan_latin1_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers through a folder in which some files are UTF-8 and some Latin-1."""
+    path = scratch_path(spark, "encodings")
+    line = F.concat_ws(",", "c_custkey", F.concat(F.lit("é "), "c_mktsegment")).alias("value")
+    customers = table(spark, sf_dir, "customer")
+    for odd, encoding in ((0, "utf-8"), (1, "latin-1")):
+        _preamble_files(customers.filter(F.col("c_custkey") % 2 == odd).select(line), path, ["key,segment"], encoding)
+    return read_csv(spark, path).df.select(safe_int(F.col("key")).alias("c_custkey"), "segment")
+
+
+def catalog_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as catalogs with an entry per line item: the download of the first entry
+    that holds an id."""
+    path = scratch_path(spark, "catalogs")
+    ident = F.concat(F.lit("http://x/"), F.col("l_partkey").cast("string"))
+    address = lambda end: F.struct(F.concat_ws("-", "l_orderkey", "l_linenumber", F.lit(end)).alias("downloadURL"))
+    entry = F.struct(
+        F.col("l_linenumber").alias("at"),
+        ident.alias("identifier"),
+        F.when(F.col("l_linenumber") != 2, F.array(address(".json"), address(".CSV"), address(".csv"))).alias("distribution"),
+    )
+    (
+        table(spark, sf_dir, "lineitem")
+        .groupBy("l_orderkey")
+        .agg(F.array_sort(F.collect_list(entry)).alias("dataset"))
+        .write.json(path)
+    )
+    catalogs = read_documents(spark, path, "l_orderkey bigint, " + CATALOG, lines=True)
+    return first_downloads(catalogs, "/1", by=["l_orderkey"])
+
+
+def load_and_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items loaded, loaded again, then once with a broken row and once empty: the
+    table is that of the second load."""
+    path = scratch_path(spark, "table")
+    items = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linenumber", "l_quantity")
+    truncate_and_load(items.withColumn("l_quantity", F.lit(0.0)), path)
+    truncate_and_load(items, path)
+    broken = F.when(F.col("l_linenumber") < 2, F.raise_error(F.lit("broken row")).cast("double")).otherwise(F.col("l_quantity"))
+    try:
+        truncate_and_load(items.withColumn("l_quantity", broken), path)
+    except PySparkException:
+        truncate_and_load(items.filter("l_quantity < 0"), path, empty=False)
+    loaded = spark.read.parquet(path)
+    return loaded.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("quantity"))
+
+
 # --- checks --------------------------------------------------------------------------
 
 
@@ -773,10 +889,7 @@ def triage_packet(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "audit")
     store_failures(_failing(spark, sf_dir), folder, "run1")
     found = checks.collect_failures(read_failures(spark, folder, "run1"))
-    messages = found.select(
-        "check_name",
-        F.format_string("Got %d results", F.col("n_failing")).alias("message"),
-    )
+    messages = F.format_string("Got %d results", F.col("n_failing"))
     n = F.count(F.lit(1)).alias("n_rows")
     checked = (
         table(spark, sf_dir, "lineitem").agg(F.lit("unique_lineitem").alias("check_name"), n)
@@ -787,6 +900,27 @@ def triage_packet(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def recent_failures_by_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "audit")
+    store_failures(_failing(spark, sf_dir), folder, "run1")
+    recent = recent_failures(spark, folder, "2000-01-01 00:00:00")
+    stale = recent_failures(spark, folder, "2999-01-01 00:00:00").agg(F.count(F.lit(1))).scalar()
+    return recent.groupBy("check_name").agg(F.count(F.lit(1)).alias("n_failing")).withColumn("n_stale", stale)
+
+
+def headline_reproduces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each correlation against a stated one; one of the two is far off."""
+    found = correlations(reliable_mart(spark, sf_dir), COLUMNS.pairs)
+    expected = {"rating_vs_outcome": (5.0, 0.01), "cost_vs_outcome": (0.0, 0.05)}
+    return checks.reproduces(found, expected, 1.0).select("pair", "n", "expected_r", "r_matches", "p_matches")
+
+
+def totals_against(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines per flag against a stated total; keys are suppliers."""
+    items = table(spark, sf_dir, "lineitem")
+    return checks.totals_match(items, "l_suppkey", 60_000, 100, tolerance=0.1)
+
+
 QUERIES = {
     "stage_suppressed_measures": staged_events,
     "safe_cast_matrix": safe_cast_matrix,
@@ -841,4 +975,13 @@ QUERIES = {
     "key_integrity": key_integrity,
     "failure_collection": failure_collection,
     "triage_packet": triage_packet,
+    "dropped_groups": lost_groups,
+    "scan_raw_json": scan_raw_json,
+    "scan_preamble_csv": scan_preamble_csv,
+    "scan_latin1_csv": scan_latin1_csv,
+    "catalog_resolve": catalog_resolve,
+    "load_and_reload": load_and_reload,
+    "recent_failures": recent_failures_by_check,
+    "headline_reproduces": headline_reproduces,
+    "totals_match": totals_against,
 }

@@ -173,10 +173,12 @@ _MELT = " UNION ALL ".join(
     algorithm_{f} AS negotiated_algorithm, methodology_{f} AS methodology FROM wide
     WHERE dollar_{f} IS NOT NULL OR percentage_{f} IS NOT NULL OR algorithm_{f} IS NOT NULL"""
     for f in "ANR"
-)
+) + """ UNION ALL SELECT CAST(l_orderkey AS VARCHAR), 'LOCAL', NULL, 'A_plan_a_1_1', gross_charge,
+    top, NULL, NULL, 'top' FROM wide"""
 
 _WIDE_TABLE = f"""wide AS (
-  SELECT l_orderkey, sum(round(l_extendedprice * 100)) AS gross_charge, {_WIDE}
+  SELECT l_orderkey, sum(round(l_extendedprice * 100)) AS gross_charge,
+    max(round(l_extendedprice * 100)) AS top, {_WIDE}
   FROM lineitem GROUP BY l_orderkey)"""
 
 _ITEM_CENTS = "CAST(round(l_extendedprice * 100) AS BIGINT)"
@@ -393,7 +395,8 @@ SQL = {
     "recovered_plans": f"""
         WITH {_WIDE_TABLE}
         SELECT code, payer_plan, substr(payer_plan, 1, 1) AS payer_name,
-          'plan ' || lower(substr(payer_plan, 1, 1)) || '/1' AS plan_name, negotiated_dollar
+          CASE WHEN payer_plan = 'A_plan_a_1_1' THEN 'plan a 1'
+            ELSE 'plan ' || lower(substr(payer_plan, 1, 1)) || '/1' END AS plan_name, negotiated_dollar
         FROM ({_MELT})""",
     "tall_stage": f"""
         SELECT CAST(l_partkey AS VARCHAR) AS code, 'LOCAL' AS code_type,
@@ -454,6 +457,32 @@ SQL = {
           count(*) FILTER (avg_outcome IS NULL) AS n_null_required,
           count(*) = count(DISTINCT entity_id) AS is_unique FROM mart"""
     ),
+    "dropped_groups": """
+        SELECT 'B_none' AS label, 'standard_charge_B_none_methodology' AS "column",
+          'incomplete group' AS reason, count(DISTINCT l_orderkey) AS n_cells FROM lineitem
+        UNION ALL SELECT NULL, 'standard_charge_gross', 'no known suffix', count(DISTINCT l_orderkey)
+        FROM lineitem""",
+    "scan_raw_json": "SELECT l_orderkey || '-' || l_linenumber AS extra FROM lineitem",
+    "scan_preamble_csv": """
+        SELECT l_suppkey AS supplier, l_linestatus || ', "x"' AS note, count(*) AS n,
+          sum(l_quantity) AS quantity FROM lineitem GROUP BY 1, 2""",
+    "scan_latin1_csv": "SELECT c_custkey, 'é ' || c_mktsegment AS segment FROM customer",
+    "catalog_resolve": """
+        SELECT l_orderkey, arg_min(l_orderkey || '-' || l_linenumber || '-.CSV', l_linenumber) AS "downloadURL"
+        FROM lineitem WHERE l_linenumber <> 2 AND starts_with(CAST(l_partkey AS VARCHAR), '1')
+        GROUP BY l_orderkey""",
+    "load_and_reload": """
+        SELECT l_returnflag, count(*) AS n, sum(l_quantity) AS quantity FROM lineitem GROUP BY 1""",
+    "recent_failures": f"""
+        WITH {_SAMPLED} SELECT check_name, n_failing, 0 AS n_stale FROM collected""",
+    "headline_reproduces": _on_mart(f""", found AS ({_OVERALL}), tested AS ({_TESTED})
+        SELECT pair, n, CASE pair WHEN 'rating_vs_outcome' THEN 5.0::DOUBLE ELSE 0.0::DOUBLE END AS expected_r,
+          abs(r - CASE pair WHEN 'rating_vs_outcome' THEN 5.0 ELSE 0.0 END) <= 1 AS r_matches,
+          CASE pair WHEN 'rating_vs_outcome' THEN p <= 0.01 ELSE p >= 0.05 END AS p_matches
+        FROM tested"""),
+    "totals_match": """
+        SELECT count(*) AS n_rows, count(DISTINCT l_suppkey) AS n_keys,
+          abs(count(*) - 60000) <= 6000 AND count(DISTINCT l_suppkey) = 100 AS matches FROM lineitem""",
     "failure_collection": f"""
         WITH {_SAMPLED}
         SELECT check_name, n_failing, array_to_string(samples, '|') AS samples FROM collected""",

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 # Fixed value: rows a full page holds.
 PAGE_SIZE = 500
 
-_CATALOG = (
+CATALOG = (
     "dataset array<struct<identifier string, "
     "distribution array<struct<downloadURL string>>>>"
 )
@@ -122,12 +122,21 @@ def resolve_downloads(
     spark: SparkSession, path: str, dataset_id: str, suffix: str = ".csv"
 ) -> DataFrame:
     """The one row behind ``resolve_download``, empty when there is none."""
-    entries = read_documents(spark, path, _CATALOG).select(F.posexplode("dataset").alias("i", "d"))
-    return (
+    return first_downloads(read_documents(spark, path, CATALOG), dataset_id, suffix)
+
+
+def first_downloads(
+    catalogs: DataFrame, dataset_id: str, suffix: str = ".csv", by: Sequence[str] = ()
+) -> DataFrame:
+    """Per catalog (``by`` names it) the first distribution with the suffix (any case) of
+    the first entry whose identifier contains the id and that has one."""
+    entries = catalogs.select(*by, F.posexplode("dataset").alias("i", "d"))
+    fitting = (
         entries.filter(F.contains(F.col("d.identifier"), F.lit(dataset_id)))
-        .select("i", F.posexplode("d.distribution").alias("j", "x"))
+        .select(*by, "i", F.posexplode("d.distribution").alias("j", "x"))
         .filter(F.endswith(F.lower(F.col("x.downloadURL")), F.lit(suffix.lower())))
-        .orderBy("i", "j")
-        .limit(1)
-        .select("x.downloadURL")
     )
+    if not by:
+        return fitting.orderBy("i", "j").limit(1).select("x.downloadURL")
+    first = F.min(F.struct("i", "j", "x.downloadURL"))
+    return fitting.groupBy(*by).agg(first.alias("first")).select(*by, "first.downloadURL")

@@ -209,3 +209,16 @@ def test_failures_and_packet(spark):
     assert checks.triage_packet(found, None, wide).filter("check_name = 'range_ratio'").first()[
         "failure_type"
     ] == "test-config-too-strict"
+
+
+def test_messages_match_by_the_start_of_a_name(spark):
+    long = "not_null_hospital_readmissions_facility"
+    names = spark.createDataFrame([(n,) for n in ("range_ratio", long, "alone", "")], "check_name string")
+    said = spark.createDataFrame(
+        [("test.pkg.range_ratio.ab12", "b"), ("range_ratio_x", "a"), ("other", "c"), (long[:30] + "_cut", "d"), ("", "e"), (None, "f")],
+        "check_name string, message string",
+    )
+    got = {r.check_name: r.message for r in checks.match_messages(names, said).collect()}
+    assert got == {"range_ratio": "a", long: "d"}
+    brute = {n: sorted(m for k, m in (("test.pkg.range_ratio.ab12", "b"), ("range_ratio_x", "a"), ("other", "c"), (long[:30] + "_cut", "d")) if n[:30] in k or k[:30] in n) for n in ("range_ratio", long, "alone")}
+    assert brute == {"range_ratio": ["a", "b"], long: ["d"], "alone": []}

@@ -42,8 +42,8 @@ def test_plans_alike_once_cleaned(spark, rows):
     groups = discover_groups(names, "standard_charge_", SUFFIXES, dict(zip(names, header)))
     assert list(groups.groups) == ["P_a_b_1"] and list(groups.incomplete) == ["P_a_b"]
     assert [header[names.index(c)].split("|")[2] for c in groups.groups["P_a_b_1"]] == ["a/b"] * 4
-    lost = dropped_groups(spark, groups)
-    assert {(r.label, r.reason) for r in lost.collect()} == {("P_a_b", "incomplete group")} and lost.count() == 3
+    lost = dropped_groups(spark.createDataFrame([("1", *"2345678"), ("1", *"2345", None, None, None)], names), groups)
+    assert {(r.label, r.reason, r.n_cells) for r in lost.collect()} == {("P_a_b", "incomplete group", 2)} and lost.count() == 3
     header = ["code|1"] + [f"standard_charge|P|{p}|{s}" for p in ("a b", "a/b") for s in SUFFIXES]
     names = clean_names(header)
     raw = spark.createDataFrame([("1", *"12345678")], names)
