@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from payscope.llm.common import whole_text
+from payscope.llm.common import fresh, whole_text
 
 ROUNDS = 8  # even, so that the halves end where they began
 #: Days of the calendar's cycle of 400 years, as a product of its two halves' sizes.
@@ -246,14 +246,15 @@ def pseudonymize(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     rows are rewritten alike; other columns stay (one called ``found`` is replaced).
     """
     body = whole_text(text)
+    made, gaps = fresh(docs, "_made"), fresh(docs, "_gaps")
     # Most texts have no digit or @ and skip both searches.
     held = F.when(body.rlike("[0-9@]"), F.regexp_extract_all(body, F.lit(PATTERN), F.lit(0))).otherwise(F.array().cast("array<string>"))
-    gaps = F.when(F.size("_made") == 0, F.array(body)).otherwise(F.split(body, PATTERN))
-    rest = F.transform("_made", lambda s, i: F.concat(s.value, F.col("_gaps")[i + 1]))
+    between = F.when(F.size(made) == 0, F.array(body)).otherwise(F.split(body, PATTERN))
+    rest = F.transform(made, lambda s, i: F.concat(s.value, F.col(gaps)[i + 1]))
     return (
-        docs.withColumn("_made", F.transform(held, lambda m: pseudonym(key, m)))
-        .withColumn("_gaps", gaps)
-        .withColumn(text, F.when(F.col(text).isNotNull(), F.concat(F.col("_gaps")[0], F.array_join(rest, ""))))
-        .withColumn("found", F.filter("_made", lambda s: s.kind.isNotNull()))
-        .drop("_made", "_gaps")
+        docs.withColumn(made, F.transform(held, lambda m: pseudonym(key, m)))
+        .withColumn(gaps, between)
+        .withColumn(text, F.when(F.col(text).isNotNull(), F.concat(F.col(gaps)[0], F.array_join(rest, ""))))
+        .withColumn("found", F.filter(made, lambda s: s.kind.isNotNull()))
+        .drop(made, gaps)
     )

@@ -24,8 +24,9 @@ from pyspark.sql import functions as F
 from payscope.llm.common import chunks, fresh, whole_text
 
 #: Words of a passage; labelled documents learned from, at most; passages that one of
-#: them may have (longer ones are not learned from, but scored as any).
-PASSAGE_WORDS, SAMPLE, SAMPLE_PASSAGES = 64, 4000, 256
+#: them may have (longer ones are not learned from, but scored as any). The sample is
+#: thus at most 150 MB on the driver, and some 25 MB where documents are of usual length.
+PASSAGE_WORDS, SAMPLE, SAMPLE_PASSAGES = 64, 4000, 48
 HIDDEN, GATE, EPOCHS, BATCH, RATE, DECAY = 32, 16, 20, 64, 3e-3, 1e-4
 WORD_BUCKETS = 128
 _KINDS = [b" ", b"\t\n\r\x0b\x0c", b"0123456789", b"aeiou", b"bcdfghjklmnpqrstvwxyz", b"AEIOUBCDFGHJKLMNPQRSTVWXYZ",

@@ -64,7 +64,7 @@ def test_small_domain_is_a_bijection(spark):
 
 
 def test_other_columns_and_long_texts(spark):
-    df = spark.createDataFrame([("x" * 300000 + " 8.8.8.8", 1, "y")], "text string, found int, _other string")
+    df = spark.createDataFrame([("x" * 300000 + " 8.8.8.8", 1, "y")], "text string, found int, _made string")
     r = pii.pseudonymize(df, "k").collect()[0]
-    assert r._other == "y" and [f.kind for f in r.found] == ["ip"] and r.text.startswith("x" * 300000)
+    assert r._made == "y" and [f.kind for f in r.found] == ["ip"] and r.text.startswith("x" * 300000)
     assert pii.pseudonymize(df.limit(0), "k").count() == 0
