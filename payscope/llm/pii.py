@@ -1,6 +1,6 @@
 """Pseudonyms for personal data that keep its format, with Spark expressions only.
 
-Candidates are found by form and validated: card numbers by their check digit, account
+Candidates are found by form and validated: card numbers by issuer and check digit, account
 numbers (IBAN) by theirs, addresses of machines by their ranges, social security numbers by
 theirs, dates by the calendar. What holds up goes through a keyed Feistel network over its
 own format: the halves of a number in mixed radix, rounds that add a keyed hash of one
@@ -35,6 +35,8 @@ FORMS = {
     "phone": r"(?:\+[0-9]{1,3}[ .\-]?)?\([0-9]{3}\)[ .\-]?[0-9]{3}[ .\-][0-9]{4}|(?:\+[0-9]{1,3}[ .\-])?[0-9]{3}[.\-][0-9]{3}[.\-][0-9]{4}"
     r"|\+[0-9]{1,3}(?:[ .\-][0-9]{2,4}){3,4}",
 }
+#: How card numbers of the known issuers begin.
+ISSUERS = "^(4|5[1-5]|2(22[1-9]|2[3-9]|[3-6]|7[01]|720)|3[0-9]|6[0245])"
 #: One expression with no groups of its own, so that it splits and extracts alike. The
 #: order decides between forms; nothing starts or ends inside a word or number.
 _ANY = "|".join(f"(?:{FORMS[k]})" for k in ("email", "iban", "ip", "date", "ssn", "card", "phone"))
@@ -116,10 +118,12 @@ def _luhn(payload: Column) -> Column:
 
 
 def _card(key: str, m: Column) -> Column:
+    """The issuer's digits stay, the account is permuted, the check digit follows."""
+
     def checked(d: Column) -> Column:
         body = _part(d, 1, F.length(d) - 1)
-        fresh = _let(F.concat(_part(d, 1, 1), _permuted_digits(key, "card", _part(d, 2, F.length(d) - 2))), lambda p: F.concat(p, _luhn(p)))
-        return F.when(_luhn(body) == F.right(d, F.lit(1)), _filled(m, fresh))
+        fresh = _let(F.concat(_part(d, 1, 4), _permuted_digits(key, "card", _part(d, 5, F.length(d) - 5))), lambda p: F.concat(p, _luhn(p)))
+        return F.when(d.rlike(ISSUERS) & (_luhn(body) == F.right(d, F.lit(1))), _filled(m, fresh))
 
     return _let(_digits(m), checked)
 
