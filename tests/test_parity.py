@@ -1,7 +1,7 @@
 import pytest
 
 import __spark_entry__ as entry
-from parity import compare, connect
+from parity import cell, compare, connect
 from payscope.plans.star import QUERIES
 from payscope.plans.star_sql import SQL
 
@@ -27,3 +27,20 @@ def test_query_matches_sql(spark, con, name):
 def test_entry(spark):
     df = entry.entry(spark)
     assert df.count() == 10 and df.columns[0] == "entity_id"
+
+
+#: Queries whose order is part of the answer.
+ORDERED = {
+    "export_projection": "avg_payment DESC NULLS LAST, entity_id",
+    "quadrant_listing": "weighted_payment, entity_id",
+    "footnote_counts": "n DESC, footnote_code NULLS FIRST",
+    "quadrant_counts": "n DESC, quadrant",
+}
+
+
+@pytest.mark.parametrize(("name", "order"), ORDERED.items())
+def test_order(spark, con, name, order):
+    df = QUERIES[name](spark, SMALL)
+    columns = ", ".join(f'"{c}"' for c in df.columns)
+    want = con.execute(f"SELECT {columns} FROM ({SQL[name]}) ORDER BY {order}").fetchall()
+    assert [tuple(map(cell, r)) for r in df.collect()] == [tuple(map(cell, r)) for r in want]
