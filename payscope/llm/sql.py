@@ -42,4 +42,31 @@ SQL = {
         FROM documents
         WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
+    "op10_suffix_dedup": """
+        WITH docs AS (
+            SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+        ), sized AS (
+            SELECT doc_id, h, length(h) // 2 AS n FROM docs
+        ), starts AS (
+            SELECT doc_id, s, md5_number(substr(h, 2 * s + 1, 200)) AS x
+            FROM (SELECT doc_id, h, unnest(range(n - 99)) AS s FROM sized WHERE n >= 100)
+        ), again AS (
+            SELECT doc_id, s FROM starts QUALIFY row_number() OVER (PARTITION BY x ORDER BY doc_id, s) > 1
+        ), runs AS (
+            SELECT doc_id, s, sum(new) OVER (PARTITION BY doc_id ORDER BY s) AS run
+            FROM (SELECT doc_id, s, CASE WHEN s <= lag(s) OVER (PARTITION BY doc_id ORDER BY s) + 100 THEN 0 ELSE 1 END AS new
+                  FROM again)
+        ), spans AS (
+            SELECT doc_id, min(s) AS a, max(s) + 100 AS z FROM runs GROUP BY doc_id, run
+        ), pieces AS (
+            SELECT doc_id, a, z, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS b FROM spans
+        ), cut AS (
+            SELECT doc_id, count(*) AS n_spans, sum(z - a) AS n_removed, max(z) AS z,
+                   string_agg(substr(h, 2 * b + 1, 2 * (a - b)), '' ORDER BY a) AS head
+            FROM pieces JOIN sized USING (doc_id) GROUP BY doc_id
+        )
+        SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0) AS n_spans,
+               sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(z, 0) + 1))) AS kept_sha256
+        FROM sized LEFT JOIN cut USING (doc_id)
+    """,
 }
