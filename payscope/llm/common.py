@@ -30,6 +30,51 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+_WORD = 32768  # bits in a row of bitmap_construct_agg
+
+
+def marked(df: DataFrame, slot: Column, asked: DataFrame, name: str) -> DataFrame:
+    """``df`` with the boolean ``name``: whether its slot's bit is set by a slot in
+    ``asked`` (column ``slot``; slots lie below a fixed number of bits). The bitmap, an
+    eighth of that in bytes at most however many rows ask, is broadcast."""
+    bits = asked.groupBy(F.expr(f"slot div {_WORD}").alias("_word")).agg(
+        F.expr(f"bitmap_construct_agg(slot % {_WORD})").alias("_bits")
+    )
+    taken = fresh(df, "_slot")
+    at = f"`{taken}`"
+    word, held = fresh(df, "_word"), fresh(df, "_bits")
+    bits = bits.select(F.col("_word").alias(word), F.col("_bits").alias(held))
+    byte = f"conv(hex(substring(`{held}`, cast({at} % {_WORD} div 8 as int) + 1, 1)), 16, 10)"
+    bit = F.expr(f"shiftright(cast({byte} as int), cast({at} % 8 as int)) & 1") == 1
+    return (
+        df.withColumn(taken, slot)
+        .withColumn(word, F.expr(f"{at} div {_WORD}"))
+        .join(F.broadcast(bits), word, "left")
+        .withColumn(name, F.coalesce(bit, F.lit(False)))
+        .drop(taken, word, held)
+        .select(*df.columns, name)
+    )
+
+
+#: Bits of the bitmap that tells rows which are surely kept (8 MiB).
+KEPT_BITS = 1 << 26
+
+
+def without_rows(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """``docs`` without the rows numbered in ``dropped`` (column ``row``, as numbered by
+    ``monotonically_increasing_id``), all columns as they were.
+
+    Only rows whose bit in a bitmap of the dropped ones is set are shuffled to be compared
+    with them; the texts of all others stay where they are. With more dropped rows than
+    bits more of them are compared."""
+    row, hit = fresh(docs, "_row"), fresh(docs, "_hit")
+    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(KEPT_BITS))
+    numbered = docs.withColumn(row, F.monotonically_increasing_id())
+    told = marked(numbered, slot(row), dropped.select(slot("row").alias("slot")), hit)
+    apart = told.filter(F.col(hit)).join(dropped.select(F.col("row").alias(row)), row, "left_anti")
+    return told.filter(~F.col(hit)).unionByName(apart).drop(row, hit)
+
+
 def chunks(batches: Iterable[pa.RecordBatch], column: int = -1) -> Iterator[pa.RecordBatch]:
     """The batches cut so that one holds about ``CHUNK_BYTES`` of the string column."""
     for batch in batches:

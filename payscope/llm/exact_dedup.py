@@ -13,13 +13,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from payscope.llm.common import fresh, whole_text
+from payscope.llm.common import marked, whole_text, without_rows
 from payscope.session import materialize
 
 #: Characters of the prefix hash, and bits of the bitmap (a million: 128 KiB).
 PREFIX_CHARS = 256
 BITMAP_BITS = 1 << 20
-_WORD = 32768  # bits in a row of bitmap_construct_agg
 
 
 def _slot(length: Column, prefix: Column) -> Column:
@@ -34,24 +33,11 @@ def fingerprints(docs: DataFrame, text: str = "text", digests: bool = False) ->
     sizes = docs.select(length.alias("len"), prefix.alias("prefix")).groupBy("len", "prefix").agg(F.count("*").alias("n"))
     # A length shared by one row only can't survive by its prefix either.
     survivors = sizes.filter("n > 1").select(_slot(F.col("len"), F.col("prefix")).alias("slot"))
-    bits = (
-        survivors.groupBy(F.expr(f"slot div {_WORD}").alias("_word"))
-        .agg(F.expr(f"bitmap_construct_agg(slot % {_WORD})").alias("_bits"))
-    )  # at most BITMAP_BITS / 8 bytes in all, however many rows survive
-    slot = _slot(F.col("_len"), F.col("_prefix"))
-    byte = F.conv(F.hex(F.expr("substring(_bits, cast(_slot % 32768 div 8 as int) + 1, 1)")), 16, 10).cast("int")
-    marked = (
-        docs.withColumns({"_len": length, "_prefix": prefix})
-        .withColumn("_slot", slot)
-        .withColumn("_word", F.expr(f"_slot div {_WORD}"))
-        .join(F.broadcast(bits), "_word", "left")
-    )
-    alive = F.coalesce(F.expr("shiftright(_byte, cast(_slot % 8 as int)) & 1") == 1, F.lit(False))
+    told = marked(docs.withColumns({"_len": length, "_prefix": prefix}), _slot(length, prefix), survivors, "_alive")
     return (
-        marked.withColumn("_byte", byte)
-        .withColumns({"_digest": F.unhex(F.sha2(body, 256))} if digests else {})
-        .withColumn("_sha", F.when(alive, F.col("_digest") if digests else F.unhex(F.sha2(body, 256))))
-        .drop("_word", "_bits", "_slot", "_byte")
+        told.withColumns({"_digest": F.unhex(F.sha2(body, 256))} if digests else {})
+        .withColumn("_sha", F.when(F.col("_alive"), F.col("_digest") if digests else F.unhex(F.sha2(body, 256))))
+        .drop("_alive")
     )
 
 
@@ -95,7 +81,4 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", diges
 
 def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without the rows that ``exact_groups`` drops, all columns as they were."""
-    row = fresh(docs, "_row")
-    numbered = docs.withColumn(row, F.monotonically_increasing_id())
-    dropped = exact_groups(docs, key, text).filter(~F.col("kept")).select(F.col("row").alias(row))
-    return numbered.join(dropped, row, "left_anti").drop(row)
+    return without_rows(docs, materialize(exact_groups(docs, key, text).filter(~F.col("kept")).select("row"), "dropped"))

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from payscope.llm.common import fresh, map_chunks, whole_text
+from payscope.llm.common import map_chunks, whole_text, without_rows
 from payscope.llm.components import components
 from payscope.session import materialize
 
@@ -250,7 +250,5 @@ def simhash_groups(
 
 def simhash_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", **more) -> DataFrame:
     """``docs`` with one row of each component, all columns as they were."""
-    row = fresh(docs, "_row")
-    numbered = docs.withColumn(row, F.monotonically_increasing_id())
-    dropped = simhash_groups(docs, key, text, **more).filter(~F.col("kept")).select(F.col("row").alias(row))
-    return numbered.join(dropped, row, "left_anti").drop(row)
+    found = simhash_groups(docs, key, text, **more)
+    return without_rows(docs, materialize(found.filter(~F.col("kept")).select("row"), "dropped"))
