@@ -357,8 +357,15 @@ def _runs(row: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.n
 def _merged(batch: pa.RecordBatch) -> pa.RecordBatch:
     """Windows of complete seeds (or parts of split ones) to removed starts, and for split
     seeds one occurrence of every string."""
-    seed, part, ident, row, at, n = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(6))
-    owner, inside, block, hashes = repeated(batch.column(6).to_pylist(), n)
+    columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(6)]
+    texts, known = batch.column(6).to_pylist(), set()
+    order = np.lexsort((columns[4], columns[3], columns[2])).tolist()
+    # Equal windows (from other chunks) are one string to the transforms, the first.
+    kept = [i for i in order if (text := (columns[1][i], texts[i])) not in known and not known.add(text)]
+    later = np.setdiff1d(order, kept, assume_unique=True)
+    again = [columns[3][later], columns[4][later], columns[5][later]]
+    seed, part, ident, row, at, n = (c[kept] for c in columns)
+    owner, inside, block, hashes = repeated([texts[i] for i in kept], n)
     where = at[owner] + inside
     # Strings that are alone say something only where a seed is split.
     keep = (np.bincount(block)[block] > 1) | (part[owner] >= 0)
@@ -366,7 +373,7 @@ def _merged(batch: pa.RecordBatch) -> pa.RecordBatch:
     order = np.lexsort((where, row[owner], ident[owner], block))
     owner, where, block, hashes = owner[order], where[order], block[order], hashes[order]
     first = _changes(block)
-    r, a, m = _runs(row[owner[~first]], where[~first])
+    r, a, m = (np.concatenate(c) for c in zip(_runs(row[owner[~first]], where[~first]), again))
     split = first & (part[owner] >= 0)
     zero = np.zeros(len(r), np.int64)
     o = owner[split]
