@@ -262,15 +262,16 @@ def transform(sign: np.ndarray, before: np.ndarray, follow: np.ndarray) -> tuple
     them: its Burrows-Wheeler transform. ``follow`` is the suffix one sign on."""
     depth, rank, powers = 1, sign, {1: (sign, follow)}
     want = LENGTH // SIGN
+    base = max(len(sign), int(sign.max(initial=0))) + 1  # above every rank and sign
     while depth * 2 <= want:
         rank, jump = powers[depth]
-        key = rank.astype(np.int64) * (len(sign) + 1) + rank[jump]
+        key = rank.astype(np.int64) * base + rank[jump]
         powers[depth * 2] = np.unique(key, return_inverse=True)[1], jump[jump]
         depth *= 2
     rank, jump = powers[depth]
     for bit in sorted(powers, reverse=True):
         if depth + bit <= want:
-            key = rank.astype(np.int64) * (len(sign) + 1) + powers[bit][0][jump]
+            key = rank.astype(np.int64) * base + powers[bit][0][jump]
             rank, jump = np.unique(key, return_inverse=True)[1], powers[bit][1][jump]
             depth += bit
     order = np.argsort(rank, kind="stable")

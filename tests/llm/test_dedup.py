@@ -186,9 +186,11 @@ def test_long_text_in_parts():
         assert {s + a: v for v, f, m in zip(seed, first, n) for s in range(f, f + m)} == {s: whole[s] for s in range(a, a + 1000)}
 
 
-def test_merged_transforms_are_the_order_of_all():
+@pytest.mark.parametrize("letters", ["ab", "abcdefghijklmnopqrstuvwxyz"])
+def test_merged_transforms_are_the_order_of_all(letters):
+    """Also where the signs of all shards are more than one shard has suffixes."""
     rng = random.Random(3)
-    texts = ["".join(rng.choices("ab", k=rng.randint(100, 140))).encode() for _ in range(30)]
+    texts = ["".join(rng.choices(letters, k=rng.randint(100, 140))).encode() for _ in range(30)]
     texts += [t[:110] + b"zzz" for t in texts[:10]] + texts[:5]
     starts = np.array([len(t) - 99 for t in texts])
     for shards in (1, 2, 5):
