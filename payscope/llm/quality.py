@@ -109,7 +109,16 @@ class Model:
         return f
 
     def scores(self, texts: list[bytes]) -> np.ndarray:
-        return self.forward(*passages(texts))["y"] if texts else np.zeros(0)
+        """A few hundred kilobytes at a time, or one longer text."""
+        out, start, size = [np.zeros(0)], 0, 0
+        for i, t in enumerate(texts):
+            if size and size + len(t) > 1 << 19:
+                out.append(self.forward(*passages(texts[start:i]))["y"])
+                start, size = i, 0
+            size += len(t)
+        if start < len(texts):
+            out.append(self.forward(*passages(texts[start:]))["y"])
+        return np.concatenate(out)
 
     def gradient(self, x: np.ndarray, head: np.ndarray, label: np.ndarray) -> dict[str, np.ndarray]:
         p, f = self.p, self.forward(x, head)
