@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from payscope.llm.common import chunks, whole_text
 from payscope.session import materialize
 
-LENGTH, GRAM, SIGN = 100, 32, 10
+LENGTH, GRAM, SIGN = 100, 32, 20
 #: Bytes that are hashed together, bits of the bitmap, window texts of one seed in a task
 #: at most, and bytes of windows that are merged as one group of two shards.
 PIECE, BITS, SPLIT, GROUP = 1 << 17, 1 << 26, 16384, 1 << 19
@@ -45,6 +45,8 @@ PIECE, BITS, SPLIT, GROUP = 1 << 17, 1 << 26, 16384, 1 << 19
 #: several window texts in the chunk; and asked-for bits, seeds to be split.
 SINGLE, LATER, MARK = 0, 1, 2
 REMOVED, ASKED, MANY = 0, 1, 2
+#: Bits of the number of starts in a run; a group has fewer than that many starts.
+RUN = 24
 _WORD = 32768
 
 _U = np.uint64
@@ -214,7 +216,7 @@ def _settled(w: dict[str, np.ndarray], split: int) -> pa.RecordBatch:
         out.append([np.full(len(a), kind, np.int64), a, np.broadcast_to(np.asarray(b, np.int64), a.shape)])
 
     def removed(pick: np.ndarray) -> None:
-        add(REMOVED, w["row"][pick], w["at"][pick] >> 10 << 8 | w["at"][pick] & 255)
+        add(REMOVED, w["row"][pick], w["at"][pick] >> 10 << RUN | w["at"][pick] & 255)
 
     passing = (w["at"] >> 8 & 3) == LATER
     removed(passing)
@@ -344,15 +346,14 @@ def repeated(texts: list[bytes], starts: np.ndarray, shards: int = 2) -> tuple[n
     return owner[suffix], inside[suffix], block, hashes
 
 
-def _runs(row: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts of a document next to each other as (row, first, number), of at most 128."""
+def _runs(row: np.ndarray, at: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Stretches of starts (document, first, number) that go on from one another as one."""
     order = np.lexsort((at, row))
-    row, at = row[order], at[order]
+    row, at, n = row[order], at[order], n[order]
     new = np.ones(len(row), bool)
-    new[1:] = (row[1:] != row[:-1]) | (at[1:] != at[:-1] + 1)
-    new |= (np.arange(len(row)) - np.maximum.accumulate(np.where(new, np.arange(len(row)), 0))) % 128 == 0
+    new[1:] = (row[1:] != row[:-1]) | (at[1:] != at[:-1] + n[:-1])
     first = np.flatnonzero(new)
-    return row[first], at[first], np.diff(np.r_[first, len(row)])
+    return row[first], at[first], np.add.reduceat(n, first) if len(first) else n
 
 
 def _merged(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -374,20 +375,21 @@ def _merged(batch: pa.RecordBatch) -> pa.RecordBatch:
     order = np.lexsort((where, row[owner], ident[owner], block))
     owner, where, block, hashes = owner[order], where[order], block[order], hashes[order]
     first = _changes(block)
-    r, a, m = (np.concatenate(c) for c in zip(_runs(row[owner[~first]], where[~first]), again))
+    single = [row[owner[~first]], where[~first], np.ones(int((~first).sum()), np.int64)]
+    r, a, m = _runs(*(np.concatenate(c) for c in zip(single, again)))
     split = first & (part[owner] >= 0)
     zero = np.zeros(len(r), np.int64)
     o = owner[split]
     columns = [
         np.r_[zero, np.ones(len(o), np.int64)], np.r_[zero, hashes[split].view(np.int64)], np.r_[zero, seed[o]], np.r_[zero, ident[o]],
-        np.r_[r, row[o]], np.r_[a << 8 | m, where[split] << 8 | 1],
+        np.r_[r, row[o]], np.r_[a << RUN | m, where[split] << RUN | 1],
     ]
     return pa.record_batch([pa.array(c.astype(np.int64)) for c in columns], ["split", "hash", "seed", "id", "row", "b"])
 
 
 def removed_starts(docs: DataFrame, split: int = SPLIT) -> DataFrame:
     """``docs`` (id, row, text) to (row, b): runs of starts whose string also starts
-    earlier, b being the first start times 256 plus their number."""
+    earlier, b being the first start times 2^RUN plus their number."""
     spark = docs.sparkSession
 
     def first_scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -468,7 +470,7 @@ def suffix_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", keep:
             for i, found, t in zip(*(c.to_pylist() for c in batch.columns)):
                 raw, kept, n, end = t.encode(), [], 0, 0
                 for b in sorted(found or ()):
-                    a, z = b >> 8, (b >> 8) + (b & 255) - 1 + LENGTH
+                    a, z = b >> RUN, (b >> RUN) + (b & (1 << RUN) - 1) - 1 + LENGTH
                     if a > end or not n:
                         n += 1
                         kept.append(raw[end:a])
