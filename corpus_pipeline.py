@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from payscope.llm import decontaminate, exact_dedup, quality, sentencepiece_codec, simhash
-from payscope.llm.common import table
+from payscope.llm.common import importable, table
 from payscope.session import scratch_path
 
 
@@ -49,6 +49,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on ``documents``, each written and read again as the next one's input."""
+    importable(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         path = scratch_path(spark, name.replace(" ", "-"))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -17,6 +19,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def importable(spark: SparkSession) -> None:
+    """Lets this session's Python workers import this package from where the driver has
+    it, whatever their working folder. A cluster that ships the package has it anyway."""
+    top, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    known = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if top not in known:
+        env["PYTHONPATH"] = os.pathsep.join([*known, top])
+
+
 def whole_text(column: str = "text") -> Column:
     """The text, a null one as empty."""
     return F.coalesce(F.col(column), F.lit(""))

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from payscope.llm.chat import chat_format, formatted, loss_text, read_back
-from payscope.llm.common import table
+from payscope.llm.common import importable, table
 from payscope.llm.decontaminate import leaks
 from payscope.llm.exact_dedup import exact_groups
 from payscope.llm import pii, quality
@@ -94,6 +97,15 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(table(spark, sf_dir, "documents"))
 
 
+def _query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    @wraps(run)
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        importable(spark)
+        return run(spark, sf_dir)
+
+    return query
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_sentencepiece": op2_sentencepiece,
@@ -106,3 +118,4 @@ QUERIES = {
     "op9_exact_dedup": op9_exact_dedup,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
+QUERIES = {name: _query(run) for name, run in QUERIES.items()}
