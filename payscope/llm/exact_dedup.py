@@ -63,6 +63,9 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", diges
         .agg(F.max(F.struct("id", "row")).alias("best"), F.count("*").alias("n"))
         .filter("n > 1")
     )
+    # Written, so that the join reads both sides through exchanges of its own and a group
+    # with a third of all rows can be split between tasks.
+    groups = materialize(groups, "groups")
     # Rows that are alone take no part in the join, nor do they crowd its null key.
     settled = slim.filter(found).join(groups, ["_len", "_prefix", "_sha"], "left")
     shared = settled.select(
