@@ -244,7 +244,8 @@ def simhash_groups(
         nodes.join(tied.join(best, "root").select("fp", F.col("best").alias("of")), "fp", "left")
         .select("fp", F.coalesce("of", "best").alias("of"))
     )
-    found = rows.join(classes, "fp")
+    # Written, so that a fingerprint that very many rows share is split over tasks.
+    found = rows.join(materialize(classes, "classes"), "fp")
     return found.select(F.col("id").alias(key), "row", "fp", F.col("of.id").alias("component_id"), (F.col("of.row") == F.col("row")).alias("kept"))
 
 
