@@ -1,19 +1,20 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: word pairs as seeds, then Smith-Waterman alignment.
 
 Test items are a stated query set; they go against all documents in blocks of a bounded
-number of words, which are broadcast. A first scan counts in how many documents each of
-the block's word n-grams occurs. Of every few neighbouring n-grams of an item the rarest
-is its seed, so seeds cover the whole item however often it has leaked, and common word
-sequences are seeds only where nothing rarer is near. A second scan finds the seeds in
-the passages and aligns the words around agreeing seeds with the item; edits, insertions
-and gaps lower the score but don't hide the copy. No text is shuffled.
+number of words, which are broadcast. A seed is a pair of words with at most one word
+between them, in the item and in the document. Every pair of an item is one, however
+common: an alignment that reaches the threshold has so many of them that counting loses
+none (see ``Items``). Where enough seeds of an item are near each other, the passage is
+aligned with it; edits, insertions and gaps lower the score but don't hide the copy. The
+documents are scanned once a block and no text is shuffled.
 """
 
 from __future__ import annotations
 
 import re
-from collections import defaultdict
 from collections.abc import Iterable, Iterator
+from itertools import repeat
+from math import ceil, floor
 
 import numpy as np
 import pyarrow as pa
@@ -22,9 +23,9 @@ from pyspark.sql import functions as F
 
 from payscope.llm.common import chunks, fresh, whole_text
 
-#: Words of a seed, neighbouring n-grams of which one is a seed, words below which an item
-#: proves nothing, words of a block of items, and the least score.
-N, NEIGHBOURS, LEAST_WORDS, BLOCK_WORDS, THRESHOLD = 3, 3, 8, 200_000, 0.5
+#: Words below which an item proves nothing, words of a block of items, words that are
+#: searched at once, and the least score.
+LEAST_WORDS, BLOCK_WORDS, PIECE, THRESHOLD = 8, 200_000, 1 << 16, 0.5
 MATCH, MISMATCH, GAP = 2, -1, -1
 _WORD = re.compile(r"\w+")
 
@@ -51,73 +52,112 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[float, int]:
 
 
 class Items:
-    """A block of items: their words, and where each n-gram occurs in them."""
+    """A block of items: their words, and which items have each seed.
 
-    def __init__(self, rows: list[tuple[object, list[str]]]):
+    An alignment of score 2 m - e has m equal words and e edits. Of the m - 1 steps from
+    one equal word to the next at most e / 2 skip more than one word on a side; the others
+    are seeds. With n words and a score of 2 n t or more (a share of t), e is 2 m - 2 n t
+    at most, so n t - 1 seeds or more start at different words of the document
+    (``needed``), within the n (3 - 2 t) words that the alignment covers at most (``reach``).
+    """
+
+    def __init__(self, rows: list[tuple[object, list[str]]], threshold: float = THRESHOLD):
+        if LEAST_WORDS * threshold <= 1:
+            raise ValueError(f"a threshold of {threshold} can be reached without a seed")
+        self.threshold = threshold
         self.ids = [i for i, _ in rows]
         self.number: dict[str, int] = {}
         self.coded = [np.array([self.number.setdefault(w, len(self.number)) for w in ws], np.int64) for _, ws in rows]
-        self.grams: dict[tuple[str, ...], list[tuple[int, int]]] = defaultdict(list)
-        for k, (_, ws) in enumerate(rows):
-            for at, gram in enumerate(zip(*(ws[j:] for j in range(N)))):
-                self.grams[gram].append((k, at))
-        self.grams = dict(self.grams)
-        self.seeds: dict[tuple[str, ...], list[tuple[int, int]]] = {}
-        self.needed = [1] * len(rows)
-
-    def choose(self, count: dict[int, int]) -> None:
-        """Seeds by the number of documents with each n-gram (by its place in ``grams``)."""
-        order = {g: count.get(i, 0) for i, g in enumerate(self.grams)}
-        place = [{} for _ in self.ids]
-        for gram, spots in self.grams.items():
-            for k, at in spots:
-                place[k][at] = gram
-        seeds = defaultdict(list)
-        for k, spots in enumerate(place):
-            width = min(NEIGHBOURS, len(spots))
-            rare = {min(range(a, a + width), key=lambda at: (order[spots[at]], at)) for a in range(len(spots) - width + 1)}
-            for at in sorted(rare):
-                seeds[spots[at]].append((k, at))
-            self.needed[k] = min(2, len(rare))
-        self.seeds = dict(seeds)
-
-    def found(self, text: str, threshold: float) -> list[tuple[object, float, int, int]]:
-        """(item, score, first word, end word) of the best place of each item that the
-        text has a copy of; words are counted from 0, the end is exclusive."""
-        ws, seeds = words(text), self.seeds
-        hits = defaultdict(list)
-        for p, gram in enumerate(zip(*(ws[j:] for j in range(N)))):
-            if gram in seeds:
-                for k, at in seeds[gram]:
-                    hits[k].append((p - at, p, at))
-        out = []
-        for k, spots in hits.items():
-            if len({at for _, _, at in spots}) < self.needed[k]:
+        self.needed = np.array([ceil(len(c) * threshold - 1 - 1e-9) for c in self.coded], np.int64)
+        self.reach = np.array([floor(len(c) * (3 - 2 * threshold) + 1e-9) for c in self.coded], np.int64)
+        pairs = [np.unique(np.concatenate([self._pair(c[:-step], c[step:]) for step in (1, 2)])) for c in self.coded]
+        owners, pairs = np.repeat(np.arange(len(pairs)), [len(p) for p in pairs]), np.concatenate(pairs)
+        self.owners = owners[np.argsort(pairs, kind="stable")]
+        self.pairs, counts = np.unique(pairs, return_counts=True)
+        self.first = np.r_[0, np.cumsum(counts)]
+        # Most pairs of a document are told from seeds by a table of slots.
+        self.shift = np.uint64(64 - (16 * len(self.pairs)).bit_length())
+        self.taken = np.zeros(1 << (64 - int(self.shift)), bool)
+        self.taken[self._slot(self.pairs)] = True
+
+    def _pair(self, a: np.ndarray, z: np.ndarray) -> np.ndarray:
+        return a * len(self.number) + z
+
+    def _slot(self, pairs: np.ndarray) -> np.ndarray:
+        return pairs.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self.shift
+
+    def found(self, texts: list[str]) -> list[list[tuple[object, float, int, int]]]:
+        """For each text (item, score, first word, end word) of the best place of each item
+        that it has a copy of; words are counted from 0, the end is exclusive."""
+        best: list[dict[int, tuple[float, int, int]]] = [{} for _ in texts]
+        flat, heads, whose = [], [], []
+        for n, t in enumerate(texts):
+            codes = list(map(self.number.get, words(t), repeat(-1)))
+            # A longer text is searched in pieces, each as far as an alignment can go on.
+            for a in range(0, len(codes), PIECE):
+                heads.append(len(flat))
+                whose.append((n, a))
+                flat += codes[a : a + PIECE + int(self.reach.max())]
+                flat += (-1, -1)  # no seed goes from one text to the next
+                if len(flat) >= PIECE:
+                    self._search(flat, heads, whose, best)
+                    flat, heads, whose = [], [], []
+        if flat:
+            self._search(flat, heads, whose, best)
+        return [[(self.ids[k], *place) for k, place in b.items()] for b in best]
+
+    def _search(self, flat: list[int], heads: list[int], whose: list[tuple[int, int]], best: list[dict]) -> None:
+        codes, ends = np.array(flat, np.int64), [h - 2 for h in heads[1:]] + [len(flat) - 2]
+        for part, k, a, z in self._near(codes, np.array(heads), ends):
+            passage, item = codes[a:z], self.coded[k]
+            # Order aside, a passage can't score more than its words of the item allow.
+            sums = np.cumsum(np.where(np.isin(passage, item), MATCH, MISMATCH))
+            if (sums - np.minimum.accumulate(np.r_[0, sums[:-1]])).max() < MATCH * len(item) * self.threshold - 1e-9:
+                continue
+            share, end = align(item, passage)
+            n, before = whose[part]
+            if share >= self.threshold and share > best[n].get(k, (0.0,))[0]:
+                back, length = align(item[::-1], passage[:end][::-1])
+                last = before + a - heads[part] + end
+                best[n][k] = (share, last - length, last)
+
+    def _near(self, codes: np.ndarray, heads: np.ndarray, ends: list[int]) -> Iterator[tuple[int, int, int, int]]:
+        """(part, item, start, end) of the passages with enough seeds of the item near each
+        other, in order; they hold every alignment that reaches the threshold."""
+        found, size = [], len(codes)
+        for step in (1, 2):
+            a, z = codes[:-step], codes[step:]
+            at = np.flatnonzero((a >= 0) & (z >= 0))
+            pair = self._pair(a[at], z[at])
+            ok = self.taken[self._slot(pair)]
+            at, pair = at[ok], pair[ok]
+            i = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
+            ok = self.pairs[i] == pair
+            at, i = at[ok], i[ok]
+            n = self.first[i + 1] - self.first[i]
+            place = np.arange(n.sum()) + np.repeat(self.first[i] - (np.cumsum(n) - n), n)
+            found.append(self.owners[place] * size + np.repeat(at, n))
+        item, at = np.divmod(np.unique(np.concatenate(found)), size)
+        part = np.searchsorted(heads, at, "right") - 1
+        last = np.arange(len(item)) + self.needed[item] - 1
+        start = np.flatnonzero(last < len(item))
+        last = last[start]
+        ok = (item[start] == item[last]) & (part[start] == part[last]) & (at[last] - at[start] <= self.reach[item[start]] - 2)
+        start, last = start[ok], last[ok]
+        reach, held = self.reach[item[start]], None
+        for p, k, a, z in zip(part[start].tolist(), item[start].tolist(), (at[last] + 2 - reach).tolist(), (at[start] + reach).tolist()):
+            a, z = max(a, int(heads[p])), min(z, ends[p])
+            if held and held[:2] == (p, k) and a <= held[3]:
+                held = (p, k, min(a, held[2]), max(z, held[3]))
                 continue
-            item = self.coded[k]
-            slack, spots = max(4, len(item) // 4), sorted(spots)
-            best = (0.0, 0, 0)
-            start = 0
-            while start < len(spots) and best[0] < 1:
-                stop = start + 1
-                while stop < len(spots) and spots[stop][0] - spots[stop - 1][0] <= slack and spots[stop][0] - spots[start][0] <= len(item):
-                    stop += 1
-                near = spots[start:stop]
-                if len({at for _, _, at in near}) >= self.needed[k]:
-                    a = max(0, near[0][0] - slack)
-                    z = min(len(ws), near[-1][0] + len(item) + slack)
-                    passage = np.array([self.number.get(w, -1) for w in ws[a:z]], np.int64)
-                    share, end = align(item, passage)
-                    if share > best[0]:
-                        back, length = align(item[::-1], passage[:end][::-1])
-                        best = (share, a + end - length, a + end)
-                start = stop
-            if best[0] >= threshold:
-                out.append((self.ids[k], *best))
-        return out
-
-
-def item_blocks(items: DataFrame, key: str, text: str) -> Iterator[Items]:
+            if held:
+                yield held
+            held = (p, k, a, z)
+        if held:
+            yield held
+
+
+def item_blocks(items: DataFrame, key: str, text: str, threshold: float) -> Iterator[Items]:
     """Items in blocks of about ``BLOCK_WORDS`` words. A longer item is a block alone."""
     rows, size = [], 0
     for r in items.select(F.col(key).alias("id"), whole_text(text).alias("text")).distinct().orderBy("id", "text").toLocalIterator():
@@ -125,33 +165,12 @@ def item_blocks(items: DataFrame, key: str, text: str) -> Iterator[Items]:
         if len(ws) < LEAST_WORDS:
             continue
         if rows and size + len(ws) > BLOCK_WORDS:
-            yield Items(rows)
+            yield Items(rows, threshold)
             rows, size = [], 0
         rows.append((r.id, ws))
         size += len(ws)
     if rows:
-        yield Items(rows)
-
-
-def _with_seeds(docs: DataFrame, block: Items, text: str) -> Items:
-    """The block with its seeds chosen by counts over all documents."""
-    place = {g: i for i, g in enumerate(block.grams)}
-    shared = docs.sparkSession.sparkContext.broadcast(place)
-
-    def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, count = shared.value, defaultdict(int)
-        for batch in batches:
-            for t in batch.column(0).to_pylist():
-                ws = words(t)
-                for gram in set(filter(known.__contains__, zip(*(ws[j:] for j in range(N))))):
-                    count[known[gram]] += 1
-        if count:
-            yield pa.record_batch([pa.array(count.keys(), pa.int32()), pa.array(count.values(), pa.int64())], ["gram", "n"])
-
-    counts = docs.select(whole_text(text)).mapInArrow(work, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    block.choose({r.gram: r.n for r in counts.collect()})  # no more than the block has n-grams
-    block.grams = {}
-    return block
+        yield Items(rows, threshold)
 
 
 def leaks(
@@ -170,14 +189,14 @@ def leaks(
     names = ["key", "item_id", "score", "first_word", "end_word"]
     schema = f"key {kind}, item_id {item_kind}, score double, first_word long, end_word long"
     spark, out = docs.sparkSession, None
-    for block in item_blocks(items, item_key, item_text):
-        shared = spark.sparkContext.broadcast(_with_seeds(docs, block, text))
+    for block in item_blocks(items, item_key, item_text, threshold):
+        shared = spark.sparkContext.broadcast(block)
 
         def work(batches: Iterable[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in chunks(batches):
                 rows = []
-                for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    rows += [(i, *found) for found in shared.value.found(t, threshold)]
+                for i, found in zip(batch.column(0).to_pylist(), shared.value.found(batch.column(1).to_pylist())):
+                    rows += [(i, *place) for place in found]
                 if rows:
                     yield pa.record_batch([pa.array(c) for c in zip(*rows)], names)
 
@@ -190,13 +209,13 @@ def leaks(
 def decontaminated(docs: DataFrame, items: DataFrame, text: str = "text", item_key: str = "item_id", item_text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without the rows that hold a copy of an item, all columns as they were."""
     body = fresh(docs, "_body")
-    for block in item_blocks(items, item_key, item_text):
-        shared = docs.sparkSession.sparkContext.broadcast(_with_seeds(docs, block, text))
+    for block in item_blocks(items, item_key, item_text, threshold):
+        shared = docs.sparkSession.sparkContext.broadcast(block)
 
         def work(batches: Iterable[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in chunks(batches):
                 last = batch.num_columns - 1
-                clean = [not shared.value.found(t, threshold) for t in batch.column(last).to_pylist()]
+                clean = [not found for found in shared.value.found(batch.column(last).to_pylist())]
                 yield batch.select(range(last)).filter(pa.array(clean, pa.bool_()))
 
         docs = docs.withColumn(body, whole_text(text)).mapInArrow(work, docs.schema)

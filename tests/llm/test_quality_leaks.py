@@ -103,6 +103,42 @@ def test_leaks_by_brute_force(spark, tmp_path):
     assert clean.schema == docs.schema and {r.doc_id for r in clean.collect()} == {r[0] for r in rows} - {i for i, _ in got}
 
 
+def test_every_pair_at_the_threshold(spark):
+    """Random and regular edits, insertions and exact copies beside edited ones."""
+    rng = random.Random(3)
+    vocabulary = ["".join(rng.choices("abcdefgh", k=4)) for _ in range(300)] + ["the", "of", "and", "in"] * 60
+    text = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    items = [text(n) for n in (8, 8, 9, 12, 16, 16, 25, 40, 40, 59)] + [["the", "of", "and"] * 5]
+    every = lambda ws, n: [w if i % n else "qux" for i, w in enumerate(ws, 1)]
+    copies = []
+    for item in items:
+        copies += [every(item, n) for n in (3, 4, 5)] + [leaked(rng, item, share) for share in (0.2, 0.25, 0.25, 0.3)]
+        copies += [[w for v in item for w in (v, "foo")], [w for i, w in enumerate(item) if i % 4], item[: len(item) // 2 + 1]]
+    copies += items[:5]
+    rows = [(i, " ".join(text(rng.randint(0, 60)) + c + text(rng.randint(0, 60)))) for i, c in enumerate(copies)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r for r in d.leaks(docs, bench).collect()}
+    number = {}
+    code = lambda ws: np.array([number.setdefault(w, len(number)) for w in ws])
+    want = {(i, k): d.align(code(item), code(d.words(t)))[0] for i, t in rows for k, item in enumerate(items)}
+    want = {pair: share for pair, share in want.items() if share >= 0.5}
+    assert {pair: r.score for pair, r in got.items()} == want and len(want) > 80
+    body = {i: d.words(t) for i, t in rows}
+    for (i, k), r in got.items():
+        assert d.align(code(items[k]), code(body[i][r.first_word : r.end_word]))[0] == r.score
+    assert {r.doc_id for r in d.decontaminated(docs, bench).collect()} == set(body) - {i for i, _ in want}
+
+
+def test_texts_longer_than_a_piece(monkeypatch):
+    monkeypatch.setattr(d, "PIECE", 50)
+    item = [f"w{j}" for j in range(20)]
+    block = d.Items([(7, item)])
+    for before in range(0, 130, 3):
+        filler = ["x"] * before
+        assert block.found([" ".join(filler + item + ["y"] * 90), "", " ".join(item[:4])]) == [[(7, 1.0, before, before + 20)], [], []]
+
+
 def test_alignment_is_smith_waterman():
     rng = random.Random(2)
     for _ in range(200):
