@@ -11,6 +11,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from payscope.session import materialize
+
 #: Bytes of text that a task works on at once; a longer text is a chunk of its own.
 CHUNK_BYTES = 4 << 20
 
@@ -71,17 +73,23 @@ def marked(df: DataFrame, slot: Column, asked: DataFrame, name: str) -> DataFram
 KEPT_BITS = 1 << 26
 
 
-def without_rows(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """``docs`` without the rows numbered in ``dropped`` (column ``row``, as numbered by
-    ``monotonically_increasing_id``), all columns as they were.
+def numbered(docs: DataFrame, row: str) -> DataFrame:
+    """``docs`` with a number for each row, written. How Spark splits a scan depends on the
+    cores it has at that moment, so rows that are numbered anew in a later job can have
+    other numbers; the written ones stay."""
+    return materialize(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+
+
+def without_rows(docs: DataFrame, dropped: DataFrame, row: str) -> DataFrame:
+    """``docs``, as ``numbered`` under the name ``row``, without the rows whose numbers are
+    in ``dropped`` (column ``row``) and without the numbers, other columns as they were.
 
     Only rows whose bit in a bitmap of the dropped ones is set are shuffled to be compared
     with them; the texts of all others stay where they are. With more dropped rows than
     bits more of them are compared."""
-    row, hit = fresh(docs, "_row"), fresh(docs, "_hit")
+    hit = fresh(docs, "_hit")
     slot = lambda c: F.pmod(F.xxhash64(c), F.lit(KEPT_BITS))
-    numbered = docs.withColumn(row, F.monotonically_increasing_id())
-    told = marked(numbered, slot(row), dropped.select(slot("row").alias("slot")), hit)
+    told = marked(docs, slot(row), dropped.select(slot("row").alias("slot")), hit)
     apart = told.filter(F.col(hit)).join(dropped.select(F.col("row").alias(row)), row, "left_anti")
     return told.filter(~F.col(hit)).unionByName(apart).drop(row, hit)
 

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from payscope.llm.common import marked, whole_text, without_rows
+from payscope.llm.common import fresh, marked, numbered, whole_text, without_rows
 from payscope.session import materialize
 
 #: Characters of the prefix hash, and bits of the bitmap (a million: 128 KiB).
@@ -41,17 +41,18 @@ def fingerprints(docs: DataFrame, text: str = "text", digests: bool = False) ->
     )
 
 
-def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", digests: bool = False) -> DataFrame:
+def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", digests: bool = False, number: str | None = None) -> DataFrame:
     """One row per row of ``docs``: key, ``row``, ``keep_id``, ``group_size``, ``kept``;
     with ``digests`` also ``digest``, the SHA-256 of every text, for which singles are
     hashed too.
 
     Of rows with equal texts that with the largest key stays (a null key is the
     smallest); of rows that are equal in both, one. Null texts are empty ones and equal
-    to them. An empty table gives an empty result; other columns are left out. ``docs``
-    has to be a scan or a written table, so that ``row`` is the same when read again.
+    to them. An empty table gives an empty result; other columns are left out. ``row`` is
+    the column ``number``; without one rows are numbered here, and a later scan of ``docs``
+    need not number them alike.
     """
-    ident, row = F.col(key).alias("id"), F.monotonically_increasing_id().alias("row")
+    ident, row = F.col(key).alias("id"), (F.col(number) if number else F.monotonically_increasing_id()).alias("row")
     more = [F.col("_digest").alias("digest")] if digests else []
     slim = fingerprints(docs.select(ident, row, whole_text(text).alias("text")), digests=digests)
     slim = slim.select("id", "row", "_len", "_prefix", "_sha", *more)
@@ -84,4 +85,6 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", diges
 
 def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without the rows that ``exact_groups`` drops, all columns as they were."""
-    return without_rows(docs, materialize(exact_groups(docs, key, text).filter(~F.col("kept")).select("row"), "dropped"))
+    row = fresh(docs, "_row")
+    docs = numbered(docs, row)
+    return without_rows(docs, materialize(exact_groups(docs, key, text, number=row).filter(~F.col("kept")).select("row"), "dropped"), row)

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from payscope.llm.common import map_chunks, whole_text, without_rows
+from payscope.llm.common import fresh, map_chunks, numbered, whole_text, without_rows
 from payscope.llm.components import components
 from payscope.session import materialize
 
@@ -72,7 +72,7 @@ def fingerprint(raw: bytes, k: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<i8")[0]) if n else 0
 
 
-def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = SHINGLE) -> DataFrame:
+def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = SHINGLE, number: str | None = None) -> DataFrame:
     """(key, row, fp): the fingerprint of each row's text as a signed long."""
     kind = docs.schema[key].dataType
 
@@ -80,7 +80,8 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", k: in
         found = pa.array([fingerprint(t.encode(), k) for t in batch.column(2).to_pylist()], pa.int64())
         return pa.record_batch([batch.column(0), batch.column(1), found], ["id", "row", "fp"])
 
-    slim = docs.select(F.col(key).alias("id"), F.monotonically_increasing_id().alias("row"), whole_text(text))
+    row = F.col(number) if number else F.monotonically_increasing_id()
+    slim = docs.select(F.col(key).alias("id"), row.alias("row"), whole_text(text))
     return map_chunks(slim, work, f"id {kind.simpleString()}, row long, fp long")
 
 
@@ -224,17 +225,19 @@ def links(nodes: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, tree: in
 
 
 def simhash_groups(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = SHINGLE, radius: int = RADIUS, blocks: int = BLOCKS, tree: int = TREE
+    docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = SHINGLE, radius: int = RADIUS, blocks: int = BLOCKS, tree: int = TREE,
+    number: str | None = None,
 ) -> DataFrame:
     """One row per row of ``docs``: key, ``row``, ``fp``, ``component_id`` (the smallest key
     in its component, null only if all are) and ``kept`` (one row of each component).
 
     Null texts are empty ones; texts without words have the fingerprint zero and link
     like any other. Repeated rows share a component and one of them is kept. An empty
-    table gives an empty result; other columns are left out. ``docs`` has to be a scan or
-    a written table, so that ``row`` is the same when read again.
+    table gives an empty result; other columns are left out. ``row`` is the column
+    ``number``; without one rows are numbered here, and a later scan of ``docs`` need not
+    number them alike.
     """
-    rows = materialize(fingerprints(docs, key, text, k), "fingerprints")
+    rows = materialize(fingerprints(docs, key, text, k, number), "fingerprints")
     order = F.struct(F.col("id").isNull().alias("none"), "id", "row")
     nodes = materialize(rows.groupBy("fp").agg(F.min(order).alias("best")), "nodes")
     roots = components(links(nodes.select("fp"), radius, blocks, tree))
@@ -251,5 +254,7 @@ def simhash_groups(
 
 def simhash_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", **more) -> DataFrame:
     """``docs`` with one row of each component, all columns as they were."""
-    found = simhash_groups(docs, key, text, **more)
-    return without_rows(docs, materialize(found.filter(~F.col("kept")).select("row"), "dropped"))
+    row = fresh(docs, "_row")
+    docs = numbered(docs, row)
+    found = simhash_groups(docs, key, text, number=row, **more)
+    return without_rows(docs, materialize(found.filter(~F.col("kept")).select("row"), "dropped"), row)

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from payscope.llm.common import chunks, whole_text
+from payscope.llm.common import chunks, numbered, whole_text
 from payscope.session import materialize
 
 LENGTH, GRAM, SIGN = 100, 32, 20
@@ -457,10 +457,11 @@ def suffix_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", keep:
     The key is an integer and orders the documents, a null one first; rows with one key
     are documents of their own, so a repeated row loses what it repeats. Null texts are
     empty; texts of fewer than LENGTH bytes lose nothing. Other columns are left out.
-    ``docs`` has to be a scan or a written table, so that rows are numbered alike.
+    The documents are written once with a row number, which ties removed starts to them.
     """
     kind = docs.schema[key].dataType.simpleString()
-    rows = docs.select(F.col(key).cast("long").alias("id"), F.monotonically_increasing_id().alias("row"), whole_text(text).alias("text"))
+    rows = docs.select(F.col(key).cast("long").alias("id"), whole_text(text).alias("text"))
+    rows = numbered(rows, "row").select("id", "row", "text")
     spans = removed_starts(rows).groupBy("row").agg(F.collect_list("b").alias("spans"))
     joined = rows.join(spans, "row", "left").select("id", "spans", "text")
 

@@ -66,15 +66,17 @@ def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int
 
 
 def revisits(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
-    """(row, refers_to) of the rows whose payload another row with a smaller key has."""
+    """(id, digest, refers_to), once each: keys and payloads (by SHA-256) of the rows whose
+    payload another row with a smaller key has."""
     size = F.octet_length(whole_text(html))
     slim = pages.select(
-        F.col(key).alias("id"), F.monotonically_increasing_id().alias("row"), size.alias("size"), F.unhex(F.sha2(whole_text(html), 256)).alias("digest")
+        F.col(key).alias("id"), size.alias("size"), F.unhex(F.sha2(whole_text(html), 256)).alias("digest")
     ).filter(F.col("size") >= LEAST_REVISIT)
     slim = materialize(slim, "digests")
     groups = slim.groupBy("digest").agg(F.min("id").alias("first"), F.count("*").alias("n")).filter("n > 1 and first is not null")
     groups = materialize(groups.select("digest", "first"), "groups")
-    return slim.join(groups, "digest").filter(~F.col("id").eqNullSafe(F.col("first"))).select("row", F.col("first").alias("refers_to"))
+    found = slim.join(groups, "digest").filter(~F.col("id").eqNullSafe(F.col("first")))
+    return found.select("id", "digest", F.col("first").alias("refers_to")).distinct()
 
 
 def write_warc(pages: DataFrame, folder: str, key: str = "page_id", url: str = "url", html: str = "html", date: str = "1970-01-01T00:00:00Z") -> DataFrame:
@@ -83,11 +85,15 @@ def write_warc(pages: DataFrame, folder: str, key: str = "page_id", url: str = "
 
     Null payloads are empty; a null key writes a record without one, and revisits the
     smallest key with the same payload. Rows that share the smallest key are all
-    responses. An empty table writes no file. Other columns are left out. ``pages`` has to
-    be a scan or a written table, so that its rows are numbered alike when read again.
+    responses. An empty table writes no file. Other columns are left out. Rows are told
+    apart by key and payload alone, so it doesn't matter how scans are split.
     """
-    rows = pages.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("id"), F.col(url).alias("url"), whole_text(html).alias("html"))
-    rows = rows.join(revisits(pages, key, html), "row", "left").select("id", "url", "refers_to", "html")
+    rows = pages.select(
+        F.col(key).alias("id"), F.col(url).alias("url"), whole_text(html).alias("html"), F.unhex(F.sha2(whole_text(html), 256)).alias("digest")
+    )
+    # Written, so that rows which share key and payload can be split between tasks.
+    known = materialize(revisits(pages, key, html), "revisits").select(F.col("id").alias("of"), F.col("digest").alias("same"), "refers_to")
+    rows = rows.join(known, F.col("id").eqNullSafe(F.col("of")) & (F.col("digest") == F.col("same")), "left").select("id", "url", "refers_to", "html")
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, top = _open_folder(folder)
