@@ -18,7 +18,7 @@ from payscope.llm.sentencepiece_codec import round_trip
 from payscope.llm.simhash import simhash_groups
 from payscope.llm.suffix_dedup import suffix_dedup
 from payscope.llm.token_counts import token_counts
-from payscope.llm.warc import read_warc, write_warc
+from payscope.llm.warc import complete, read_warc, write_warc
 from payscope.session import scratch_path
 
 TOKEN_LIMIT = 1024
@@ -72,7 +72,7 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "warc")
     files = write_warc(table(spark, sf_dir, "pages"), folder)
-    records = read_warc(spark, folder, files, payload=False)
+    records = complete(read_warc(spark, folder, files, payload=False), files)
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

@@ -31,7 +31,6 @@ LEAST_REVISIT, RANGE = 100, 8 << 20
 MAGIC = b"\x1f\x8b\x08"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _BLOCK = 1 << 16
-_LONGEST_HEADER = 1 << 20
 _IDS = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # the name space of URLs
 
 
@@ -136,10 +135,11 @@ class _Range:
 
 def _member(window: _Range, at: int) -> tuple[dict[str, str], bytes, int] | None:
     """Header fields, block and end of the record that starts at a byte, or None if none
-    does: the member has to decode to a record header before the rest is read."""
-    unzip, text, place, head = zlib.decompressobj(31), bytearray(), at, -1
+    does: the member has to begin like a record before the rest is read. A header may have
+    any length, since it holds the whole url."""
+    unzip, text, place, head, seen = zlib.decompressobj(31), bytearray(), at, -1, 0
     while not unzip.eof:
-        piece = window.get(place, _BLOCK if head >= 0 else 1024)
+        piece = window.get(place, _BLOCK if text else 1024)
         if not piece:
             return None
         try:
@@ -150,9 +150,8 @@ def _member(window: _Range, at: int) -> tuple[dict[str, str], bytes, int] | None
         if head < 0:
             if not bytes(text[:7]).startswith(b"WARC/1."[: len(text)]):
                 return None
-            head = text.find(b"\r\n\r\n")
-            if head < 0 and len(text) > _LONGEST_HEADER:
-                return None
+            head = text.find(b"\r\n\r\n", seen)
+            seen = max(0, len(text) - 3)
     if head < 0:
         return None
     fields = dict(line.partition(": ")[::2] for line in bytes(text[:head]).decode(errors="replace").split("\r\n")[1:])
@@ -221,3 +220,12 @@ def read_warc(spark: SparkSession, folder: str, files: DataFrame, span: int = RA
 
     kinds = {"page_id": "long", "refers_to": "long", "payload_bytes": "long", "payload": "binary"}
     return ranges.mapInArrow(work, ", ".join(f"{n} {kinds.get(n, 'string')}" for n in names))
+
+
+def complete(records: DataFrame, files: DataFrame) -> DataFrame:
+    """``records``, written, if they are as many as the writer of ``files`` reported."""
+    records = materialize(records, "records")
+    have, want = records.count(), files.agg(F.coalesce(F.sum("records"), F.lit(0))).first()[0]
+    if have != want:
+        raise RuntimeError(f"{have} records read of {want} written")
+    return records

@@ -62,3 +62,14 @@ def test_empty(spark, tmp_path):
     docs = pages(spark, [(1, "u", "x", "f")], str(tmp_path / "in")).limit(0)
     files = warc.write_warc(docs, str(tmp_path / "warc"))
     assert files.count() == 0 and warc.read_warc(spark, str(tmp_path / "warc"), files).count() == 0
+
+
+def test_long_url_is_read_back(spark, tmp_path):
+    urls = {1: "http://x/" + "ä" * 400_000, 2: "http://x/" + "a" * (3 << 20), 3: "u"}
+    docs = pages(spark, [(i, u, BIG * i, "f") for i, u in urls.items()], str(tmp_path / "in"), 1)
+    folder = str(tmp_path / "warc")
+    files = warc.write_warc(docs, folder)
+    got = warc.complete(warc.read_warc(spark, folder, files, span=1000), files).collect()
+    assert {r.page_id: (bytes(r.payload).decode(), len(r.url)) for r in got} == {i: (BIG * i, 9 + 6 * 400_000 if i == 1 else len(u)) for i, u in urls.items()}
+    with pytest.raises(RuntimeError, match="3 records read of 4"):
+        warc.complete(warc.read_warc(spark, folder, files), files.selectExpr("records + 1 records"))
