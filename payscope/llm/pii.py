@@ -20,7 +20,14 @@ ROUNDS = 8  # even, so that the halves end where they began
 CYCLE = (209, 699)
 
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
-_DATES = {  # form -> how Spark writes it
+_DAY, _MONTH = "(?:0?[1-9]|[12][0-9]|3[01])", "(?:0?[1-9]|1[0-2])"
+_END = r"(?![.\-/][0-9])"
+_DATES = {  # form -> how Spark writes it; the last that fits counts, so short ones come first
+    rf"[0-9]{{4}}-{_MONTH}-{_DAY}{_END}": "yyyy-M-d",
+    rf"[0-9]{{4}}/{_MONTH}/{_DAY}{_END}": "yyyy/M/d",
+    rf"{_DAY}\.{_MONTH}\.[0-9]{{4}}{_END}": "d.M.yyyy",
+    rf"{_MONTH}/{_DAY}/[0-9]{{4}}{_END}": "M/d/yyyy",
+    r"[0-9]{4}/(?:0[1-9]|1[0-2])/[0-3][0-9]": "yyyy/MM/dd",
     r"[0-9]{4}-(?:0[1-9]|1[0-2])-[0-3][0-9]": "yyyy-MM-dd",
     r"[0-3][0-9]\.(?:0[1-9]|1[0-2])\.[0-9]{4}": "dd.MM.yyyy",
     r"(?:0[1-9]|1[0-2])/[0-3][0-9]/[0-9]{4}": "MM/dd/yyyy",
@@ -43,7 +50,9 @@ _ANY = "|".join(f"(?:{FORMS[k]})" for k in ("email", "iban", "ip", "date", "ssn"
 _ANY = _ANY.replace("([ \\-])[0-9]{4}\\1[0-9]{4}\\1", "(?: [0-9]{4} [0-9]{4} |-[0-9]{4}-[0-9]{4}-)").replace(
     "([ \\-])[0-9]{6}\\2", "(?: [0-9]{6} |-[0-9]{6}-)"
 )
-PATTERN = rf"(?<![A-Za-z0-9._%+\-])(?:{_ANY})(?![A-Za-z0-9])|(?<![A-Za-z0-9.+\-])(?:{_ANY})(?![A-Za-z0-9])"
+#: An ISO date may be followed by its time.
+_STOP = r"(?:(?![A-Za-z0-9])|(?<=[0-9]{4}-[0-9]{2}-[0-9]{2})(?=[Tt][0-9]{2}))"
+PATTERN = rf"(?<![A-Za-z0-9._%+\-])(?:{_ANY}){_STOP}|(?<![A-Za-z0-9.+\-])(?:{_ANY}){_STOP}"
 
 
 def _hash(key: str, kind: str, *what: Column) -> Column:
@@ -148,12 +157,22 @@ def _date(key: str, m: Column) -> Column:
             lambda s: F.date_add(F.lit("1600-01-01").cast("date"), (days - since + s.a * b + s.b).cast("int")),
         )
 
-    out = F.lit(None).cast("string")
-    for form, name in _DATES.items():
-        day = F.try_to_timestamp(m, F.lit(name)).cast("date")
-        days = F.datediff(day, F.lit("1600-01-01").cast("date"))
-        out = F.when(m.rlike(f"^{form}$"), F.when(day.isNotNull() & (F.date_format(day, name) == m), F.date_format(_let(days, mixed), name))).otherwise(out)
-    return out
+    # Which form a text has; short forms may still have some zeros in front.
+    which, day = F.lit(-1), F.lit(None).cast("date")
+    short = F.regexp_replace(m, "(?<![0-9])0(?=[0-9](?![0-9]))", "")
+    for i, (form, name) in enumerate(_DATES.items()):
+        fits, text = m.rlike(f"^{form}$"), m if "MM" in name else short
+        found = F.try_to_timestamp(text, F.lit(name)).cast("date")
+        day = F.when(fits, F.when(F.date_format(found, name) == text, found)).otherwise(day)
+        which = F.when(fits, i).otherwise(which)
+
+    def written(new: Column) -> Column:
+        out = F.lit(None).cast("string")
+        for i, name in enumerate(_DATES.values()):
+            out = F.when(which == i, F.date_format(new, name)).otherwise(out)
+        return out
+
+    return _let(_let(F.datediff(day, F.lit("1600-01-01").cast("date")), mixed), written)
 
 
 def _ssn(key: str, m: Column) -> Column:

@@ -68,3 +68,18 @@ def test_other_columns_and_long_texts(spark):
     r = pii.pseudonymize(df, "k").collect()[0]
     assert r._made == "y" and [f.kind for f in r.found] == ["ip"] and r.text.startswith("x" * 300000)
     assert pii.pseudonymize(df.limit(0), "k").count() == 0
+
+
+def test_a_date_has_one_pseudonym_in_every_form(spark):
+    forms = ["2024-02-09", "2024-02-09T10:00:00", "2024-02-09t10:00Z", "2024-2-9", "2024/02/09", "2024/2/9", "09.02.2024", "9.2.2024", "02/09/2024", "2/9/2024", "02/9/2024"]
+    got = values(spark, [f"on {f}, so" for f in forms])
+    days = set()
+    for f, (text, found) in zip(forms, got):
+        assert [k for k, _ in found] == ["date"], f
+        value = found[0][1]
+        assert text == f"on {value}{f[10:] if f[10:11] in ('T', 't') else ''}, so"
+        parts = [int(p) for p in re.split(r"[-/.]", value)]
+        days.add(tuple(parts if parts[0] > 31 else [parts[2], parts[1], parts[0]] if "." in value else [parts[2], parts[0], parts[1]]))
+    assert len(days) == 1 and days != {(2024, 2, 9)}
+    clear = ["2/30/2024", "2024/02/30", "1.2.2020.3", "30.2.2024", "2024-13-1", "2024-02-09x", "1/2/20201"]
+    assert values(spark, clear) == [(t, []) for t in clear]
