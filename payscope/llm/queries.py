@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from payscope.llm.chat import chat_format, formatted, loss_text, read_back
 from payscope.llm.common import importable, table
+from payscope.llm.cross_tokenizer import cross_tokenizer
 from payscope.llm.decontaminate import leaks
 from payscope.llm.exact_dedup import exact_groups
 from payscope.llm import pii, quality
@@ -97,6 +98,11 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(table(spark, sf_dir, "documents"))
 
 
+def op13_cross_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return cross_tokenizer(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def _query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @wraps(run)
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,5 +123,6 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op13_cross_tokenizer": op13_cross_tokenizer,
 }
 QUERIES = {name: _query(run) for name, run in QUERIES.items()}
