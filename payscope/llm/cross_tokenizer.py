@@ -16,11 +16,13 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +35,8 @@ LANE, LOOK = 512, 64
 #: Pairs whose counts are broadcast (16 bytes each), and distinct pairs a task holds.
 COMMON_PAIRS = 1 << 20
 HELD_PAIRS = 1 << 21
+#: A run of white space on which the library's own splitting runs out of stack.
+LONG_SPACE = re.compile(r"\s{2000}")
 
 
 class Pair:
@@ -54,6 +58,7 @@ class Pair:
             raise ValueError("not a plain byte-level vocabulary whose ids are in the order of its merges")
         ranks = {raw: vocab[t] for t, raw in spelled.items()}
         self.a = tiktoken.Encoding("a", pat_str=PATTERN.replace(r"\p{White_Space}", r"\s").replace(r"\P{White_Space}", r"\S"), mergeable_ranks=ranks, special_tokens={})
+        self.words = regex.compile(PATTERN, regex.V0)
         self.a_bytes = [b""] * (max(vocab.values()) + 1)
         for raw, i in ranks.items():
             self.a_bytes[i] = raw
@@ -68,11 +73,16 @@ class Pair:
         self.a_text = np.array([i + s for s in (b",", b"|") for i in ids(self.a_bytes)], object)
         self.b_text = np.array([i + s for s in (b",", b";", b"") for i in ids(self.b_bytes)], object)
 
+    def encode_a(self, text: str) -> list[int]:
+        if LONG_SPACE.search(text):
+            return [i for word in self.words.findall(text) for i in self.a._encode_single_piece(word)]
+        return self.a.encode_ordinary(text)
+
     def encode(self, text: str) -> tuple[list[int], list[int]] | None:
         """Ids of space+text by A and of text by B; None if either spells other bytes."""
         if not text:
             return None
-        a = self.a.encode_ordinary(" " + text)
+        a = self.encode_a(" " + text)
         b = self.b.encode(text)
         raw = b" " + text.encode()
         if b"".join(map(self.b_bytes.__getitem__, b)) != raw or b"".join(map(self.a_bytes.__getitem__, a)) != raw:
