@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from payscope.llm.chat import chat_format, formatted, loss_text, read_back
+from payscope.llm.collocations import collocations
 from payscope.llm.common import importable, table
 from payscope.llm.cross_tokenizer import cross_tokenizer
 from payscope.llm.decontaminate import leaks
@@ -98,6 +99,10 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_cross_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return cross_tokenizer(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
@@ -123,6 +128,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_collocations": op11_collocations,
     "op13_cross_tokenizer": op13_cross_tokenizer,
 }
 QUERIES = {name: _query(run) for name, run in QUERIES.items()}

@@ -69,4 +69,42 @@ SQL = {
                sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(z, 0) + 1))) AS kept_sha256
         FROM sized LEFT JOIN cut USING (doc_id)
     """,
+    "op11_collocations": """
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang,
+                   unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                '[.,;:!?\\x0A-\\x0D]')) AS piece
+            FROM documents
+        ), spoken AS (
+            SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces
+        ), sizes AS (
+            SELECT lang, sum(len(w))::HUGEINT AS n FROM spoken GROUP BY lang
+        ), starts AS (
+            SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM spoken
+        ), grams AS (
+            SELECT lang, w[i : i + m - 1] AS p FROM starts, range(1, 6) AS t(m) WHERE i + m - 1 <= len(w)
+        ), f AS (
+            SELECT lang, p, count(*)::HUGEINT AS f FROM grams GROUP BY lang, p HAVING count(*) >= 100
+        ), parted AS (
+            SELECT lang, p, f AS a, unnest(range(1, len(p))) AS k FROM f WHERE len(p) > 1
+        ), cut AS (
+            SELECT c.lang, c.p, c.a, c.k, x.f AS l, y.f AS r, n, 1000 * c.a * n // (x.f * y.f) AS score
+            FROM parted c
+            JOIN f x ON x.lang = c.lang AND x.p = c.p[1 : c.k]
+            JOIN f y ON y.lang = c.lang AND y.p = c.p[c.k + 1 :]
+            JOIN sizes s ON s.lang = c.lang
+        ), inside AS (
+            SELECT DISTINCT b.lang, b.p[i : i + m - 1] AS p, b.f
+            FROM f b, range(1, 5) AS s(i), range(2, 5) AS t(m) WHERE m < len(b.p) AND i + m - 1 <= len(b.p)
+        ), scored AS (
+            SELECT * FROM cut WHERE NOT EXISTS (FROM inside v WHERE v.lang = cut.lang AND v.p = cut.p AND v.f >= cut.a)
+            QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1
+        ), ranked AS (
+            SELECT *, array_to_string(p, ' ') AS phrase,
+                   row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(array_to_string(p, ' '))) AS rank
+            FROM scored
+        )
+        SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+        FROM ranked WHERE rank <= 2000
+    """,
 }
