@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from payscope.llm.chat import chat_format, formatted, loss_text, read_back
 from payscope.llm.collocations import collocations
 from payscope.llm.common import importable, table
+from payscope.llm.context_mixing import lm_scores
 from payscope.llm.cross_tokenizer import cross_tokenizer
 from payscope.llm.decontaminate import leaks
 from payscope.llm.exact_dedup import exact_groups
@@ -103,6 +104,10 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents"))
 
 
+def op12_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(table(spark, sf_dir, "documents"))
+
+
 def op13_cross_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return cross_tokenizer(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
@@ -129,6 +134,7 @@ QUERIES = {
     "op9_exact_dedup": op9_exact_dedup,
     "op10_suffix_dedup": op10_suffix_dedup,
     "op11_collocations": op11_collocations,
+    "op12_lm_scores": op12_lm_scores,
     "op13_cross_tokenizer": op13_cross_tokenizer,
 }
 QUERIES = {name: _query(run) for name, run in QUERIES.items()}
