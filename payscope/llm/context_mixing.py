@@ -288,13 +288,21 @@ def mix(x: np.ndarray, bit: np.ndarray, size: np.ndarray) -> np.ndarray:
     weights = np.full((3 * lanes, INPUTS), WEIGHT / SCALE, np.float32)
     held = weights.view(np.complex128).ravel()  # a lane's weights as one value
     cost, lane, rate = np.zeros(lanes), np.arange(lanes), np.float32(RATE / SCALE)
-    rows, gate = x.view(np.int32).ravel(), (x[:, 1] != 0).view(np.int8) + (x[:, 2] != 0).view(np.int8)
+    gate = (x[:, 1] != 0).view(np.int8) + (x[:, 2] != 0).view(np.int8)
+    gate <<= 1
+    gate |= bit
+    # Whatever a lane needs for some steps lies in one piece.
+    ahead = lambda v: np.lib.stride_tricks.sliding_window_view(np.append(v, np.zeros(STEPS, v.dtype)), STEPS)
+    rows, gate = ahead(x.view(np.int32).ravel()), ahead(gate)
     for t in range(0, int(length.max()) if lanes else 0, STEPS):
         k = int(np.searchsorted(-length, -t))
-        at = np.minimum(start[:k] + np.arange(t, t + STEPS)[:, None], len(x) - 1)
-        odds = rows.take(at).view(np.int8).astype(np.float32)
-        chosen = gate.take(at).astype(np.int64) * lanes + lane[:k]
-        bits = bit.take(at).astype(np.float32)
+        at = start[:k] + t
+        odds = np.ascontiguousarray(rows[at].T).view(np.int8).astype(np.float32)
+        gates = np.ascontiguousarray(gate[at].T)
+        bits = (gates & 1).astype(np.float32)
+        chosen = (gates >> 1).astype(np.int64)
+        chosen *= lanes
+        chosen += lane[:k]
         # Where a segment is over, its lane goes on for the rest of these steps, at no cost.
         on = length[:k] > np.arange(t, t + STEPS)[:, None]
         error = np.empty((STEPS, k), np.float32)
