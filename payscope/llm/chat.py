@@ -6,8 +6,9 @@ A conversation's turns are collected as structs, sorted, and joined to one strin
     first text<|im_sep|>second  adjacent turns of that role share it
     <|im_end|>                  and one end
 
-Inside roles and texts ``&`` becomes ``&amp;`` and ``<|`` becomes ``&lt;|``, so no control
-string can come from a text and both are read back as they were. The string is made of
+Inside roles and texts ``&`` becomes ``&amp;`` and ``<|`` becomes ``&lt;|``, inside roles a
+line break ``&#10;``, so no control string can come from them and both are read back as
+they were. The string is made of
 segments, each under the loss mask or not; the texts of assistants are.
 """
 
@@ -28,6 +29,14 @@ def unescape(text: Column) -> Column:
     return F.replace(F.replace(text, F.lit("&lt;|"), F.lit("<|")), F.lit("&amp;"), F.lit("&"))
 
 
+def escape_role(role: Column) -> Column:
+    return F.replace(escape(role), F.lit("\n"), F.lit("&#10;"))
+
+
+def unescape_role(role: Column) -> Column:
+    return unescape(F.replace(role, F.lit("&#10;"), F.lit("\n")))
+
+
 def chat_format(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
     """(conv, segments): the conversation as an array of (s, loss); the segments one after
     the other are the formatted string.
@@ -52,7 +61,7 @@ def chat_format(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", rol
 
     def segment(t: Column, i: Column) -> Column:
         opens = F.when(t.role.eqNullSafe(F.col("before")[i]), F.lit(SEP)).otherwise(
-            F.concat(F.when(i == 0, "").otherwise(F.lit(END)), F.lit(START), escape(t.role), F.lit("\n"))
+            F.concat(F.when(i == 0, "").otherwise(F.lit(END)), F.lit(START), escape_role(t.role), F.lit("\n"))
         )
         return F.array(
             F.struct(opens.alias("s"), F.lit(False).alias("loss")),
@@ -85,6 +94,6 @@ def read_back(text: Column) -> Column:
         at = F.instr(body, "\n")
         role = F.substring(body, F.lit(1), at - 1)
         texts = F.split(F.substring(body, at + 1, F.length(body)), r"<\|im_sep\|>")
-        return F.transform(texts, lambda t: F.struct(unescape(role).alias("role"), unescape(t).alias("text")))
+        return F.transform(texts, lambda t: F.struct(unescape_role(role).alias("role"), unescape(t).alias("text")))
 
     return F.flatten(F.transform(runs, turns))

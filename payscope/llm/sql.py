@@ -10,7 +10,7 @@ SQL = {
         ), seen AS (
             SELECT *, row_number() OVER w AS n, lag(role) OVER w AS before,
                    replace(replace(text, '&', '&amp;'), '<|', '&lt;|') AS body,
-                   replace(replace(role, '&', '&amp;'), '<|', '&lt;|') AS head
+                   replace(replace(replace(role, '&', '&amp;'), '<|', '&lt;|'), chr(10), '&#10;') AS head
             FROM turns
             WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
         )
