@@ -32,8 +32,11 @@ _DATES = {  # form -> how Spark writes it; the last that fits counts, so short o
     r"[0-3][0-9]\.(?:0[1-9]|1[0-2])\.[0-9]{4}": "dd.MM.yyyy",
     r"(?:0[1-9]|1[0-2])/[0-3][0-9]/[0-9]{4}": "MM/dd/yyyy",
 }
+#: A mailbox has 64 characters, a host 127 labels of 63 at most. The engine goes one call deeper for each
+#: repeat of a group, so a group that could repeat without end would overflow its stack.
+_LABELS = r"(?:[A-Za-z0-9\-]{1,63}+\.){1,126}"
 FORMS = {
-    "email": r"[A-Za-z0-9._%+\-]++@(?:[A-Za-z0-9\-]++\.)+[A-Za-z]{2,24}",
+    "email": rf"[A-Za-z0-9._%+\-]{{1,64}}+@{_LABELS}[A-Za-z]{{2,24}}",
     "ip": rf"(?:{_OCTET}\.){{3}}{_OCTET}(?!\.[0-9])",
     "date": "|".join(_DATES),
     "ssn": r"(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}",
@@ -261,13 +264,16 @@ def pseudonym(key: str, m: Column) -> Column:
     return out
 
 
-def pseudonymize(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """``docs`` with its text rewritten and a column ``found``, the array of (kind, value)
-    of the pseudonyms in it, in order. ``key`` is the secret of the permutation.
+def pseudonymize(docs: DataFrame, key: str, text: str = "text", found: str = "found") -> DataFrame:
+    """``docs`` with its text rewritten and a column ``found`` (or as named), the array of
+    (kind, value) of the pseudonyms in it, in order. ``key`` is the secret of the permutation.
 
     A null text stays null with nothing found; so do empty ones and empty tables. Repeated
-    rows are rewritten alike; other columns stay (one called ``found`` is replaced).
+    rows are rewritten alike; other columns stay. A column that has the name of ``found``
+    already is an error, since it would be lost.
     """
+    if found.lower() in {c.lower() for c in docs.columns}:
+        raise ValueError(f"there is a column {found} already; pass another name for what is found")
     body = whole_text(text)
     made, gaps = fresh(docs, "_made"), fresh(docs, "_gaps")
     # Most texts have no digit or @ and skip both searches.
@@ -278,6 +284,6 @@ def pseudonymize(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
         docs.withColumn(made, F.transform(held, lambda m: pseudonym(key, m)))
         .withColumn(gaps, between)
         .withColumn(text, F.when(F.col(text).isNotNull(), F.concat(F.col(gaps)[0], F.array_join(rest, ""))))
-        .withColumn("found", F.filter(made, lambda s: s.kind.isNotNull()))
+        .withColumn(found, F.filter(made, lambda s: s.kind.isNotNull()))
         .drop(made, gaps)
     )
