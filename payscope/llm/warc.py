@@ -27,6 +27,8 @@ from payscope.session import materialize
 
 #: Payloads below this size are never revisits; bytes of a range of the reader.
 LEAST_REVISIT, RANGE = 100, 8 << 20
+#: Tasks of the reader; with more ranges a task has several.
+READ_TASKS = 50_000
 #: Fixed values of the format.
 MAGIC = b"\x1f\x8b\x08"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -35,7 +37,9 @@ _IDS = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # the name space of UR
 
 
 def _open_folder(uri: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(uri)
+    """The folder as Spark names it; Arrow has other names for two of the file systems."""
+    scheme, colon, rest = uri.partition("://")
+    return fs.FileSystem.from_uri({"s3a": "s3", "s3n": "s3"}.get(scheme, scheme) + colon + rest)
 
 
 def record_id(page_id: object, digest: str) -> str:
@@ -134,7 +138,7 @@ class _Range:
 
 
 def _member(window: _Range, at: int) -> tuple[dict[str, str], bytes, int] | None:
-    """Header fields, block and end of the record that starts at a byte, or None if none
+    """Header fields (names in lower case), block and end of the record that starts at a byte, or None if none
     does: the member has to begin like a record before the rest is read. A header may have
     any length, since it holds the whole url."""
     unzip, text, place, head, seen = zlib.decompressobj(31), bytearray(), at, -1, 0
@@ -154,8 +158,9 @@ def _member(window: _Range, at: int) -> tuple[dict[str, str], bytes, int] | None
             seen = max(0, len(text) - 3)
     if head < 0:
         return None
-    fields = dict(line.partition(": ")[::2] for line in bytes(text[:head]).decode(errors="replace").split("\r\n")[1:])
-    length = fields.get("Content-Length", "")
+    lines = bytes(text[:head]).decode(errors="replace").split("\r\n")[1:]
+    fields = {name.strip().lower(): value.strip() for name, _, value in (line.partition(":") for line in lines)}
+    length = fields.get("content-length", "")
     if not length.isdigit() or head + 4 + int(length) > len(text):
         return None
     return fields, bytes(text[head + 4 : head + 4 + int(length)]), place - len(unzip.unused_data)
@@ -183,24 +188,29 @@ def read_warc(spark: SparkSession, folder: str, files: DataFrame, span: int = RA
     """One row per record of ``files`` (file, bytes): ``record_id``, ``page_id``, ``url``,
     ``record_type``, ``refers_to``, ``payload_bytes``, ``payload_digest`` (hex) and, if
     asked for, ``payload``, null for revisits. Size and digest are of the payload itself,
-    for revisits as their header states them."""
+    for revisits as their header states them, null where it doesn't. A record of another
+    type has its whole block as payload. A range of ``span`` bytes is a task."""
     starts = F.explode(F.sequence(F.lit(0).cast("long"), F.col("bytes") - 1, F.lit(span).cast("long")))
-    ranges = files.filter("bytes > 0").select("file", "bytes", starts.alias("start")).repartition(F.col("file"), F.col("start"))
+    ranges = files.filter("bytes > 0").select("file", "bytes", starts.alias("start"))
+    # A row stands for megabytes to read, so rows are dealt out one to a task.
+    tasks = files.agg(F.sum(F.ceil(F.col("bytes") / span))).first()[0]
+    ranges = ranges.repartition(min(int(tasks or 1), READ_TASKS))
     names = ["record_id", "page_id", "url", "record_type", "refers_to", "payload_bytes", "payload_digest", *(["payload"] if payload else [])]
     schema = pa.schema(
         [(n, pa.int64() if n in ("page_id", "refers_to", "payload_bytes") else pa.binary() if n == "payload" else pa.string()) for n in names]
     )
 
     def row(fields: dict[str, str], block: bytes) -> tuple:
-        head, _, body = block.partition(b"\r\n\r\n")
-        kind = fields["WARC-Type"]
-        number = lambda k: int(fields[k]) if k in fields else None
+        kind = fields.get("warc-type")
+        number = lambda k: int(fields[k]) if fields.get(k, "").isdigit() else None
+        head, _, body = block.partition(b"\r\n\r\n") if kind in ("response", "revisit") else (b"", b"", block)
         if kind == "revisit":
-            size = int(re.search(rb"(?im)^content-length: *(\d+)", head)[1])
-            digest, body = fields["WARC-Payload-Digest"].removeprefix("sha256:"), None
+            stated = re.search(rb"(?im)^content-length: *(\d+)", head)
+            size, digest, body = int(stated[1]) if stated else None, fields.get("warc-payload-digest"), None
+            digest = digest.removeprefix("sha256:") if digest else None
         else:
             size, digest = len(body), hashlib.sha256(body).hexdigest()
-        whole = (fields["WARC-Record-ID"], number("Page-ID"), fields.get("WARC-Target-URI"), kind, number("Refers-To-Page-ID"), size, digest, body)
+        whole = (fields.get("warc-record-id"), number("page-id"), fields.get("warc-target-uri"), kind, number("refers-to-page-id"), size, digest, body)
         return whole[: len(names)]
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,6 +232,13 @@ def read_warc(spark: SparkSession, folder: str, files: DataFrame, span: int = RA
     return ranges.mapInArrow(work, ", ".join(f"{n} {kinds.get(n, 'string')}" for n in names))
 
 
+def archives(spark: SparkSession, folder: str) -> DataFrame:
+    """(file, bytes) of the gzipped archives in a folder, whoever wrote them. They have to
+    be gzipped record by record, as the format asks for."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz").load(folder)
+    return found.select(F.regexp_extract("path", "[^/]+$", 0).alias("file"), F.col("length").alias("bytes"))
+
+
 def complete(records: DataFrame, files: DataFrame) -> DataFrame:
     """``records``, written, if they are as many as the writer of ``files`` reported."""
     records = materialize(records, "records")
