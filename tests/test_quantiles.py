@@ -4,7 +4,8 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from payscope.operators.quantiles import describe, exact_quantiles, group_medians, median_gap
+from payscope.operators import quantiles
+from payscope.operators.quantiles import describe, exact_quantiles, group_medians, median_gap, quantiles_of_counts, value_counts
 
 WANTED = {"q1": ("x", 0.25), "med": ("x", 0.5), "top": ("x", 1.0), "low": ("x", 0.0), "z": ("y", 0.9)}
 
@@ -95,3 +96,59 @@ def test_medians_and_gap(spark):
     gap = median_gap(df.filter("x is null or x < 3"), "g", "x", "b", "a").first()
     assert tuple(gap) == (2.0, 1.0, 1.0)
     assert median_gap(df, "g", "x", "b", "zzz").first().gap is None
+
+
+def narrow(spark, n):
+    """Different values that all begin alike."""
+    return spark.range(n).select((F.lit(1.7e9) + F.col("id") * 5e5 / n).alias("x"))
+
+
+def test_narrow_column_never_meets_in_one_window(spark, monkeypatch):
+    """Two million values between 1.7e9 and 1.7e9 + 5e5 lie in a few buckets; what is put in
+    order at the end, and the cells on the way, are no more than the stated number."""
+    n, seen, kept = 2_000_000, [], quantiles.materialize
+
+    def watch(df, name="table"):
+        out = kept(df, name)
+        if name == "targets":
+            seen.append(out.agg(F.max("different")).first()[0])
+        return out
+
+    monkeypatch.setattr(quantiles, "materialize", watch)
+    shares = [0.0, 0.1, 0.5, 0.9, 1.0]
+    got = exact_quantiles(narrow(spark, n), {f"p{i}": ("x", p) for i, p in enumerate(shares)}).first()
+    assert list(got) == pytest.approx([1.7e9 + p * (n - 1) * 5e5 / n for p in shares], rel=1e-15)
+    assert seen[0] > quantiles.WINDOW_ROWS >= seen[-1] and len(seen) == 2
+
+
+@pytest.mark.parametrize("limit", [2, 3, 64])
+def test_refinement_by_brute_force(spark, limit):
+    """Small limits need several rounds, with ties, groups and values far apart."""
+    data = skewed(3000, 5) + [("wide", v, v) for v in (5e-324, 1e-300, 1.0, 1.0 + 2**-52, 1.7e308, -1.7e308, -1e-5)]
+    df = spark.createDataFrame(data, "g string, x double, y double")
+    wanted = {k: v for k, v in WANTED.items()}
+    got = {r.g: r for r in quantiles_of_counts(value_counts(df, ["x", "y"], ["g"]), wanted, ["g"], limit).collect()}
+    for g in {g for g, _, _ in data}:
+        mine = [(x, y) for h, x, y in data if h == g]
+        for name, (c, p) in wanted.items():
+            want = brute([x if c == "x" else y for x, y in mine], p)
+            assert got[g][name] == (pytest.approx(want, rel=1e-12) if want is not None else None), (g, name)
+
+
+def test_all_doubles_of_one_bucket(spark):
+    """Neighbouring doubles, which differ in the last bits only."""
+    x = [np.nextafter(1.0, 2.0)]
+    for _ in range(400):
+        x.append(np.nextafter(x[-1], 2.0))
+    df = spark.createDataFrame([(float(v),) for v in x], "x double")
+    wanted = {"a": ("x", 0.25), "b": ("x", 0.5), "c": ("x", 1.0)}
+    assert list(quantiles_of_counts(value_counts(df, ["x"]), wanted, (), 4).first()) == [x[100], x[200], x[400]]
+
+
+def test_describe_of_nothing(spark):
+    df = spark.createDataFrame([(None,)], "x double")
+    assert tuple(describe(df, "x").first()) == tuple(describe(df.limit(0), "x").first()) == (0, None, None, None, None, None, None, None)
+    big = (1 << 62) + 1  # more than a double holds
+    assert describe(spark.createDataFrame([(big,)], "x long"), "x").first()["max"] == big
+    one = describe(spark.createDataFrame([(2.0,), (None,)], "x double"), "x").first()
+    assert tuple(one) == (1, 2.0, None, 2.0, 2.0, 2.0, 2.0, 2.0)
