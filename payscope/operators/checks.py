@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -144,6 +145,76 @@ def failing_rows(checks: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.union, parts)
 
 
+@dataclass(frozen=True)
+class RowCheck:
+    """A row fails where ``fails`` holds; of it ``columns`` are kept."""
+
+    name: str
+    fails: Column
+    columns: tuple[str, ...]
+
+
+@dataclass(frozen=True)
+class KeyCheck:
+    """A key of ``columns`` without NULL fails where it is in ``scope`` (all rows if None)
+    and occurs at least ``least`` times; it is kept with its number of rows."""
+
+    name: str
+    columns: tuple[str, ...]
+    least: int = 2
+    scope: Column | None = None
+
+
+def missing(name: str, column: str, columns: Sequence[str], where: Column | None = None) -> RowCheck:
+    """``not_null`` as a row check."""
+    return RowCheck(name, _within(where, F.col(column).isNull()), tuple(columns))
+
+
+def outside(
+    name: str, column: str, minimum: float | None, maximum: float | None, columns: Sequence[str], where: Column | None = None
+) -> RowCheck:
+    """``accepted_range`` as a row check."""
+    bounds = [F.col(column) < minimum] if minimum is not None else []
+    bounds += [F.col(column) > maximum] if maximum is not None else []
+    return RowCheck(name, _within(where, reduce(Column.__or__, bounds, F.lit(False))), tuple(columns))
+
+
+def repeated(name: str, *columns: str, where: Column | None = None) -> KeyCheck:
+    """``unique`` as a key check."""
+    return KeyCheck(name, columns, 2, where)
+
+
+def unlisted(name: str, column: str, values: Sequence, where: Column | None = None) -> KeyCheck:
+    """``accepted_values`` as a key check."""
+    return KeyCheck(name, (column,), 1, _within(where, ~F.col(column).isin(*values)))
+
+
+def _within(where: Column | None, fails: Column) -> Column:
+    return fails if where is None else where & fails
+
+
+def fused_failures(df: DataFrame, checks: Sequence[RowCheck | KeyCheck]) -> DataFrame:
+    """``failing_rows`` of any number of checks from one scan and one aggregate of a table.
+
+    Each row becomes the array of what it says to the checks: the failing row itself, or
+    its key. Keys are counted before the shuffle; failing rows go through the same
+    aggregate under a number of their own, so equal ones stay apart."""
+    said = []
+    for check in checks:
+        kept = F.to_json(F.struct(*check.columns))
+        if isinstance(check, RowCheck):
+            holds, own, least = check.fails, F.monotonically_increasing_id(), F.lit(1)
+        else:
+            present = reduce(Column.__and__, [F.col(c).isNotNull() for c in check.columns])
+            holds, own, least = _within(check.scope, present), F.lit(None).cast("long"), F.lit(check.least)
+        entry = F.struct(F.lit(check.name).alias("check_name"), kept.alias("kept"), own.alias("row"), least.alias("least"))
+        said.append(F.when(F.coalesce(holds, F.lit(False)), entry))
+    entries = df.select(F.explode(F.array_compact(F.array(*said))).alias("e")).select("e.*")
+    counted = entries.groupBy("check_name", "kept", "row", "least").agg(F.count(F.lit(1)).alias("n")).filter("n >= least")
+    with_count = F.concat(F.left("kept", F.length("kept") - 1), F.lit(',"n_rows":'), "n", F.lit("}"))
+    return counted.select("check_name", F.when(F.col("row").isNull(), with_count).otherwise(F.col("kept")).alias("failing_row"))
+
+
 def collect_failures(failing: DataFrame, samples: int = SAMPLE_ROWS) -> DataFrame:
     """Per failed check its row count and its first rows in text order.
 

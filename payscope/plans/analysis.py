@@ -73,7 +73,8 @@ def quadrants(reliable: DataFrame, of: Columns = Columns()) -> DataFrame:
 
 
 def cost_quality_report(mart: DataFrame, of: Columns = Columns()) -> dict[str, DataFrame]:
-    """Every table of the core analysis, by name; all lazy but the quantile row count."""
+    """Every table of the core analysis, by name. Values that quantiles need are counted
+    and written when this is called; all else is lazy."""
     reliable = reliable_set(mart, of)
     split = quadrants(reliable, of)
     shown = [of.key, of.name, of.cost, of.outcome, of.rating]

@@ -202,7 +202,7 @@ def _charge_fields() -> dict:
 
 def _documents(raw: DataFrame) -> DataFrame:
     """Documents that were landed whole, under the fields needed here."""
-    return parse_documents(raw, DOCUMENT) if raw.columns == ["document"] else raw
+    return parse_documents(raw, DOCUMENT) if "document" in raw.columns else raw
 
 
 def stage_json_first(raw: DataFrame) -> DataFrame:

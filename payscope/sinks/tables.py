@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from payscope.operators.checks import failing_rows
+from payscope.operators.checks import KeyCheck, RowCheck, failing_rows, fused_failures
 
 AUDIT_SCHEMA = "failing_row string, run_id string, check_name string"
 
@@ -66,13 +67,20 @@ def store_failures(checks: Mapping[str, DataFrame], folder: str, run_id: str) ->
     """Keep every failing row of a run under ``folder/run_id=../check_name=..``. All
     checks are written by one job, a file or a few for each; a repeated run replaces its
     own rows only."""
-    (
-        failing_rows(checks)
-        .hint("rebalance", F.col("check_name"))
-        .write.mode("overwrite")
-        .partitionBy("check_name")
-        .parquet(f"{folder}/run_id={run_id}")
-    )
+    _store(failing_rows(checks), folder, run_id)
+
+
+def store_fused_failures(
+    tables: Sequence[tuple[DataFrame, Sequence[RowCheck | KeyCheck]]], folder: str, run_id: str
+) -> None:
+    """``store_failures`` for checks that are declared per table: each table is scanned once,
+    whatever the number of its checks."""
+    _store(reduce(DataFrame.union, [fused_failures(df, checks) for df, checks in tables]), folder, run_id)
+
+
+def _store(failing: DataFrame, folder: str, run_id: str) -> None:
+    spread = failing.hint("rebalance", F.col("check_name"))
+    spread.write.mode("overwrite").partitionBy("check_name").parquet(f"{folder}/run_id={run_id}")
 
 
 def read_failures(spark: SparkSession, folder: str, run_id: str | None = None) -> DataFrame:

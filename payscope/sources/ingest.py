@@ -63,7 +63,8 @@ def open_source(
     raise ValueError(f"unknown kind {source.kind}")
 
 
-def _load(spark: SparkSession, source: Source, target: str) -> tuple[str, int, int, str]:
+def load_source(spark: SparkSession, source: Source, target: str) -> tuple[str, int, int, str]:
+    """Lands one source; (status, rows, columns, message)."""
     try:
         raw, renames, remark = open_source(spark, source)
         if not raw.columns:
@@ -96,7 +97,7 @@ def ingest(
 
     def one(item: tuple[str, Source]) -> tuple:
         name, source = item
-        status, rows, columns, message = _load(spark, source, f"{folder}/{name}")
+        status, rows, columns, message = load_source(spark, source, f"{folder}/{name}")
         if report:
             report(name, status)
         return name, status, rows, columns, message

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -30,28 +30,45 @@ def read_documents(
     return spark.read.schema(schema).json(path, multiLine=not lines, mode="FAILFAST")
 
 
+# Longest text that is kept as a VARIANT, whose binary form may be several times as long
+# and has a limit of 16 MiB.
+VARIANT_CHARS = 4 << 20
+
+
 def read_raw_documents(
     spark: SparkSession, path: str | list[str], *, lines: bool = False
 ) -> DataFrame:
-    """JSON documents whole, as text in the column ``document``, so that no field is
-    lost: one per file, or one per line. Invalid JSON is an error."""
-    text = spark.read.text(path, wholetext=not lines)
-    document = F.regexp_replace("value", "^\ufeff", "")
-    broken = F.raise_error(F.lit("malformed JSON document")).cast("string")
-    valid = F.when(F.try_parse_json("document").isNull(), broken).otherwise(F.col("document"))
-    return (
-        text.select(document.alias("document"))
-        .filter(F.trim("document") != "")
-        .select(valid.alias("document"))
+    """JSON documents whole, so that no field is lost: one per file, or one per line.
+
+    Each is parsed once, here, into the VARIANT ``document``; ``typed_fields`` and
+    ``parse_documents`` take fields out of it without another parse. Invalid JSON is an
+    error, and so is a field that an object has twice. A document too long for a VARIANT
+    stays text in ``oversize`` and is parsed, and found invalid, when it is staged.
+    """
+    text = F.regexp_replace("value", "^\ufeff", "")
+    texts = spark.read.text(path, wholetext=not lines).select(text.alias("text")).filter(F.trim("text") != "")
+    fits = F.length("text") <= VARIANT_CHARS
+    return texts.select(
+        F.when(fits, F.parse_json("text")).alias("document"), F.when(~fits, F.col("text")).alias("oversize")
     )
 
 
 def parse_documents(raw: DataFrame, schema: str | T.StructType) -> DataFrame:
-    """The fields of a schema out of landed documents."""
-    parsed = F.from_json("document", schema, {"mode": "FAILFAST"})
+    """The fields of a schema out of landed documents. Other fields are left, absent ones
+    are NULL, and a value that can't be cast to its field's type is an error."""
+    fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    held = F.variant_get("document", "$", fields.simpleString())
+    parsed = F.when(F.col("oversize").isNull(), held).otherwise(F.from_json("oversize", schema, {"mode": "FAILFAST"}))
     return raw.select(parsed.alias("d")).select("d.*")
 
 
+def typed_fields(raw: DataFrame, fields: Mapping[str, tuple[str, str]], document: str = "document") -> DataFrame:
+    """Typed values by path out of a VARIANT column (name -> (path, type)), beside the other
+    columns. A path that is absent, or whose value isn't of the type, is NULL."""
+    taken = [F.try_variant_get(document, path, kind).alias(name) for name, (path, kind) in fields.items()]
+    return raw.select(*(c for c in raw.columns if c not in (document, "oversize")), *taken)
+
+
 def read_pages(
     spark: SparkSession,
     path: str | list[str],

@@ -2,8 +2,7 @@ import pytest
 
 import __spark_entry__ as entry
 from parity import cell, compare, connect
-from payscope.plans.star import QUERIES
-from payscope.plans.star_sql import SQL
+from __spark_entry__ import QUERIES, SQL
 
 SMALL = "/root/testdata/sf0.001"
 

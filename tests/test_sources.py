@@ -17,6 +17,7 @@ from payscope.sinks.tables import (
 from payscope.sources.archives import list_members, unpack_first_member
 from payscope.sources.csv_files import read_csv
 from payscope.sources.ingest import Source, ingest, read_raw
+from payscope.sources import json_files
 from payscope.sources.json_files import (
     missing_pages,
     read_documents,
@@ -24,6 +25,7 @@ from payscope.sources.json_files import (
     read_raw_documents,
     resolve_download,
     resolve_downloads,
+    typed_fields,
 )
 
 PREAMBLE = 'hospital_name,last_updated_on,license\r\n"Some, Hospital",2024-01-01,"x ""y"" z"\r\n'
@@ -175,12 +177,38 @@ def test_raw_documents_keep_every_field(spark, tmp_path):
     land = str(tmp_path / "raw")
     ingest(spark, {"doc": Source(path, "json")}, land)
     raw = read_raw(spark, land, ["doc"])["doc"]
-    assert json.loads(raw.first().document) == whole
+    assert json.loads(raw.first().document.toJson()) == whole
     assert prices.stage_json_payers(raw).count() == 1 and prices.stage_json_first(raw).count() == 3
     lined = put(tmp_path / "l.json", json.dumps(whole) + "\n\n" + json.dumps({"a": 1}) + "\n")
     assert read_raw_documents(spark, lined, lines=True).count() == 2
 
 
+def test_a_document_too_long_for_a_variant_stays_text(spark, tmp_path, monkeypatch):
+    path = put(tmp_path / "d.json", json.dumps(CHARGES))
+    usual = [tuple(r) for r in prices.stage_json_payers(read_raw_documents(spark, path)).collect()]
+    monkeypatch.setattr(json_files, "VARIANT_CHARS", 10)
+    raw = read_raw_documents(spark, path)
+    assert raw.first().document is None and json.loads(raw.first().oversize) == CHARGES
+    assert [tuple(r) for r in prices.stage_json_payers(raw).collect()] == usual and usual
+
+
+def test_typed_fields_of_landed_documents(spark, tmp_path):
+    rows = [{"k": 5, "s": "x", "d": {"deep": [1, 2.5]}}, {"k": "5", "s": None}, {"k": {"a": 1}, "d": []}, {}]
+    path = put(tmp_path / "l.json", "\n".join(map(json.dumps, rows)))
+    fields = {"k": ("$.k", "bigint"), "s": ("$.s", "string"), "second": ("$.d.deep[1]", "double"), "day": ("$.k", "array<int>"), "none": ("$.x.y", "string")}
+    got = typed_fields(read_raw_documents(spark, path, lines=True).withColumn("at", F.monotonically_increasing_id()), fields).orderBy("at")
+    assert [tuple(r)[1:] for r in got.collect()] == [(5, "x", 2.5, None, None), (5, None, None, None, None), (None,) * 5, (None,) * 5]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("parsejson") == 1
+
+
+@pytest.mark.parametrize("text", ['{"a": 1', "{'a': 1}", '{"a": 1} x', '{"a": 1, "a": 2}'])
+def test_broken_documents_are_errors(spark, tmp_path, text):
+    path = put(tmp_path / "l.json", '{"a": 0}\n' + text + "\n")
+    with pytest.raises(Exception, match="MALFORMED|DUPLICATE"):
+        read_raw_documents(spark, path, lines=True).select(F.col("document").cast("string")).collect()
+
+
 def test_failed_reload_keeps_the_table(spark, tmp_path):
     land = str(tmp_path / "raw")
     path = put(tmp_path / "f.csv", "a,b\n" + "1,2\n" * 50)
