@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import csv
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,62 +42,107 @@ class Scan:
         return f"read as Latin-1: {first}" + (f" and {n - 1} more" if n > 1 else "") if n else ""
 
 
+#: Bytes fetched from a file at a time until its header is complete.
+HEAD_BLOCK = 1 << 16
+#: File systems that tasks open through Arrow; heads of files elsewhere come by the driver.
+ARROW_SCHEMES = ("file", "hdfs", "s3", "s3a", "s3n", "gs")
+
+
+def header_at(read: Callable[[int, int], bytes], header_row: int, encoding: str | None) -> tuple[list[str] | None, int]:
+    """The record at ``header_row`` (blank lines not counted) and the byte after it, or None
+    and the file's length. ``read(start, n)`` gives up to n bytes; no more blocks are
+    fetched than it takes."""
+
+    def parsed(lines: list[bytes]) -> list[str] | None:
+        for charset in (encoding or "utf-8", "latin-1"):
+            try:
+                text = [line.rstrip(b"\r\n").decode(charset) for line in lines]
+                break
+            except UnicodeDecodeError:
+                continue
+        text[0] = text[0].removeprefix("\ufeff")
+        records = [r for r in csv.reader(t + "\n" for t in text) if r]
+        return records[header_row] if len(records) > header_row else None
+
+    data, held, used, quotes, over = b"", [], 0, 0, False
+    while not over:
+        block = read(used + len(data), HEAD_BLOCK)
+        over, data = not block, data + block
+        lines = data.splitlines(keepends=True)
+        # A line may go on in the next block, as may its end of two signs.
+        whole = lines if over else lines[:-1]
+        for line in whole:
+            held.append(line)
+            used += len(line)
+            quotes += line.count(b'"')
+            # A record that ends with an odd number of quotes goes on in the next line.
+            if len(held) > header_row and quotes % 2 == 0 and (header := parsed(held)) is not None:
+                return header, used
+        data = b"" if over else b"".join(lines[-1:])
+    return None, used
+
+
+def _open_head(path: str) -> Callable[[int, int], bytes]:
+    """Reads a file that a task names as Hadoop does."""
+    scheme, _, rest = path.partition(":")
+    if scheme == "file":
+        system, at = fs.LocalFileSystem(), "/" + rest.lstrip("/")
+    else:
+        host, _, inside = rest.lstrip("/").partition("/")
+        system, top = fs.FileSystem.from_uri(f"{'s3' if scheme in ('s3a', 's3n') else scheme}://{host}/")
+        at = f"{top.rstrip('/')}/{inside}"
+    source = system.open_input_file(at)
+
+    def read(start: int, n: int) -> bytes:
+        source.seek(start)
+        return source.read(n)
+
+    return read
+
+
+def _open_on_driver(spark: SparkSession, path: str) -> Callable[[int, int], bytes]:
+    file = spark._jvm.org.apache.hadoop.fs.Path(path)
+    source = file.getFileSystem(spark._jsc.hadoopConfiguration()).open(file)
+
+    def read(start: int, n: int) -> bytes:
+        source.seek(start)
+        return bytes(source.readNBytes(n))
+
+    return read
+
+
+def file_validity(spark: SparkSession, path: str) -> DataFrame:
+    """Per file, whether every line of it is valid UTF-8."""
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.is_valid_utf8("value").alias("utf8"))
+    return lines.groupBy("file").agg(F.every("utf8").alias("utf8"))
+
+
 def file_headers(spark: SparkSession, path: str, header_row: int = 0, encoding: str | None = None) -> DataFrame:
-    """Per file, in one pass over all of them: the record at ``header_row`` (blank lines
-    not counted) as an array, and whether every line is valid UTF-8."""
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"),
-        (F.col("_metadata.file_block_start") == 0).alias("top"),
-        F.is_valid_utf8("value").alias("utf8") if encoding is None else F.lit(True).alias("utf8"),
-        F.col("value").cast("binary").alias("raw"),
-    )
+    """Per file (``file``) the record at ``header_row`` (blank lines not counted) as an
+    array, the byte after it (``offset``), and whether every line is valid UTF-8 (``utf8``,
+    taken for granted if the encoding is given).
 
-    def look(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[bytes] = []  # of the file that is being read, until its header is found
-        now, valid, header = None, True, None
-
-        def found() -> pa.RecordBatch:
-            columns = [[now], [header], [valid]]
-            kinds = [pa.string(), pa.list_(pa.string()), pa.bool_()]
-            return pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], ["file", "header", "utf8"])
-
-        def parsed(raw: list[bytes]) -> list[str] | None:
-            for charset in (encoding or "utf-8", "latin-1"):
-                try:
-                    text = [r.decode(charset) for r in raw]
-                    break
-                except UnicodeDecodeError:
-                    continue
-            text[0] = text[0].removeprefix("\ufeff")
-            records = [r for r in csv.reader(t + "\n" for t in text) if r]
-            # A record that ends with the last line may go on in the next one.
-            if len(records) <= header_row or sum(t.count('"') for t in text) % 2:
-                return None
-            return records[header_row]
+    Headers come from the first bytes of each file alone, read by tasks that have file names
+    as rows. Validity is an aggregate over the lines, which stay in the JVM."""
+    # The listing opens no file, as the content is not asked for.
+    listed = spark.read.format("binaryFile").load(path).filter("length > 0").select(F.col("_metadata.file_path").alias("file"), "path")
+    schemes = [r[0] for r in listed.select(F.substring_index("path", ":", 1)).distinct().limit(len(ARROW_SCHEMES) + 1).collect()]
 
+    def look(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names = batch.column(0).to_pylist()
-            cuts = [0, *(i for i in range(1, len(names)) if names[i] != names[i - 1]), len(names)]
-            for a, z in zip(cuts, cuts[1:]):
-                if a == z:
-                    continue
-                if names[a] != now:
-                    if now is not None:
-                        yield found()
-                    now, valid, header, held = names[a], True, None, []
-                part = batch.slice(a, z - a)
-                valid = valid and pc.all(part.column(2)).as_py()
-                if part.column(1)[0].as_py() and header is None:
-                    for raw in part.column(3).to_pylist():
-                        held.append(raw)
-                        if len(held) > header_row and (header := parsed(held)) is not None:
-                            break
-        if now is not None:
-            yield found()
-
-    seen = lines.mapInArrow(look, "file string, header array<string>, utf8 boolean")
-    # A header has no order to take the larger of; at most one block of a file has one.
-    return seen.groupBy("file").agg(F.first("header", ignorenulls=True).alias("header"), F.every("utf8").alias("utf8"))
+            files, paths = (c.to_pylist() for c in batch.columns)
+            found = [header_at(_open_head(p), header_row, encoding) for p in paths]
+            columns = [pa.array(files), pa.array([h for h, _ in found], pa.list_(pa.string())), pa.array([o for _, o in found], pa.int64())]
+            yield pa.record_batch(columns, ["file", "header", "offset"])
+
+    schema = "file string, header array<string>, offset long"
+    if set(schemes) <= set(ARROW_SCHEMES):
+        heads = listed.mapInArrow(look, schema)
+    else:
+        heads = spark.createDataFrame([(r.file, *header_at(_open_on_driver(spark, r.path), header_row, encoding)) for r in listed.collect()], schema)
+    if encoding is not None:
+        return heads.withColumn("utf8", F.lit(True))
+    return heads.join(file_validity(spark, path), "file", "left").withColumn("utf8", F.coalesce("utf8", F.lit(True)))
 
 
 def read_csv(
@@ -115,8 +161,9 @@ def read_csv(
     ``header_row`` counts the records above the header, which are dropped with it from
     every file. A quoted line break is only safe when one task reads a whole file; files
     known to have none are split among tasks with ``multiline=False``. A given
-    ``encoding`` takes the place of the test for UTF-8. The files are read twice: for
-    headers and encodings, and for the rows.
+    ``encoding`` takes the place of the test for UTF-8, which reads all lines once; else
+    only the heads of the files are read before the rows. Rows go through Python only where
+    records above the header have to be dropped.
     """
     files = materialize(file_headers(spark, path, header_row, encoding), "headers")
     # Two headers say enough, whatever the number of files.

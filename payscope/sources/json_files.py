@@ -42,7 +42,8 @@ def read_raw_documents(
 
     Each is parsed once, here, into the VARIANT ``document``; ``typed_fields`` and
     ``parse_documents`` take fields out of it without another parse. Invalid JSON is an
-    error, and so is a field that an object has twice. A document too long for a VARIANT
+    error, and so is a field that an object has twice; what follows the document's end on
+    its line or in its file is not looked at. A document too long for a VARIANT
     stays text in ``oversize`` and is parsed, and found invalid, when it is staged.
     """
     text = F.regexp_replace("value", "^\ufeff", "")

