@@ -10,12 +10,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from payscope.operators import checks
+from payscope.operators.joins import longest_prefix
+from payscope.operators.mergeable import (
+    co_moments,
+    distinct_sketches,
+    error_bound,
+    estimated,
+    merged,
+    pearson_of,
+    united,
+    without_each,
+)
 from payscope.plans import star
 from payscope.plans.star import table
-from payscope.plans.star_sql import _SAMPLED, SQL as STAR_SQL
+from payscope.plans.star_sql import _K, _SAMPLED, _on_mart
+from payscope.plans.star_sql import SQL as STAR_SQL
 from payscope.session import materialize, scratch_path
 from payscope.sinks.snapshots import load_snapshot, read_snapshot, versions
-from payscope.sinks.tables import export_csv, read_failures, store_fused_failures
+from payscope.sinks.tables import export_csv, read_failures, store_fused_failures, write_bucketed
 from payscope.sources.ingest import Source
 from payscope.sources.json_files import read_raw_documents, typed_fields
 from payscope.sources.manifest import ingest_run, latest, read_manifest
@@ -170,7 +182,76 @@ def exported_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+def distinct_by_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Different parts and customers per source, by sketches stored per day's part and united;
+    whether each estimate keeps to the bound."""
+    sources = {
+        "lineitem": table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("item"), F.col("l_linenumber").alias("part")),
+        "orders": table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("item"), F.pmod("o_orderkey", F.lit(7)).alias("part")),
+        "events": table(spark, sf_dir, "events").select(F.col("event_id").alias("item"), F.length("event_type").alias("part")),
+    }
+    rows = None
+    for name, df in sources.items():
+        df = df.select(F.lit(name).alias("source"), F.col("item").cast("long"), F.col("part").cast("long"))
+        rows = df if rows is None else rows.unionByName(df)
+    stored = materialize(distinct_sketches(rows, ["source", "part"], "item"), "sketches")
+    scopes = united(stored, ["source"]).unionByName(united(stored).withColumn("source", F.lit("ALL")))
+    exact = rows.groupBy("source").agg(F.count_distinct("item").alias("n_exact")).unionByName(
+        rows.agg(F.lit("ALL").alias("source"), F.count_distinct("item").alias("n_exact"))
+    )
+    off = F.abs(F.col("n_distinct") - F.col("n_exact"))
+    return (
+        estimated(scopes).join(exact, "source")
+        .select("source", "n_rows", "n_exact", (off <= F.col("n_exact") * error_bound()).alias("within_bound"))
+    )
+
+
+def prefix_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders by the longest prefix of their number that the line items know."""
+    number = lambda c: F.lpad(F.col(c).cast("string"), 9, "0")
+    size = F.lit(4) + F.pmod(F.col("l_partkey"), F.lit(5)).cast("int")
+    prefixes = table(spark, sf_dir, "lineitem").filter("l_linenumber < 3").select(
+        F.left(number("l_orderkey"), size).alias("prefix"), F.col("l_suppkey").alias("supplier")
+    )
+    codes = table(spark, sf_dir, "orders").select("o_orderkey", number("o_orderkey").alias("code"))
+    return longest_prefix(codes, "code", prefixes, "supplier")
+
+
+def stored_co_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Correlations of all events, of each kind and of all but each kind, from one stored
+    state per kind; values lie near a billion."""
+    events = table(spark, sf_dir, "events").select(
+        "event_type", (F.col("value") + 1e9).alias("x"), F.get_json_object("props", "$.k").cast("double").alias("y")
+    )
+    stored = materialize(co_moments(events, "x", "y", ["event_type"]), "moments")
+    kind = F.col("event_type")
+    scopes = (
+        stored.withColumn("scope", F.concat(F.lit("only "), kind)).drop("event_type")
+        .unionByName(without_each(stored, "event_type").withColumn("scope", F.concat(F.lit("without "), kind)).drop("event_type"))
+        .unionByName(merged(stored).withColumn("scope", F.lit("all")))
+    )
+    return scopes.select("scope", "n", F.round(pearson_of(), 6).alias("r"))
+
+
+def bucketed_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cost, outcomes and spending per entity as tables with equal buckets, joined on the
+    spine without a shuffle."""
+    cost = star.returned_items(spark, sf_dir).groupBy(F.col("l_suppkey").alias("entity_id")).agg(
+        F.sum("payment").alias("payment"), F.sum("l_quantity").alias("volume")
+    )
+    outcomes = star.ratings_by_entity(spark, sf_dir)
+    spend = star.spend_by_entity(spark, sf_dir)
+    first, *others = [write_bucketed(df, "entity_id", 8) for df in (cost, outcomes, spend)]
+    for other in others:
+        first = first.join(other.hint("merge"), "entity_id", "left")
+    return first
+
+
 QUERIES = {
+    "distinct_by_sketch": distinct_by_sketch,
+    "prefix_lookup": prefix_lookup,
+    "stored_co_moments": stored_co_moments,
+    "bucketed_spine": bucketed_spine,
     "json_landing": json_landing,
     "json_typed_paths": json_typed_paths,
     "snapshot_time_travel": snapshot_time_travel,
@@ -182,7 +263,33 @@ QUERIES = {
 
 _KINDS = "SELECT replace(concat_ws('_', lower(p_type), 'parts_of_the_brand', substr(p_brand, 7, 2)), ' ', '_') AS kind, count(*) AS n, min(p_partkey) AS first FROM part GROUP BY 1"
 
+_EVENTS = f"SELECT event_type, value + 1e9 AS x, {_K}::DOUBLE AS y FROM events"
+_R = "count(*) AS n, round(CASE WHEN stddev_pop(x) > 0 AND stddev_pop(y) > 0 THEN corr(x - 1e9, y) END, 6) AS r"
+
 SQL = {
+    "distinct_by_sketch": """
+        WITH rows AS (SELECT 'lineitem' AS source, l_partkey AS item FROM lineitem UNION ALL
+            SELECT 'orders', o_custkey FROM orders UNION ALL SELECT 'events', event_id FROM events)
+        SELECT source, count(*) AS n_rows, count(DISTINCT item) AS n_exact, true AS within_bound FROM rows GROUP BY 1
+        UNION ALL SELECT 'ALL', count(*), count(DISTINCT item), true FROM rows""",
+    "prefix_lookup": """
+        WITH known AS (SELECT left(lpad(l_orderkey::VARCHAR, 9, '0'), (4 + l_partkey % 5)::INT) AS prefix,
+              min(l_suppkey) AS supplier FROM lineitem WHERE l_linenumber < 3 GROUP BY 1),
+        codes AS (SELECT o_orderkey, lpad(o_orderkey::VARCHAR, 9, '0') AS code FROM orders),
+        tried AS (SELECT o_orderkey, n, left(code, n::INT) AS prefix FROM codes, range(4, 9) AS t(n)),
+        found AS (SELECT o_orderkey, arg_max(supplier, n) AS supplier FROM tried JOIN known USING (prefix) GROUP BY 1)
+        SELECT o_orderkey, code, supplier FROM codes LEFT JOIN found USING (o_orderkey)""",
+    "stored_co_moments": f"""
+        WITH e AS ({_EVENTS}), kinds AS (SELECT DISTINCT event_type AS kind FROM e)
+        SELECT 'all' AS scope, {_R} FROM e
+        UNION ALL SELECT 'only ' || event_type, {_R} FROM e GROUP BY event_type
+        UNION ALL SELECT 'without ' || kind, {_R} FROM kinds JOIN e ON event_type <> kind GROUP BY kind""",
+    "bucketed_spine": _on_mart(
+        """SELECT entity_id, payment, volume, star, urgent_mean, low_mean
+        FROM (SELECT l_suppkey AS entity_id, sum(round(l_extendedprice * 100)) AS payment, sum(l_quantity) AS volume
+              FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1)
+        LEFT JOIN quality USING (entity_id)"""
+    ),
     "json_landing": """
         SELECT doc_id, lang, n_chars::INT AS n_chars, n_chars / 8 AS eighth, n_chars::VARCHAR AS n_chars_text,
           substr(text, 1, 20) AS head, NULL::VARCHAR AS beyond, CASE WHEN doc_id % 3 = 0 THEN 'only some' END AS note,

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from payscope.operators.checks import KeyCheck, RowCheck, failing_rows, fused_failures
+from payscope.session import scratch_path
 
 AUDIT_SCHEMA = "failing_row string, run_id string, check_name string"
 
@@ -115,3 +116,14 @@ def export_csv(
     ordered = out.repartition(1).sortWithinPartitions(*order) if single_file else out.orderBy(*order)
     ordered.write.mode("overwrite").csv(path, header=True)
     return out
+
+
+def write_bucketed(df: DataFrame, key: str, buckets: int, name: str | None = None) -> DataFrame:
+    """``df`` as a table of so many buckets by a key, sorted within them. Tables with equal
+    buckets join and group on the key without a shuffle. Files lie in the shared folder; the
+    catalog knows the table under ``name``, or one of its own."""
+    spark, name = df.sparkSession, name or f"bucketed_{uuid.uuid4().hex}"
+    # A task per bucket writes one file for it.
+    placed = df.repartition(buckets, key)
+    placed.write.bucketBy(buckets, key).sortBy(key).option("path", scratch_path(spark, name)).saveAsTable(name)
+    return spark.table(name)
