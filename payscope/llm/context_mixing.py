@@ -1,11 +1,13 @@
 """Language-model scores by online logistic context mixing.
 
-A text is its words, lower-cased, with a space between and an end sign, spelled bit by bit
-in the training corpus's Huffman code of bytes. Several predictors give the odds of the
-next bit, each from the bits that followed the same hashed context in the corpus (the last
-three and four bytes, the word so far). A gate, how many of the two longer contexts are
-known, chooses the weights by which the odds are mixed; after each bit these are
-refined by its error. The bits' costs add up to the text's log probability.
+A text is its words, lower-cased, and an end sign, spelled bit by bit: a common word by its
+code in a Huffman tree of common words, another by an escape and its bytes in a tree of
+bytes. Several predictors give the odds of the next bit, each from the bits that followed
+the same hashed context in the corpus: for words the place alone, the word before and the
+two before; for bytes the last three, the last four and the word so far. A gate, how many
+of the two longer contexts are known, chooses the weights by which the odds are mixed;
+after each bit these are refined by its error. The bits' costs add up to the text's log
+probability.
 
 All training texts are counted: tasks add up tables of the bits per context, which are
 summed block by block into tables of a fixed size, a byte per context and node of the code.
@@ -19,7 +21,7 @@ from __future__ import annotations
 import heapq
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -29,15 +31,16 @@ from pyspark.sql import functions as F
 from payscope.llm.common import chunks, whole_text
 from payscope.session import materialize
 
-#: Contexts of a predictor as a power of two: three bytes, four, the word so far.
+#: Slots of a predictor as a power of two, and words with a code of their own.
 TABLE_BITS = (21, 22, 22)
+CODED_WORDS = 1 << 16
 INPUTS = 4  # the predictors and a constant
 BLOCK = 1 << 13
 #: Words whose counts are broadcast, distinct words a task counts at once.
 COMMON_WORDS = 1 << 18
 HELD_WORDS = 1 << 20
-#: Bytes worked on at once, bytes of a part of a very long text, bits of a segment.
-SLICE, PART, SEGMENT = 1 << 16, 4 << 20, 1 << 13
+#: Symbols worked on at once, words of a part of a very long text, bits of a segment.
+SLICE, PART, SEGMENT = 1 << 14, 1 << 20, 1 << 13
 #: Weight of each predictor at first, and how far an error moves it.
 WEIGHT, RATE = 0.3, 0.0005
 #: Every bit has this chance at least. Steps laid out at a time.
@@ -45,7 +48,8 @@ LEAST, STEPS = 1e-6, 64
 #: Odds are kept as 16ths of a natural logarithm.
 SCALE = 16
 GAP = 4  # bytes that a context looks back
-END = 10
+#: Symbols beyond the bytes: what announces a spelled word, the end, the first coded word.
+ESCAPE, END, FIRST = 256, 257, 258
 
 
 def held_out(key: str = "doc_id") -> Column:
@@ -57,35 +61,45 @@ def spoken(text: str) -> list[bytes]:
     return text.encode().lower().split()
 
 
-def parts(words: list[bytes]) -> list[bytes]:
-    """What is spelled for a text. A very long one goes in parts that know nothing of each
-    other."""
-    said = b" ".join(words) + b"\n"
+def parts(words: list[bytes]) -> list[list[bytes]]:
+    """The words and the end sign (empty). A very long text goes in parts that know nothing
+    of each other."""
+    said = [*words, b""]
     return [said] if len(said) <= PART else [said[i : i + PART] for i in range(0, len(said), PART)]
 
 
+def _tree(counts: list[int]) -> list[list[int]]:
+    """Huffman codes by counts: per symbol its path, 2 * node + bit from the root on."""
+    heap = [(n + 1, i, i) for i, n in enumerate(counts)]
+    heapq.heapify(heap)
+    up: dict[int, tuple[int, int]] = {}
+    for node in range(len(counts), 2 * len(counts) - 1):
+        (n, _, zero), (m, _, one) = heapq.heappop(heap), heapq.heappop(heap)
+        up[zero], up[one] = (node, 0), (node, 1)
+        heapq.heappush(heap, (n + m, node, node))
+    out = []
+    for i in range(len(counts)):
+        path, at = [], i
+        while at in up:
+            at, bit = up[at]
+            path.append(2 * (at - len(counts)) + bit)
+        out.append(path[::-1])
+    return out
+
+
 class Code:
-    """The Huffman code of bytes by their counts: per byte the bits and the nodes at which
-    they are decided."""
-
-    def __init__(self, counts: np.ndarray):
-        heap = [(int(n) + 1, b, b) for b, n in enumerate(counts)]
-        heapq.heapify(heap)
-        paths: list[list[tuple[int, int]]] = [[] for _ in range(256)]
-        under: dict[int, list[int]] = {b: [b] for b in range(256)}
-        for node in range(256, 511):
-            (n, _, zero), (m, _, one) = heapq.heappop(heap), heapq.heappop(heap)
-            for bit, child in enumerate((zero, one)):
-                for b in under[child]:
-                    paths[b].append((node - 256, bit))
-            under[node] = under.pop(zero) + under.pop(one)
-            heapq.heappush(heap, (n + m, node, node))
+    """The codes of bytes and of words: per symbol the bits and the nodes at which they are
+    decided. A space ends a word that is spelled."""
+
+    def __init__(self, byte_counts: np.ndarray, words: list[bytes], counts: list[int], escapes: int, ends: int):
+        self.number = {w: FIRST + i for i, w in enumerate(words)} | {b"": END}
+        bytes_, others = _tree([int(n) for n in byte_counts]), _tree([escapes, ends, *counts])
+        paths = bytes_ + [[step + 512 for step in p] for p in others]  # nodes of their own
         self.length = np.array([len(p) for p in paths], np.int32)
         self.start = np.cumsum(self.length, dtype=np.int32) - self.length
-        steps = [s for p in paths for s in reversed(p)]
-        self.bit = np.array([b for _, b in steps], np.int8)
-        node = np.array([n for n, _ in steps], np.uint32)
-        self.node = (node + np.uint32(1)) * np.uint32(0x9E3779B1)
+        steps = np.array([*chain.from_iterable(paths)], np.uint32)
+        self.bit = (steps & 1).astype(np.int8)
+        self.node = (steps // 2 + np.uint32(1)) * np.uint32(0x9E3779B1)
 
     def steps(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Bits of each symbol, and for each bit its place among the code's steps."""
@@ -112,8 +126,8 @@ class Powers:
 _POWERS = Powers()
 
 
-class Texts:
-    """Spelled texts in one buffer, with gaps so that no context reaches into another."""
+class Spelled:
+    """Words spelled in bytes in one buffer, with gaps so that no context reaches into another."""
 
     def __init__(self, said: list[bytes]):
         self.buffer = np.frombuffer(b"\n" * GAP + (b"\n" * GAP).join(said), np.uint8)
@@ -121,22 +135,48 @@ class Texts:
         self.first = np.cumsum(size + GAP) - size
         self.size = size
         self.at = np.arange(size.sum()) + np.repeat(self.first - (np.cumsum(size) - size), size)
-        space = (self.buffer == 32) | (self.buffer == END)
-        place = np.arange(len(self.buffer), dtype=np.int32)
-        self.word = np.maximum.accumulate(np.where(space, place + 1, 0).astype(np.int32))  # where the word begins
         _POWERS.reach(len(self.buffer) + 1)
+        self.word = np.repeat(self.first, size)  # where the word of each byte begins
         self.sums = np.append(np.uint32(0), np.cumsum(self.buffer * _POWERS.up[: len(self.buffer)], dtype=np.uint32))
 
-    def contexts(self, at: np.ndarray) -> list[np.ndarray]:
-        """Per predictor, the hashed context of each position."""
-        x = self.buffer
+    def contexts(self) -> list[np.ndarray]:
+        """Per predictor, the context of each byte: the last three, the last four, the word
+        so far."""
+        x, at, start = self.buffer, self.at, self.word
         last = [x[at - k].astype(np.uint32) for k in range(1, GAP + 1)]
         three = last[0] | last[1] << np.uint32(8) | last[2] << np.uint32(16)
-        four = three | last[3] << np.uint32(24)
-        start = self.word[at - 1]
-        word = (self.sums[at] - self.sums[start]) * _POWERS.down[start]
-        mixed = [c * np.uint32(m) for c, m in zip((three, four, word), (0xC2B2AE35, 0x27D4EB2F, 0x165667B1))]
-        return [c ^ c >> np.uint32(15) for c in mixed]
+        return [three, three | last[3] << np.uint32(24), (self.sums[at] - self.sums[start]) * _POWERS.down[start]]
+
+
+class Texts:
+    """Texts (lists of words) as symbols, with the hashed contexts of each."""
+
+    def __init__(self, said: list[list[bytes]], code: Code):
+        flat = [*chain.from_iterable(said)]
+        word = np.fromiter(map(code.number.get, flat, repeat(ESCAPE)), np.int32, len(flat))
+        rare = np.flatnonzero(word == ESCAPE)
+        spelled = Spelled([flat[i] + b" " for i in rare.tolist()])
+        n = np.ones(len(flat), np.int64)
+        n[rare] += spelled.size
+        first = np.cumsum(n) - n
+        self.symbols = np.empty(int(n.sum()), np.int32)
+        inside = np.ones(len(self.symbols), bool)
+        inside[first] = False
+        self.symbols[first], self.symbols[inside] = word, spelled.buffer[spelled.at]
+        words = np.array([len(s) for s in said], np.int64)
+        place = np.arange(len(flat)) - np.repeat(np.cumsum(words) - words, words)  # within the text
+        one, two = np.zeros(len(flat), np.uint32), np.zeros(len(flat), np.uint32)
+        one[1:], two[2:] = word[:-1], word[:-2]
+        one[place < 1] = two[place < 2] = 0
+        before = [np.zeros(len(flat), np.uint32), one, one * np.uint32(0x2545F491) + two]
+        self.contexts = []
+        for k, (w, b, m) in enumerate(zip(before, spelled.contexts(), (0xC2B2AE35, 0x27D4EB2F, 0x165667B1))):
+            mixed = np.empty(len(self.symbols), np.uint32)
+            mixed[first], mixed[inside] = w, b
+            mixed *= np.uint32(m)
+            self.contexts.append(mixed ^ mixed >> np.uint32(15))
+        ends = np.cumsum(words)
+        self.size = np.diff(np.append(np.append(first, len(self.symbols))[ends - words], len(self.symbols))) if len(said) else words
 
 
 def slots(context: np.ndarray, n: np.ndarray, node: np.ndarray, bits: int) -> np.ndarray:
@@ -148,7 +188,7 @@ def slots(context: np.ndarray, n: np.ndarray, node: np.ndarray, bits: int) -> np
     return out
 
 
-def chunk_parts(batches: Iterable[pa.RecordBatch]) -> Iterator[list[bytes]]:
+def chunk_parts(batches: Iterable[pa.RecordBatch]) -> Iterator[list[list[bytes]]]:
     for chunk in chunks(batches):
         yield [p for t in chunk.column(chunk.num_columns - 1).to_pylist() for p in parts(spoken(t))]
 
@@ -171,23 +211,29 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def byte_counts(words: DataFrame) -> np.ndarray:
-    """How often each byte is spelled, from the counts of words."""
+def learned_code(words: DataFrame) -> Code:
+    """The codes by the counts of words: the commonest have their own, the others give the
+    counts of bytes. Spelling counts as many words as there are escapes."""
+    coded = commonest(words, CODED_WORDS).filter("octet_length(word) > 0")
+    found = sorted(zip(*(c.to_pylist() for c in coded.toArrow().columns)))
+    spelled = words.join(F.broadcast(coded.select("word")), "word", "left_anti").filter("octet_length(word) > 0")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(256)
+        total = np.zeros(257)
         for batch in batches:
             own = batch.column(0).to_pylist()
             c = batch.column(1).to_numpy().astype(np.float64)
-            total += np.bincount(np.frombuffer(b"".join(own), np.uint8), np.repeat(c, [len(w) for w in own]), 256)
-            total[32] += c.sum()
-            total[END] += sum(n for w, n in zip(own, c) if not w)
-        yield pa.record_batch([pa.array(np.arange(256)), pa.array(total.astype(np.int64))], ["byte", "n"])
-
-    out = np.zeros(256, np.int64)
-    for row in words.mapInArrow(run, "byte long, n long").groupBy("byte").agg(F.sum("n").alias("n")).collect():  # 256 rows
-        out[row["byte"]] = row["n"]
-    return out
+            total[:256] += np.bincount(np.frombuffer(b"".join(own), np.uint8), np.repeat(c, [len(w) for w in own]), 256)
+            total[256] += c.sum()
+        yield pa.record_batch([pa.array(np.arange(257)), pa.array(total.astype(np.int64))], ["byte", "n"])
+
+    counts = np.zeros(257, np.int64)
+    for row in spelled.select("word", "c").mapInArrow(run, "byte long, n long").groupBy("byte").agg(F.sum("n").alias("n")).collect():  # 257 rows
+        counts[row["byte"]] = row["n"]
+    ends = words.filter("octet_length(word) = 0").agg(F.sum("c")).first()[0] or 0
+    escapes = int(counts[256])
+    counts[32] += escapes
+    return Code(counts[:256], [w for w, _ in found], [c for _, c in found], escapes, ends)
 
 
 def _block(counts: np.ndarray) -> tuple[bytes, int, bool]:
@@ -210,15 +256,14 @@ def tables(texts: DataFrame, code) -> list[np.ndarray]:
         held = [np.zeros(2 << b, np.uint32) for b in TABLE_BITS]
         own, seen = code.value, 0
         for said in chunk_parts(batches):
-            texts = Texts(said)
-            for i in range(0, len(texts.at), SLICE):
-                at = texts.at[i : i + SLICE]
-                n, step = own.steps(texts.buffer[at])
+            texts = Texts(said, own)
+            for i in range(0, len(texts.symbols), SLICE):
+                n, step = own.steps(texts.symbols[i : i + SLICE])
                 bit, node = own.bit[step].view(np.uint8), own.node[step]
-                for table, bits, context in zip(held, TABLE_BITS, texts.contexts(at)):
-                    np.add.at(table, slots(context, n, node, bits) << np.uint32(1) | bit, np.uint32(1))
-            seen += len(texts.at)
-            if seen > 1 << 29:  # so that no count passes 32 bits
+                for table, bits, context in zip(held, TABLE_BITS, texts.contexts):
+                    np.add.at(table, slots(context[i : i + SLICE], n, node, bits) << np.uint32(1) | bit, np.uint32(1))
+            seen += len(texts.symbols)
+            if seen > 1 << 26:  # so that no count passes 32 bits
                 yield from blocks(held)
                 for table in held:
                     table[:] = 0
@@ -259,16 +304,15 @@ def tables(texts: DataFrame, code) -> list[np.ndarray]:
 def predictions(texts: Texts, code: Code, odds: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Per bit of all texts the predictors' odds and a constant, the bit, and per text the
     number of its bits."""
-    n = code.length[texts.buffer[texts.at]]
-    size = np.add.reduceat(n, np.cumsum(texts.size) - texts.size)
+    n = code.length[texts.symbols]
+    size = np.add.reduceat(n, np.cumsum(texts.size) - texts.size) if len(texts.size) else n
     x, bit, done = np.full((int(n.sum()), INPUTS), SCALE, np.int8), np.empty(int(n.sum()), np.int8), 0
-    for i in range(0, len(texts.at), SLICE):
-        at = texts.at[i : i + SLICE]
-        n, step = code.steps(texts.buffer[at])
+    for i in range(0, len(texts.symbols), SLICE):
+        n, step = code.steps(texts.symbols[i : i + SLICE])
         here = slice(done, done + len(step))
         bit[here], node = code.bit[step], code.node[step]
-        for k, (table, context) in enumerate(zip(odds, texts.contexts(at))):
-            x[here, k] = table.take(slots(context, n, node, TABLE_BITS[k]))
+        for k, (table, context) in enumerate(zip(odds, texts.contexts)):
+            x[here, k] = table.take(slots(context[i : i + SLICE], n, node, TABLE_BITS[k]))
         done += len(step)
     return x, bit, size
 
@@ -332,15 +376,15 @@ class Words(dict):
         return np.nan
 
 
-def commonest(words: DataFrame) -> DataFrame:
-    """Those words whose count's order of magnitude leaves at most ``COMMON_WORDS``, and the
-    end sign."""
+def commonest(words: DataFrame, most: int) -> DataFrame:
+    """Those words whose count's order of magnitude leaves at most so many, and the end
+    sign."""
     level = F.floor(F.log2("c") * 4)
     sizes = words.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect()  # 256 rows at most
     least, total = 256, 0
     for size in sizes:
         total += size["count"]
-        if total > COMMON_WORDS:
+        if total > most:
             break
         least = size["level"]
     return words.filter((level >= least) | (F.octet_length("word") == 0))
@@ -348,7 +392,7 @@ def commonest(words: DataFrame) -> DataFrame:
 
 def lm_scores(docs: DataFrame, key: str = "doc_id", text: str = "text", learned: Column | None = None) -> DataFrame:
     """Per row of ``docs``: key, held_out, n_tokens, n_known, train_tokens, base_score,
-    score, bits_per_byte of what is spelled. Learned from the rows where ``learned`` holds
+    score, bits_per_byte of the words with a sign after each. Learned from the rows where ``learned`` holds
     (those not ``held_out()``).
 
     Null and empty texts are a single end sign. Repeated rows count, and are scored, again.
@@ -360,9 +404,9 @@ def lm_scores(docs: DataFrame, key: str = "doc_id", text: str = "text", learned:
     words = materialize(word_counts(training), "words")
     counted = words.agg(F.sum("c"), F.count("*")).first()
     tokens, different = counted[0] or 0, counted[1]
-    code = spark.sparkContext.broadcast(Code(byte_counts(words)))
+    code = spark.sparkContext.broadcast(learned_code(words))
     odds = spark.sparkContext.broadcast(tables(training, code))
-    common = commonest(words).toArrow()
+    common = commonest(words, COMMON_WORDS).toArrow()
     known = dict(zip(common.column("word").to_pylist(), np.log10(common.column("c").to_numpy() + 1.0).tolist()))
     known = spark.sparkContext.broadcast(known)
 
@@ -381,9 +425,9 @@ def lm_scores(docs: DataFrame, key: str = "doc_id", text: str = "text", learned:
                 rare.setdefault(int(text[i]), Counter())[flat[i]] += 1
             said = [parts(w) for w in own]
             owner = np.repeat(np.arange(len(own)), [len(p) for p in said])
-            spelled = Texts([p for s in said for p in s])
-            cost = np.bincount(owner, mix(*predictions(spelled, code.value, odds.value)), len(own))
-            long = np.bincount(owner, spelled.size, len(own))
+            texts = Texts([p for s in said for p in s], code.value)
+            cost = np.bincount(owner, mix(*predictions(texts, code.value, odds.value)), len(own))
+            long = np.array([sum(map(len, w)) + len(w) + 1 for w in own])
             lists = [[list(rare[i]) if i in rare else [] for i in range(len(own))], [list(rare[i].values()) if i in rare else [] for i in range(len(own))]]
             yield pa.record_batch(
                 [*chunk.columns[:3], pa.array(size), pa.array(n_known), pa.array(base, pa.float64()), pa.array(cost / np.log(10)), pa.array(-cost / np.log(2) / long),

@@ -42,36 +42,55 @@ def plain_base(docs):
 class PlainModel:
     """The same model, one bit after the other, in dictionaries."""
 
-    def __init__(self, texts):
+    def __init__(self, texts, most):
+        c = Counter(w for t in texts for w in plain_tokens(t))
+        level = lambda n: math.floor(math.log2(n) * 4)
+        sizes = Counter(map(level, c.values()))
+        sizes[level(len(texts))] += 1  # the end sign is counted with the words
+        least, total = 256, 0
+        for size in sorted(sizes, reverse=True):
+            total += sizes[size]
+            if total > most:
+                break
+            least = size
+        words = sorted(w.encode() for w, n in c.items() if level(n) >= least)
+        rare = {w: n for w, n in c.items() if w.encode() not in words}
         counts = np.zeros(256, np.int64)
-        for words in map(plain_tokens, texts):
-            for w in words:
-                for b in w.encode():
-                    counts[b] += 1
-            counts[32] += len(words) + 1
-            counts[10] += 1
-        self.code = Code(counts)
+        for w, n in rare.items():
+            for v in w.encode():
+                counts[v] += n
+        counts[32] += sum(rare.values())
+        self.code = Code(counts, words, [c[w.decode()] for w in words], sum(rare.values()), len(texts))
         self.seen = [Counter(), Counter(), Counter()]
         for t in texts:
             for bit, keys in self.bits(t):
                 for table, key in zip(self.seen, keys):
                     table[key, bit] += 1
 
+    def symbols(self, text):
+        """Each symbol with its contexts."""
+        one = two = 0
+        for w in [*(w.encode() for w in plain_tokens(text)), b""]:
+            number = self.code.number.get(w, 256)
+            yield number, [0, one, (one * 0x2545F491 + two) & MASK]
+            if number == 256:
+                so_far = b""
+                for v in w + b" ":
+                    before = (b"\n" * 4 + so_far)[-4:]
+                    yield v, [
+                        sum(before[-1 - k] << 8 * k for k in range(3)),
+                        sum(before[-1 - k] << 8 * k for k in range(4)),
+                        sum(u * pow(0x01000193, j, 1 << 32) for j, u in enumerate(so_far)),
+                    ]
+                    so_far += bytes([v])
+            one, two = number, one
+
     def bits(self, text):
-        said = b" ".join(w.encode() for w in plain_tokens(text)) + b"\n"
-        word = b""
-        for i, b in enumerate(said):
-            before = (b"\n" * 4 + said[:i])[-4:]
-            contexts = [
-                sum(before[-1 - k] << 8 * k for k in range(3)),
-                sum(before[-1 - k] << 8 * k for k in range(4)),
-                sum(v * pow(0x01000193, j, 1 << 32) for j, v in enumerate(word)),
-            ]
+        for symbol, contexts in self.symbols(text):
             contexts = [c * m & MASK for c, m in zip(contexts, (0xC2B2AE35, 0x27D4EB2F, 0x165667B1))]
             contexts = [c ^ c >> 15 for c in contexts]
-            for s in range(self.code.start[b], self.code.start[b] + self.code.length[b]):
+            for s in range(self.code.start[symbol], self.code.start[symbol] + self.code.length[symbol]):
                 yield int(self.code.bit[s]), [((c ^ int(self.code.node[s])) * 0x2C1B3C6D & MASK) >> 32 - bits for c, bits in zip(contexts, context_mixing.TABLE_BITS)]
-            word = b"" if b in (32, 10) else word + bytes([b])
 
     def odds(self, table, key):
         one, zero = table[key, 1], table[key, 0]
@@ -107,10 +126,13 @@ def run(spark, docs):
     return sorted(lm_scores(frame).collect(), key=lambda r: (r.doc_id is None, r.doc_id or 0, r.score))
 
 
-def test_scores_bit_by_bit(spark):
+@pytest.mark.parametrize("coded", [1 << 16, 12, 0])
+def test_scores_bit_by_bit(spark, monkeypatch, coded):
+    """With all words coded, some, and none."""
+    monkeypatch.setattr(context_mixing, "CODED_WORDS", coded)
     docs = corpus(120, 2)
     got = run(spark, docs)
-    model = PlainModel([t for i, t in docs if not held_out(i)])
+    model = PlainModel([t for i, t in docs if not held_out(i)], coded)
     want = sorted(((i, held_out(i), *b, model.score(t)) for (i, t), b in zip(docs, plain_base(docs))), key=lambda r: (r[0] is None, r[0] or 0, r[-1]))
     assert len(got) == len(want) and any(r[1] for r in want)
     for g, w in zip(got, want):
@@ -135,10 +157,10 @@ def test_held_out_texts_teach_nothing(spark):
 
 
 def test_long_texts_go_in_parts_and_segments(monkeypatch):
-    monkeypatch.setattr(context_mixing, "PART", 1000)
+    monkeypatch.setattr(context_mixing, "PART", 100)
     words = context_mixing.spoken("some words again and again " * 200)
     said = context_mixing.parts(words)
-    assert b"".join(said) == b" ".join(words) + b"\n" and max(map(len, said)) == 1000
+    assert [w for p in said for w in p] == [*words, b""] and max(map(len, said)) == 100
     # segments are mixed as if each were alone
     rng = np.random.default_rng(1)
     x, bit = rng.integers(-127, 128, (50_000, 4)).astype(np.int8), rng.integers(0, 2, 50_000).astype(np.int8)
@@ -149,12 +171,16 @@ def test_long_texts_go_in_parts_and_segments(monkeypatch):
     assert whole[[0, 3]] == pytest.approx([sum(alone[:cut]), sum(alone[cut:])], rel=1e-5) and whole[1] == 0 > whole[2]
 
 
-def test_code_is_prefix_free_and_short():
-    counts = np.array([max(1, 10**9 >> (b // 2)) for b in range(256)])
-    code = Code(counts)
-    assert sum(2.0 ** -int(n) for n in code.length) == 1.0
-    spelled = {"".join(map(str, code.bit[s : s + n])) for s, n in zip(code.start, code.length)}
-    assert len(spelled) == 256 and (np.diff(code.length[:40]) >= 0).all()
+def test_codes_are_prefix_free_and_short():
+    counts = [max(1, 10**9 >> (b // 2)) for b in range(256)]
+    code = Code(np.array(counts), [b"w%d" % i for i in range(300)], [10**6 // (i + 1) for i in range(300)], 5, 7)
+    for symbols in (range(256), range(256, 258 + 300)):
+        assert sum(2.0 ** -int(code.length[s]) for s in symbols) == 1.0
+        spelled = {"".join(map(str, code.bit[code.start[s] : code.start[s] + code.length[s]])) for s in symbols}
+        assert len(spelled) == len(symbols)
+    assert (np.diff(code.length[:40]) >= 0).all() and (np.diff(code.length[258:]) >= 0).all()
+    nodes = [set(code.node[code.start[a] : code.start[z - 1] + code.length[z - 1]]) for a, z in ((0, 256), (256, 558))]
+    assert not nodes[0] & nodes[1]
 
 
 def test_blocks_of_counts_read_back():
