@@ -32,7 +32,7 @@ from payscope.llm.common import chunks, whole_text
 from payscope.session import materialize
 
 #: Slots of a predictor as a power of two, and words with a code of their own.
-TABLE_BITS = (21, 22, 22)
+TABLE_BITS = (20, 21, 21)
 CODED_WORDS = 1 << 16
 INPUTS = 4  # the predictors and a constant
 BLOCK = 1 << 13
@@ -40,7 +40,7 @@ BLOCK = 1 << 13
 COMMON_WORDS = 1 << 18
 HELD_WORDS = 1 << 20
 #: Symbols worked on at once, words of a part of a very long text, bits of a segment.
-SLICE, PART, SEGMENT = 1 << 14, 1 << 20, 1 << 13
+SLICE, PART, SEGMENT = 1 << 12, 1 << 20, 1 << 11
 #: Weight of each predictor at first, and how far an error moves it.
 WEIGHT, RATE = 0.3, 0.0005
 #: Every bit has this chance at least. Steps laid out at a time.
