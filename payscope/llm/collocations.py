@@ -30,12 +30,12 @@ from payscope.llm.count_automata import DEPTH, Automaton, place, summed, union
 from payscope.session import materialize
 
 #: Words of a shard, distinct words a task counts at once.
-SHARD_WORDS = 1 << 20
-HELD_WORDS = 1 << 20
+SHARD_WORDS = 1 << 19
+HELD_WORDS = 1 << 19
 #: Bits that tell common words (8 MiB), words per range of prefixes, and ranges at most
 #: (their cuts, about 50 bytes each, are broadcast; beyond it ranges grow).
 COMMON_BITS = 1 << 26
-RANGE_WORDS = 4_000_000
+RANGE_WORDS = 1_000_000
 RANGES = 1 << 18
 #: Sampled words for each cut.
 PER_CUT = 60
@@ -119,7 +119,7 @@ class Labels(dict):
 def windows(ids: np.ndarray) -> np.ndarray:
     """Up to ``DEPTH`` labels from each on, until the next 0."""
     ids = ids[ids >= 0]
-    out = np.zeros((len(ids), DEPTH), np.int64)
+    out = np.zeros((len(ids), DEPTH), np.int32)
     out[:, 0] = ids
     for d in range(1, min(DEPTH, len(ids))):
         out[:-d, d] = np.where(out[:-d, d - 1] > 0, ids[d:], 0)
@@ -134,13 +134,13 @@ class Shard:
 
     def add(self, texts: list[str]) -> None:
         found = words(texts)
-        self.parts += [np.fromiter(map(self.labels.__getitem__, found), np.int64, len(found)), np.zeros(1, np.int64)]
+        self.parts += [np.fromiter(map(self.labels.__getitem__, found), np.int32, len(found)), np.zeros(1, np.int32)]
         self.size += len(found)
 
     def sorted_windows(self) -> tuple[list[bytes], np.ndarray, np.ndarray]:
         """The words in order, and the windows over their places in it."""
         order = sorted(range(len(self.labels.words)), key=self.labels.words.__getitem__)
-        rank = np.zeros(len(order) + 1, np.int64)
+        rank = np.zeros(len(order) + 1, np.int32)
         rank[np.array(order, np.int64) + 1] = np.arange(1, len(order) + 1)
         rows = rank[windows(np.concatenate(self.parts))]
         return [self.labels.words[i] for i in order], *summed(rows, np.ones(len(rows), np.int64))
@@ -168,7 +168,7 @@ def cuts(docs: DataFrame, total: int, bits, range_words: int = RANGE_WORDS) -> l
     ranges = min(RANGES, total // range_words + 1)
     if ranges == 1:
         return []
-    share = min(1.0, PER_CUT * 1000 * ranges / total)  # a sampled text gives one word in a thousand or so
+    share = min(1.0, PER_CUT * 250 * ranges / total)  # a sampled text gives one word in 250 or so
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rng = np.random.default_rng(1)
@@ -208,7 +208,7 @@ def _packed(k: int, lang: str, own: list[bytes], rows: np.ndarray, weights: np.n
     used = np.zeros(len(own) + 1, bool)
     used[rows] = True
     used[0] = False
-    label = np.cumsum(used) * used  # places among the words that this range has
+    label = (np.cumsum(used) * used).astype(np.int32)  # places among the words that this range has
     rows, used = label[rows], np.flatnonzero(used)
     sizes, final, n_arcs, labels, child = Automaton.of(rows, weights).packed()
     numbers = [pa.array([v], pa.list_(t)) for v, t in ((sizes, pa.int32()), (final, pa.int64()), (n_arcs, pa.int32()), (labels, pa.int32()), (child, pa.int32()))]
@@ -245,7 +245,7 @@ def common_phrases(packed: DataFrame, all_cuts, least: int) -> DataFrame:
                 own = said.as_py().split(b"\n") if said.as_py() else []
                 parts.append((own, Automaton.unpacked(*(a.values.to_numpy() for a in arrays))))
                 size += len(arrays[3].values)
-                if size > 4 * SHARD_WORDS and len(parts) > 1:
+                if size > 2 * SHARD_WORDS and len(parts) > 1:
                     parts = [union(parts)]
                     size = sum(map(len, parts[0][1].label)) // 2  # so that a union pays for itself
         yield from _said(now, parts, all_cuts.value, least)

@@ -21,10 +21,10 @@ LABELS = 1 << 31
 def _keys(rows: np.ndarray) -> list[np.ndarray]:
     """Integers that order sequences as their labels do, the leading one first: two where
     labels have 21 bits at most, three otherwise."""
-    r = rows.astype(np.int64)
-    if not len(r) or r.max() < 1 << 21:
-        return [r[:, 0] << 42 | r[:, 1] << 21 | r[:, 2], r[:, 3] << 21 | r[:, 4]]
-    return [r[:, 0] << 31 | r[:, 1], r[:, 2] << 31 | r[:, 3], r[:, 4]]
+    r = [rows[:, d].astype(np.int64) for d in range(DEPTH)]
+    if not len(rows) or rows.max() < 1 << 21:
+        return [r[0] << 42 | r[1] << 21 | r[2], r[3] << 21 | r[4]]
+    return [r[0] << 31 | r[1], r[2] << 31 | r[3], r[4]]
 
 
 def summed(rows: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -148,7 +148,7 @@ class Automaton:
 
     def _walk(self, wanted: list[np.ndarray] | None):
         """Prefixes and their states, depth by depth; only states that are wanted."""
-        prefix, state = np.zeros((min(1, len(self.final[0])), DEPTH), np.int64), np.zeros(min(1, len(self.final[0])), np.int64)
+        prefix, state = np.zeros((min(1, len(self.final[0])), DEPTH), np.int32), np.zeros(min(1, len(self.final[0])), np.int64)
         for d in range(DEPTH + 1):
             if wanted is not None:
                 prefix, state = prefix[wanted[d][state]], state[wanted[d][state]]
@@ -202,7 +202,7 @@ def union(parts: list[tuple[list[bytes], Automaton]]) -> tuple[list[bytes], Auto
     number = {w: i + 1 for i, w in enumerate(words)}
     rows, weights = [], []
     for own, automaton in parts:
-        label = np.array([0, *(number[w] for w in own)], np.int64)
+        label = np.array([0, *(number[w] for w in own)], np.int32)
         sequences, n = automaton.sequences()
         rows.append(label[sequences])
         weights.append(n)
