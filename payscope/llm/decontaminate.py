@@ -1,33 +1,40 @@
-"""Benchmark decontamination: word pairs as seeds, then Smith-Waterman alignment.
-
-Test items are a stated query set; they go against all documents in blocks of a bounded
-number of words, which are broadcast. A seed is a pair of words with at most one word
-between them, in the item and in the document. Every pair of an item is one, however
-common: an alignment that reaches the threshold has so many of them that counting loses
-none (see ``Items``). Where enough seeds of an item are near each other, the passage is
-aligned with it; edits, insertions and gaps lower the score but don't hide the copy. The
-documents are scanned once a block and no text is shuffled.
+"""Benchmark decontamination: rare n-gram seeds, a join, then Smith-Waterman alignment.
+
+A seed is two words with at most one word between them. How many documents have each seed
+of the items is counted first; an item is then known by its rarest seeds, as many as it
+takes to lose no copy (see ``_quota``). The documents' passages that have enough of the
+rare seeds are joined with the items on them, and aligned with the items that share enough:
+edits, insertions and gaps lower the score but don't hide the copy.
+
+Two scans of the documents do for any number of items. All that is broadcast for them is a
+bitmap of a fixed size; texts stay where they are but for the passages found.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
-from itertools import repeat
 from math import ceil, floor
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from payscope.llm.common import chunks, fresh, whole_text
+from payscope.llm.common import chunks, fresh, whole_text, without_rows
+from payscope.session import materialize
 
-#: Words below which an item proves nothing, words of a block of items, words that are
-#: searched at once, and the least score.
-LEAST_WORDS, BLOCK_WORDS, PIECE, THRESHOLD = 8, 200_000, 1 << 16, 0.5
+#: Words from which edited copies of an item count and not only full ones, the least score
+#: of an edited copy, words searched at once, characters split into words at once.
+LEAST_WORDS, THRESHOLD, PIECE, PIECE_CHARS = 8, 0.5, 1 << 18, 1 << 20
 MATCH, MISMATCH, GAP = 2, -1, -1
-_WORD = re.compile(r"\w+")
+#: Bits of the bitmap that tells the items' seeds (8 MiB), and bits in a row of it.
+SEED_BITS, ROW_BITS = 1 << 26, 32768
+#: Words whose codes a worker remembers.
+REMEMBERED = 1 << 18
+_WORD, _BREAK = re.compile(r"\w+"), re.compile(r"\W")
 
 
 def words(text: str) -> list[str]:
@@ -51,172 +58,299 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[float, int]:
     return best / (MATCH * len(item)), end
 
 
-class Items:
-    """A block of items: their words, and which items have each seed.
+def best_place(item: np.ndarray, passage: np.ndarray, least: float) -> tuple[float, int, int] | None:
+    """(score, first word, end word) of the best alignment, if it reaches ``least``."""
+    # Order aside, a passage can't score more than its words of the item allow.
+    sums = np.cumsum(np.where(np.isin(passage, item), MATCH, MISMATCH))
+    if (sums - np.minimum.accumulate(np.r_[0, sums[:-1]])).max(initial=0) < MATCH * len(item) * least - 1e-9:
+        return None
+    share, end = align(item, passage)
+    if share < least:
+        return None
+    return share, end - align(item[::-1], passage[:end][::-1])[1], end
+
+
+class _Codes(dict):
+    """64-bit codes of words, some of them remembered."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        self[word] = code = xxhash.xxh64_intdigest(word)
+        return code
+
+
+_codes = _Codes()
+
+
+def coded(text: str) -> np.ndarray:
+    """The words' codes; a long text is split at characters that are in no word."""
+    text, at, parts = text.lower(), 0, []
+    while at < len(text):
+        cut = _BREAK.search(text, at + PIECE_CHARS)
+        end = cut.start() if cut else len(text)
+        parts.append(np.fromiter(map(_codes.__getitem__, _WORD.findall(text, at, end)), np.uint64))
+        at = end
+    return np.concatenate(parts) if parts else np.empty(0, np.uint64)
+
+
+def _seed(a: np.ndarray, z: np.ndarray) -> np.ndarray:
+    x = a * np.uint64(0x9E3779B97F4A7C15) + (z ^ (z >> np.uint64(31))) * np.uint64(0xC2B2AE3D27D4EB4F)
+    return x ^ (x >> np.uint64(29))
+
+
+def _slot(seed: np.ndarray, width: int = 0) -> np.ndarray:
+    """The bit of a seed, or of a seed that items of a width have."""
+    return ((seed + np.uint64(width)) * np.uint64(0x9FB21C651E98DF25) >> np.uint64(32)) % np.uint64(SEED_BITS)
+
+
+def _set(bits: np.ndarray, slot: np.ndarray) -> np.ndarray:
+    return (bits[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+
+def _quota(n: int, threshold: float, least_words: int) -> tuple[float, int, int, int]:
+    """Of an item of n words: the score to reach, words that an alignment covers at most,
+    starts of seeds that are looked for, and how many of those every copy has.
 
     An alignment of score 2 m - e has m equal words and e edits. Of the m - 1 steps from
     one equal word to the next at most e / 2 skip more than one word on a side; the others
-    are seeds. With n words and a score of 2 n t or more (a share of t), e is 2 m - 2 n t
-    at most, so n t - 1 seeds or more start at different words of the document
-    (``needed``), within the n (3 - 2 t) words that the alignment covers at most (``reach``).
+    are seeds that start at different words of the item and of the document. A score of
+    2 n t leaves n t - 1 of them or more, within n (3 - 2 t) words. The item has n - 1
+    starts, so of any n - 1 - (n t - 1) + k of them a copy has k, the rarest ones too.
     """
+    t = threshold if n >= least_words else 1.0
+    if n == 1:
+        return t, 1, 1, 1
+    shared = ceil(n * t - 1 - 1e-9)
+    asked = max(1, shared // 4)
+    return t, floor(n * (3 - 2 * t) + 1e-9), n - 1 - shared + asked, asked
+
+
+def item_seeds(items: DataFrame, text: str, threshold: float, least_words: int) -> DataFrame:
+    """(text, codes, least, width, starts, asked, seeds) per different text; the width is the
+    next power of two from what an alignment covers, and seeds are structs of a start and a
+    seed there. A single word is a seed with itself. Without words there is no row."""
+
+    def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches):
+            rows = []
+            for t in batch.column(0).to_pylist():
+                codes = coded(t)
+                if not len(codes):
+                    continue
+                least, reach, starts, asked = _quota(len(codes), threshold, least_words)
+                steps = (1, 2) if len(codes) > 1 else (0,)
+                pairs = [(i, s) for step in steps for i, s in enumerate(_seed(codes[: len(codes) - step], codes[step:]).view(np.int64).tolist())]
+                seeds = [{"start": i, "seed": s} for i, s in pairs]
+                rows.append((t, codes.tobytes(), least, 1 << (reach - 1).bit_length(), starts, asked, seeds))
+            if rows:
+                kinds = [pa.string(), pa.binary(), pa.float64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.struct([("start", pa.int32()), ("seed", pa.int64())]))]
+                names = ["text", "codes", "least", "width", "starts", "asked", "seeds"]
+                yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+
+    schema = "text string, codes binary, least double, width int, starts int, asked int, seeds array<struct<start: int, seed: long>>"
+    return items.select(whole_text(text).alias("text")).distinct().mapInArrow(work, schema)
+
+
+def _bitmap(slots: DataFrame) -> np.ndarray:
+    """The bits of the column ``slot``, of a size that does not depend on their number."""
+    bits = np.zeros(SEED_BITS // 8, np.uint8)
+    rows = slots.groupBy(F.expr(f"slot div {ROW_BITS}").alias("word")).agg(F.expr(f"bitmap_construct_agg(slot % {ROW_BITS})").alias("bits"))
+    for r in rows.collect():
+        at = r.word * (ROW_BITS // 8)
+        bits[at : at + ROW_BITS // 8] = np.frombuffer(r.bits, np.uint8)
+    return bits
+
+
+def _slots(seeds: DataFrame, widths: bool) -> DataFrame:
+    """The slots of (seed, width), those of the width too if asked for."""
 
-    def __init__(self, rows: list[tuple[object, list[str]]], threshold: float = THRESHOLD):
-        if LEAST_WORDS * threshold <= 1:
-            raise ValueError(f"a threshold of {threshold} can be reached without a seed")
-        self.threshold = threshold
-        self.ids = [i for i, _ in rows]
-        self.number: dict[str, int] = {}
-        self.coded = [np.array([self.number.setdefault(w, len(self.number)) for w in ws], np.int64) for _, ws in rows]
-        self.needed = np.array([ceil(len(c) * threshold - 1 - 1e-9) for c in self.coded], np.int64)
-        self.reach = np.array([floor(len(c) * (3 - 2 * threshold) + 1e-9) for c in self.coded], np.int64)
-        pairs = [np.unique(np.concatenate([self._pair(c[:-step], c[step:]) for step in (1, 2)])) for c in self.coded]
-        owners, pairs = np.repeat(np.arange(len(pairs)), [len(p) for p in pairs]), np.concatenate(pairs)
-        self.owners = owners[np.argsort(pairs, kind="stable")]
-        self.pairs, counts = np.unique(pairs, return_counts=True)
-        self.first = np.r_[0, np.cumsum(counts)]
-        # Most pairs of a document are told from seeds by a table of slots.
-        self.shift = np.uint64(64 - (16 * len(self.pairs)).bit_length())
-        self.taken = np.zeros(1 << (64 - int(self.shift)), bool)
-        self.taken[self._slot(self.pairs)] = True
-
-    def _pair(self, a: np.ndarray, z: np.ndarray) -> np.ndarray:
-        return a * len(self.number) + z
-
-    def _slot(self, pairs: np.ndarray) -> np.ndarray:
-        return pairs.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self.shift
-
-    def found(self, texts: list[str]) -> list[list[tuple[object, float, int, int]]]:
-        """For each text (item, score, first word, end word) of the best place of each item
-        that it has a copy of; words are counted from 0, the end is exclusive."""
-        best: list[dict[int, tuple[float, int, int]]] = [{} for _ in texts]
-        flat, heads, whose = [], [], []
-        for n, t in enumerate(texts):
-            codes = list(map(self.number.get, words(t), repeat(-1)))
-            # A longer text is searched in pieces, each as far as an alignment can go on.
-            for a in range(0, len(codes), PIECE):
-                heads.append(len(flat))
-                whose.append((n, a))
-                flat += codes[a : a + PIECE + int(self.reach.max())]
-                flat += (-1, -1)  # no seed goes from one text to the next
-                if len(flat) >= PIECE:
-                    self._search(flat, heads, whose, best)
-                    flat, heads, whose = [], [], []
-        if flat:
-            self._search(flat, heads, whose, best)
-        return [[(self.ids[k], *place) for k, place in b.items()] for b in best]
-
-    def _search(self, flat: list[int], heads: list[int], whose: list[tuple[int, int]], best: list[dict]) -> None:
-        codes, ends = np.array(flat, np.int64), [h - 2 for h in heads[1:]] + [len(flat) - 2]
-        for part, k, a, z in self._near(codes, np.array(heads), ends):
-            passage, item = codes[a:z], self.coded[k]
-            # Order aside, a passage can't score more than its words of the item allow.
-            sums = np.cumsum(np.where(np.isin(passage, item), MATCH, MISMATCH))
-            if (sums - np.minimum.accumulate(np.r_[0, sums[:-1]])).max() < MATCH * len(item) * self.threshold - 1e-9:
-                continue
-            share, end = align(item, passage)
-            n, before = whose[part]
-            if share >= self.threshold and share > best[n].get(k, (0.0,))[0]:
-                back, length = align(item[::-1], passage[:end][::-1])
-                last = before + a - heads[part] + end
-                best[n][k] = (share, last - length, last)
-
-    def _near(self, codes: np.ndarray, heads: np.ndarray, ends: list[int]) -> Iterator[tuple[int, int, int, int]]:
-        """(part, item, start, end) of the passages with enough seeds of the item near each
-        other, in order; they hold every alignment that reaches the threshold."""
-        found, size = [], len(codes)
-        for step in (1, 2):
-            a, z = codes[:-step], codes[step:]
-            at = np.flatnonzero((a >= 0) & (z >= 0))
-            pair = self._pair(a[at], z[at])
-            ok = self.taken[self._slot(pair)]
-            at, pair = at[ok], pair[ok]
-            i = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
-            ok = self.pairs[i] == pair
-            at, i = at[ok], i[ok]
-            n = self.first[i + 1] - self.first[i]
-            place = np.arange(n.sum()) + np.repeat(self.first[i] - (np.cumsum(n) - n), n)
-            found.append(self.owners[place] * size + np.repeat(at, n))
-        item, at = np.divmod(np.unique(np.concatenate(found)), size)
-        part = np.searchsorted(heads, at, "right") - 1
-        last = np.arange(len(item)) + self.needed[item] - 1
-        start = np.flatnonzero(last < len(item))
-        last = last[start]
-        ok = (item[start] == item[last]) & (part[start] == part[last]) & (at[last] - at[start] <= self.reach[item[start]] - 2)
-        start, last = start[ok], last[ok]
-        reach, held = self.reach[item[start]], None
-        for p, k, a, z in zip(part[start].tolist(), item[start].tolist(), (at[last] + 2 - reach).tolist(), (at[start] + reach).tolist()):
-            a, z = max(a, int(heads[p])), min(z, ends[p])
-            if held and held[:2] == (p, k) and a <= held[3]:
-                held = (p, k, min(a, held[2]), max(z, held[3]))
-                continue
-            if held:
-                yield held
-            held = (p, k, a, z)
-        if held:
-            yield held
-
-
-def item_blocks(items: DataFrame, key: str, text: str, threshold: float) -> Iterator[Items]:
-    """Items in blocks of about ``BLOCK_WORDS`` words. A longer item is a block alone."""
-    rows, size = [], 0
-    for r in items.select(F.col(key).alias("id"), whole_text(text).alias("text")).distinct().orderBy("id", "text").toLocalIterator():
-        ws = words(r.text)
-        if len(ws) < LEAST_WORDS:
-            continue
-        if rows and size + len(ws) > BLOCK_WORDS:
-            yield Items(rows, threshold)
-            rows, size = [], 0
-        rows.append((r.id, ws))
-        size += len(ws)
-    if rows:
-        yield Items(rows, threshold)
+    def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seed = batch.column(0).to_numpy().view(np.uint64)
+            width = batch.column(1).to_numpy().astype(np.uint64)
+            both = [_slot(seed)] + ([_slot(seed + width)] if widths else [])
+            yield pa.record_batch([pa.array(np.unique(np.concatenate(both)).astype(np.int64))], ["slot"])
+
+    return seeds.select("seed", "width").mapInArrow(work, "slot long")
+
+
+class Texts:
+    """The codes of some texts in one array, and the seeds in them whose bit is set."""
+
+    def __init__(self, texts: list[str], bits: np.ndarray, steps: tuple[int, ...], piece: int = PIECE):
+        parts = [coded(t) for t in texts]
+        lengths = [len(p) for p in parts]
+        self.heads = np.r_[0, np.cumsum(lengths, dtype=np.int64)]
+        self.codes = np.concatenate([*parts, np.empty(0, np.uint64)])
+        owner, at, seeds = np.repeat(np.arange(len(parts)), lengths), [], []
+        for a in range(0, len(self.codes), piece):
+            for step in steps:
+                z = min(a + piece, len(self.codes) - step)
+                if z <= a:
+                    continue
+                seed = _seed(self.codes[a:z], self.codes[a + step : z + step])
+                hit = np.flatnonzero(_set(bits, _slot(seed)) & (owner[a:z] == owner[a + step : z + step]))
+                at.append(a + hit)
+                seeds.append(seed[hit])
+        self.at = np.concatenate([*at, np.empty(0, np.int64)]).astype(np.int64)
+        self.seeds = np.concatenate([*seeds, np.empty(0, np.uint64)])
+        self.owner = owner[self.at]
+
+    def frequencies(self) -> tuple[np.ndarray, np.ndarray]:
+        """The seeds and in how many of the texts they are."""
+        order = np.lexsort((self.seeds, self.owner))
+        seeds, owner = self.seeds[order], self.owner[order]
+        first = np.r_[True, (seeds[1:] != seeds[:-1]) | (owner[1:] != owner[:-1])][: len(seeds)]
+        return np.unique(seeds[first], return_counts=True)
+
+    def passages(self, bits: np.ndarray, width: int, asked: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """(text, first word, codes, seeds) of the passages of two widths, each a width on
+        from the last, in which seeds of items of that width start at ``asked`` words.
+        Whatever is not longer than a width is within one of them."""
+        hit = _set(bits, _slot(self.seeds, width))
+        at, seeds, owner = self.at[hit], self.seeds[hit], self.owner[hit]
+        cell = (at - self.heads[owner]) // width
+        again = cell > 0
+        at, seeds, owner = np.r_[at, at[again]], np.r_[seeds, seeds[again]], np.r_[owner, owner[again]]
+        cell = np.r_[cell, cell[again] - 1]
+        order = np.lexsort((at, cell, owner))
+        at, seeds, owner, cell = at[order], seeds[order], owner[order], cell[order]
+        cuts = np.flatnonzero((owner[1:] != owner[:-1]) | (cell[1:] != cell[:-1])) + 1
+        for a, z in zip(np.r_[0, cuts], np.r_[cuts, len(at)]):
+            if z - a >= asked and len(np.unique(at[a:z])) >= asked:
+                n, start = int(owner[a]), int(cell[a]) * width
+                head, end = int(self.heads[n]), int(self.heads[n + 1])
+                yield n, start, self.codes[head + start : min(head + start + 2 * width, end)], np.unique(seeds[a:z])
+
+
+def _frequencies(docs: DataFrame, bits: Broadcast, steps: tuple[int, ...]) -> DataFrame:
+    """(seed, docs): in how many rows of ``docs`` (their only column) each seed is."""
+
+    def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches):
+            seeds, n = Texts(batch.column(0).to_pylist(), bits.value, steps).frequencies()
+            yield pa.record_batch([pa.array(seeds.view(np.int64)), pa.array(n.astype(np.int64))], ["seed", "docs"])
+
+    return docs.mapInArrow(work, "seed long, docs long").groupBy("seed").agg(F.sum("docs").alias("docs"))
+
+
+def _passages(docs: DataFrame, bits: Broadcast, steps: tuple[int, ...], widths: list[tuple[int, int]]) -> DataFrame:
+    """(digest, width, start, codes, seeds) of the passages of ``docs`` (digest, text)."""
+
+    def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [pa.binary(), pa.int32(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
+        names = ["digest", "width", "start", "codes", "seeds"]
+        for batch in chunks(batches):
+            texts, rows = Texts(batch.column(1).to_pylist(), bits.value, steps), []
+            for width, asked in widths:
+                for n, start, codes, seeds in texts.passages(bits.value, width, asked):
+                    rows.append((batch.column(0)[n].as_py(), width, start, codes.tobytes(), seeds.view(np.int64).tolist()))
+                    if len(rows) == 1024:
+                        yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+                        rows = []
+            if rows:
+                yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+
+    return docs.mapInArrow(work, "digest binary, width int, start long, codes binary, seeds array<long>")
+
+
+def _aligned(pairs: DataFrame) -> DataFrame:
+    """(digest, item, score, first_word, end_word) of the pairs that reach their score."""
+    names = ["digest", "item", "score", "first_word", "end_word"]
+    kinds = [pa.binary(), pa.int64(), pa.float64(), pa.int64(), pa.int64()]
+
+    def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches):
+            rows = []
+            for digest, item, least, start, codes, passage in zip(*(c.to_pylist() for c in batch.columns)):
+                place = best_place(np.frombuffer(codes, np.uint64), np.frombuffer(passage, np.uint64), least)
+                if place:
+                    rows.append((digest, item, place[0], start + place[1], start + place[2]))
+            if rows:
+                yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+
+    columns = pairs.select("digest", "item", "least", "start", "item_codes", "codes")
+    return columns.mapInArrow(work, "digest binary, item long, score double, first_word long, end_word long")
+
+
+def _digest(text: str = "text"):
+    return F.unhex(F.sha2(whole_text(text), 256))
+
+
+def found(docs: DataFrame, items: DataFrame, text: str, item_text: str, threshold: float, least_words: int) -> tuple[DataFrame, DataFrame] | None:
+    """(digest, item, score, first_word, end_word) per different text with a copy of an
+    item, at its best place; and (item, text) of the items. None if no item has words."""
+    if least_words * threshold <= 1:
+        raise ValueError(f"a threshold of {threshold} can be reached without a seed")
+    spark = docs.sparkSession
+    known = materialize(item_seeds(items, item_text, threshold, least_words).withColumn("item", F.monotonically_increasing_id()), "items")
+    seeds = known.select("item", "width", "starts", "asked", F.inline("seeds"))
+    widths = [(r.width, r.asked) for r in known.groupBy("width").agg(F.min("asked").alias("asked")).orderBy("width").collect()]
+    if not widths:
+        return None
+    steps = (0, 1, 2) if widths[0][0] == 1 else (1, 2)
+    asked_for = spark.sparkContext.broadcast(_bitmap(_slots(seeds, False)))
+    bodies = docs.select(_digest(text).alias("digest"), whole_text(text).alias("text"))
+    counts = _frequencies(bodies.select("text"), asked_for, steps)
+    # Starts of an item by how many documents have their seeds, the rarest first.
+    counted = seeds.join(counts, "seed", "left").groupBy("item", "start", "width", "starts", "asked").agg(
+        F.sum(F.coalesce("docs", F.lit(0))).alias("docs"), F.collect_list("seed").alias("seeds")
+    )
+    place = F.row_number().over(Window.partitionBy("item").orderBy("docs", "start"))
+    rare = counted.withColumn("place", place).filter("place <= starts").select("item", "width", "asked", F.explode("seeds").alias("seed"))
+    rare = materialize(rare, "rare-seeds")
+    wanted = spark.sparkContext.broadcast(_bitmap(_slots(rare, True)))
+    # Copies of a text have the same passages; one is enough.
+    passages = _passages(bodies, wanted, steps, widths).groupBy("digest", "width", "start").agg(
+        F.any_value("codes").alias("codes"), F.any_value("seeds").alias("seeds")
+    )
+    passages = materialize(passages, "passages")
+    shared = passages.select("digest", "width", "start", F.explode("seeds").alias("seed")).join(rare, ["width", "seed"])
+    pairs = shared.groupBy("digest", "width", "start", "item").agg(F.count("*").alias("n"), F.max("asked").alias("asked")).filter("n >= asked")
+    pairs = pairs.join(passages.drop("seeds"), ["digest", "width", "start"])
+    pairs = pairs.join(known.select("item", "least", F.col("codes").alias("item_codes")), "item")
+    best = F.max(F.struct("score", (-F.col("first_word")).alias("first"), (-F.col("end_word")).alias("end")))
+    places = _aligned(pairs).groupBy("digest", "item").agg(best.alias("b"))
+    places = places.select("digest", "item", "b.score", (-F.col("b.first")).alias("first_word"), (-F.col("b.end")).alias("end_word"))
+    return places, known.select("item", "text")
 
 
 def leaks(
     docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text",
-    threshold: float = THRESHOLD,
+    threshold: float = THRESHOLD, least_words: int = LEAST_WORDS,
 ) -> DataFrame:
     """(key, item_id, score, first_word, end_word): every pair of a row of ``docs`` and an
-    item it holds a copy of, at the best place; 1 is a full copy.
+    item it holds a copy of, at the best place, the first of equal ones; 1 is a full copy.
 
-    Case and punctuation don't count. Null and empty texts have no words and no leaks;
-    items of fewer than ``LEAST_WORDS`` words prove nothing and are left out. A repeated
-    row of ``docs`` is reported again, a repeated item once. Without items or documents
-    there are no rows. Other columns are left out.
+    Case and punctuation don't count. Null and empty texts have no words and no leaks; of
+    items of fewer than ``least_words`` words only full copies count. A repeated row of
+    ``docs`` is reported again, a repeated item once. Without items or documents there are
+    no rows. Other columns are left out.
     """
     kind, item_kind = docs.schema[key].dataType.simpleString(), items.schema[item_key].dataType.simpleString()
     names = ["key", "item_id", "score", "first_word", "end_word"]
     schema = f"key {kind}, item_id {item_kind}, score double, first_word long, end_word long"
-    spark, out = docs.sparkSession, None
-    for block in item_blocks(items, item_key, item_text, threshold):
-        shared = spark.sparkContext.broadcast(block)
-
-        def work(batches: Iterable[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for batch in chunks(batches):
-                rows = []
-                for i, found in zip(batch.column(0).to_pylist(), shared.value.found(batch.column(1).to_pylist())):
-                    rows += [(i, *place) for place in found]
-                if rows:
-                    yield pa.record_batch([pa.array(c) for c in zip(*rows)], names)
-
-        part = docs.select(F.col(key), whole_text(text)).mapInArrow(work, schema)
-        out = part if out is None else out.unionByName(part)
-    out = spark.createDataFrame([], schema) if out is None else out
-    return out.withColumnRenamed("key", key)
-
-
-def decontaminated(docs: DataFrame, items: DataFrame, text: str = "text", item_key: str = "item_id", item_text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` without the rows that hold a copy of an item, all columns as they were."""
-    body = fresh(docs, "_body")
-    for block in item_blocks(items, item_key, item_text, threshold):
-        shared = docs.sparkSession.sparkContext.broadcast(block)
-
-        def work(batches: Iterable[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for batch in chunks(batches):
-                last = batch.num_columns - 1
-                clean = [not found for found in shared.value.found(batch.column(last).to_pylist())]
-                yield batch.select(range(last)).filter(pa.array(clean, pa.bool_()))
-
-        docs = docs.withColumn(body, whole_text(text)).mapInArrow(work, docs.schema)
-    return docs
+    both = found(docs, items, text, item_text, threshold, least_words)
+    if both is None:
+        return docs.sparkSession.createDataFrame([], schema).withColumnRenamed("key", key)
+    places, known = both
+    ids = items.select(F.col(item_key).alias("item_id"), whole_text(item_text).alias("text")).distinct()
+    # Rows are found again by their texts' digests; no text is shuffled for it.
+    rows = docs.select(F.col(key).alias("key"), _digest(text).alias("digest")).join(places, "digest")
+    rows = rows.join(known.join(ids, "text").select("item", "item_id"), "item")
+    return rows.select(*names).withColumnRenamed("key", key)
+
+
+def decontaminated(
+    docs: DataFrame, items: DataFrame, text: str = "text", item_key: str = "item_id", item_text: str = "text",
+    threshold: float = THRESHOLD, least_words: int = LEAST_WORDS,
+) -> DataFrame:
+    """``docs`` without the rows that hold a copy of an item, as ``leaks`` finds them, all
+    columns as they were."""
+    both = found(docs, items, text, item_text, threshold, least_words)
+    if both is None:
+        return docs
+    held = fresh(docs, "_digest")
+    dropped = materialize(both[0].select(F.col("digest").alias("row")).distinct(), "leaked")
+    return without_rows(docs.withColumn(held, _digest(text)), dropped, held)

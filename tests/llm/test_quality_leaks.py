@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pytest
 
 from payscope.llm import decontaminate as d
 from payscope.llm import quality as q
@@ -93,7 +94,7 @@ def test_leaks_by_brute_force(spark, tmp_path):
     for i, t, _ in rows:
         for k, item in enumerate(items):
             if len(item) < d.LEAST_WORDS:
-                assert (i, k) not in got
+                assert ((i, k) in got) == (f" {' '.join(item)} " in f" {' '.join(d.words(t or ''))} ")
                 continue
             best = d.align(code(item), code(d.words(t or "")))[0] if t else 0
             if best >= 0.6 or (i, k) in got:
@@ -130,13 +131,48 @@ def test_every_pair_at_the_threshold(spark):
     assert {r.doc_id for r in d.decontaminated(docs, bench).collect()} == set(body) - {i for i, _ in want}
 
 
-def test_texts_longer_than_a_piece(monkeypatch):
-    monkeypatch.setattr(d, "PIECE", 50)
+def test_texts_longer_than_a_piece(spark, monkeypatch):
     item = [f"w{j}" for j in range(20)]
-    block = d.Items([(7, item)])
-    for before in range(0, 130, 3):
-        filler = ["x"] * before
-        assert block.found([" ".join(filler + item + ["y"] * 90), "", " ".join(item[:4])]) == [[(7, 1.0, before, before + 20)], [], []]
+    bench = spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")
+    befores = range(0, 130, 3)
+    docs = [(n, " ".join(["x"] * n + item + ["y"] * 90)) for n in befores] + [(500, ""), (501, " ".join(item[:4]))]
+    got = d.leaks(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()
+    assert sorted(tuple(r) for r in got) == [(n, 7, 1.0, n, n + 20) for n in befores]
+    # Pieces end within words, seeds and items; what is found doesn't depend on where.
+    texts, bits = [t.title() for _, t in docs], np.full(d.SEED_BITS // 8, 255, np.uint8)
+    whole = d.Texts(texts, bits, (0, 1, 2))
+    monkeypatch.setattr(d, "PIECE_CHARS", 7)
+    cut = d.Texts(texts, bits, (0, 1, 2), piece=5)
+    assert (whole.codes == cut.codes).all()
+    rows = lambda x: sorted(zip(x.owner.tolist(), x.at.tolist(), x.seeds.tolist()))
+    assert rows(whole) == rows(cut) and len(whole.at) == sum(3 * n - 3 if n > 1 else n for n in np.diff(whole.heads))
+    for (n, start, codes, seeds), other in zip(whole.passages(bits, 32, 4), cut.passages(bits, 32, 4), strict=True):
+        head = whole.heads[n]
+        assert other[:2] == (n, start) and (codes == whole.codes[head + start : min(head + start + 64, whole.heads[n + 1])]).all()
+        assert (other[2] == codes).all() and (other[3] == seeds).all()
+
+
+def test_short_items_are_matched_in_full(spark):
+    bench = spark.createDataFrame([(1, "Forty two"), (2, "Zebra"), (3, "a b a b a b a"), (4, "!"), (5, "one two three four five six seven")], "item_id long, text string")
+    texts = ["is it forty-two?", "forty and two", "ZEBRA.", "zebras", "x a b a b a b a b", "a b a b", "", None, "one two three four five six", "one two three four five six seven"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sorted(tuple(r) for r in d.leaks(docs, bench).collect())
+    assert got == [(0, 1, 1.0, 2, 4), (2, 2, 1.0, 0, 1), (4, 3, 1.0, 1, 8), (9, 5, 1.0, 0, 7)]
+    assert [r.doc_id for r in d.decontaminated(docs, bench).orderBy("doc_id").collect()] == [1, 3, 5, 6, 7, 8]
+
+
+def test_copies_need_their_rare_seeds_only(spark):
+    """Most of an item's words are everywhere; the starts looked for are the rarest ones,
+    and passages without enough of them are never joined."""
+    common = [f"c{i}" for i in range(30)]
+    item = common + [f"r{i}" for i in range(30)]
+    docs = [(i, " ".join(common)) for i in range(300)] + [(900, " ".join(item)), (901, " ".join(item[12:]))]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    _, _, starts, asked = d._quota(len(item), d.THRESHOLD, d.LEAST_WORDS)
+    assert starts < 40 and asked == 7
+    assert {(r.doc_id, r.score) for r in d.leaks(docs, bench).filter("doc_id >= 900").collect()} == {(900, 1.0), (901, 0.8)}
+    assert d.leaks(docs, bench).filter("doc_id < 900").count() == 300  # half of the item is a copy
 
 
 def test_alignment_is_smith_waterman():
@@ -151,10 +187,13 @@ def test_alignment_is_smith_waterman():
         assert d.align(np.array(a), np.array(b))[0] == h.max() / (d.MATCH * len(a))
 
 
-def test_items_in_blocks(spark, monkeypatch):
-    monkeypatch.setattr(d, "BLOCK_WORDS", 10)
-    items = [(i, " ".join(f"w{i}x{j}" for j in range(9))) for i in range(4)]
+def test_many_items_and_copies_of_a_document(spark):
+    items = [(i, " ".join(f"w{i}x{j}" for j in range(9))) for i in range(400)] + [(9999, " ".join(f"W0X{j}," for j in range(9)))]
     bench = spark.createDataFrame(items, "item_id long, text string")
-    docs = spark.createDataFrame([(i, "before " + t + " after") for i, t in items], "doc_id long, text string")
-    assert {(r.doc_id, r.item_id, r.score) for r in d.leaks(docs, bench).collect()} == {(i, i, 1.0) for i in range(4)}
+    docs = [(i, "before " + t + " after") for i, t in items[:400]] + [(1000, "before " + items[3][1])] * 50
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    got = sorted((r.doc_id, r.item_id, r.score) for r in d.leaks(docs, bench).collect())
+    assert got == sorted([(i, i, 1.0) for i in range(400)] + [(0, 9999, 1.0)] + [(1000, 3, 1.0)] * 50)
     assert d.decontaminated(docs, bench).count() == 0
+    with pytest.raises(ValueError):
+        d.leaks(docs, bench, threshold=0.1)
