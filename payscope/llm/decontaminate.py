@@ -14,11 +14,11 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 from math import ceil, floor
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,14 +27,17 @@ from payscope.llm.common import chunks, fresh, whole_text, without_rows
 from payscope.session import materialize
 
 #: Words from which edited copies of an item count and not only full ones, the least score
-#: of an edited copy, words searched at once, characters split into words at once.
-LEAST_WORDS, THRESHOLD, PIECE, PIECE_CHARS = 8, 0.5, 1 << 18, 1 << 20
+#: of an edited copy, words searched at once, characters split into words at once and their bytes at most.
+LEAST_WORDS, THRESHOLD, PIECE, PIECE_CHARS, PIECE_BYTES = 8, 0.5, 1 << 18, 1 << 18, 1 << 20
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Bits of the bitmap that tells the items' seeds (8 MiB), and bits in a row of it.
 SEED_BITS, ROW_BITS = 1 << 26, 32768
-#: Words whose codes a worker remembers.
-REMEMBERED = 1 << 18
+#: Base of the words' codes, an odd number.
+BASE = 0xD6E8FEB86659FD93
 _WORD, _BREAK = re.compile(r"\w+"), re.compile(r"\W")
+_VALUES = np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+_VALUES ^= _VALUES >> np.uint64(32)
+_IN_WORD = np.array([n > 127 or bool(_WORD.match(chr(n))) for n in range(256)], np.int8)
 
 
 def words(text: str) -> list[str]:
@@ -70,26 +73,48 @@ def best_place(item: np.ndarray, passage: np.ndarray, least: float) -> tuple[flo
     return share, end - align(item[::-1], passage[:end][::-1])[1], end
 
 
-class _Codes(dict):
-    """64-bit codes of words, some of them remembered."""
+@lru_cache(maxsize=1)
+def _powers() -> tuple[np.ndarray, np.ndarray]:
+    """The base's powers modulo 2^64 and their inverses, up to ``PIECE_BYTES``."""
+    return tuple(np.cumprod(np.r_[np.uint64(1), np.full(PIECE_BYTES, p, np.uint64)]) for p in (BASE, pow(BASE, -1, 1 << 64)))
 
-    def __missing__(self, word: str) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        self[word] = code = xxhash.xxh64_intdigest(word)
-        return code
 
+def _sums(raw: bytes) -> np.ndarray:
+    """What each prefix of the bytes comes to as a polynomial in the base."""
+    sums = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum(_VALUES[np.frombuffer(raw, np.uint8)] * _powers()[0][: len(raw)], out=sums[1:])
+    return sums
 
-_codes = _Codes()
+
+def _long_word(raw: bytes) -> int:
+    """The polynomial of a word of any length, by pieces."""
+    code = 0
+    for a in range(0, len(raw), PIECE_BYTES):
+        code += int(_sums(raw[a : a + PIECE_BYTES])[-1]) * pow(BASE, a, 1 << 64)
+    return code % (1 << 64)
+
+
+def _piece_codes(piece: str) -> np.ndarray:
+    """The codes of the words of a piece in lower case: polynomials of their bytes, each
+    the difference of two sums over the piece."""
+    # Beyond ASCII words are told by the pattern; then a line break is all between them.
+    raw = piece.encode() if piece.isascii() else "\n".join(_WORD.findall(piece)).encode()
+    if len(raw) > PIECE_BYTES:
+        return np.array([_long_word(w.encode()) for w in _WORD.findall(piece)], np.uint64)
+    inside = np.zeros(len(raw) + 2, np.int8)
+    inside[1:-1] = _IN_WORD[np.frombuffer(raw, np.uint8)]
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, ends, sums = edges[::2], edges[1::2], _sums(raw)
+    return (sums[ends] - sums[starts]) * _powers()[1][starts]
 
 
 def coded(text: str) -> np.ndarray:
-    """The words' codes; a long text is split at characters that are in no word."""
+    """64-bit codes of the words; a long text is split at characters that are in no word."""
     text, at, parts = text.lower(), 0, []
     while at < len(text):
         cut = _BREAK.search(text, at + PIECE_CHARS)
         end = cut.start() if cut else len(text)
-        parts.append(np.fromiter(map(_codes.__getitem__, _WORD.findall(text, at, end)), np.uint64))
+        parts.append(_piece_codes(text[at:end]))
         at = end
     return np.concatenate(parts) if parts else np.empty(0, np.uint64)
 

@@ -152,6 +152,21 @@ def test_texts_longer_than_a_piece(spark, monkeypatch):
         assert (other[2] == codes).all() and (other[3] == seeds).all()
 
 
+def test_codes_are_those_of_the_words(monkeypatch):
+    rng = random.Random(4)
+    alphabet = ["a", "B", "z", "9", "_", " ", "\n", "-", "\u0130", "\u00e9", "e\u0301", "\u4e2d", "\u212a", "\U0001f600", "\u200d"]
+    texts = ["".join(rng.choices(alphabet[: rng.choice([8, 15])], k=rng.randint(0, 60))) for _ in range(500)]
+    number = {}
+    for t in texts:
+        codes = d.coded(t).tolist()
+        assert len(codes) == len(d.words(t)) and all(number.setdefault(w, c) == c for w, c in zip(d.words(t), codes))
+    assert len(set(number.values())) == len(number) > 500
+    whole = [d.coded(t).tolist() for t in texts]
+    monkeypatch.setattr(d, "PIECE_CHARS", 5)
+    monkeypatch.setattr(d, "PIECE_BYTES", 6)  # words longer than a piece have the same codes
+    assert [d.coded(t).tolist() for t in texts] == whole
+
+
 def test_short_items_are_matched_in_full(spark):
     bench = spark.createDataFrame([(1, "Forty two"), (2, "Zebra"), (3, "a b a b a b a"), (4, "!"), (5, "one two three four five six seven")], "item_id long, text string")
     texts = ["is it forty-two?", "forty and two", "ZEBRA.", "zebras", "x a b a b a b a b", "a b a b", "", None, "one two three four five six", "one two three four five six seven"]
