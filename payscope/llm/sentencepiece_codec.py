@@ -81,17 +81,19 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
-def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, ids): the ids of every text. Null and empty texts have none; a repeated row
-    is encoded again; other columns are left out."""
+def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", decoded: bool = False) -> DataFrame:
+    """(key, ids): the ids of every text; with ``decoded`` also the text they decode to.
+    Null and empty texts have no ids and decode to an empty one; a repeated row is encoded
+    again; other columns are left out."""
     kind = docs.schema[key].dataType
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         own = codec(path)
         ids = [own.encode(t) for t in batch.column(1).to_pylist()]
-        return pa.record_batch([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], ["key", "ids"])
+        back = [pa.array(map(own.decode, ids), pa.string())] if decoded else []
+        return pa.record_batch([batch.column(0), pa.array(ids, pa.list_(pa.int32())), *back], ["key", "ids", "decoded"][: 2 + decoded])
 
-    schema = f"key {kind.simpleString()}, ids array<int>"
+    schema = f"key {kind.simpleString()}, ids array<int>" + ", decoded string" * decoded
     slim = docs.select(F.col(key), whole_text(text))
     return map_chunks(slim, work, schema).withColumnRenamed("key", key)
 

@@ -1,7 +1,9 @@
 """Every stage of the pipeline on odd rows: nulls, empty and long texts, repeated rows,
 an empty table, and further columns whose names the operators use themselves."""
 
+import public_tokenizers
 import pytest
+import sentencepiece
 
 import corpus_pipeline
 
@@ -39,7 +41,11 @@ def test_stage_keeps_columns_and_whole_rows(spark, odd, name, stage):
 
 def test_last_stage(spark, odd):
     out = corpus_pipeline.STAGES[-1][1](spark, odd, SMALL)
-    assert out.columns == ["doc_id", "ids"] and out.count() == odd.count()
+    assert out.columns == ["doc_id", "ids", "decoded"] and out.count() == odd.count()
+    model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    pairs = lambda df: sorted((r.ids, r.decoded) for r in df.collect())
+    want = sorted((ids, model.decode(ids)) for ids in (model.encode(r.text or "") for r in odd.collect()))
+    assert pairs(out) == want and ([], "") in want
     assert corpus_pipeline.STAGES[-1][1](spark, odd.limit(0), SMALL).count() == 0
 
 
