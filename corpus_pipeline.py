@@ -1,8 +1,8 @@
 """The pipeline over documents: each stage calls one operator on all its predecessor kept.
 
 Rejected by the quality classifier, exact copies, near copies by SimHash and documents
-with benchmark passages go, in this order; the last stage encodes what is left. Every
-stage but the last returns the columns of documents.
+with benchmark passages go, in this order; the last stage encodes what is left and decodes
+it again. Every stage but the last returns the columns of documents.
 """
 
 from __future__ import annotations
@@ -31,8 +31,8 @@ def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return decontaminate.decontaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
-def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return sentencepiece_codec.encode(docs, public_tokenizers.path("piece_bpe_32k.model"))
+def round_trip(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return sentencepiece_codec.encode(docs, public_tokenizers.path("piece_bpe_32k.model"), decoded=True)
 
 
 STAGES = [
@@ -40,7 +40,7 @@ STAGES = [
     ("exact dedup", exact_copies),
     ("SimHash near-dedup", near_copies),
     ("benchmark decontamination", benchmark_passages),
-    ("SentencePiece encoding", encoding),
+    ("SentencePiece encoding and decoding", round_trip),
 ]
 
 #: A learned classifier and a tokenizer are beyond SQL.
