@@ -9,6 +9,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from payscope.functions.clean import safe_double
 from payscope.operators import checks
 from payscope.operators.joins import longest_prefix
 from payscope.operators.mergeable import (
@@ -247,7 +248,23 @@ def bucketed_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first
 
 
+def observed_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of line items through typing, a filter, a lookup that keeps them, one that
+    repeats them and a write, counted in that one job."""
+    counts = checks.StageCounts()
+    raw = counts.through("raw", table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity"))
+    typed = counts.through("typed", raw.withColumn("l_quantity", safe_double(F.col("l_quantity").cast("string"))))
+    kept = counts.through("kept", typed.filter("l_quantity > 10"))
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderstatus")
+    found = counts.through("found", kept.join(orders, "l_orderkey", "left"))
+    events = table(spark, sf_dir, "events").select((F.col("event_id") % 50).alias("l_partkey"), "event_type").filter("event_id < 100")
+    repeated = counts.through("repeated", found.join(events, "l_partkey", "left"))
+    materialize(repeated, "repeated")
+    return counts.preserved(spark, [("raw", "typed"), ("typed", "kept"), ("kept", "found"), ("found", "repeated")])
+
+
 QUERIES = {
+    "observed_stages": observed_stages,
     "distinct_by_sketch": distinct_by_sketch,
     "prefix_lookup": prefix_lookup,
     "stored_co_moments": stored_co_moments,
@@ -267,6 +284,15 @@ _EVENTS = f"SELECT event_type, value + 1e9 AS x, {_K}::DOUBLE AS y FROM events"
 _R = "count(*) AS n, round(CASE WHEN stddev_pop(x) > 0 AND stddev_pop(y) > 0 THEN corr(x - 1e9, y) END, 6) AS r"
 
 SQL = {
+    "observed_stages": """
+        WITH kept AS (SELECT * FROM lineitem WHERE l_quantity > 10),
+        events_of AS (SELECT event_id % 50 AS l_partkey FROM events WHERE event_id < 100),
+        c AS (SELECT 'raw to typed' AS "table", count(*) AS n_raw, count(*) AS n_staged FROM lineitem
+          UNION ALL SELECT 'typed to kept', (SELECT count(*) FROM lineitem), (SELECT count(*) FROM kept)
+          UNION ALL SELECT 'kept to found', (SELECT count(*) FROM kept),
+            (SELECT count(*) FROM kept LEFT JOIN orders ON l_orderkey = o_orderkey)
+          UNION ALL SELECT 'found to repeated', (SELECT count(*) FROM kept), (SELECT count(*) FROM kept LEFT JOIN events_of USING (l_partkey)))
+        SELECT *, CASE WHEN n_raw = n_staged THEN 'OK' ELSE 'MISMATCH' END AS status FROM c""",
     "distinct_by_sketch": """
         WITH rows AS (SELECT 'lineitem' AS source, l_partkey AS item FROM lineitem UNION ALL
             SELECT 'orders', o_custkey FROM orders UNION ALL SELECT 'events', event_id FROM events)

@@ -108,3 +108,18 @@ def test_fused_checks_equal_single_ones(spark, tmp_path):
     assert read("fused") == read("single") and len({n for n, _ in read("fused")}) >= 7
     plan = checks.fused_failures(df, fused)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 1
+
+
+def test_stages_are_counted_by_the_job_that_runs_them(spark, tmp_path):
+    counts = checks.StageCounts()
+    raw = counts.through("raw", spark.range(1000).withColumn("k", F.col("id") % 7).repartition(4))
+    few = counts.through("few", raw.filter("k < 3"))
+    named = counts.through("named", few.join(spark.range(5).withColumnRenamed("id", "k"), "k", "left"))
+    none = counts.through("none", named.filter("id < 0"))
+    none.write.parquet(str(tmp_path / "none"))
+    # A stage observed twice over, as after a lost executor, is counted by a scan.
+    counts._observed["few"] = (counts._observed["few"][0], type("Twice", (), {"get": {"n": 858}})())
+    got = counts.preserved(spark, [("raw", "few"), ("few", "named"), ("named", "none"), ("none", "none")]).collect()
+    assert [tuple(r) for r in got] == [
+        ("raw to few", 1000, 429, "MISMATCH"), ("few to named", 429, 429, "OK"), ("named to none", 429, 0, "MISMATCH"), ("none to none", 0, 0, "OK"),
+    ]
