@@ -723,11 +723,17 @@ def scan_paged_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("c_custkey", safe_int(F.col("c_custkey")))
 
 
+#: Documents a compressed file holds at most, as one task has to read it whole.
+FILE_DOCUMENTS = 25_000
+
+
 def _landed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Charge documents with a field that no schema lists, landed whole."""
+    """Charge documents with a field that no schema lists, landed whole. Their files are
+    compressed: as text they take many times what the table does."""
     path = scratch_path(spark, "documents")
     extra = F.col("standard_charge_information")[0]["description"].alias("extra")
-    charge_documents(spark, sf_dir).select("*", F.struct(extra).alias("unlisted")).write.json(path)
+    documents = charge_documents(spark, sf_dir).select("*", F.struct(extra).alias("unlisted"))
+    documents.write.option("maxRecordsPerFile", FILE_DOCUMENTS).json(path, compression="gzip")
     return read_raw_documents(spark, path, lines=True)
 
 

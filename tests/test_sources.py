@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from payscope.plans import prices
+from payscope.plans import prices, star
 from payscope.sinks.tables import (
     export_csv,
     read_failures,
@@ -413,3 +413,13 @@ def test_stored_failures(spark, tmp_path):
     assert read_failures(spark, folder).count() == 2
     assert recent_failures(spark, folder, "2020-01-01 00:00:00").count() == 2
     assert recent_failures(spark, folder, "2999-01-01 00:00:00").count() == 0
+
+
+def test_landed_documents_take_less_than_the_table_of_their_text(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(star, "scratch_path", lambda spark, name: str(tmp_path / name))
+    monkeypatch.setattr(star, "FILE_DOCUMENTS", 1000)
+    landed = star._landed_documents(spark, "/root/testdata/sf0.001")
+    lines = spark.read.text(str(tmp_path / "documents")).agg(F.count("*"), F.sum(F.length("value"))).first()
+    files = [p.stat().st_size for p in (tmp_path / "documents").glob("part-*")]
+    assert landed.count() == lines[0] > 5000
+    assert sum(files) * 5 < lines[1] and len(files) >= lines[0] // 1000  # read whole, so none is large
