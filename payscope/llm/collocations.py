@@ -7,8 +7,9 @@ enough. A candidate's parts are looked up by composing the wanted parts with the
 phrases of their range.
 
 Windows are cut at words that are rarer than a phrase has to be, which no phrase or part
-holds; a bitmap of fixed size tells them, and what it lets through falls to the exact
-counts. Ranges are cut at sampled windows, as a range-partitioned sort does it, so a
+holds, and between words whose pair is rarer; bitmaps tell them, and what these let through
+falls to the exact counts. Pairs are counted by hash, tasks hand on their counts in blocks,
+so a slot of several pairs has their sum and no common pair is missed. Ranges are cut at sampled windows, as a range-partitioned sort does it, so a
 frequent first word or pair of words is spread over several. Only the words on the path of
 a cut have their counts added up from two ranges or more; the sample affects nothing else.
 """
@@ -37,6 +38,12 @@ HELD_WORDS = 1 << 19
 COMMON_BITS = 1 << 26
 RANGE_WORDS = 1_000_000
 RANGES = 1 << 18
+#: Bits that tell common pairs: one per so many words or more, as a power of two between
+#: these (32 MiB at most; beyond it more rare pairs are let through). Slots of a block, pairs
+#: a task counts at once.
+PAIR_WORDS, PAIR_BITS = 16, (22, 28)
+PAIR_BLOCK = 16
+HELD_PAIRS = 1 << 23
 #: Sampled words for each cut.
 PER_CUT = 60
 
@@ -104,66 +111,146 @@ class Labels(dict):
 
     def __init__(self, lang: str, bits: np.ndarray):
         super().__init__({b"": -1, b"\n": 0})
-        self.seed, self.bits, self.words = xxhash.xxh64_intdigest(lang.encode(), 42), bits, []
+        self.seed, self.bits, self.words, self.hashes = xxhash.xxh64_intdigest(lang.encode(), 42), bits, [], []
 
     def __missing__(self, word: bytes) -> int:
-        slot = xxhash.xxh64_intdigest(word, self.seed) % COMMON_BITS
+        hashed = xxhash.xxh64_intdigest(word, self.seed)
+        slot = hashed % COMMON_BITS
         if self.bits[slot >> 3] >> (slot & 7) & 1:
             self.words.append(word)
+            self.hashes.append(hashed)
             self[word] = len(self.words)
         else:
             self[word] = 0
         return self[word]
 
 
-def windows(ids: np.ndarray) -> np.ndarray:
-    """Up to ``DEPTH`` labels from each on, until the next 0."""
-    ids = ids[ids >= 0]
+def windows(ids: np.ndarray, joined: np.ndarray) -> np.ndarray:
+    """Up to ``DEPTH`` labels from each on, until the next 0 or the next one that is not
+    ``joined`` to the one before it."""
     out = np.zeros((len(ids), DEPTH), np.int32)
     out[:, 0] = ids
     for d in range(1, min(DEPTH, len(ids))):
-        out[:-d, d] = np.where(out[:-d, d - 1] > 0, ids[d:], 0)
+        out[:-d, d] = np.where((out[:-d, d - 1] > 0) & joined[d - 1 :], ids[d:], 0)
     return out[ids > 0]
 
 
 class Shard:
     """Words of one language until they are enough for automata."""
 
-    def __init__(self, lang: str, bits: np.ndarray):
-        self.labels, self.parts, self.size = Labels(lang, bits), [], 0
+    def __init__(self, lang: str, bits: np.ndarray, pairs: np.ndarray | None = None):
+        self.labels, self.pairs, self.parts, self.size = Labels(lang, bits), pairs, [], 0
 
     def add(self, texts: list[str]) -> None:
         found = words(texts)
         self.parts += [np.fromiter(map(self.labels.__getitem__, found), np.int32, len(found)), np.zeros(1, np.int32)]
         self.size += len(found)
 
+    def ids(self) -> np.ndarray:
+        found = np.concatenate(self.parts)
+        return found[found >= 0]
+
+    def pair_slots(self, ids: np.ndarray, power: int) -> np.ndarray:
+        """The slot of each label with the next one."""
+        hashes = np.array([0, *self.labels.hashes], np.uint64)[ids]
+        out = hashes[:-1] * np.uint64(0x9E3779B97F4A7C15)
+        out += hashes[1:]
+        out ^= out >> np.uint64(32)
+        out *= np.uint64(0xD6E8FEB86659FD93)
+        return (out >> np.uint64(64 - power)).astype(np.uint32)
+
+    def joined(self, ids: np.ndarray) -> np.ndarray:
+        """Which labels go on with the next one: all without a bitmap of pairs."""
+        if self.pairs is None:
+            return np.ones(max(len(ids) - 1, 0), bool)
+        slot = self.pair_slots(ids, (8 * len(self.pairs)).bit_length() - 1)
+        return (self.pairs[slot >> np.uint32(3)] >> (slot & np.uint32(7)).astype(np.uint8) & 1).astype(bool)
+
     def sorted_windows(self) -> tuple[list[bytes], np.ndarray, np.ndarray]:
         """The words in order, and the windows over their places in it."""
         order = sorted(range(len(self.labels.words)), key=self.labels.words.__getitem__)
         rank = np.zeros(len(order) + 1, np.int32)
         rank[np.array(order, np.int64) + 1] = np.arange(1, len(order) + 1)
-        rows = rank[windows(np.concatenate(self.parts))]
+        ids = self.ids()
+        rows = rank[windows(ids, self.joined(ids))]
         return [self.labels.words[i] for i in order], *summed(rows, np.ones(len(rows), np.int64))
 
 
-def _shards(batches: Iterable[pa.RecordBatch], bits: np.ndarray, shard_words: int = SHARD_WORDS) -> Iterator[tuple[str, Shard]]:
+def _shards(
+    batches: Iterable[pa.RecordBatch], bits: np.ndarray, pairs: np.ndarray | None = None, shard_words: int = SHARD_WORDS
+) -> Iterator[tuple[str, Shard]]:
     held: dict[str, Shard] = {}
     for batch in chunks(batches):
         for lang, texts in _by_lang(batch):
-            shard = held.setdefault(lang, Shard(lang, bits))
+            shard = held.setdefault(lang, Shard(lang, bits, pairs))
             for text in texts:
                 shard.add([text])
                 if shard.size >= shard_words:
                     yield lang, held.pop(lang)
-                    shard = held[lang] = Shard(lang, bits)
+                    shard = held[lang] = Shard(lang, bits, pairs)
     yield from held.items()
 
 
+def common_pairs(docs: DataFrame, bits, total: int, least: int, shard_words: int = SHARD_WORDS) -> np.ndarray:
+    """The bitmap of slots of pairs of common words with ``least`` occurrences or more in
+    all. A task hands on its counts, no higher than ``least``, in blocks of slots."""
+    power = min(max((total // PAIR_WORDS).bit_length(), PAIR_BITS[0]), PAIR_BITS[1])
+    block = 1 << PAIR_BLOCK
+    kind = np.dtype("u1" if least < 1 << 8 else "<u4")
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for _, shard in _shards(batches, bits.value, None, shard_words):
+            if shard.size:
+                ids = shard.ids()
+                held.append(shard.pair_slots(ids, power)[(ids[:-1] > 0) & (ids[1:] > 0)])
+                size += len(held[-1])
+            if size >= HELD_PAIRS:
+                yield counted(held)
+                held, size = [], 0
+        if size:
+            yield counted(held)
+
+    def counted(held: list[np.ndarray]) -> pa.RecordBatch:
+        slot, n = np.unique(np.concatenate(held), return_counts=True)
+        n = np.minimum(n, least).astype(kind)
+        at = np.flatnonzero(np.diff(slot >> np.uint32(PAIR_BLOCK), prepend=-1))
+        inside = (slot & np.uint32(block - 1)).astype("<u2")
+        bounds = [*zip(at.tolist(), [*at[1:].tolist(), len(slot)])]
+        columns = [
+            pa.array((slot[at] >> np.uint32(PAIR_BLOCK)).astype(np.int32)),
+            pa.array([inside[a:b].tobytes() for a, b in bounds], pa.binary()),
+            pa.array([n[a:b].tobytes() for a, b in bounds], pa.binary()),
+        ]
+        return pa.record_batch(columns, ["block", "slots", "n"])
+
+    def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, sums = None, np.zeros(block, np.int64)
+        for batch in batches:
+            for at, slots, n in zip(*(c.to_pylist() for c in batch.columns)):
+                if at != now:
+                    yield from told(now, sums)
+                    now, sums[:] = at, 0
+                sums[np.frombuffer(slots, "<u2")] += np.frombuffer(n, kind)
+        yield from told(now, sums)
+
+    def told(now: int | None, sums: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if now is not None and (sums >= least).any():
+            common = np.packbits(sums >= least, bitorder="little").tobytes()
+            yield pa.record_batch([pa.array([now], pa.int32()), pa.array([common], pa.binary())], ["block", "bits"])
+
+    parts = docs.mapInArrow(count, "block int, slots binary, n binary").repartition("block").sortWithinPartitions("block")
+    out = np.zeros(1 << power - 3, np.uint8)
+    for at, common in zip(*(c.to_pylist() for c in parts.mapInArrow(add, "block int, bits binary").toArrow().columns)):  # a bit per slot
+        out[at * block // 8 : (at + 1) * block // 8] = np.frombuffer(common, np.uint8)
+    return out
+
+
 #: A cut: language and words of the first window after it.
 Cut = tuple[str, *tuple[bytes, ...]]
 
 
-def cuts(docs: DataFrame, total: int, bits, range_words: int = RANGE_WORDS) -> list[Cut]:
+def cuts(docs: DataFrame, total: int, bits, pairs, range_words: int = RANGE_WORDS) -> list[Cut]:
     """Windows that part the corpus into about equal ranges, from a sample of documents."""
     ranges = min(RANGES, total // range_words + 1)
     if ranges == 1:
@@ -172,7 +259,7 @@ def cuts(docs: DataFrame, total: int, bits, range_words: int = RANGE_WORDS) -> l
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rng = np.random.default_rng(1)
-        for lang, shard in _shards(batches, bits.value):
+        for lang, shard in _shards(batches, bits.value, pairs.value):
             if shard.size:
                 own, rows, n = shard.sorted_windows()
                 taken = np.flatnonzero(rng.random(len(rows)) < np.minimum(1, n * PER_CUT * ranges / (total * share)))
@@ -216,11 +303,11 @@ def _packed(k: int, lang: str, own: list[bytes], rows: np.ndarray, weights: np.n
     return pa.record_batch([pa.array([k], pa.int32()), pa.array([lang]), pa.array([said], pa.binary()), *numbers], ["range", "lang", "words", "sizes", "final", "n_arcs", "label", "child"])
 
 
-def shard_automata(docs: DataFrame, bits, all_cuts, shard_words: int = SHARD_WORDS) -> DataFrame:
+def shard_automata(docs: DataFrame, bits, pairs, all_cuts, shard_words: int = SHARD_WORDS) -> DataFrame:
     """The shards' count automata by range, a row each."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lang, shard in _shards(batches, bits.value, shard_words):
+        for lang, shard in _shards(batches, bits.value, pairs.value, shard_words):
             if shard.size:
                 own, rows, weights = shard.sorted_windows()
                 for k, start, stop in sliced(lang, own, rows, all_cuts.value):
@@ -330,8 +417,9 @@ def collocations(
     sizes = counts.groupBy("lang").agg(F.sum("f").alias("n"))
     total = sizes.agg(F.sum("n")).first()[0] or 0
     bits = spark.sparkContext.broadcast(common_bits(counts, least))
-    all_cuts = spark.sparkContext.broadcast(cuts(slim, total, bits, range_words))
-    packed = shard_automata(slim, bits, all_cuts, shard_words)
+    pairs = spark.sparkContext.broadcast(common_pairs(slim, bits, total, least, shard_words))
+    all_cuts = spark.sparkContext.broadcast(cuts(slim, total, bits, pairs, range_words))
+    packed = shard_automata(slim, bits, pairs, all_cuts, shard_words)
     phrases = materialize(common_phrases(packed, all_cuts, least), "phrases")
 
     held = F.split("phrase", " ")

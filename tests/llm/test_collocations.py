@@ -7,6 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from payscope.llm import collocations as module
 from payscope.llm.collocations import collocations
 from payscope.llm.count_automata import DEPTH, Automaton, place, summed, union
 
@@ -133,3 +134,16 @@ def test_clashing_columns_and_empty_tables(spark):
     got = [tuple(r) for r in collocations(spark.createDataFrame(rows, schema)).collect()]
     assert got == brute([("en", "good day sir")] * 100, 100, 2000) and len(got) == 1
     assert collocations(spark.createDataFrame(rows[:99], schema)).collect() == []
+
+
+@pytest.mark.parametrize("least", [3, 300])
+def test_windows_end_between_rare_pairs(spark, least):
+    texts = ["a b c d e" for _ in range(least)] + ["c a", "b e, d a b"] * (least // 3)
+    frame = spark.createDataFrame([("en", t) for t in texts], "lang string, text string").repartition(4)
+    bits = np.full(module.COMMON_BITS // 8, 255, np.uint8)
+    pairs = module.common_pairs(frame, spark.sparkContext.broadcast(bits), 1, least)
+    shard = module.Shard("en", bits, pairs)
+    shard.add(["a b c d e c a b e"])
+    own, rows, n = shard.sorted_windows()
+    got = Counter({" ".join(own[i - 1].decode() for i in row if i): int(k) for row, k in zip(rows.tolist(), n.tolist())})
+    assert got == Counter(["a b c d e", "b c d e", "c d e", "d e", "e", "c", "a b", "b", "e"])
