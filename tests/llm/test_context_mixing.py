@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from payscope.llm import context_mixing
@@ -171,6 +172,67 @@ def test_long_texts_go_in_parts_and_segments(monkeypatch):
     assert whole[[0, 3]] == pytest.approx([sum(alone[:cut]), sum(alone[cut:])], rel=1e-5) and whole[1] == 0 > whole[2]
 
 
+def test_words_of_many_texts_at_once(monkeypatch):
+    monkeypatch.setattr(context_mixing, "PART", 7)
+    texts = [t or "" for _, t in corpus(80, 6)] + ["a\x0bB\x0cÄ\u00a0x\x85 \x1c ", " ", "one", "x" * 50 + " y" * 30]
+    said = context_mixing.Said(pa.array(["before", *texts]).slice(1))
+    words = [context_mixing.spoken(t) for t in texts]
+    assert said.words.to_pylist() == [w for own in words for w in own]
+    assert said.size.tolist() == [len(own) for own in words]
+    assert said.bytes.tolist() == [sum(map(len, own)) + len(own) + 1 for own in words]
+    owner, size = said.parts()
+    assert [*zip(owner.tolist(), size.tolist())] == [(i, len(p)) for i, own in enumerate(words) for p in context_mixing.parts(own)]
+    groups = [own for _, own in said.groups(100)]
+    assert len(groups) > 5 and [w for own in groups for w in own.words.to_pylist()] == said.words.to_pylist()
+    assert [n for own in groups for n in np.bincount(own.text, minlength=len(own.size)).tolist()] == said.size.tolist()
+
+
+def test_counts_by_place_however_they_wait(monkeypatch):
+    monkeypatch.setattr(context_mixing, "WAITING", 1000)
+    rng = np.random.default_rng(4)
+    tally, want = context_mixing.Tally(512), np.zeros(512, np.int64)
+    for _ in range(20):
+        places = rng.integers(0, 512, 300).astype(np.uint32)
+        times = rng.integers(1, 9, 300).astype(np.uint32)
+        tally.add(places)
+        tally.add(places, times)
+        want += np.bincount(places, times + 1, 512).astype(np.int64)
+    tally.settle()
+    assert (tally.counts == want).all()
+
+
+def test_often_said_words_come_in_pieces(monkeypatch):
+    """So that no task counts more than 32 bits hold, and none is lost."""
+    monkeypatch.setattr(context_mixing, "COUNTED", 1000)
+    words, times = [b"a", b"bcd", b"e" * 3000, b"f"], np.array([10_001, 1, 3, 499])
+    got, most = Counter(), 0
+    for some, n in context_mixing.pieces(pa.array(words, pa.binary()), times):
+        for w, k in zip(some.to_pylist(), n.tolist()):
+            got[w] += k
+            assert k * (len(w) + 1) <= 1000 or k == 1
+        most = max(most, sum(k * (len(w) + 1) for w, k in zip(some.to_pylist(), n.tolist()) if len(w) < 1000))
+    assert got == dict(zip(words, times.tolist())) and most <= 2000
+    assert [*context_mixing.pieces(pa.array([], pa.binary()), np.zeros(0, np.int64))] == []
+
+
+def test_each_gate_refines_its_own_weights():
+    """Lanes by gate against one bit after the other."""
+    rng = np.random.default_rng(7)
+    n = 3 * context_mixing.SEGMENT // 2
+    x, bit = rng.integers(-60, 61, (n, 4)).astype(np.int8), rng.integers(0, 2, n).astype(np.int8)
+    x[:, 1:3] *= rng.integers(0, 2, (n, 2)).astype(np.int8)
+    x[:, 3] = context_mixing.SCALE
+    want = 0.0
+    for i in range(n):
+        if i % context_mixing.SEGMENT == 0:
+            w = np.full((3, 4), context_mixing.WEIGHT / context_mixing.SCALE)
+        g, v = int(x[i, 1] != 0) + int(x[i, 2] != 0), x[i].astype(float)
+        error = bit[i] - 1 / (1 + math.exp(-(w[g] @ v)))
+        want += math.log(context_mixing.LEAST + (1 - 2 * context_mixing.LEAST) * (1 - abs(error)))
+        w[g] += error * context_mixing.RATE / context_mixing.SCALE * v
+    assert context_mixing.mix(x.copy(), bit, np.array([n])) == pytest.approx([want], rel=1e-5)
+
+
 def test_codes_are_prefix_free_and_short():
     counts = [max(1, 10**9 >> (b // 2)) for b in range(256)]
     code = Code(np.array(counts), [b"w%d" % i for i in range(300)], [10**6 // (i + 1) for i in range(300)], 5, 7)
