@@ -8,11 +8,11 @@ the ``LENGTH`` bytes from s: equal strings have equal seeds at equal places. Nei
 starts of one seed share a window, the text from the first start to the end of the last
 one's string.
 
-1. A first scan writes seed and window hash. Windows that are equal throughout need no
-   sorting: all but the first are removed. A seed with one window text is done.
-2. Seeds with several window texts are marked in a bitmap of fixed size, and a second scan
-   sends the texts of just these windows (and a few more if bits coincide, which does no
-   harm) to the task of their seed.
+1. A scan writes seed and window hash. Windows that are equal throughout need no sorting:
+   all but the first are removed. A seed with one window text is done.
+2. Of seeds with several window texts each window that is left is asked for by row and
+   place. The lists of places are joined with the documents, which cuts out the texts of
+   just these windows, however many there are, and sends them to the task of their seed.
 3. There, shards of windows get a suffix order and its Burrows-Wheeler transform each,
    over an alphabet of ``SIGN`` bytes a sign: a window is ``SIGN`` strings, one for each
    phase, and a suffix is reached from the next by one sign. The transforms are merged by
@@ -34,20 +34,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from payscope.llm.common import chunks, numbered, whole_text
+from payscope.llm.common import KEPT_BITS, chunks, marked, numbered, whole_text
 from payscope.session import materialize
 
 LENGTH, GRAM, SIGN = 100, 32, 20
-#: Bytes that are hashed together, bits of the bitmap, window texts of one seed in a task
-#: at most, and bytes of windows that are merged as one group of two shards.
-PIECE, BITS, SPLIT, GROUP = 1 << 17, 1 << 26, 16384, 1 << 19
+#: Bytes that are hashed together, window texts of one seed in a task at most, and bytes of
+#: windows that are merged as one group of two shards.
+PIECE, SPLIT, GROUP = 1 << 17, 16384, 1 << 19
 #: Kinds of rows: the one occurrence a chunk hands on, a later one, a mark for a seed with
-#: several window texts in the chunk; and asked-for bits, seeds to be split.
-SINGLE, LATER, MARK = 0, 1, 2
+#: several window texts in the chunk, a window of such a seed; and windows asked for, seeds
+#: to be split.
+SINGLE, LATER, MARK, SURE = 0, 1, 2, 3
 REMOVED, ASKED, MANY = 0, 1, 2
 #: Bits of the number of starts in a run; a group has fewer than that many starts.
 RUN = 24
-_WORD = 32768
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
@@ -135,9 +135,9 @@ def _pieces(batch: pa.RecordBatch) -> Iterator[tuple[list[tuple[int, int, int]],
         yield names, parts
 
 
-def _chunk_windows(batch: pa.RecordBatch, wanted=None) -> tuple[dict[str, np.ndarray], list[bytes]]:
-    """All windows of a chunk (signed longs), or those that ``wanted`` picks with texts."""
-    out, texts = [], []
+def _chunk_windows(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
+    """All windows of a chunk (signed longs)."""
+    out = []
     for names, parts in _pieces(batch):
         line = np.frombuffer(b"".join(parts), np.uint8)
         sizes = np.array([len(p) for p in parts])
@@ -146,14 +146,9 @@ def _chunk_windows(batch: pa.RecordBatch, wanted=None) -> tuple[dict[str, np.nda
         begin = np.cumsum(sizes) - sizes
         got = {"seed": seed.view(np.int64), "text": text.view(np.int64), "id": name[number, 0], "row": name[number, 1],
                "at": name[number, 2] + first - begin[number], "n": n}
-        if wanted is not None:
-            pick = np.flatnonzero(wanted(got))
-            got = {k: v[pick] for k, v in got.items()}
-            whole = line.tobytes()
-            texts += [whole[a : a + m - 1 + LENGTH] for a, m in zip(first[pick].tolist(), n[pick].tolist())]
         out.append(got)
     names = ("seed", "text", "id", "row", "at", "n")
-    return {k: np.concatenate([o[k] for o in out]) if out else np.zeros(0, np.int64) for k in names}, texts
+    return {k: np.concatenate([o[k] for o in out]) if out else np.zeros(0, np.int64) for k in names}
 
 
 def _ordered(w: dict[str, np.ndarray]) -> np.ndarray:
@@ -174,7 +169,8 @@ def _packed(at: np.ndarray, n: np.ndarray, kind: int | np.ndarray = 0) -> np.nda
 
 def _hand_on(w: dict[str, np.ndarray]) -> pa.RecordBatch:
     """A chunk's windows for the grouping by seed: one occurrence per seed where all are
-    equal, else a mark; later ones of equal windows pass by."""
+    equal, else a mark. Later ones of equal windows pass by, and so does the first of each
+    text where there is a mark, since it is asked for in any case (its seed as ``text``)."""
     order = np.argsort(w["seed"], kind="stable")
     w = {k: v[order] for k, v in w.items()}
     new = _changes(w["seed"])
@@ -193,34 +189,29 @@ def _hand_on(w: dict[str, np.ndarray]) -> pa.RecordBatch:
         later = ~of_text
         for pick, kind in ((single, SINGLE), (later, LATER)):
             columns.append([rest[k][pick] for k in ("seed", "text", "id", "row")] + [_packed(rest["at"][pick], rest["n"][pick], kind)])
+        sure = of_text & (texts[seed] > 1)
+        columns.append([rest[k][sure] for k in ("seed", "seed", "id", "row")] + [_packed(rest["at"][sure], rest["n"][sure], SURE)])
         mark = of_seed & (texts[seed] > 1)
         zero = np.zeros(int(mark.sum()), np.int64)
         columns.append([rest["seed"][mark], zero, zero, rest["row"][mark], _packed(texts[texts > 1], zero, MARK)])
     return pa.record_batch([pa.array(np.concatenate(c)) for c in zip(*columns)], ["seed", "text", "id", "row", "at"])
 
 
-def _slot(a: np.ndarray, b: np.ndarray | int) -> np.ndarray:
-    """Bit of a window (row and first start) or of a seed (with -1)."""
-    mixed = _mix(a.view(_U) * _U(0x9FB21C651E98DF25) + np.asarray(b, np.int64).view(_U) * _U(_BASE))
-    return (mixed % _U(BITS)).astype(np.int64)
-
-
 def _settled(w: dict[str, np.ndarray], split: int) -> pa.RecordBatch:
-    """Columns (kind, a, b) for complete seeds: later occurrences of equal windows are
-    REMOVED (row, place); of seeds with several window texts one occurrence each is ASKED
-    for (bit), or the seed as a whole where a chunk has marked it; MANY (seed, texts) of
-    seeds that are to be split."""
+    """Columns (kind, a, b, seed) for complete seeds: later occurrences of equal windows
+    are REMOVED (row, place); of seeds with several window texts one occurrence each is
+    ASKED for (row, place, seed); MANY (seed, texts) of seeds that are to be split."""
     out = []
 
-    def add(kind: int, a: np.ndarray, b: np.ndarray | int = 0) -> None:
-        out.append([np.full(len(a), kind, np.int64), a, np.broadcast_to(np.asarray(b, np.int64), a.shape)])
+    def add(kind: int, a: np.ndarray, b: np.ndarray, seed: np.ndarray | int = 0) -> None:
+        out.append([np.full(len(a), kind, np.int64), a, b, np.broadcast_to(np.asarray(seed, np.int64), a.shape)])
 
-    def removed(pick: np.ndarray) -> None:
-        add(REMOVED, w["row"][pick], w["at"][pick] >> 10 << RUN | w["at"][pick] & 255)
-
-    passing = (w["at"] >> 8 & 3) == LATER
-    removed(passing)
-    w = {k: v[~passing] for k, v in w.items()}
+    place = lambda pick: w["at"][pick] >> 10 << RUN | w["at"][pick] & 255
+    kind = w["at"] >> 8 & 3
+    later, sure = kind == LATER, kind == SURE
+    add(REMOVED, w["row"][later], place(later))
+    add(ASKED, w["row"][sure], place(sure), w["text"][sure])
+    w = {k: v[~(later | sure)] for k, v in w.items()}
     order = _ordered(w)
     w = {k: v[order] for k, v in w.items()}
     mark = (w["at"] >> 8 & 3) == MARK
@@ -229,13 +220,29 @@ def _settled(w: dict[str, np.ndarray], split: int) -> pa.RecordBatch:
     new = ~mark & _changes(w["seed"], w["text"], mark)
     texts = np.bincount(number, new, len(seeds)).astype(np.int64)
     marks = np.bincount(number, mark, len(seeds)) > 0
-    removed(~mark & ~new)
-    ask = new & (texts > 1)[number] & ~marks[number]
-    add(ASKED, _slot(w["row"][ask], w["at"][ask] >> 10))
-    add(ASKED, _slot(seeds[marks], -1))
+    again = ~mark & ~new
+    add(REMOVED, w["row"][again], place(again))
+    ask = new & ((texts > 1) | marks)[number]
+    add(ASKED, w["row"][ask], place(ask), w["seed"][ask])
     texts += np.bincount(number, np.where(mark, w["at"] >> 10, 0), len(seeds)).astype(np.int64)
     add(MANY, seeds[texts > split], texts[texts > split])
-    return pa.record_batch([pa.array(np.concatenate(c)) for c in zip(*out)], ["kind", "a", "b"])
+    return pa.record_batch([pa.array(np.concatenate(c)) for c in zip(*out)], ["kind", "a", "b", "seed"])
+
+
+def _cut_out(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The windows at the places asked for: of rows (id, row, places, text)."""
+    for chunk in chunks(batches):
+        ident, row, places, text = chunk.columns
+        number = np.repeat(np.arange(chunk.num_rows), places.value_lengths().to_numpy(zero_copy_only=False))
+        seed, b = places.flatten().flatten()
+        at, n = b.to_numpy() >> RUN, b.to_numpy() & (1 << RUN) - 1
+        raw, last, out = b"", -1, []
+        for i, a, z in zip(number.tolist(), at.tolist(), (at + n - 1 + LENGTH).tolist()):
+            if i != last:
+                raw, last = text[i].as_py().encode(), i
+            out.append(raw[a:z])
+        columns = [seed, *(c.take(pa.array(number)) for c in (ident, row)), pa.array(at), pa.array(n), pa.array(out, pa.binary())]
+        yield pa.record_batch(columns, ["seed", "id", "row", "at", "n", "bytes"])
 
 
 def _by_group(batches: Iterable[pa.RecordBatch], keys: int, least: int, weigh) -> Iterator[pa.RecordBatch]:
@@ -262,21 +269,14 @@ def _by_group(batches: Iterable[pa.RecordBatch], keys: int, least: int, weigh) -
 def transform(sign: np.ndarray, before: np.ndarray, follow: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A shard's suffixes in order of their first LENGTH / SIGN signs, and the signs before
     them: its Burrows-Wheeler transform. ``follow`` is the suffix one sign on."""
-    depth, rank, powers = 1, sign, {1: (sign, follow)}
-    want = LENGTH // SIGN
-    base = max(len(sign), int(sign.max(initial=0))) + 1  # above every rank and sign
-    while depth * 2 <= want:
-        rank, jump = powers[depth]
-        key = rank.astype(np.int64) * base + rank[jump]
-        powers[depth * 2] = np.unique(key, return_inverse=True)[1], jump[jump]
-        depth *= 2
-    rank, jump = powers[depth]
-    for bit in sorted(powers, reverse=True):
-        if depth + bit <= want:
-            key = rank.astype(np.int64) * base + powers[bit][0][jump]
-            rank, jump = np.unique(key, return_inverse=True)[1], powers[bit][1][jump]
-            depth += bit
-    order = np.argsort(rank, kind="stable")
+    bits = int(sign.max(initial=0)).bit_length()
+    key, width, at = sign.astype(np.int64), bits, follow
+    for _ in range(LENGTH // SIGN - 1):  # as many signs as fit become one key, then its rank
+        if width + bits > 63:
+            key = np.unique(key, return_inverse=True)[1]
+            width = int(key.max(initial=0)).bit_length()
+        key, width, at = key << bits | sign[at], width + bits, follow[at]
+    order = np.argsort(key)
     return order, before[order]
 
 
@@ -311,39 +311,61 @@ def merge(shards: list[np.ndarray], ends: list[int]) -> tuple[np.ndarray, np.nda
 
 def repeated(texts: list[bytes], starts: np.ndarray, shards: int = 2) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """For windows with so many starts each: (window, start in it, block) of every string
-    of LENGTH bytes, and a hash of each."""
+    of LENGTH bytes, and a hash of each. A string with a sign that occurs once is alone and
+    has a block of its own; only signs of the other strings go through the transforms."""
     sizes = np.array([len(t) for t in texts], np.int64)
     line = np.frombuffer(b"".join(texts), np.uint8)
     prefix = _prefix_hash(line)
     begin = np.cumsum(sizes) - sizes
-    # A suffix begins at every byte; one with less than a sign left is an empty suffix, and
-    # each of the SIGN strings of a window has one.
-    owner = np.repeat(np.arange(len(texts)), sizes + 1)
-    inside = np.arange(len(owner)) - (begin + np.arange(len(texts)))[owner]
-    place = begin[owner] + inside
+    owner = np.repeat(np.arange(len(texts)), sizes)
+    inside = np.arange(len(line)) - begin[owner]
     full = np.flatnonzero(inside <= sizes[owner] - SIGN)
-    sign = np.zeros(len(owner), np.int64)
-    sign[full] = np.unique(_slice_hash(prefix, place[full], place[full] + SIGN), return_inverse=True)[1] + 1
-    before = np.zeros(len(owner), np.int64)
-    later = inside >= SIGN
-    before[later] = sign[np.flatnonzero(later) - SIGN]
-    follow = np.minimum(np.arange(len(owner)) + SIGN, len(owner) - 1)
-    follow[sign == 0] = np.flatnonzero(sign == 0)
-    cuts = np.searchsorted(owner, np.linspace(0, len(texts), min(shards, len(texts)) + 1).astype(np.int64))
-    orders, transforms, ends = [], [], []
+    number = pa.array(_slice_hash(prefix, full, full + SIGN)).dictionary_encode().indices.to_numpy()
+    sign = np.zeros(len(line), np.int64)
+    sign[full] = number
+    often = np.zeros(len(line), bool)
+    often[full] = np.bincount(number)[number] > 1
+    start = np.flatnonzero(inside < starts[owner])
+    shared = often[start]
+    for k in range(SIGN, LENGTH, SIGN):
+        shared &= often[start + k]
+    start, alone = start[shared], start[~shared]
+    # A suffix begins at every sign of these strings, and an empty one ends each run of signs.
+    needed = np.zeros(len(line) + SIGN, bool)
+    for k in range(0, LENGTH, SIGN):
+        needed[start + k] = True
+    place = np.flatnonzero(needed)
+    entry = np.cumsum(needed) - 1
+    used = np.zeros(len(line) + 1, bool)
+    used[sign[place]] = True
+    sign[place] = np.cumsum(used)[sign[place]]  # from 1 on, 0 is none
+    of = owner[place]
+    goes = needed[place + SIGN] & (np.r_[owner, np.full(SIGN, -1)][place + SIGN] == of)
+    came = needed[place - SIGN] & (owner[place - SIGN] == of) & (place >= SIGN)
+    before = np.where(came, sign[place - SIGN], 0)
+    cuts = np.searchsorted(of, np.linspace(0, len(texts), min(shards, len(texts)) + 1).astype(np.int64))
+    where, transforms, ends = [], [], []
     for a, z in zip(cuts, cuts[1:]):
-        order, signs = transform(sign[a:z], before[a:z], follow[a:z] - a)
-        orders.append(order + a)
+        end = a + np.flatnonzero(~goes[a:z])
+        own = np.r_[sign[place[a:z]], np.zeros(len(end), np.int64)]
+        follow = np.arange(len(own))
+        on = np.flatnonzero(goes[a:z])
+        follow[on] = entry[place[a + on] + SIGN] - a
+        follow[end - a] = z - a + np.arange(len(end))
+        order, signs = transform(own, np.r_[before[a:z], sign[place[end]]], follow)
+        where.append(np.r_[place[a:z], np.full(len(end), len(line))][order])
         transforms.append(signs)
-        ends.append(int((sign[a:z] == 0).sum()))
+        ends.append(len(end))
     mix, block = merge(transforms, ends)
-    suffix = np.empty(len(owner), np.int64)
-    for k, order in enumerate(orders):
-        suffix[mix == k] = order
-    valid = inside[suffix] < starts[owner[suffix]]
-    suffix, block = suffix[valid], block[valid]
-    hashes = _slice_hash(prefix, place[suffix], place[suffix] + LENGTH)
-    return owner[suffix], inside[suffix], block, hashes
+    suffix = np.empty(len(mix), np.int64)
+    for k, at in enumerate(where):
+        suffix[mix == k] = at
+    valid = np.zeros(len(line) + 1, bool)
+    valid[start] = True
+    valid = valid[suffix]
+    suffix = np.r_[suffix[valid], alone]
+    block = np.r_[block[valid], len(mix) + 1 + np.arange(len(alone))]
+    return owner[suffix], inside[suffix], block, _slice_hash(prefix, suffix, suffix + LENGTH)
 
 
 def _runs(row: np.ndarray, at: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -387,56 +409,46 @@ def _merged(batch: pa.RecordBatch) -> pa.RecordBatch:
     return pa.record_batch([pa.array(c.astype(np.int64)) for c in columns], ["split", "hash", "seed", "id", "row", "b"])
 
 
+def _named(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """``docs`` with the boolean ``named``: whether ``found`` may have its row. Texts of the
+    others need not be shuffled to be joined with it."""
+    slot = F.pmod(F.xxhash64("row"), F.lit(KEPT_BITS))
+    return marked(docs, slot, found.select(slot.alias("slot")), "named")
+
+
 def removed_starts(docs: DataFrame, split: int = SPLIT) -> DataFrame:
     """``docs`` (id, row, text) to (row, b): runs of starts whose string also starts
     earlier, b being the first start times 2^RUN plus their number."""
-    spark = docs.sparkSession
 
-    def first_scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in chunks(batches):
-            yield _hand_on(_chunk_windows(chunk)[0])
+            yield _hand_on(_chunk_windows(chunk))
 
     def settle(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in _by_group(batches, 1, 1 << 17, lambda b: b.num_rows):
             names = ("seed", "text", "id", "row", "at")
             yield _settled({k: whole.column(k).to_numpy(zero_copy_only=False) for k in names}, split)
 
-    handed = docs.mapInArrow(first_scan, "seed long, text long, id long, row long, at long")
-    # Later occurrences only pass by, so they spread out.
-    lane = F.when(F.col("at").bitwiseAND(0x300) == LATER << 8, F.xxhash64("row", "at")).otherwise(F.col("seed"))
+    handed = docs.mapInArrow(scan, "seed long, text long, id long, row long, at long")
+    # What only passes by spreads out.
+    passing = F.col("at").bitwiseAND(0x300).isin(LATER << 8, SURE << 8)
+    lane = F.when(passing, F.xxhash64("row", "at")).otherwise(F.col("seed"))
     dealt = handed.withColumn("seed", lane).repartition("seed").sortWithinPartitions("seed")
-    settled = materialize(dealt.mapInArrow(settle, "kind long, a long, b long"), "settled")
-
-    bits = settled.filter(F.col("kind") == ASKED).groupBy(F.expr(f"a div {_WORD}").alias("word"))
-    bits = bits.agg(F.expr(f"bitmap_construct_agg(a % {_WORD})").alias("bits")).collect()  # BITS / 8 bytes at most
-    bitmap = np.zeros(BITS // 8, np.uint8)
-    for r in bits:
-        bitmap[r.word * _WORD // 8 : (r.word + 1) * _WORD // 8] = np.frombuffer(r.bits, np.uint8)
-    shared = spark.sparkContext.broadcast(bitmap)
+    settled = materialize(dealt.mapInArrow(settle, "kind long, a long, b long, seed long"), "settled")
 
-    def second_scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        asked = lambda slot: shared.value[slot >> 3] >> (slot & 7) & 1
-
-        def wanted(w: dict[str, np.ndarray]) -> np.ndarray:
-            return (asked(_slot(w["row"], w["at"])) | asked(_slot(w["seed"], -1))) == 1
-
-        for chunk in chunks(batches):
-            w, texts = _chunk_windows(chunk, wanted)
-            if texts:
-                order = _ordered(w)
-                # Equal windows of a chunk: the first scan or settling removed the later ones.
-                order = order[_changes(w["seed"][order], w["text"][order])]
-                columns = [pa.array(w[k][order]) for k in ("seed", "id", "row", "at", "n")]
-                yield pa.record_batch([*columns, pa.array([texts[i] for i in order.tolist()], pa.binary())], ["seed", "id", "row", "at", "n", "bytes"])
-
-    found = docs.mapInArrow(second_scan, "seed long, id long, row long, at long, n long, bytes binary")
+    asked = settled.filter(F.col("kind") == ASKED).select(F.col("a").alias("row"), F.struct("seed", "b").alias("place"))
+    places = materialize(asked.groupBy("row").agg(F.collect_list("place").alias("places")), "places")
+    ident = F.coalesce("id", F.lit(-(1 << 63))).alias("id")
+    told = _named(docs, places).filter("named").join(places, "row").select(ident, "row", "places", "text")
+    found = told.mapInArrow(_cut_out, "seed long, id long, row long, at long, n long, bytes binary")
     many = settled.filter(F.col("kind") == MANY).select(F.col("a").alias("seed"), F.ceil(F.col("b") / split).alias("parts"))
     part = F.coalesce(F.pmod(F.xxhash64("row"), "parts"), F.lit(-1)).cast("long")
     found = found.join(many, "seed", "left").select("seed", part.alias("part"), "id", "row", "at", "n", "bytes")
     found = found.repartition("seed", "part").sortWithinPartitions("seed", "part")
 
     def merge_groups(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in _by_group(batches, 2, GROUP, lambda b: b.column(6).nbytes):
+        small = (b.slice(i, GROUP >> 8) for b in batches for i in range(0, b.num_rows, GROUP >> 8))
+        for whole in _by_group(small, 2, GROUP, lambda b: b.column(6).nbytes):
             yield _merged(whole)
 
     merged = materialize(found.mapInArrow(merge_groups, "split long, hash long, seed long, id long, row long, b long"), "merged")
@@ -462,8 +474,11 @@ def suffix_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", keep:
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(key).cast("long").alias("id"), whole_text(text).alias("text"))
     rows = numbered(rows, "row").select("id", "row", "text")
-    spans = removed_starts(rows).groupBy("row").agg(F.collect_list("b").alias("spans"))
-    joined = rows.join(spans, "row", "left").select("id", "spans", "text")
+    spans = materialize(removed_starts(rows).groupBy("row").agg(F.collect_list("b").alias("spans")), "spans")
+    told = _named(rows, spans)
+    joined = told.filter("named").join(spans, "row", "left").select("id", "spans", "text")
+    rest = told.filter("not named").select("id", F.lit(None).cast("array<long>").alias("spans"), "text")
+    joined = joined.unionByName(rest)
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):

@@ -186,6 +186,51 @@ def test_long_text_in_parts():
         assert {s + a: v for v, f, m in zip(seed, first, n) for s in range(f, f + m)} == {s: whole[s] for s in range(a, a + 1000)}
 
 
+def test_windows_are_asked_for_one_by_one(spark, tmp_path, monkeypatch):
+    """By row and place, so that a larger corpus sends no others; a seed that one chunk has
+    with several texts doesn't bring all copies of a third text from other chunks."""
+    rng = random.Random(5)
+    part = lambda n: "".join(rng.choices("abcdefgh ", k=n))
+    passage, other = part(300), part(200)
+    texts = [part(200) + passage + part(200) + passage + part(200)] + [part(150) + passage + other] * 5 + [part(400)]
+    by_seed, want = {}, []
+    for i, text in enumerate(texts):
+        seed, window, _, first, _ = suffix_dedup.windows(np.frombuffer(text.encode(), np.uint8), np.array([len(text)]))
+        for s, w, at in zip(seed.tolist(), window.tolist(), first.tolist()):
+            by_seed.setdefault(s, {}).setdefault(w, (i, at))  # the first of each text
+    for of_text in by_seed.values():
+        want += of_text.values() if len(of_text) > 1 else []
+    merged, sent = suffix_dedup._merged, str(tmp_path / "sent")
+
+    def watched(batch):
+        with open(sent, "a") as file:
+            file.writelines(f"{row} {at}\n" for row, at in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist()))
+        return merged(batch)
+
+    monkeypatch.setattr(suffix_dedup, "_merged", watched)
+    docs = spark.createDataFrame([(i, i, t) for i, t in enumerate(texts)], "id long, row long, text string").repartitionByRange(7, "id")
+    suffix_dedup.removed_starts(docs).collect()
+    with open(sent) as file:
+        assert sorted(tuple(map(int, line.split())) for line in file) == sorted(want) and len(want) > 4
+
+
+def test_windows_with_little_in_common_are_not_merged(monkeypatch):
+    """Texts that share a seed and no string add nothing to the transforms."""
+    rng, merged = random.Random(6), []
+    merge = suffix_dedup.merge
+    monkeypatch.setattr(suffix_dedup, "merge", lambda shards, ends: merged.append(sum(map(len, shards))) or merge(shards, ends))
+    part = lambda n: bytes(rng.choices(range(97, 123), k=n))
+    seed, shared = part(32), part(100)
+    texts = [part(60) + seed + part(60) for _ in range(40)]
+    owner, inside, block, _ = suffix_dedup.repeated(texts, np.full(40, 53))
+    assert len(owner) == len(set(block.tolist())) == 40 * 53 and merged == [0]
+    texts[3:5] = [part(20) + shared + part(32), part(30) + shared + part(22)]
+    owner, inside, block, _ = suffix_dedup.repeated(texts, np.full(40, 53))
+    again = np.flatnonzero(np.bincount(block)[block] > 1)
+    assert sorted(zip(owner[again].tolist(), inside[again].tolist())) == [(3, 20), (4, 30)]
+    assert len(set(block.tolist())) == 40 * 53 - 1 and merged[1] == 12
+
+
 @pytest.mark.parametrize("letters", ["ab", "abcdefghijklmnopqrstuvwxyz"])
 def test_merged_transforms_are_the_order_of_all(letters):
     """Also where the signs of all shards are more than one shard has suffixes."""
